@@ -6,11 +6,13 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Code points 9-13 and 32, as every operator's word rule takes them.
@@ -54,8 +56,25 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors, whose Python workers need not have it installed."""
+    app = spark.sparkContext.applicationId
+    if app not in _shipped:
+        _shipped.add(app)
+        package = Path(__file__).resolve().parents[1]
+        target = Path(tempfile.mkdtemp(prefix="stemmata-code-")) / "stemmata_code.zip"
+        with zipfile.ZipFile(target, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, str(f.relative_to(package.parent)))
+        spark.sparkContext.addPyFile(str(target))
+
+
 def arrow_batches(spark: SparkSession, rows: int = 2000, size: str = "33554432") -> None:
     """Bounds what one Arrow batch holds, so that long texts don't add up in a Python worker."""
+    ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     with contextlib.suppress(Exception):
@@ -83,5 +102,5 @@ def packed(texts: list[bytes]) -> tuple[bytes, np.ndarray]:
     return b"".join(texts), at
 
 
-def utf8(column) -> "F.Column":
-    return F.encode(F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")), "utf-8")
+def utf8(column: str) -> Column:
+    return F.encode(F.coalesce(F.col(column).cast("string"), F.lit("")), "utf-8")
