@@ -5,11 +5,12 @@ from __future__ import annotations
 from .bpe import op1_bpe
 from .langid import op4_language_id
 from .licenses import op3_license_scan
+from .ngram_join import op8_ngram_jaccard
 from .quality import op2_quality_rules
 from .sharding import op9_sharding
 from .token_files import op6_token_files
 from .wu_manber import op10_wu_manber
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_quality_rules, op3_license_scan, op4_language_id, op6_token_files, op9_sharding, op10_wu_manber)}
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_quality_rules, op3_license_scan, op4_language_id, op6_token_files, op8_ngram_jaccard, op9_sharding, op10_wu_manber)}
 
 ORACLE_SQL: dict[str, str] = {}
