@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from stemmata.llm import bpe, wu_manber
+from stemmata.llm import bpe, bwt_dedup, langid, ngram_join, wu_manber
 from stemmata.llm.common import staged, table
 
 
+def in_a_language(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Language ID (4), learnt from the stage's own documents: documents in no language go."""
+    return langid.in_a_language(docs)
+
+
+def one_of_each(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """N-gram Jaccard join (8): of each group of near duplicates the document with the least id stays."""
+    return ngram_join.one_of_each(docs)
+
+
+def without_repeats(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Suffix-array dedup (5): strings that stand earlier too are cut out; documents that lose all their bytes go."""
+    return bwt_dedup.without_repeats(docs)
+
+
 def decontaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Benchmark decontamination (10): contaminated documents go."""
     return wu_manber.clean_documents(docs, table(spark, sf_dir, "benchmark"))
@@ -18,7 +33,13 @@ def encoded(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     return bpe.digests(bpe.decode(bpe.encode(docs, bpe.vocab_file(), keep=["doc_id"]), bpe.vocab_file()))
 
 
-STAGES = [("benchmark decontamination", decontaminated), ("BPE encoding", encoded)]
+STAGES = [
+    ("language ID", in_a_language),
+    ("n-gram Jaccard join", one_of_each),
+    ("suffix-array dedup", without_repeats),
+    ("benchmark decontamination", decontaminated),
+    ("BPE encoding", encoded),
+]
 
 #: A suffix array, a Nyström classifier and a BPE encoder have no SQL; the stages are tested against brute force.
 ORACLE_SQL = None
