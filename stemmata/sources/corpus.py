@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import xml.etree.ElementTree as ET
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +22,36 @@ MAP_COLUMNS = "urn path author title suggested_genre confidence family proposed_
 def read_corpus(spark: SparkSession, directory: str) -> DataFrame:
     """path, rel, textgroup, work, stem, is_catalog and xml of every XML file below the directory, however deep."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.xml").load(directory)
-    return with_places(files.select("path", F.decode("content", "utf-8").alias("xml")), directory)
+    return with_places(files.select("path", F.decode("content", "utf-8").alias("xml")).unionByName(catalogue_files(spark, directory)), directory)
+
+
+def catalogue_files(spark: SparkSession, directory: str) -> DataFrame:
+    """path and xml of the catalogue files. Spark's readers pass over names that begin with an underscore, so these are listed by the file system and read in the tasks."""
+    from ..runtime import ship
+
+    ship(spark)
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(directory)
+    listing = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(where, True)
+    paths = []
+    while listing.hasNext():
+        path = listing.next().getPath()
+        if path.getName() == CATALOGUE:
+            paths.append((path.toString(),))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        for batch in batches:
+            found = []
+            for path in batch.column(0).to_pylist():
+                at, base = fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
+                with at.open_input_stream(base) as f:
+                    found.append(f.read().decode("utf-8", "replace"))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["path", "xml"])
+
+    files = spark.createDataFrame(paths, "path string")
+    return files.repartition(max(1, min(len(paths), 4 * spark.sparkContext.defaultParallelism))).mapInArrow(read, "path string, xml string")
 
 
 def with_places(files: DataFrame, directory: str = "") -> DataFrame:
