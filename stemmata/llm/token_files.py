@@ -51,13 +51,14 @@ class _Writer:
         self.stream = pa.ipc.new_stream(self.out, self.schema)
         self.index = pa.ipc.new_stream(self.index_out, self.index_schema)
 
-    def add(self, doc_ids: pa.Array, ids: list[list[int]]) -> None:
-        sizes = np.array([len(x) for x in ids], np.int64)
-        starts = self.total + np.cumsum(sizes) - sizes
+    def add(self, doc_ids: pa.Array, ids: np.ndarray, at: np.ndarray) -> None:
+        """ids of several documents, the first of which begin at `at` (with the end as the last entry)."""
+        sizes = np.diff(at)
+        starts = self.total + at[:-1]
         self.index.write_batch(pa.RecordBatch.from_arrays([doc_ids, pa.array(starts), pa.array(sizes)], schema=self.index_schema))
-        flat = np.concatenate([self.left, *[np.array(x, self.left.dtype) for x in ids]])
-        self.total += int(sizes.sum())
-        self.docs += len(ids)
+        flat = np.concatenate([self.left, ids.astype(self.left.dtype)])
+        self.total += len(ids)
+        self.docs += len(sizes)
         whole = len(flat) // self.length * self.length
         self._put(flat[:whole], whole)
         self.left = flat[whole:]
@@ -99,10 +100,8 @@ def write(documents: DataFrame, vocab: str, folder: str, end_id: int = 2, length
                     continue
                 if writer is None:
                     writer, first = _Writer(folder, f"shard-{shard:06d}-{uuid.uuid4().hex[:12]}", kind, length), part.column(0)[0].as_py()
-                ids = codec(vocab).encode(texts)
-                for x in ids:
-                    x.append(end_id)
-                writer.add(part.column(0), ids)
+                ids, at = codec(vocab).encode(texts)
+                writer.add(part.column(0), np.insert(ids, at[1:], end_id), at + np.arange(len(at)))
         if writer is not None:
             writer.close()
             yield pa.RecordBatch.from_pylist([{"shard": shard, "first_doc": first, "file": writer.paths[0], "index_file": writer.paths[1], "n_tokens": writer.total, "n_docs": writer.docs}], schema=pa.schema([("shard", pa.int32()), ("first_doc", pa.int64()), ("file", pa.string()), ("index_file", pa.string()), ("n_tokens", pa.int64()), ("n_docs", pa.int64())]))
