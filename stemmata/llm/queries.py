@@ -10,9 +10,10 @@ from .licenses import op3_license_scan
 from .ngram_join import op8_ngram_jaccard
 from .quality import op2_quality_rules
 from .sharding import op9_sharding
+from .sql import ORACLE_SQL
 from .token_files import op6_token_files
 from .wu_manber import op10_wu_manber
 
 QUERIES = {f.__name__: f for f in (op1_bpe, op2_quality_rules, op3_license_scan, op4_language_id, op5_bwt_dedup, op6_token_files, op7_html_text, op8_ngram_jaccard, op9_sharding, op10_wu_manber)}
 
-ORACLE_SQL: dict[str, str] = {}
+__all__ = ["ORACLE_SQL", "QUERIES"]
