@@ -3,12 +3,14 @@
 A set is the distinct five-word shingles of a text (A-Z lower-cased, words between ASCII white space), the
 whole word sequence if it has fewer words, or nothing. For a Jaccard of 0.8 two sets of sizes x and y must
 share a token among the first x - ceil(0.8 x) + 1 and y - ceil(0.8 y) + 1 tokens under every global order
-of tokens. The first order puts rare tokens first and yields the candidates; two others, by hashes, must agree
-before the sets are compared. Tokens are 64-bit hashes of shingles.
+of tokens, and so many of them that what lies behind the prefixes could make up the rest. The first order puts
+rare tokens first and yields the candidates with the number of prefix tokens they share; two others, by hashes,
+must agree before the sets are compared. Tokens are 64-bit hashes of shingles.
 
 Equal sets form one class and are compared once. Runs of documents under one prefix token are compared in
-full if short; a long run, as many near copies of one text make, first only to its least document. Whatever is
-not connected by links found so far is then compared in full, so no link that could join two components is missed.
+full if short; a long run, as many near copies of one text make, first only to its least document. Documents
+that are then outside a run's main component are searched for against all others, so no link that could join
+two components is missed.
 
 Defined cases: null, empty and wordless texts have empty sets, are linked with nothing and stand alone;
 repeated rows each give a row; empty tables give no rows; other columns are ignored.
@@ -21,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import _slices
@@ -31,13 +33,15 @@ from .components import components
 WORDS = 5
 PERCENT = 80
 #: A token in so many documents of one slice of text is counted; others are in few documents anyway.
-COUNTED = 4
+COUNTED = 2
 #: Counted tokens whose frequency the first order knows; the rest pass for rare, which only makes runs longer.
-KNOWN = 400_000
+KNOWN = 1_000_000
 SHORT_RUN = 32
 #: Ids up to which a needed-documents list is broadcast; beyond, it is joined by key.
 BROADCAST_IDS = 200_000
 ENTRIES_PER_BUCKET = 150_000
+#: Keys in one block of queries against the documents with long runs.
+QUERY_KEYS = 1_000_000
 
 _LOWER = bytes(c + 32 if 0x41 <= c <= 0x5A else c for c in range(256))
 _ENTRY = np.dtype([("key", "<u8"), ("doc", "<i8"), ("n", "<i4")])
@@ -173,48 +177,60 @@ def _fits(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
     return 100 * np.minimum(n_a, n_b).astype(np.int64) >= PERCENT * np.maximum(n_a, n_b)
 
 
-def run_pairs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct candidate pairs (a < b) from the runs of equal keys, and the entries of long runs."""
+def _pairs(rows: np.ndarray, left: list[np.ndarray], right: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct pairs of documents (a < b) of fitting sizes, and how often each occurs."""
+    if not left:
+        none = np.zeros(0, np.int64)
+        return none, none, none
+    a, b = np.concatenate(left), np.concatenate(right)
+    ok = _fits(rows["n"][a], rows["n"][b]) & (rows["doc"][a] != rows["doc"][b])
+    docs, place = np.unique(rows["doc"], return_inverse=True)
+    code, count = np.unique(place[a[ok]].astype(np.int64) << 32 | place[b[ok]], return_counts=True)
+    return docs[code >> 32], docs[code & 0xFFFFFFFF], count
+
+
+PAIR, LONG, STAR = 0, 1, 2
+
+
+def run_pairs(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """From the runs of equal keys, (kind, a, b, n): pairs of short runs with the keys they share, entries (key, document, set size) of long runs, and pairs of a long run's least document with the others."""
     rows = rows[np.lexsort((rows["doc"], rows["key"]))]
     edge = np.flatnonzero(np.concatenate([[True], rows["key"][1:] != rows["key"][:-1]]))
     length = np.diff(np.append(edge, len(rows)))
-    left, right, long = [], [], []
+    short, star, long = ([], []), ([], []), [np.zeros(0, np.int64)]
     for size in np.unique(length[length > 1]).tolist():
         at = edge[length == size][:, None] + np.arange(size)
         if size <= SHORT_RUN:
-            i, j = np.triu_indices(size, 1)
+            i, j, to = *np.triu_indices(size, 1), short
         else:
-            i, j = np.zeros(size - 1, np.int64), np.arange(1, size)
+            i, j, to = np.zeros(size - 1, np.int64), np.arange(1, size), star
             long.append(at.ravel())
-        left.append(at[:, i].ravel())
-        right.append(at[:, j].ravel())
-    if not left:
-        none = np.zeros(0, np.int64)
-        return none, none, rows[:0]
-    a, b = np.concatenate(left), np.concatenate(right)
-    ok = _fits(rows["n"][a], rows["n"][b]) & (rows["doc"][a] != rows["doc"][b])
-    docs, place = np.unique(rows["doc"], return_inverse=True)
-    code = np.unique(place[a[ok]].astype(np.int64) << 32 | place[b[ok]])
-    return docs[code >> 32], docs[code & 0xFFFFFFFF], rows[np.concatenate(long)] if long else rows[:0]
+        to[0].append(at[:, i].ravel())
+        to[1].append(at[:, j].ravel())
+    far = rows[np.concatenate(long)]
+    a, b, n = _pairs(rows, *short)
+    c, d, m = _pairs(rows, *star)
+    return np.repeat([PAIR, LONG, STAR], [len(a), len(far), len(c)]).astype(np.int8), np.concatenate([a, far["key"].view(np.int64), c]), np.concatenate([b, far["doc"], d]), np.concatenate([n, far["n"], m * 0]).astype(np.int64)
 
 
 def candidates(packed_entries: DataFrame, partitions: int) -> DataFrame:
-    """By kind: candidate pairs (0: a, b), entries of long runs (1: key as a, document as b)."""
+    """The rows of run_pairs over all runs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs = [x for batch in batches for x in batch.column(1).to_pylist()]
         if not blobs:
             return
-        a, b, long = run_pairs(np.frombuffer(b"".join(blobs), _ENTRY))
-        kind = np.repeat([0, 1], [len(a), len(long)]).astype(np.int8)
-        one = np.concatenate([a, long["key"].view(np.int64)])
-        two = np.concatenate([b, long["doc"]])
-        size = np.concatenate([np.zeros(len(a), np.int32), long["n"]])
-        for lo in range(0, len(kind), 50_000):
-            hi = lo + 50_000
-            yield pa.RecordBatch.from_arrays([pa.array(kind[lo:hi]), pa.array(one[lo:hi]), pa.array(two[lo:hi]), pa.array(size[lo:hi])], names=["kind", "a", "b", "n"])
+        columns = run_pairs(np.frombuffer(b"".join(blobs), _ENTRY))
+        for lo in range(0, len(columns[0]), 50_000):
+            yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + 50_000]) for c in columns], names=["kind", "a", "b", "n"])
+
+    return packed_entries.repartition(partitions, "bucket").mapInArrow(run, "kind byte, a long, b long, n long")
+
 
-    return packed_entries.repartition(partitions, "bucket").mapInArrow(run, "kind byte, a long, b long, n int")
+def enough(shared: Column) -> Column:
+    """Whether sets of n_a and n_b tokens that share this many prefix tokens can reach the threshold: the smaller last prefix key bounds what else they share."""
+    rest = lambda n: F.ceil(F.col(n) * PERCENT / 100) - 1
+    return (100 + PERCENT) * (shared + F.greatest(rest("n_a"), rest("n_b"))) >= PERCENT * (F.col("n_a") + F.col("n_b"))
 
 
 def only(documents: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
@@ -226,6 +242,7 @@ def only(documents: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFr
 def linked(documents: DataFrame, pairs: DataFrame) -> DataFrame:
     """Of the pairs, those whose sets share prefix tokens under both further orders and then reach the threshold."""
     spark = documents.sparkSession
+    pairs = pairs.select("a", "b")
     needed = pairs.select("a").union(pairs.select("b"))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -235,7 +252,7 @@ def linked(documents: DataFrame, pairs: DataFrame) -> DataFrame:
                 columns = [[s.tobytes() for s in found], *[[np.sort(prefix(mixed(s, k))).tobytes() if len(s) else b"" for s in found] for k in (4, 5)]]
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, pa.binary()) for c in columns]], names=["doc_id", "tokens", "second", "third"])
 
-    one = staged(only(_docs(documents), needed).mapInArrow(sets, "doc_id long, tokens binary, second binary, third binary").dropDuplicates(["doc_id"]), "sets")
+    one = staged(only(_docs(documents), needed).mapInArrow(sets, "doc_id long, tokens binary, second binary, third binary"), "sets")
     side = lambda s: one.select(F.col("doc_id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("tokens", "second", "third")])
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_tokens", "a_second", "a_third", "b_tokens", "b_second", "b_third")
 
@@ -262,37 +279,75 @@ def linked(documents: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def _by_class(pairs: DataFrame, class_of: DataFrame) -> DataFrame:
-    """The pairs between class representatives, each once."""
+    """The pairs between class representatives with their set sizes, each once, and the sum of n."""
     for side in ("a", "b"):
-        pairs = pairs.join(class_of.select(F.col("doc_id").alias(side), F.col("rep").alias(f"rep_{side}")), side)
-    return pairs.where("rep_a != rep_b").select(F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b")).distinct()
+        pairs = pairs.join(class_of.select(F.col("doc_id").alias(side), F.col("rep").alias(f"rep_{side}"), F.col("n_shingles").alias(f"n_{side}")), side)
+    keys = [F.least("rep_a", "rep_b").alias("a"), F.greatest("rep_a", "rep_b").alias("b"), F.greatest("n_a", "n_b").alias("n_a"), F.least("n_a", "n_b").alias("n_b")]
+    return pairs.where("rep_a != rep_b").groupBy(*keys).agg(F.sum("n").alias("n"))
 
 
-def unconnected(runs: DataFrame, class_of: DataFrame, found: DataFrame, partitions: int) -> DataFrame:
-    """From the long runs, the pairs of representatives that no links connect so far."""
-    rows = runs.join(class_of, runs["b"] == class_of["doc_id"]).select(F.col("a").alias("key"), "rep", "n").join(found.withColumnRenamed("node", "rep"), "rep", "left")
-    rows = rows.select("key", "rep", "n", F.coalesce("component", "rep").alias("component")).distinct()
-    several = rows.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("key")
-    rows = rows.join(several, "key", "left_semi")
+def _index(rows: pa.Table) -> tuple[np.ndarray, ...]:
+    """Of documents with their keys: the keys, sorted, where each one's documents begin, those documents, and their id, size, component and `short`."""
+    lists = rows.column("keys").combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    doc = np.repeat(np.arange(len(rows)), np.diff(lists.offsets.to_numpy()))
+    order = np.argsort(lists.values.to_numpy(), kind="stable")
+    keys, at = np.unique(lists.values.to_numpy()[order], return_index=True)
+    return keys, np.append(at, len(order)), doc[order], *(rows.column(c).to_numpy() for c in ("rep", "n", "component", "short"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [[b.column(k).to_numpy() for k in range(4)] for b in batches]
-        if not parts:
-            return
-        key, doc, n, comp = (np.concatenate(c) for c in zip(*parts))
-        order = np.lexsort((comp, key))
-        key, doc, n, comp = key[order], doc[order], n[order], comp[order]
-        edge = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])).tolist()
-        for lo, hi in zip(edge, [*edge[1:], len(key)]):
-            for i in range(lo, hi):
-                # Sorted by component: partners are what lies behind this component.
-                j = np.arange(np.searchsorted(comp[lo:hi], comp[i], "right") + lo, hi)
-                j = j[_fits(np.full(len(j), n[i]), n[j])]
-                a, b = np.minimum(doc[i], doc[j]), np.maximum(doc[i], doc[j])
-                if len(j):
-                    yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
-
-    return rows.repartition(partitions, "key").mapInArrow(run, "a long, b long").distinct()
+
+def _far(n: np.ndarray) -> np.ndarray:
+    return -(-n * PERCENT // 100) - 1
+
+
+def unconnected(runs: DataFrame, class_of: DataFrame, found: DataFrame, pairs: DataFrame) -> DataFrame:
+    """From the long runs, pairs of representatives that no links connect so far and that share enough keys, and how many keys of long runs (m) they share.
+
+    In a run, one of two documents of different components is outside the run's most frequent one. Those outsiders are
+    the queries, in blocks of bounded size, against the keys of all documents with long runs; keys shared in short
+    runs were counted before, and the most that either document has there (`short`) is allowed for."""
+    rows = runs.join(class_of, runs["b"] == class_of["doc_id"]).select(F.col("a").alias("key"), "rep", "n").join(found.withColumnRenamed("node", "rep"), "rep", "left")
+    rows = staged(rows.select("key", "rep", "n", F.coalesce("component", "rep").alias("component")).distinct(), "run-rows")
+    sizes = rows.groupBy("key", "component").agg(F.count("*").alias("m"))
+    usual = sizes.groupBy("key").agg(F.max(F.struct("m", "component")).alias("x"), F.count("*").alias("kinds")).where("kinds > 1").select("key", F.col("x.component").alias("usual"))
+    outside = rows.join(usual, "key").where("component != usual").select("rep").distinct()
+    most = pairs.select("a", "n").union(pairs.select("b", "n")).toDF("rep", "n").groupBy("rep").agg(F.max("n").alias("short"))
+    docs = rows.groupBy("rep", "n", "component").agg(F.collect_list("key").alias("keys")).join(most, "rep", "left").select("rep", "n", "component", F.coalesce("short", F.lit(0)).alias("short"), "keys")
+    docs = staged(docs, "run-documents")
+    queries = staged(docs.join(outside, "rep", "left_semi"), "outsiders")
+    blocks = -(-(queries.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0))).first()[0]) // QUERY_KEYS)
+    parts = [queries.select(F.col("rep").alias("a"), F.col("rep").alias("b"), F.lit(0).cast("long").alias("m")).where("false")]
+    for block in range(blocks):
+        shared = docs.sparkSession.sparkContext.broadcast(_index(queries.where(F.pmod(F.xxhash64("rep"), F.lit(blocks)) == block).toArrow()))
+
+        def probe(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            keys, at, doc, rep, n, component, short = shared.value
+            for batch in batches:
+                out = [[], [], []]
+                lists = batch.column(4)
+                flat, ends = lists.values.to_numpy(), lists.offsets.to_numpy()
+                for y, ny, cy, sy, lo, hi in zip(*(batch.column(k).to_pylist() for k in range(4)), ends, ends[1:]):
+                    mine = flat[lo:hi]
+                    k = np.minimum(np.searchsorted(keys, mine), len(keys) - 1)
+                    k = k[keys[k] == mine]
+                    if not len(k):
+                        continue
+                    count = np.bincount(np.concatenate([doc[at[i] : at[i + 1]] for i in k.tolist()]), minlength=len(rep))
+                    u = np.flatnonzero(count)
+                    u = u[(component[u] != cy) & _fits(n[u], np.full(len(u), ny))]
+                    rest = np.maximum(_far(n[u]), _far(np.full(len(u), ny))) + count[u] + np.minimum(short[u], sy)
+                    u = u[(100 + PERCENT) * rest >= PERCENT * (n[u] + ny)]
+                    out[0].append(np.minimum(rep[u], y))
+                    out[1].append(np.maximum(rep[u], y))
+                    out[2].append(count[u])
+                if out[0]:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in out], names=["a", "b", "m"])
+
+        parts.append(docs.mapInArrow(probe, "a long, b long, m long"))
+    every = parts[0]
+    for part in parts[1:]:
+        every = every.union(part)
+    return every.groupBy("a", "b").agg(F.max("m").alias("m"))
 
 
 def joined(documents: DataFrame) -> DataFrame:
@@ -303,19 +358,31 @@ def joined(documents: DataFrame) -> DataFrame:
     docs = profiled.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "k1", "k2")
     some = docs.where("n_shingles > 0")
     classes = some.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
-    class_of = staged(some.join(classes, ["k1", "k2"]).select("doc_id", "rep"), "classes")
+    class_of = staged(some.join(classes, ["k1", "k2"]).select("doc_id", "rep", "n_shingles"), "classes")
 
     total = docs.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count("*")).first()
     expected = total[0] // 5 + total[1]
     partitions = max(spark.sparkContext.defaultParallelism, -(-expected // (4 * ENTRIES_PER_BUCKET)))
     found = staged(candidates(entries(documents, frequencies(profiled), 4 * partitions), partitions), "candidates")
-    pairs = staged(_by_class(found.where("kind = 0").select("a", "b"), class_of.distinct()), "pairs")
-    links = linked(documents, pairs)
-    long = found.where("kind = 1")
-    if not long.isEmpty():
-        more = unconnected(long, class_of.distinct(), components(links), partitions)
-        more = staged(more.join(pairs, ["a", "b"], "left_anti"), "more-pairs")
-        links = links.union(linked(documents, more))
+    class_of = class_of.distinct()
+    pairs = staged(_by_class(found.where(F.col("kind") != LONG).select("a", "b", "n"), class_of), "pairs")
+    long = staged(found.where(F.col("kind") == LONG).select("a", "b", "n"), "long-runs")
+    if long.isEmpty():
+        links = linked(documents, pairs.where(enough(F.col("n"))))
+    else:
+        # Pairs of long runs weren't counted: each document's entries there are the most that could be missing.
+        at_most = staged(long.join(class_of, long["b"] == class_of["doc_id"]).select("rep", "a").distinct().groupBy("rep").agg(F.count("*").alias("more")), "long-counts")
+        both = pairs
+        for side in ("a", "b"):
+            both = both.join(at_most.select(F.col("rep").alias(side), F.col("more").alias(f"more_{side}")), side, "left")
+        missing = F.least(F.coalesce("more_a", F.lit(0)), F.coalesce("more_b", F.lit(0)))
+        first = staged(both.where(enough(F.col("n") + missing)).select("a", "b"), "first-pairs")
+        links = linked(documents, first)
+        more = unconnected(long, class_of, components(links), pairs)
+        size = lambda s: class_of.where("doc_id = rep").select(F.col("rep").alias(s), F.col("n_shingles").alias(f"n_{s}"))
+        more = more.join(pairs.select("a", "b", "n"), ["a", "b"], "left").join(size("a"), "a").join(size("b"), "b")
+        more = more.where(enough(F.col("m") + F.coalesce("n", F.lit(0)))).join(first, ["a", "b"], "left_anti")
+        links = links.union(linked(documents, staged(more.select("a", "b"), "more-pairs")))
     comps = components(links).select(F.col("node").alias("rep"), "component")
     out = docs.join(classes, ["k1", "k2"], "left").join(comps, "rep", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("class_id"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
