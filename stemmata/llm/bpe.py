@@ -175,9 +175,9 @@ def _slices(batch: pa.RecordBatch, texts: list[bytes], limit: int = 4 << 20) ->
 
 
 def encode(df: DataFrame, vocab: str, text: str = "text", ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
-    """df's columns (or those named in keep) and the token ids of each text."""
+    """df's columns (or those named in keep) and the token ids of each text; a column of that name gives way."""
     arrow_batches(df.sparkSession)
-    keep = df.columns if keep is None else keep
+    keep = [c for c in (df.columns if keep is None else keep) if c != ids]
     df = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("__text"))
     schema = T.StructType([*df.drop("__text").schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
@@ -191,7 +191,8 @@ def encode(df: DataFrame, vocab: str, text: str = "text", ids: str = "ids", keep
 
 
 def decode(df: DataFrame, vocab: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """df's columns and the text that each row's ids stand for."""
+    """df's columns and the text that each row's ids stand for; a column of that name gives way."""
+    df = df.drop(text)
     at = df.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -174,8 +174,8 @@ def predictions(texts: list[str | None], scorer: Scorer | None) -> tuple[list[st
     return langs, np.clip(score, 0, 1)
 
 
-def predict(documents: DataFrame, model: Model | None, keep: list[str]) -> DataFrame:
-    """The columns named in keep, lang_pred and score of every document."""
+def predict(documents: DataFrame, model: Model | None, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """The columns named in keep, and language and score of every document under the names given."""
     spark = documents.sparkSession
     arrow_batches(spark)
     shared = spark.sparkContext.broadcast(model)
@@ -185,9 +185,9 @@ def predict(documents: DataFrame, model: Model | None, keep: list[str]) -> DataF
         scorer = Scorer(shared.value) if shared.value is not None else None
         for batch in batches:
             langs, score = predictions(batch.column(len(keep)).to_pylist(), scorer)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(score, pa.float64())], names=[*keep, "lang_pred", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(score, pa.float64())], names=[*keep, *names])
 
-    schema = rows.drop("__text").withColumn("lang_pred", F.lit("")).withColumn("score", F.lit(0.0)).schema
+    schema = rows.drop("__text").withColumn(names[0], F.lit("")).withColumn(names[1], F.lit(0.0)).schema
     return rows.mapInArrow(run, schema)
 
 
@@ -200,5 +200,5 @@ def op4_language_id(spark, sf_dir: str) -> DataFrame:
 def in_a_language(documents: DataFrame) -> DataFrame:
     """The documents that are in some language, with all their columns."""
     model = fit(training_rows(documents, ~held_out()))
-    said = predict(documents, model, documents.columns)
-    return said.where((F.col("lang_pred") != "und") & (F.col("score") >= REJECT_BELOW)).select(*documents.columns)
+    said = predict(documents, model, documents.columns, ("__lang_pred", "__score"))
+    return said.where((F.col("__lang_pred") != "und") & (F.col("__score") >= REJECT_BELOW)).select(*documents.columns)
