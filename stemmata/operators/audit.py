@@ -195,10 +195,12 @@ def structure_report(nodes: DataFrame) -> DataFrame:
     levels = citation_levels(nodes).groupBy("path").agg(F.array_sort(F.collect_list(level)).alias("levels"))
     marks = milestones(nodes).groupBy("path").agg(F.array_sort(F.collect_list(F.struct("unit", "count"))).alias("marks"))
     both = facts(nodes).join(levels, "path", "left").join(marks, "path", "left").join(_issues(nodes, STRUCTURE_RULES), "path", "left")
-    subtypes = F.coalesce(F.col("levels.subtype"), F.array().cast("array<string>"))
+    for df, c in ((levels, "levels"), (marks, "marks")):
+        both = both.withColumn(c, F.coalesce(c, F.array().cast(df.schema[c].dataType)))
+    subtypes = F.col("levels.subtype")
     plain = F.transform("levels", lambda v: F.struct(*[v[c].alias(c) for c in ("element", "subtype", "depth", "count", "with_n", "with_base", "with_id", "base_correct", "base_wrong_examples")]))
     return both.select(
-        "path", "base_urn", structural_type().alias("structural_type"), F.coalesce(plain, F.slice(plain, 1, 0)).alias("citation_levels"), F.col("marks").alias("milestones"), F.col("crefs.n").alias("cref_patterns"),
+        "path", "base_urn", structural_type().alias("structural_type"), plain.alias("citation_levels"), F.col("marks").alias("milestones"), F.col("crefs.n").alias("cref_patterns"),
         F.coalesce("issues", F.array().cast("array<string>")).alias("issues"), proposed_structure(subtypes).alias("proposed_cite_structure"), subtypes.alias("div_subtypes"),
     )
 

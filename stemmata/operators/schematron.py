@@ -135,3 +135,18 @@ def read_svrl(reports: DataFrame) -> DataFrame:
         return out
 
     return reports.select("path", F.explode(found("xml")).alias("f")).select("path", "f.*")
+
+
+def report(found: DataFrame) -> DataFrame:
+    """path and the findings of each document in one row."""
+    fields = [F.col(c) for c in ("location", "check_id", "kind", "role", "test", "message")]
+    return found.groupBy("path").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias("findings"))
+
+
+def report_text(reports: DataFrame) -> DataFrame:
+    """path and the report as text."""
+    line = "=" * 70
+    tag = lambda f: F.when(f["role"] != "", F.upper(f["role"])).otherwise(f["kind"])
+    each = F.transform("findings", lambda f: F.concat(F.lit("  ["), tag(f), F.lit("] "), f["location"], F.lit("\n    "), f["message"]))
+    head = F.concat(F.lit(f"\n{line}\nFILE: "), F.substring_index("path", "/", -1), F.lit(f"  [schematron audit]\n{line}\n\nFINDINGS ("), F.size("findings").cast("string"), F.lit("):\n"))
+    return reports.select("path", F.concat(head, F.array_join(each, "\n")).alias("text"))

@@ -49,7 +49,7 @@ def survey(files: DataFrame, nodes: DataFrame | None = None, genre: str | None =
     report = audit.structure_report(nodes.join(which, "path", "left_semi")).join(which, "path")
     base = report.select(
         F.col("base_urn").alias("urn"), "path", "genre", "structural_type", F.array_join("div_subtypes", "|").alias("div_subtypes"),
-        F.array_join(F.coalesce(F.col("milestones.unit"), F.array().cast("array<string>")), "|").alias("milestone_units"), F.array_join("issues", "; ").alias("issues"),
+        F.array_join(F.col("milestones.unit"), "|").alias("milestone_units"), F.array_join("issues", "; ").alias("issues"),
     )
     return {
         "elements": vocabulary.ordered_elements(vocabulary.element_counts(here)),

@@ -339,3 +339,18 @@ def test_udtf(spark):
 
     spark.udtf.register("shred", shred_udtf())
     assert spark.sql("select count(*) from values ('<a><b/></a>') t(x), lateral shred(x)").first()[0] == 2
+
+
+def test_command_line(spark, tree, tmp_path):
+    from stemmata import cli
+
+    assert cli.main(["survey", str(tree), "-o", f"{tmp_path}/survey"]) == 0
+    assert corpus.read_csv(spark, f"{tmp_path}/survey/structure").count() == 3
+    assert cli.main(["audit-structure", str(tree), "-o", f"{tmp_path}/a"]) == 1 and (tmp_path / "a" / "g1.w2.e1-structure.txt").exists()
+    assert cli.main(["audit-schema", str(tree), "-o", f"{tmp_path}/a", "--json"]) == 1 and '"check_id"' in (tmp_path / "a" / "g1.w1.e1-schema.json").read_text()
+    assert cli.main(["set-genre", str(tree / "g1/w2/g1.w2.e1.xml"), "--genre", "verse", "-o", f"{tmp_path}/s"]) == 0
+    assert 'target="#verse"' in (tmp_path / "s" / "g1.w2.e1.xml").read_text()
+    (tmp_path / "log.txt").write_text("g1.w2.e1.xml:1:1: error: element \"a\" not allowed here; expected x\nbanner\n")
+    assert cli.main(["validation-report", str(tree), "--log", str(tmp_path / "log.txt"), "-o", f"{tmp_path}/r"]) == 0
+    assert corpus.read_csv(spark, f"{tmp_path}/r").first()["family"] == "drama"
+    assert cli.resolve_output("/a/b.xml", None, True) == "/a/b.xml" and cli.resolve_output("/a/b.xml", "out", True) == "out/b.xml" and cli.resolve_output("/a/b.xml", "c.xml", False) == "c.xml"
