@@ -36,6 +36,7 @@ from .bpe import _slices
 from .common import arrow_batches, packed, staged, table, text_bytes
 from .ngram_join import BROADCAST_IDS, mixed
 
+#: Fixed by the rule of removal; a multiple of 4.
 WIDTH = 100
 GRAM = 16
 WINDOW = WIDTH - GRAM + 1
@@ -184,31 +185,49 @@ def settled(scan: DataFrame, partitions: int) -> DataFrame:
     return scan.repartition(partitions, "bucket").mapInArrow(run, _FOUND)
 
 
-def windows8(letters: np.ndarray, left: np.ndarray, size: int) -> np.ndarray:
-    """The next `size` letters of each place as one number; behind its string's end come zeros."""
-    out = np.zeros(len(letters), np.uint64)
-    for k in range(size):
-        shifted = np.zeros(len(letters), np.uint64)
-        shifted[: len(letters) - k] = letters[k:]
-        shifted[left <= k] = 0
-        out = out << np.uint64(8) | shifted
-    return out
+def _joined(letters: np.ndarray, left: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The next 4 and the next 8 letters of each place as numbers; with left (letters up to its string's end), zeros behind that."""
+    out, size = [letters.astype(np.uint64)], 1
+    while size < 8:
+        behind = np.zeros_like(out[-1])
+        behind[:-size] = out[-1][size:]
+        if left is not None:
+            behind[left <= size] = 0
+        out.append(out[-1] << np.uint64(8 * size) | behind)
+        size *= 2
+    return out[2], out[3]
 
 
 def transform(strings: list[bytes]) -> bytes:
-    """The Burrows-Wheeler transform of a shard: letters are bytes + 1, and 0 ends each string, the ends in the order given."""
+    """The Burrows-Wheeler transform of a shard: letters are bytes + 1, and 0 ends each string, the ends in the order given.
+
+    Suffixes are sorted by 8 letters, then by twice as many each time; only those still tied are looked at again."""
     data = b"\x00".join([np.add(np.frombuffer(s, np.uint8), 1, dtype=np.uint8).tobytes() for s in strings]) + b"\x00"
     letters = np.frombuffer(data, np.uint8)
     n = len(letters)
     ends = np.flatnonzero(letters == 0)
     left = np.repeat(ends, np.diff(np.concatenate([[-1], ends]))) - np.arange(n) + 1
-    rank = np.unique(windows8(letters, left, 8), return_inverse=True)[1].astype(np.uint64)
-    depth = 8
-    while depth < left.max():
-        behind = np.zeros(n, np.uint64)
-        behind[: n - depth] = rank[depth:] + np.uint64(1)
-        behind[left <= depth] = 0
-        rank = np.unique(rank << np.uint64(32) | behind, return_inverse=True)[1].astype(np.uint64)
+    value = _joined(letters, left)[1]
+    order = np.argsort(value, kind="stable")
+    new = np.ones(n, bool)
+    new[1:] = value[order[1:]] != value[order[:-1]]
+    # The rank of a suffix is the place where its tied group begins.
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(new, np.arange(n), 0))
+    depth, deepest = 8, int(left.max())
+    while depth < deepest:
+        tied = np.flatnonzero(np.bincount(rank, minlength=n)[rank] > 1)
+        if not len(tied):
+            break
+        far = left[tied] > depth
+        behind = np.zeros(len(tied), np.int64)
+        behind[far] = rank[tied[far] + depth] + 1
+        key = rank[tied] << 32 | behind
+        turn = np.argsort(key, kind="stable")
+        key, old = key[turn], rank[tied[turn]]
+        at = np.arange(len(key))
+        starts = lambda x: np.maximum.accumulate(np.where(np.concatenate([[True], x[1:] != x[:-1]]), at, 0))
+        rank[tied[turn]] = old + starts(key) - starts(old)
         depth *= 2
     order = np.argsort(rank, kind="stable")
     before = np.concatenate([[0], letters[:-1]]).astype(np.uint8)
@@ -252,21 +271,21 @@ def refined(shards: list[tuple[bytes, np.ndarray]], width: int = WIDTH) -> tuple
     order, letters, begin = inverted(shards)
     lengths = np.concatenate([size for _, size in shards])
     offset = np.arange(len(letters)) - np.repeat(begin, lengths + 1)
-    left = np.repeat(lengths + 1, lengths + 1) - offset
-    steps = [8] * (width // 8) + ([width % 8] if width % 8 else [])
-    symbol = {size: np.unique(windows8(letters, left, size), return_inverse=True)[1].astype(np.int64) for size in set(steps)}
+    windows = np.repeat(lengths - width + 1, lengths + 1)
+    four, eight = _joined(letters)
+    steps = [8] * (width // 8) + ([4] if width % 8 else [])
+    symbol = {8: np.unique(eight, return_inverse=True)[1].astype(np.uint32), 4: four.astype(np.uint32)}
+    # At each depth the suffixes that matter are those that `width - depth` letters in front of them make windows.
+    far = offset[order] - (width - steps[0])
+    order = order[(far >= 0) & (far < windows[order])]
     block = np.zeros(len(order), np.int64)
-    depth = 0
-    for size in steps:
-        # From suffixes sorted to `depth` to those that start `size` letters earlier; what can't grow to a window is left out.
-        room = offset[order] >= size if depth else left[order] > size
-        order, block = order[room] - (size if depth else 0), block[room]
-        depth += size
-        use = left[order] > depth
-        order, block = order[use], block[use]
-        turn = _stable(symbol[size][order])
-        order, block = order[turn], block[turn]
+    for k, size in enumerate(steps):
+        if k:
+            # From suffixes sorted so far to those that begin `size` letters earlier.
+            order = order - size
         ids = symbol[size][order]
+        turn = _stable(ids)
+        order, block, ids = order[turn], block[turn], ids[turn]
         part = np.ones(len(order), bool)
         part[1:] = (ids[1:] != ids[:-1]) | (block[1:] != block[:-1])
         block = np.cumsum(part) - 1
