@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ASCII_SPACE, arrow_batches, packed, text_bytes
+from .common import ASCII_SPACE, arrow_batches, packed, slices, text_bytes
 
 #: Fragments after which a worker starts a new generation of its cache; it keeps two.
 CACHE = 400_000
@@ -163,17 +163,6 @@ def codec(path: str) -> Codec:
     return Codec(path)
 
 
-def _slices(batch: pa.RecordBatch, texts: list[bytes], limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """The batch in pieces of about limit bytes of text."""
-    lo = size = 0
-    for i, t in enumerate(texts):
-        if size + len(t) > limit and i > lo:
-            yield batch.slice(lo, i - lo), texts[lo:i]
-            lo, size = i, 0
-        size += len(t)
-    yield batch.slice(lo), texts[lo:]
-
-
 def encode(df: DataFrame, vocab: str, text: str = "text", ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
     """df's columns (or those named in keep) and the token ids of each text; a column of that name gives way."""
     arrow_batches(df.sparkSession)
@@ -183,7 +172,7 @@ def encode(df: DataFrame, vocab: str, text: str = "text", ids: str = "ids", keep
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in _slices(batch, text_bytes(batch.column(batch.num_columns - 1))):
+            for part, texts in slices(batch, text_bytes(batch.column(batch.num_columns - 1))):
                 flat, at = codec(vocab).encode(texts)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat.view(np.int32)))], names=[*keep, ids])
 

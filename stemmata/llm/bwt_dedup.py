@@ -32,8 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import _slices
-from .common import arrow_batches, packed, staged, table, text_bytes
+from .common import arrow_batches, packed, slices, staged, table, text_bytes
 from .ngram_join import BROADCAST_IDS, mixed
 
 #: Fixed by the rule of removal; a multiple of 4.
@@ -150,7 +149,7 @@ def scanned(documents: DataFrame, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in _slices(batch, text_bytes(batch.column(1))):
+            for part, texts in slices(batch, text_bytes(batch.column(1))):
                 if not part.num_rows:
                     continue
                 rows, later, _ = settle(segments(*packed(texts), part.column(0).to_numpy()))

@@ -6,7 +6,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -65,20 +65,22 @@ def arrow_batches(spark: SparkSession, rows: int = 2000, size: str = "33554432")
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
-def map_arrow(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows and (out := function(batch)) is not None:
-                yield out
-
-    return df.mapInArrow(run, schema)
-
-
 def text_bytes(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each text; null counts as empty."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]
 
 
+def slices(batch: pa.RecordBatch, texts: list[bytes], limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
+    """The batch in pieces of about limit bytes of text."""
+    lo = size = 0
+    for i, t in enumerate(texts):
+        if size + len(t) > limit and i > lo:
+            yield batch.slice(lo, i - lo), texts[lo:i]
+            lo, size = i, 0
+        size += len(t)
+    yield batch.slice(lo), texts[lo:]
+
+
 def packed(texts: list[bytes]) -> tuple[bytes, np.ndarray]:
     """All texts in one buffer, and where each begins (with the end as the last entry)."""
     at = np.zeros(len(texts) + 1, np.int64)

@@ -26,8 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .bpe import _slices
-from .common import arrow_batches, staged, table, text_bytes
+from .common import arrow_batches, slices, staged, table, text_bytes
 from .components import components
 
 WORDS = 5
@@ -113,7 +112,7 @@ def profile(documents: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in _slices(batch, text_bytes(batch.column(1))):
+            for part, texts in slices(batch, text_bytes(batch.column(1))):
                 sets = shingle_sets(texts)
                 keys = np.array([np.frombuffer(xxhash.xxh3_128_digest(s.tobytes()), "<i8") for s in sets]).reshape(-1, 2)
                 first = np.unique(keys, axis=0, return_index=True)[1]
@@ -150,7 +149,7 @@ def entries(documents: DataFrame, known: tuple[np.ndarray, np.ndarray], buckets:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in _slices(batch, text_bytes(batch.column(1))):
+            for part, texts in slices(batch, text_bytes(batch.column(1))):
                 docs, seen, found = part.column(0).to_pylist(), set(), []
                 for doc, tokens in zip(docs, shingle_sets(texts)):
                     if not len(tokens) or doc is None or (digest := xxhash.xxh3_128_digest(tokens.tobytes())) in seen:
@@ -247,7 +246,7 @@ def linked(documents: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in _slices(batch, text_bytes(batch.column(1))):
+            for part, texts in slices(batch, text_bytes(batch.column(1))):
                 found = shingle_sets(texts)
                 columns = [[s.tobytes() for s in found], *[[np.sort(prefix(mixed(s, k))).tobytes() if len(s) else b"" for s in found] for k in (4, 5)]]
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, pa.binary()) for c in columns]], names=["doc_id", "tokens", "second", "third"])

@@ -21,8 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import _slices
-from .common import ASCII_SPACE, arrow_batches, packed, staged, table, text_bytes
+from .common import ASCII_SPACE, arrow_batches, packed, slices, staged, table, text_bytes
 
 SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS = 50
@@ -103,7 +102,7 @@ def measure(documents: DataFrame) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for part, texts in _slices(batch, text_bytes(batch.column(3))):
+            for part, texts in slices(batch, text_bytes(batch.column(3))):
                 if part.num_rows:
                     found = measure_texts(texts)
                     yield pa.RecordBatch.from_arrays([*part.columns[:3], *[pa.array(found[c], pa.int64()) for c in names]], names=["doc_id", "lang", "source", *names])

@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import _slices, codec, vocab_file
-from .common import arrow_batches, scratch, text_bytes
+from .bpe import codec, vocab_file
+from .common import arrow_batches, scratch, slices, text_bytes
 
 LENGTH = 2048
 BATCH = 256
@@ -95,7 +95,7 @@ def write(documents: DataFrame, vocab: str, folder: str, end_id: int = 2, length
 
         shard, writer, first = TaskContext.get().partitionId(), None, None
         for batch in batches:
-            for part, texts in _slices(batch, text_bytes(batch.column(1))):
+            for part, texts in slices(batch, text_bytes(batch.column(1))):
                 if not part.num_rows:
                     continue
                 if writer is None:
