@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ASCII_SPACE, arrow_batches, packed, slices, text_bytes
+from .common import ASCII_SPACE, arrow_batches, packed, slices, text_bytes, trimmed
 
 #: Fragments after which a worker starts a new generation of its cache; it keeps two.
 CACHE = 400_000
@@ -176,7 +176,7 @@ def encode(df: DataFrame, vocab: str, text: str = "text", ids: str = "ids", keep
                 flat, at = codec(vocab).encode(texts)
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat.view(np.int32)))], names=[*keep, ids])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(trimmed(run), schema)
 
 
 def decode(df: DataFrame, vocab: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
@@ -191,7 +191,7 @@ def decode(df: DataFrame, vocab: str, ids: str = "ids", text: str = "decoded") -
             texts = [codec(vocab).decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, text])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(text, T.StringType())]))
+    return df.mapInArrow(trimmed(run), T.StructType([*df.schema.fields, T.StructField(text, T.StringType())]))
 
 
 def digests(df: DataFrame) -> DataFrame:

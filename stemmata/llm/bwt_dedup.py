@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, packed, slices, staged, table, text_bytes
+from .common import arrow_batches, packed, slices, staged, table, text_bytes, trimmed
 from .ngram_join import BROADCAST_IDS, mixed
 
 #: Fixed by the rule of removal; a multiple of 4.
@@ -160,7 +160,7 @@ def scanned(documents: DataFrame, buckets: int) -> DataFrame:
                     have, blobs = _blobs(rows, (mixed(rows["key"], 3) % np.uint64(buckets)).astype(np.int64))
                     yield _batch(SEGMENTS, bucket=have, blob=blobs)
 
-    return _docs(documents).mapInArrow(run, _FOUND)
+    return _docs(documents).mapInArrow(trimmed(run), _FOUND)
 
 
 def settled(scan: DataFrame, partitions: int) -> DataFrame:
@@ -181,7 +181,7 @@ def settled(scan: DataFrame, partitions: int) -> DataFrame:
                 p = part[lo : lo + 50_000]
                 yield _batch(kind, bucket=p["key"].view(np.int64), doc=p["doc"], at=p["at"], n=p["n"].astype(np.int32))
 
-    return scan.repartition(partitions, "bucket").mapInArrow(run, _FOUND)
+    return scan.repartition(partitions, "bucket").mapInArrow(trimmed(run), _FOUND)
 
 
 def _joined(letters: np.ndarray, left: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -333,7 +333,7 @@ def shards_of(documents: DataFrame, edges: DataFrame, buckets: int) -> DataFrame
         if strings:
             yield from ended()
 
-    return both.mapInArrow(run, "bucket long, strings binary, transform binary")
+    return both.mapInArrow(trimmed(run), "bucket long, strings binary, transform binary")
 
 
 def repeats(shards: DataFrame, partitions: int) -> DataFrame:
@@ -367,7 +367,7 @@ def repeats(shards: DataFrame, partitions: int) -> DataFrame:
                 last = np.append(start[1:], len(doc)) - 1
                 yield pa.RecordBatch.from_arrays([pa.array(doc[start]), pa.array(at[start], pa.int32()), pa.array(at[last] - at[start] + 1, pa.int32())], names=["doc", "at", "n"])
 
-    return shards.repartition(partitions, "bucket").mapInArrow(run, "doc long, at int, n int")
+    return shards.repartition(partitions, "bucket").mapInArrow(trimmed(run), "doc long, at int, n int")
 
 
 def cut(text: bytes, places: list[tuple[int, int]]) -> tuple[bytes, list[tuple[int, int]]]:
@@ -423,7 +423,7 @@ def deduplicated(documents: DataFrame) -> DataFrame:
             columns = [pa.array(size), pa.array(size - left), *[pa.array([[s[k] for s in spans] for _, spans in done], pa.list_(pa.int32())) for k in (0, 1)], pa.array([k for k, _ in done], pa.binary())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=out.names)
 
-    return both.mapInArrow(run, out)
+    return both.mapInArrow(trimmed(run), out)
 
 
 def op5_bwt_dedup(spark, sf_dir: str) -> DataFrame:

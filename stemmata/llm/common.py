@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import ctypes
+import gc
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +58,7 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def arrow_batches(spark: SparkSession, rows: int = 2000, size: str = "33554432") -> None:
+def arrow_batches(spark: SparkSession, rows: int = 1000, size: str = "8388608") -> None:
     """Bounds what one Arrow batch holds, so that long texts don't add up in a Python worker."""
     ship(spark)
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
@@ -65,6 +67,19 @@ def arrow_batches(spark: SparkSession, rows: int = 2000, size: str = "33554432")
         spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
+def trimmed(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function, after which a worker gives back the memory it no longer uses: workers live on between tasks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+    return run
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """The UTF-8 bytes of each text; null counts as empty."""
     return [x or b"" for x in column.cast(pa.large_binary()).to_pylist()]

@@ -8,7 +8,7 @@ two matrix products: presence x landmarks, then kernel values x weights.
 
 Only ASCII letters and bytes of other scripts tell languages apart here: case is folded, and digits,
 punctuation and white space count as one blank. n-grams are those found in at least two landmarks, the
-most frequent VOCABULARY of them.
+most frequent VOCABULARY of them and those tied with the last.
 
 Fitting uses a bounded sample: PER_LANGUAGE labelled rows of each of at most LANGUAGES languages, drawn by a
 hash of doc_id, of texts up to SAMPLE_BYTES. Everything else, prediction above all, reads whole texts.
@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, table
+from .common import arrow_batches, table, trimmed
 
 ORDERS = 3
 PER_LANGUAGE = 300
@@ -81,10 +81,10 @@ class Scorer:
     def __init__(self, model: Model) -> None:
         self.model, at = model, 0
         self.size = sum(map(len, model.codes))
-        self.look = []
+        self.look, kind = [], np.int16 if self.size < 1 << 15 else np.int32
         for n, codes in enumerate(model.codes):
-            look = np.full(1 << 8 * (n + 1), self.size, np.int32)
-            look[codes] = np.arange(at, at + len(codes))
+            look = np.full(1 << 8 * (n + 1), self.size, kind)
+            look[codes] = np.arange(at, at + len(codes), dtype=kind)
             at += len(codes)
             self.look.append(look)
 
@@ -188,7 +188,7 @@ def predict(documents: DataFrame, model: Model | None, keep: list[str], names: t
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(score, pa.float64())], names=[*keep, *names])
 
     schema = rows.drop("__text").withColumn(names[0], F.lit("")).withColumn(names[1], F.lit(0.0)).schema
-    return rows.mapInArrow(run, schema)
+    return rows.mapInArrow(trimmed(run), schema)
 
 
 def op4_language_id(spark, sf_dir: str) -> DataFrame:

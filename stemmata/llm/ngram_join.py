@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, slices, staged, table, text_bytes
+from .common import arrow_batches, slices, staged, table, text_bytes, trimmed
 from .components import components
 
 WORDS = 5
@@ -130,7 +130,7 @@ def profile(documents: DataFrame) -> DataFrame:
                     names=["kind", "doc_id", "n", "k1", "k2"],
                 )
 
-    return _docs(documents).mapInArrow(run, "kind byte, doc_id long, n long, k1 long, k2 long")
+    return _docs(documents).mapInArrow(trimmed(run), "kind byte, doc_id long, n long, k1 long, k2 long")
 
 
 def frequencies(profiled: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -169,7 +169,7 @@ def entries(documents: DataFrame, known: tuple[np.ndarray, np.ndarray], buckets:
                 ends = [*at[1:].tolist(), len(rows)]
                 yield pa.RecordBatch.from_arrays([pa.array(have), pa.array([rows[a:b].tobytes() for a, b in zip(at.tolist(), ends)], pa.binary())], names=["bucket", "entries"])
 
-    return _docs(documents).mapInArrow(run, "bucket long, entries binary")
+    return _docs(documents).mapInArrow(trimmed(run), "bucket long, entries binary")
 
 
 def _fits(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
@@ -223,7 +223,7 @@ def candidates(packed_entries: DataFrame, partitions: int) -> DataFrame:
         for lo in range(0, len(columns[0]), 50_000):
             yield pa.RecordBatch.from_arrays([pa.array(c[lo : lo + 50_000]) for c in columns], names=["kind", "a", "b", "n"])
 
-    return packed_entries.repartition(partitions, "bucket").mapInArrow(run, "kind byte, a long, b long, n long")
+    return packed_entries.repartition(partitions, "bucket").mapInArrow(trimmed(run), "kind byte, a long, b long, n long")
 
 
 def enough(shared: Column) -> Column:
@@ -251,7 +251,7 @@ def linked(documents: DataFrame, pairs: DataFrame) -> DataFrame:
                 columns = [[s.tobytes() for s in found], *[[np.sort(prefix(mixed(s, k))).tobytes() if len(s) else b"" for s in found] for k in (4, 5)]]
                 yield pa.RecordBatch.from_arrays([part.column(0), *[pa.array(c, pa.binary()) for c in columns]], names=["doc_id", "tokens", "second", "third"])
 
-    one = staged(only(_docs(documents), needed).mapInArrow(sets, "doc_id long, tokens binary, second binary, third binary"), "sets")
+    one = staged(only(_docs(documents), needed).mapInArrow(trimmed(sets), "doc_id long, tokens binary, second binary, third binary"), "sets")
     side = lambda s: one.select(F.col("doc_id").alias(s), *[F.col(c).alias(f"{s}_{c}") for c in ("tokens", "second", "third")])
     both = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "a_tokens", "a_second", "a_third", "b_tokens", "b_second", "b_third")
 
@@ -274,7 +274,7 @@ def linked(documents: DataFrame, pairs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], names=["a", "b"])
 
     arrow_batches(spark)
-    return staged(both.mapInArrow(verify, "a long, b long"), "links")
+    return staged(both.mapInArrow(trimmed(verify), "a long, b long"), "links")
 
 
 def _by_class(pairs: DataFrame, class_of: DataFrame) -> DataFrame:
@@ -342,7 +342,7 @@ def unconnected(runs: DataFrame, class_of: DataFrame, found: DataFrame, pairs: D
                 if out[0]:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c).astype(np.int64)) for c in out], names=["a", "b", "m"])
 
-        parts.append(docs.mapInArrow(probe, "a long, b long, m long"))
+        parts.append(docs.mapInArrow(trimmed(probe), "a long, b long, m long"))
     every = parts[0]
     for part in parts[1:]:
         every = every.union(part)
