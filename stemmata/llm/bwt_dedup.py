@@ -6,7 +6,7 @@ earlier in the same document. Matches stay inside documents and are judged on th
 1. Segments. Of the 85 16-grams in each window of 100 bytes the one with the least hash is its anchor, so equal
    windows have equal anchors at equal offsets. Windows in a row with the same anchor form a segment, known by
    the anchor's hash (key) and the hash of all its bytes. Segments that are equal throughout are settled at once:
-   all but the first occurrence repeat. Inside one slice of text this happens before anything is shuffled.
+   all but the first occurrence repeat. Inside one batch of texts this happens before anything is shuffled.
 2. What is left are keys with segments that differ somewhere: the edges of matches. Their bytes are fetched once
    for each distinct segment, and each task builds, for each bucket of keys, the Burrows-Wheeler transform of its
    segments as a shard.
@@ -42,6 +42,8 @@ WINDOW = WIDTH - GRAM + 1
 ENTRIES_PER_BUCKET = 400_000
 #: Bytes of text for which a segment is expected; only to size the buckets.
 STRIDE = 40
+#: Buckets of edges for each of segments: one bucket is merged at a time, at some hundred bytes of memory a letter.
+MERGES = 8
 
 _SEGMENT = np.dtype([("key", "<u8"), ("body", "<u8"), ("doc", "<i8"), ("at", "<i4"), ("n", "u1"), ("rel", "u1")])
 _STRING = np.dtype([("doc", "<i8"), ("at", "<i4"), ("n", "u1")])
@@ -145,20 +147,21 @@ def _docs(documents: DataFrame) -> DataFrame:
 
 
 def scanned(documents: DataFrame, buckets: int) -> DataFrame:
-    """Of each slice of text, the segments by bucket, and places already known to repeat."""
+    """Of each batch of texts, the segments by bucket, and places already known to repeat."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in slices(batch, text_bytes(batch.column(1))):
-                if not part.num_rows:
-                    continue
-                rows, later, _ = settle(segments(*packed(texts), part.column(0).to_numpy()))
-                again, rows = rows[later], rows[~later]
-                if len(again):
-                    yield _batch(REPEAT, bucket=(mixed(again["doc"].view(np.uint64), 8) % np.uint64(buckets)).astype(np.int64), doc=again["doc"], at=again["at"], n=again["n"].astype(np.int32))
-                if len(rows):
-                    have, blobs = _blobs(rows, (mixed(rows["key"], 3) % np.uint64(buckets)).astype(np.int64))
-                    yield _batch(SEGMENTS, bucket=have, blob=blobs)
+            # Small pieces, as hashing takes some hundred bytes of memory for each byte of text.
+            found = [segments(*packed(texts), part.column(0).to_numpy()) for part, texts in slices(batch, text_bytes(batch.column(1)), 1 << 20) if part.num_rows]
+            if not found:
+                continue
+            rows, later, _ = settle(np.concatenate(found))
+            again, rows = rows[later], rows[~later]
+            if len(again):
+                yield _batch(REPEAT, bucket=(mixed(again["doc"].view(np.uint64), 8) % np.uint64(buckets)).astype(np.int64), doc=again["doc"], at=again["at"], n=again["n"].astype(np.int32))
+            if len(rows):
+                have, blobs = _blobs(rows, (mixed(rows["key"], 3) % np.uint64(buckets)).astype(np.int64))
+                yield _batch(SEGMENTS, bucket=have, blob=blobs)
 
     return _docs(documents).mapInArrow(trimmed(run), _FOUND)
 
@@ -327,7 +330,7 @@ def shards_of(documents: DataFrame, edges: DataFrame, buckets: int) -> DataFrame
                     rows.append((doc, w["at"], w["n"]))
                     keys.append(w["bucket"])
                     size += len(strings[-1])
-                if size > 16 << 20:
+                if size > 8 << 20:
                     yield from ended()
                     strings, rows, keys, size = [], [], [], 0
         if strings:
@@ -393,7 +396,7 @@ def deduplicated(documents: DataFrame) -> DataFrame:
     partitions = max(spark.sparkContext.defaultParallelism, -(-total // (STRIDE * ENTRIES_PER_BUCKET)))
     found = staged(settled(scanned(documents, 4 * partitions), partitions), "segments")
     edges = found.where(F.col("kind") == EDGES).select("bucket", "doc", "at", "n")
-    more = staged(repeats(shards_of(documents, edges, 2 * partitions), partitions), "repeats")
+    more = staged(repeats(shards_of(documents, edges, MERGES * partitions), partitions), "repeats")
     places = found.where(F.col("kind") == REPEAT).select("doc", "at", "n").union(more)
     places = staged(places.groupBy("doc").agg(F.collect_list(F.struct("at", "n")).alias("__places")), "places")
 
