@@ -8,6 +8,13 @@ best passage. A licence file is one named so, or one of whose text the lines wit
 A directory's licence is what most of its licence files have. A file without a licence takes that of the
 nearest directory above it.
 
+scan() knows each licence by several FORMS (names, SPDX identifiers, headers, the short texts in full), of which
+the best counts. It also scores the paragraphs that hold a cue, and of a licence file the first of these, which is
+the title of a long text. Years and holders of copyright notices aren't compared. `Proprietary` gives way to any
+other licence found in a file, as notices of all kinds reserve rights. op3_license_scan is fixed by its SQL to
+single lines and one template of each licence (whole=False): there `All rights reserved.`, real licence texts and
+SPDX lines don't reach LEAST.
+
 Defined cases: null or empty texts have no passage and can only inherit; a null path is the root; repeated
 paths each count; empty tables give no rows; extra columns are ignored.
 """
@@ -39,16 +46,81 @@ TEMPLATES = {
     "Proprietary": "Copyright. All rights reserved. Unauthorized copying is prohibited.",
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
+_AS_IS = "THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS"
+_AS_IS_END = "BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_BSD = "Copyright Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_NAME = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_END = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+
+
+def _gnu(name: str, short: str, version: int, date: str) -> tuple[str, ...]:
+    spdx = f"{short}-{version}.0"
+    terms = f"under the terms of the GNU {name} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+    return (
+        f"GNU {name} Version {version}, {date}", f"GNU {name}, version {version}", f"GNU {name} v{version}.0", f"{short}v{version}", f"Licensed under the {short}v{version}", spdx, f"{spdx}-only", f"{spdx}-or-later", f"{spdx}+",
+        f"it {terms}", f"This program is free software: you can redistribute it and/or modify it {terms}",
+    )
+
+
+def _cc(kind: str, name: str) -> tuple[str, ...]:
+    return (f"CC-{kind}-4.0", f"CC {kind} 4.0", f"Licensed under CC {kind} 4.0.", f"This work is licensed under a Creative Commons {name} 4.0 International License.", f"Creative Commons {name} 4.0 International Public License", f"{name} 4.0 International")
+
+
+#: Other forms of the same licences; with their template, all that scan() compares.
+FORMS = {
+    k: (TEMPLATES[k], *more)
+    for k, more in {
+        "AGPL-3.0": _gnu("Affero General Public License", "AGPL", 3, "19 November 2007"),
+        "Apache-2.0": (
+            "Apache-2.0", "Apache License Version 2.0, January 2004 http://www.apache.org/licenses/", "Apache License 2.0", "Apache License, Version 2.0", "Licensed under the Apache License 2.0",
+            "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+        ),
+        "BSD-2-Clause": ("BSD-2-Clause", "BSD 2-Clause License", f"{_BSD} {_BSD_END}"),
+        "BSD-3-Clause": ("BSD-3-Clause", "BSD 3-Clause License", f"{_BSD} {_BSD_NAME} {_BSD_END}", "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file."),
+        "CC-BY-4.0": _cc("BY", "Attribution"),
+        "CC-BY-NC-4.0": _cc("BY-NC", "Attribution-NonCommercial"),
+        "CC-BY-SA-4.0": _cc("BY-SA", "Attribution-ShareAlike"),
+        "CC0-1.0": ("CC0-1.0", "CC0 1.0 Universal", "Creative Commons Legal Code CC0 1.0 Universal", "Creative Commons Legal Code"),
+        "EPL-2.0": ("EPL-2.0", "Eclipse Public License - v 2.0", "Eclipse Public License 2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+        "GPL-2.0": _gnu("General Public License", "GPL", 2, "June 1991"),
+        "GPL-3.0": _gnu("General Public License", "GPL", 3, "29 June 2007"),
+        "ISC": (
+            "ISC", "ISC License",
+            "Copyright Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+        ),
+        "LGPL-3.0": _gnu("Lesser General Public License", "LGPL", 3, "29 June 2007"),
+        "MIT": (
+            "MIT", "MIT License", "The MIT License (MIT)", "Licensed under the MIT License.",
+            "MIT License Copyright Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the \"Software\"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. "
+            f"{_AS_IS} OR COPYRIGHT HOLDERS {_AS_IS_END}",
+        ),
+        "MPL-2.0": ("MPL-2.0", "Mozilla Public License Version 2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+        "Proprietary": ("All rights reserved.", "Copyright All rights reserved."),
+        "Unlicense": (
+            "Unlicense", "The Unlicense",
+            "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law. "
+            f"{_AS_IS} {_AS_IS_END} For more information, please refer to <https://unlicense.org>",
+        ),
+    }.items()
+}
 CUE = r"(?i)licen[cs]e|copyright|spdx|all rights reserved|public domain|creative commons|\bcc[ -]by\b"
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)([.-][^/]*)?$"
 TERM = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
 LEAST = 0.6
+#: What isn't compared: the holder and years of a notice, the tag before an SPDX identifier.
+_NOTICE = r"(?i)copyright\b(?:[^\n]*?(all rights reserved)|\s*(?:\(c\)|©|[12]\d{3})[^\n]*)"
+_SPDX = r"(?i)spdx-license-identifier\s*:"
+_PARAGRAPH = r"\n[^\p{L}\p{N}\n]*\n"
 
 
 def _terms(text):
     return F.regexp_extract_all(F.lower(text), F.lit(f"({TERM})"), F.lit(1))
 
 
+def _compared(passage):
+    return F.regexp_replace(F.regexp_replace(passage, _NOTICE, "Copyright $1"), _SPDX, "")
+
+
 def _weights(vectors: DataFrame, key: str, idf: DataFrame) -> DataFrame:
     """key, term, weight / norm."""
     tf = vectors.groupBy(key, "term").agg(F.count("*").alias("tf"))
@@ -56,13 +128,14 @@ def _weights(vectors: DataFrame, key: str, idf: DataFrame) -> DataFrame:
     return w.withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))).select(key, "term", "w")
 
 
-def matches(passages: DataFrame) -> DataFrame:
-    """passage, licence and score of the distinct passages that reach LEAST."""
+def matches(passages: DataFrame, whole: bool = True) -> DataFrame:
+    """passage, licence and score of the distinct passages that reach LEAST by some form, or without whole by the template."""
     spark = passages.sparkSession
     distinct = staged(passages.select("passage").distinct(), "passages")
     n = distinct.count()
-    # The templates are constants of this module: a few hundred rows.
-    templates = spark.createDataFrame(sorted(TEMPLATES.items()), "licence string, text string").select("licence", F.explode(_terms(F.col("text"))).alias("term"))
+    # The forms are constants of this module: some thousand rows.
+    forms = [((k, i), t) for k, texts in sorted(FORMS.items()) for i, t in enumerate(texts if whole else texts[:1])]
+    templates = spark.createDataFrame(forms, "form struct<licence: string, k: int>, text string").select("form", F.explode(_terms(F.col("text"))).alias("term"))
     known = F.broadcast(templates.select("term").distinct())
     terms = distinct.select("passage", F.explode(_terms(F.col("passage"))).alias("term"))
     df = terms.distinct().groupBy("term").agg(F.count("*").alias("df"))
@@ -70,27 +143,37 @@ def matches(passages: DataFrame) -> DataFrame:
     idf_all = df.select("term", value.alias("idf"))
     idf_known = known.join(df, "term", "left").select("term", value.alias("idf"))
     ours = _weights(terms, "passage", idf_all)
-    theirs = F.broadcast(_weights(templates, "licence", idf_known).withColumnRenamed("w", "v"))
-    cosine = ours.join(theirs, "term").groupBy("passage", "licence").agg(F.round(F.sum(F.col("w") * F.col("v")), 6).alias("score"))
-    best = cosine.groupBy("passage").agg(F.min(F.struct((-F.col("score")).alias("less"), "licence")).alias("best"))
+    theirs = F.broadcast(_weights(templates, "form", idf_known).withColumnRenamed("w", "v"))
+    cosine = ours.join(theirs, "term").groupBy("passage", "form").agg(F.round(F.sum(F.col("w") * F.col("v")), 6).alias("score"))
+    best = cosine.groupBy("passage").agg(F.min(F.struct((-F.col("score")).alias("less"), F.col("form.licence").alias("licence"))).alias("best"))
     return best.select("passage", F.col("best.licence").alias("licence"), (-F.col("best.less")).alias("score")).where(F.col("score") >= LEAST)
 
 
-def scan(files: DataFrame) -> DataFrame:
-    """file_id, path, licence, score, source (`own`, `inherited` or `none`) and found_in of every file; files has file_id, path and text."""
+def scan(files: DataFrame, whole: bool = True) -> DataFrame:
+    """file_id, path, licence, score, source (`own`, `inherited` or `none`) and found_in of every file; files has file_id, path and text.
+
+    Without whole, only lines (of licence files, the text) are compared, and only to TEMPLATES."""
     rows = files.select("file_id", F.coalesce("path", F.lit("")).alias("path"), F.col("text").cast("string").alias("text"))
     named = F.col("path").rlike(LICENCE_FILE)
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(CUE))
     passages = F.transform(F.when(named, F.array("text")).otherwise(lines), F.trim)
-    mostly = F.aggregate("passages", F.lit(0), lambda n, x: n + F.length(x)) * 2 >= F.length("text")
-    kept = F.filter(passages, lambda x: F.length(x) > 0)
+    mostly = F.aggregate("plain", F.lit(0), lambda n, x: n + F.length(x)) * 2 >= F.length("text")
+    none = F.array().cast("array<string>")
+    plain = F.coalesce(F.filter(passages, lambda x: F.length(x) > 0), none)
     dir_of = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
-    rows = rows.withColumn("named", named).withColumn("passages", F.coalesce(kept, F.array().cast("array<string>")))
-    is_file = F.col("named") | (F.size("passages") > 0) & mostly
+    rows = rows.withColumn("named", named).withColumn("plain", plain)
+    compared = F.col("plain")
+    if whole:
+        blocks = F.filter(F.split("text", _PARAGRAPH), lambda x: x.rlike(CUE))
+        blocks = F.coalesce(F.when(F.col("named"), F.slice(blocks, 1, 1)).otherwise(blocks), none)
+        compared = F.filter(F.array_distinct(F.transform(F.concat("plain", blocks), lambda x: F.trim(_compared(x)))), lambda x: F.length(x) > 0)
+    rows = rows.withColumn("passages", compared)
+    is_file = F.col("named") | (F.size("plain") > 0) & mostly
     read = staged(rows.select("file_id", "path", dir_of.alias("dir"), is_file.alias("is_file"), "passages"), "licence-lines")
 
     each = read.select("file_id", "path", "dir", "is_file", F.explode("passages").alias("passage"))
-    found = each.join(matches(each), "passage").groupBy("file_id", "path", "dir", "is_file").agg(F.min(F.struct((-F.col("score")).alias("less"), "licence")).alias("best"))
+    weak = (F.col("licence") == "Proprietary") & F.lit(whole)
+    found = each.join(matches(each, whole), "passage").groupBy("file_id", "path", "dir", "is_file").agg(F.min(F.struct(weak.alias("weak"), (-F.col("score")).alias("less"), "licence")).alias("best"))
     own = staged(found.select("file_id", "path", "dir", "is_file", F.col("best.licence").alias("licence"), (-F.col("best.less")).alias("score")), "own-licences")
 
     votes = own.where("is_file").groupBy("dir", "licence").agg(F.count("*").alias("n"))
@@ -118,4 +201,4 @@ def as_files(documents: DataFrame) -> DataFrame:
 
 
 def op3_license_scan(spark, sf_dir: str) -> DataFrame:
-    return scan(as_files(table(spark, sf_dir, "documents"))).withColumnRenamed("file_id", "doc_id")
+    return scan(as_files(table(spark, sf_dir, "documents")), whole=False).withColumnRenamed("file_id", "doc_id")

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -159,6 +160,31 @@ def test_licences(spark, nothing):
         assert best["licence"] == k and best["score"] == pytest.approx(1, abs=1e-5)
 
 
+def test_licences_as_they_are_written(spark, sf_dir):
+    gpl = "it under the terms of the GNU General Public License as published by"
+    mit = licenses.FORMS["MIT"][-1].replace("MIT License Copyright", "MIT License\n\nCopyright (c) 2020 Jane Doe\n\n").replace(". ", ".\n")
+    bsd = licenses.FORMS["BSD-3-Clause"][-2].replace("Copyright Redis", "Copyright (c) 1990 The Regents. All rights reserved.\n\nRedis")
+    want = {
+        "All rights reserved.": "Proprietary", "# Copyright 2020 Example Inc. All rights reserved.": "Proprietary", "Copyright (c) 2020 Jane Doe": None,
+        "MIT License": "MIT", "// SPDX-License-Identifier: MIT": "MIT", "# SPDX-License-Identifier: Apache-2.0": "Apache-2.0", "/* SPDX-License-Identifier: GPL-3.0-or-later */": "GPL-3.0", "SPDX-License-Identifier: Foo-1.0": None,
+        "Licensed under CC BY 4.0.": "CC-BY-4.0", "Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0",
+        f"import x\n\n# This program is free software: you can redistribute it and/or modify\n# {gpl}\n# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version.\n\nx()": "GPL-3.0",
+        mit: "MIT", bsd: "BSD-3-Clause",
+    }
+    rows = [(i, f"{i}/x.txt", t) for i, t in enumerate(want)]
+    named = {"MIT": mit, "BSD-3-Clause": bsd}
+    for k, file in {"GPL-3.0": "GPL-3", "GPL-2.0": "GPL-2", "LGPL-3.0": "LGPL-3", "Apache-2.0": "Apache-2.0", "MPL-2.0": "MPL-2.0", "CC0-1.0": "CC0-1.0"}.items():
+        if (path := Path("/usr/share/common-licenses") / file).exists():
+            named[k] = path.read_text()
+    rows += [(100 + i, f"n{i}/LICENSE", t) for i, t in enumerate(named.values())] + [(200 + i, f"n{i}/x.py", "x") for i in range(len(named))]
+    got = {r["file_id"]: r["licence"] for r in licenses.scan(spark.createDataFrame(rows, "file_id long, path string, text string")).collect()}
+    assert [got[i] for i in range(len(want))] == list(want.values())
+    assert [got[100 + i] for i in range(len(named))] == [got[200 + i] for i in range(len(named))] == list(named)
+    docs = table(spark, sf_dir, "documents")
+    cued = {r["doc_id"] for r in docs.where(F.col("text").rlike(licenses.CUE)).select("doc_id").collect()}
+    assert cued <= {r["file_id"] for r in licenses.scan(licenses.as_files(docs)).where("source = 'own'").collect()}
+
+
 # ---- 4: languages
 
 
