@@ -11,7 +11,8 @@ The trees are fitted on TRAIN_PAGES pages that this module composes (a bounded s
 the same in every run): articles in various wrappers among menus, headers, adverts, notices, forms, sidebars,
 comments and footers. Nothing of the table to be extracted is used for fitting.
 
-Defined cases: null, empty and text-free pages give the empty string; broken markup is parsed as far as it
+Defined cases: null, empty and text-free pages give the empty string; text outside every block element counts
+as text of the body, whose tags may be missing, and a byte order mark isn't text; broken markup is parsed as far as it
 goes; equal rows give equal results; empty tables give no rows; other columns are ignored.
 """
 
@@ -87,7 +88,7 @@ class Node:
 def parse(page: str) -> list[Node]:
     """The block elements in page order, the root first. Text hangs on the block element around it."""
     nodes = [Node("#root", -1, 0)]
-    stack, at, n, anchors, block = [0], 0, len(page), 0, 0
+    stack, at, n, anchors, block = [0], int(page.startswith("\ufeff")), len(page), 0, 0
     seen_text = 0
 
     def add(raw: str) -> None:
@@ -106,7 +107,7 @@ def parse(page: str) -> list[Node]:
         if m is None:
             # A tag that never ends isn't text.
             rest = page[at:]
-            cut = re.search(r"<[a-zA-Z/!]", rest)
+            cut = re.search(r"<(?:[a-zA-Z/!]|\Z)", rest)
             rest = rest[: cut.start()] if cut else rest
             if rest:
                 add(rest)
@@ -291,7 +292,7 @@ def text_of(nodes: list[Node], kept: np.ndarray) -> str:
     """The kept text: blocks in page order, white space inside a block made one space."""
     runs: dict[int, list[str]] = {}
     for node, keep in zip(nodes, kept):
-        if keep and node.parent >= 0:
+        if keep:
             for text, block in node.text:
                 runs.setdefault(block, []).append(text)
     blocks = (" ".join("".join(runs[b]).split()) for b in sorted(runs))

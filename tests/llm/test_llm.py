@@ -293,6 +293,14 @@ def test_html_cases(spark):
     assert html_text.extracted(df.where("false")).count() == 0
 
 
+def test_html_without_body():
+    bare = ["Words <b>of</b> a text.<br>More.", "\ufeffIntro text<p hidden></p>", "<html><body><p></p></body></html>bare", "\ufeff<!DOCTYPE html>\n<html><body></body></html>\n", "<title>t</title>"]
+    assert html_text.extract(bare, html_text.trained()) == ["Words of a text. More.", "Intro text", "bare", "", ""]
+    text = "Intro text, of some length. <p>" + "A sentence of the article, and more of it. " * 20 + "</p>"
+    one, two = html_text.extract([text, f"<html><body>{text}</body></html>"], html_text.trained())
+    assert one.startswith("Intro text, of some length.") and two.startswith("Intro text, of some length.")
+
+
 def test_html_composed_pages_and_hierarchy():
     forest, wrong = html_text.trained(), 0
     pages = html_text.composed(4242)
