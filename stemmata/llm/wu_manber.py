@@ -6,20 +6,22 @@ Patterns of one length form one search table: a shift for each two-word block sa
 can be skipped, a block with shift 0 selects a bucket of patterns, and comparing words confirms.
 
 Defined cases: a null or wordless text has no words and is clean; an item without words has no window;
-equal windows of several items credit each of them; other columns of either table are ignored.
+equal windows of several items credit each of them; other columns of either table are ignored. Each row of
+documents is judged by itself, whatever the size of the benchmark: doc_id may be null or repeated.
 """
 
 from __future__ import annotations
 
 import hashlib
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, text_bytes
+from .common import arrow_batches, staged, text_bytes
 
 WINDOW = 13
 #: Patterns that one pass keeps in a worker's memory; more are searched in further blocks.
@@ -102,14 +104,30 @@ def _blocks(benchmark: DataFrame, limit: int) -> Iterator[list[tuple[int, bytes]
     yield block
 
 
+def _numbered(documents: DataFrame, name: str) -> DataFrame:
+    """The documents with a number of each row as __row, written once so that it stays the same in every later read."""
+    return staged(documents.withColumn("__row", F.monotonically_increasing_id()), name)
+
+
 def find(documents: DataFrame, benchmark: DataFrame, width: int = WINDOW, pattern_bytes: int = PATTERN_BYTES) -> DataFrame:
     """doc_id, n_words, starts and ends (of the maximal hit runs, in words) and items (ids of the items found) of every document."""
-    spark = documents.sparkSession
-    arrow_batches(spark)
+    blocks = _blocks(benchmark, pattern_bytes // 16)
+    first, second = next(blocks), next(blocks, None)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    if second is None:
+        return _searched(docs, [first], width)
+    docs = _numbered(docs, "documents")
+    found = _searched(docs.select(F.col("__row").alias("doc_id"), "text"), chain([first, second], blocks), width).withColumnRenamed("doc_id", "__row")
+    return found.join(docs.select("__row", "doc_id"), "__row").select("doc_id", "n_words", "starts", "ends", "items")
+
+
+def _searched(docs: DataFrame, blocks: Iterable[list[tuple[int, bytes]]], width: int) -> DataFrame:
+    """find() for docs of doc_id and text; with more than one block, doc_id has to be unique and not null."""
+    spark = docs.sparkSession
+    arrow_batches(spark)
     schema = "doc_id long, n_words long, starts array<int>, ends array<int>, items array<long>"
     parts = []
-    for block in _blocks(benchmark, pattern_bytes // 16):
+    for block in blocks:
         shared = spark.sparkContext.broadcast(windows(block, width))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -167,8 +185,10 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     arrow_batches(spark)
     blocks = list(_blocks(benchmark, PATTERN_BYTES // 16))
     if len(blocks) > 1:
-        bad = judged(find(documents, benchmark)).where("contaminated").select("doc_id")
-        return documents.join(bad, "doc_id", "left_anti").select(*documents.columns)
+        rows = _numbered(documents, "documents")
+        docs = rows.select(F.col("__row").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        bad = judged(_searched(docs, blocks, WINDOW)).where("contaminated").select(F.col("doc_id").alias("__row"))
+        return rows.join(bad, "__row", "left_anti").select(*documents.columns)
     shared = spark.sparkContext.broadcast(windows(blocks[0]))
     at = documents.columns.index("text")
 

@@ -427,6 +427,21 @@ def test_contamination(spark, odd, nothing, bench):
     assert wu_manber.clean_documents(df, bench).columns == df.columns
 
 
+def test_contamination_by_row_with_any_benchmark_size(spark, monkeypatch):
+    r = random.Random(4)
+    items = [(i, words(r, 20)) for i in range(6)]
+    texts = [(1, items[0][1]), (1, words(r, 30)), (1, items[1][1] + " " + words(r, 9)), (None, items[2][1]), (None, words(r, 40)), (None, items[3][1] + " " + items[4][1]), (2, None), (3, items[5][1]), (3, items[5][1])]
+    docs, bench = frame(spark, texts), spark.createDataFrame(items, "item_id long, text string")
+    want = wu_manber.brute_force(texts, items)
+    rows = lambda x: sorted((str(i), n, h, k, bad) for i, n, h, k, bad in x)
+    for pattern_bytes in (16, wu_manber.PATTERN_BYTES):
+        found = wu_manber.judged(wu_manber.find(docs, bench, pattern_bytes=pattern_bytes)).withColumn("n_items", F.size("items"))
+        assert rows(found.select("doc_id", "n_words", "n_hit", "n_items", "contaminated").collect()) == rows((i, n, h, k, bad) for i, n, h, k, _, bad in want)
+        monkeypatch.setattr(wu_manber, "PATTERN_BYTES", pattern_bytes)
+        clean = [(x["doc_id"], x["text"]) for x in wu_manber.clean_documents(docs, bench).collect()]
+        assert sorted(clean, key=str) == sorted((x for x, y in zip(texts, want) if not y[5]), key=str)
+
+
 def test_search_against_brute_force():
     r = random.Random(8)
     for _ in range(60):
