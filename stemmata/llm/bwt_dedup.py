@@ -19,7 +19,8 @@ earlier in the same document. Matches stay inside documents and are judged on th
 Keys are hashes of 64 bits and whole segments are compared by a further 64 bits; at the edges bytes are compared.
 
 Defined cases: null and empty texts have no bytes; texts under 100 bytes lose nothing; rows with equal doc_id
-and text count as one document; empty tables give no rows; extra columns are ignored, those of the same name
+and text count as one document; a row with a null doc_id has no place in the order of ids, so it loses nothing and
+isn't an earlier occurrence for others; empty tables give no rows; extra columns are ignored, those of the same name
 as results give way.
 """
 
@@ -388,8 +389,21 @@ def cut(text: bytes, places: list[tuple[int, int]]) -> tuple[bytes, list[tuple[i
     return b"".join([*kept, text[last:]]), [(a, b) for a, b in spans]
 
 
-def deduplicated(documents: DataFrame) -> DataFrame:
-    """All columns of the documents, with n_bytes, n_removed, starts and ends of the removed spans, and the kept bytes."""
+def characters(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The text without the spans and without the characters that a border of a span halves."""
+    kept, last = [], 0
+    for a, b in spans:
+        while last < a < len(text) and text[a] & 0xC0 == 0x80:
+            a -= 1
+        kept.append(text[last:a])
+        while b < len(text) and text[b] & 0xC0 == 0x80:
+            b += 1
+        last = b
+    return b"".join([*kept, text[last:]])
+
+
+def deduplicated(documents: DataFrame, whole_characters: bool = False) -> DataFrame:
+    """All columns of the documents, with n_bytes, n_removed, starts and ends of the removed spans, and the kept bytes (or characters)."""
     spark = documents.sparkSession
     arrow_batches(spark)
     total, n = documents.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)), F.count("*")).first()
@@ -423,6 +437,8 @@ def deduplicated(documents: DataFrame) -> DataFrame:
             done = [cut(t, [(p["at"], p["n"]) for p in places or ()]) for t, places in zip(texts, batch.column(len(own)).to_pylist())]
             size = np.array([len(t) for t in texts], np.int64)
             left = np.array([len(k) for k, _ in done], np.int64)
+            if whole_characters:
+                done = [(characters(t, spans), spans) for t, (_, spans) in zip(texts, done)]
             columns = [pa.array(size), pa.array(size - left), *[pa.array([[s[k] for s in spans] for _, spans in done], pa.list_(pa.int32())) for k in (0, 1)], pa.array([k for k, _ in done], pa.binary())]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=out.names)
 
@@ -436,10 +452,9 @@ def op5_bwt_dedup(spark, sf_dir: str) -> DataFrame:
 
 def without_repeats(documents: DataFrame) -> DataFrame:
     """The documents with repeated strings cut out of their texts; those that lose all their bytes go."""
-    out = deduplicated(documents)
     # A cut can fall inside a character; what is left of it goes too.
+    out = deduplicated(documents, whole_characters=True)
     text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.make_valid_utf8(F.col("kept").cast("string")))
-    text = F.when(F.col("n_removed") == 0, text).otherwise(F.regexp_replace(text, "�", ""))
     out = out.where("n_removed = 0 or n_removed < n_bytes").withColumn("text", text)
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(documents.schema["n_chars"].dataType))

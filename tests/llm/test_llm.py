@@ -246,6 +246,17 @@ def test_dedup_random_overlaps(spark, seed):
     assert got == want5(texts)
 
 
+def test_cuts_halve_no_character_and_leave_others(spark):
+    r = random.Random(6)
+    same = "".join(r.choices("abcdefgh ", k=150))
+    # é and è begin with the same byte, é and ũ end with the same.
+    texts = [(1, "é" + same + "é"), (2, "\ufffdown\ufffd ũ" + same + "è \ufffdend"), (3, "plain \ufffd"), (None, same + "\ufffd"), (None, same)]
+    got = sorted((str(x["doc_id"]), x["text"], x["n_chars"]) for x in bwt_dedup.without_repeats(frame(spark, texts)).collect())
+    want = [*texts[:1], (2, "\ufffdown\ufffd  \ufffdend"), *texts[2:]]
+    assert got == sorted((str(i), t, len(t)) for i, t in want)
+    assert bwt_dedup.characters("é日本".encode(), [(1, 3)]) == "本".encode() and bwt_dedup.characters("日あ".encode(), [(1, 4)]) == b""
+
+
 def test_transform_merge_and_inverse():
     r = random.Random(1)
     base = [bytes(r.choices(b"abc ", k=150)) for _ in range(30)]
