@@ -38,8 +38,10 @@ LANDMARKS = 128
 VOCABULARY = 6000
 RIDGE = 1e-2
 SHARPNESS = 6.0
-#: Below this score the pipeline's stage takes a document for no language.
+#: The pipeline's stage takes a document for no language if its best value stands out from the mean of the others by
+#: less than gives this score among four languages; that doesn't depend on how many languages there are.
 REJECT_BELOW = 0.3
+LEAST_MARGIN = float(np.log(3 * REJECT_BELOW / (1 - REJECT_BELOW)) / (SHARPNESS / 2))
 
 _FOLD = np.full(256, 0x20, np.uint8)
 for _c in range(26):
@@ -159,23 +161,32 @@ def training_rows(documents: DataFrame, learnable: Column, per_language: int = P
     return [(lang, text.encode()) for lang in sorted(found) for _, text in sorted(found[lang])[:per_language]]
 
 
-def predictions(texts: list[str | None], scorer: Scorer | None) -> tuple[list[str], np.ndarray]:
+def margins(raw: np.ndarray) -> np.ndarray:
+    """How far the best one-versus-rest value lies above the mean of the others; of one language, above -1."""
+    best, n = raw.max(1), raw.shape[1]
+    return best - (raw.sum(1) - best) / (n - 1) if n > 1 else best + 1
+
+
+def predictions(texts: list[str | None], scorer: Scorer | None, by_margin: bool = False) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text; by_margin, the margin in place of the score."""
     langs, score = ["und"] * len(texts), np.zeros(len(texts))
     if scorer is None:
         return langs, score
     use = [i for i, t in enumerate(texts) if has_letter(t)]
     for lo in range(0, len(use), 256):
         part = use[lo : lo + 256]
-        raw = scorer.scores([texts[i].encode() for i in part]).astype(np.float64) * SHARPNESS / 2
-        odds = np.exp(raw - raw.max(1, keepdims=True))
+        raw = scorer.scores([texts[i].encode() for i in part]).astype(np.float64)
+        sharp = raw * SHARPNESS / 2
+        odds = np.exp(sharp - sharp.max(1, keepdims=True))
         odds /= odds.sum(1, keepdims=True)
-        for i, k, s in zip(part, odds.argmax(1).tolist(), odds.max(1).tolist()):
+        value = margins(raw) if by_margin else np.clip(odds.max(1), 0, 1)
+        for i, k, s in zip(part, odds.argmax(1).tolist(), value.tolist()):
             langs[i], score[i] = scorer.model.langs[k], s
-    return langs, np.clip(score, 0, 1)
+    return langs, score
 
 
-def predict(documents: DataFrame, model: Model | None, keep: list[str], names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
-    """The columns named in keep, and language and score of every document under the names given."""
+def predict(documents: DataFrame, model: Model | None, keep: list[str], names: tuple[str, str] = ("lang_pred", "score"), by_margin: bool = False) -> DataFrame:
+    """The columns named in keep, and language and score (or margin) of every document under the names given."""
     spark = documents.sparkSession
     arrow_batches(spark)
     shared = spark.sparkContext.broadcast(model)
@@ -184,7 +195,7 @@ def predict(documents: DataFrame, model: Model | None, keep: list[str], names: t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(shared.value) if shared.value is not None else None
         for batch in batches:
-            langs, score = predictions(batch.column(len(keep)).to_pylist(), scorer)
+            langs, score = predictions(batch.column(len(keep)).to_pylist(), scorer, by_margin)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(langs, pa.string()), pa.array(score, pa.float64())], names=[*keep, *names])
 
     schema = rows.drop("__text").withColumn(names[0], F.lit("")).withColumn(names[1], F.lit(0.0)).schema
@@ -200,5 +211,5 @@ def op4_language_id(spark, sf_dir: str) -> DataFrame:
 def in_a_language(documents: DataFrame) -> DataFrame:
     """The documents that are in some language, with all their columns."""
     model = fit(training_rows(documents, ~held_out()))
-    said = predict(documents, model, documents.columns, ("__lang_pred", "__score"))
-    return said.where((F.col("__lang_pred") != "und") & (F.col("__score") >= REJECT_BELOW)).select(*documents.columns)
+    said = predict(documents, model, documents.columns, ("__lang_pred", "__margin"), by_margin=True)
+    return said.where((F.col("__lang_pred") != "und") & (F.col("__margin") >= LEAST_MARGIN)).select(*documents.columns)

@@ -211,6 +211,19 @@ def test_language_without_labels(spark, nothing):
     assert langid.in_a_language(df).count() == 0 and langid.predict(nothing, None, ["doc_id"]).count() == 0
 
 
+@pytest.mark.parametrize("n", [1, 2, 4, 200])
+def test_rejection_whatever_the_number_of_languages(n):
+    class Fixed:
+        model = langid.Model([str(k) for k in range(n)], [], None, None, None)
+
+        def scores(self, texts):
+            return np.array([[float(t.split()[1])] + [-1.0] * (n - 1) for t in texts])
+
+    langs, margin = langid.predictions(["a 1.0", "a 0.5", "a -0.2", "a -0.95", None], Fixed(), by_margin=True)
+    assert langs == ["0"] * 4 + ["und"] and margin[:4] == pytest.approx([2, 1.5, 0.8, 0.05])
+    assert list(margin >= langid.LEAST_MARGIN) == [True] * 3 + [False] * 2
+
+
 def test_kernel_is_shared_presence():
     model = langid.fit([("a", b"abab abc"), ("a", b"abba"), ("b", b"xyzx"), ("b", b"xyy z")] * 3)
     scorer = langid.Scorer(model)
