@@ -519,3 +519,31 @@ def test_pipeline(spark, sf_dir):
     lib = library()
     whole = [i for i in out if cut[i][1] == 0]
     assert all(out[i] == len(lib.encode(left[i], add_special_tokens=False).ids) for i in whole)
+
+
+def test_pipeline_exactly(spark, sf_dir):
+    import corpus_pipeline
+
+    docs = table(spark, sf_dir, "documents")
+    left = {r["doc_id"]: r["text"] for r in corpus_pipeline.in_a_language(spark, docs, sf_dir).collect()}
+    left = {i: left[i] for i, (_, c) in ngram_join.brute_force(list(left.items())).items() if c == i}
+    seen, cut = set(), {}
+    for i, text in sorted(left.items()):
+        data = text.encode()
+        hit = np.zeros(len(data), bool)
+        for k in range(len(data) - bwt_dedup.WIDTH + 1):
+            w = data[k : k + bwt_dedup.WIDTH]
+            if w in seen:
+                hit[k : k + bwt_dedup.WIDTH] = True
+            seen.add(w)
+        if not (len(data) and hit.all()):
+            ends = np.cumsum([0] + [len(c.encode()) for c in text])
+            cut[i] = "".join(c for c, a, b in zip(text, ends[:-1], ends[1:]) if not hit[a:b].any())
+    bench = [(r["item_id"], r["text"]) for r in table(spark, sf_dir, "benchmark").collect()]
+    bad = {r[0] for r in wu_manber.brute_force(list(cut.items()), bench) if r[5]}
+    lib, want = library(), {}
+    for i in cut.keys() - bad:
+        ids = lib.encode(cut[i], add_special_tokens=False).ids
+        want[i] = (len(ids), hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest(), hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest())
+    got = {r["doc_id"]: (r["n_tokens"], r["ids_sha256"], r["decoded_sha256"]) for r in corpus_pipeline.run(spark, sf_dir).collect()}
+    assert got == want and bad and any(cut[i] != left[i] for i in cut)
