@@ -1,4 +1,4 @@
-"""Removal of repeated byte strings by merged Burrows-Wheeler transforms.
+"""Removal of repeated byte strings by hashes of segments, and by sorting the windows of Burrows-Wheeler shards.
 
 A byte goes if a string of 100 bytes that covers it also starts earlier: in a document with a smaller id, or
 earlier in the same document. Matches stay inside documents and are judged on the input.
@@ -10,10 +10,10 @@ earlier in the same document. Matches stay inside documents and are judged on th
 2. What is left are keys with segments that differ somewhere: the edges of matches. Their bytes are fetched once
    for each distinct segment, and each task builds, for each bucket of keys, the Burrows-Wheeler transform of its
    segments as a shard.
-3. A bucket's shards are merged by iterative interleave refinement: the transforms are inverted to suffix places,
-   and the interleave of all suffixes is refined by steps of 8 bytes, each a stable distribution of the interleave
-   so far by the bytes in front of it; places where it parts are the common prefixes. Suffixes that are alone drop out.
-   Intervals that still hold together at depth 100 are the repeated strings; all but each one's first place repeat.
+3. A bucket's shards are inverted to text, and the windows of all shards are radix-sorted together by steps of 8 bytes,
+   from the last to the first. The order inside the shards isn't used, and no common prefixes are made. Windows that are
+   alone at some step drop out; blocks that still hold together at depth 100 are the repeated strings; all but each
+   one's first place repeat.
 4. The places are grouped by document, and the covered bytes removed.
 
 Keys are hashes of 64 bits and whole segments are compared by a further 64 bits; at the edges bytes are compared.
