@@ -242,8 +242,8 @@ def want5(texts):
 def test_dedup_odd(spark, odd, nothing):
     df, texts = odd
     out = bwt_dedup.deduplicated(df)
-    assert "key" in out.columns and out.columns.count("kept") == 1
-    got = {(r["doc_id"], r["n_bytes"], r["n_removed"], len(r["starts"]), hashlib.sha256(bytes(r["kept"])).hexdigest()) for r in out.collect()}
+    assert out.columns[: len(df.columns)] == df.columns and {r["kept"] for r in out.collect()} == {"clash"}
+    got = {(r["doc_id"], r["__n_bytes"], r["__n_removed"], len(r["__starts"]), hashlib.sha256(bytes(r["__kept"])).hexdigest()) for r in out.collect()}
     assert got == {(i, *v) for i, v in want5(texts).items()} and out.count() == len(texts)
     assert bwt_dedup.deduplicated(nothing).count() == 0
     assert bwt_dedup.without_repeats(df).columns == df.columns
@@ -255,7 +255,7 @@ def test_dedup_random_overlaps(spark, seed):
     pool = ["".join(r.choices("abc é\n", k=r.randint(60, 400))) for _ in range(12)]
     texts = [(i * 3, "".join(p[r.randint(0, 30) : len(p) - r.randint(0, 30)] if r.random() < 0.8 else words(r, 20) for p in r.choices(pool, k=r.randint(1, 5)))) for i in range(60)]
     r.shuffle(texts)
-    got = {x["doc_id"]: (x["n_bytes"], x["n_removed"], len(x["starts"]), hashlib.sha256(bytes(x["kept"])).hexdigest()) for x in bwt_dedup.deduplicated(frame(spark, texts)).collect()}
+    got = {x["doc_id"]: (x["__n_bytes"], x["__n_removed"], len(x["__starts"]), hashlib.sha256(bytes(x["__kept"])).hexdigest()) for x in bwt_dedup.deduplicated(frame(spark, texts)).collect()}
     assert got == want5(texts)
 
 
@@ -270,26 +270,80 @@ def test_cuts_halve_no_character_and_leave_others(spark):
     assert bwt_dedup.characters("é日本".encode(), [(1, 3)]) == "本".encode() and bwt_dedup.characters("日あ".encode(), [(1, 4)]) == b""
 
 
-def test_transform_merge_and_inverse():
-    r = random.Random(1)
+def strings5(seed):
+    r = random.Random(seed)
     base = [bytes(r.choices(b"abc ", k=150)) for _ in range(30)]
-    strings = [x[: 100 + r.randint(0, 50)] for x in base for _ in range(3)] + [x[r.randint(0, 40) :] for x in base]
-    suffixes = sorted((s[i:], j, i) for j, s in enumerate(strings) for i in range(len(s) + 1))
-    assert bwt_dedup.transform(strings) == bytes(strings[j][i - 1] + 1 if i else 0 for _, j, i in suffixes)
+    return [x[: 100 + r.randint(0, 50)] for x in base for _ in range(3)] + [x[r.randint(0, 40) :] for x in base] + [b"ab" * 80, b"a" * 140]
+
+
+def intervals5(shards, strings, several):
+    found = {}
+    for j, i, q in zip(*(x.tolist() for x in bwt_dedup.merged(shards, np.array([len(x) for x in strings]), several))):
+        found.setdefault(q, []).append((j, i))
+    return sorted(map(sorted, found.values()))
+
+
+def test_transform_sorts_suffixes_and_steps_by_its_letters():
+    strings = strings5(1)
+    codes, places = bwt_dedup.transform(strings)
+    flat = b"\0".join(bytes(c + 1 for c in s) for s in strings) + b"\0"
+    at = sorted((s[i:], j, sum(len(x) + 1 for x in strings[:j]) + i) for j, s in enumerate(strings) for i in range(len(s) + 1))
+    assert places.tolist() == [p for _, _, p in at]
+    assert codes.tolist() == [flat[p - 2] << 8 | flat[p - 1] for p in places.tolist()]
+    step = bwt_dedup.steps(codes)
+    inside = [(r, p) for r, p in enumerate(places.tolist()) if 0 not in flat[max(0, p - 2) : p] and p >= 2]
+    assert all(places[step[r]] == p - 2 for r, p in inside)
+
+
+def test_merge_of_transforms_decides():
+    strings = strings5(2)
     parts = [strings[k::3] for k in range(3)]
-    shards = [(bwt_dedup.transform(p), np.array([len(x) for x in p])) for p in parts]
-    _, letters, begin = bwt_dedup.inverted(shards)
     flat = [x for p in parts for x in p]
-    assert [bytes(letters[a : a + len(x)] - 1) for a, x in zip(begin, flat)] == flat
-    order, block, begin = bwt_dedup.refined(shards)
-    found, want = {}, {}
-    for q, p in zip(block.tolist(), order.tolist()):
-        j = int(np.searchsorted(begin, p, "right")) - 1
-        found.setdefault(q, []).append((j, p - int(begin[j])))
+    shards = [bwt_dedup.transform(p) for p in parts]
+    want = {}
     for j, x in enumerate(flat):
         for i in range(len(x) - 99):
             want.setdefault(x[i : i + 100], []).append((j, i))
-    assert sorted(map(sorted, found.values())) == sorted(sorted(v) for v in want.values() if len(v) > 1)
+    few = np.zeros(len(flat), bool)
+    assert intervals5(shards, flat, few) == sorted(sorted(v) for v in want.values() if len(v) > 1)
+    some = np.arange(len(flat)) % 4 == 0
+    assert intervals5(shards, flat, some) == sorted(sorted(v) for v in want.values() if len(v) > 1 or some[v[0][0]])
+    # The order of the transforms' rows, their letters and the LF steps all bear on the result.
+    turn = np.random.default_rng(1).permutation(len(shards[0][0]))
+    for wrong in ((shards[0][0][turn], shards[0][1][turn]), (shards[0][0][turn], shards[0][1]), (shards[0][0], shards[0][1][turn])):
+        assert intervals5([wrong, *shards[1:]], flat, few) != intervals5(shards, flat, few)
+    alone = [q for k, p in enumerate(parts) for q in intervals5([shards[k]], p, np.zeros(len(p), bool))]
+    assert len(alone) != len(intervals5(shards, flat, few))
+
+
+def test_hot_anchor_is_dealt_out(monkeypatch):
+    r = random.Random(8)
+    passage = bytes(r.choices(b"abcdefgh ", k=130))
+    texts = [bytes(r.choices(b"xyz ", k=60)) + passage + bytes(r.choices(b"xyz ", k=60)) for _ in range(40)]
+    texts += texts[:5]
+    monkeypatch.setattr(bwt_dedup, "HOT_STRINGS", 7)
+    rows = bwt_dedup.segments(*bwt_dedup.packed(texts), np.arange(45))
+    strings, several, later = bwt_dedup.settle(rows)
+    assert not set(strings["key"].tolist()) <= set(rows["key"].tolist())
+    places = {i: [] for i in range(45)}
+    for key in set(strings["key"].tolist()):
+        mine = strings[strings["key"] == key]
+        named = np.zeros(len(mine), bwt_dedup._STRING)
+        named["doc"], named["at"], named["n"] = mine["doc"], mine["at"], mine["n"] + 256 * several[strings["key"] == key].astype(int)
+        of = [texts[s["doc"]][s["at"] : s["at"] + s["n"] + 99] for s in mine]
+        for doc, at, n in zip(*(x.tolist() for x in bwt_dedup.repeated(named, of, later[later["key"] == key]))):
+            places[doc].append((at, n))
+    want = bwt_dedup.brute_force(list(enumerate(texts)))
+    assert {i: hashlib.sha256(bwt_dedup.cut(texts[i], places[i])[0]).hexdigest() for i in places} == {i: v[3] for i, v in want.items()}
+
+
+def test_dedup_by_row_not_by_id(spark):
+    r = random.Random(9)
+    a, b = words(r, 60), words(r, 60)
+    got = sorted((x["doc_id"], x["text"], x["__n_removed"], x["kept"]) for x in bwt_dedup.deduplicated(frame(spark, [(1, a), (1, b), (2, a), (3, b[50:])]).withColumn("kept", F.lit("mine"))).collect())
+    assert got == sorted([(1, a, 0, "mine"), (1, b, 0, "mine"), (2, a, len(a), "mine"), (3, b[50:], len(b) - 50, "mine")])
+    back = bwt_dedup.without_repeats(frame(spark, [(1, a), (2, a + b)]).withColumn("n_bytes", F.lit("mine"))).collect()
+    assert [(x["doc_id"], x["n_bytes"]) for x in back] == [(1, "mine"), (2, "mine")]
 
 
 # ---- 7: pages
