@@ -2,10 +2,13 @@
 
 A merge can only join bytes that stand side by side inside some vocabulary token. A byte pair that occurs
 in no token is therefore a certain cut: no token of any encoding spans it. The tokenizer's own word rule
-must not change at the cut either; that holds in front of an ASCII white-space byte, because its word rule
-starts a new piece there or, inside a run of white space, only divides a piece at a pair that never merges.
-Fragments between such cuts are encoded independently (each distinct one once, while it stays in a bounded
-cache) and their ids concatenated. Decoding concatenates the bytes of the ids and reads them as UTF-8.
+must not change at the cut either. It reads from left to right and looks ahead only behind white space and
+behind an apostrophe, so a cut between two characters is safe
+* in front of white space: a new piece starts there or, inside a run of white space, a piece is divided at a pair that never merges;
+* otherwise, unless the first is white space or an apostrophe, or the second an apostrophe behind anything but an ASCII letter
+  or digit: either both are of one class, and the run is divided at a pair that never merges, or a new piece starts there.
+Each fragment between such cuts is encoded on its own, and the ids are concatenated; a worker remembers fragments
+it has met within a bound of bytes. Decoding concatenates the bytes of the ids and reads them as UTF-8.
 
 Defined cases: a null text counts as empty and has no ids; the text of a special token becomes that token,
 as in the library; bytes that aren't UTF-8 after decoding become U+FFFD; other columns pass through.
@@ -14,6 +17,7 @@ as in the library; bytes that aren't UTF-8 after decoding become U+FFFD; other c
 from __future__ import annotations
 
 import json
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -25,8 +29,12 @@ from pyspark.sql import types as T
 
 from .common import ASCII_SPACE, arrow_batches, packed, slices, text_bytes, trimmed
 
-#: Fragments after which a worker starts a new generation of its cache; it keeps two.
-CACHE = 400_000
+#: Bytes of memory that the fragments which a worker remembers may take; then it starts anew.
+CACHE = 48 << 20
+#: What an entry takes beside its bytes, about.
+ENTRY = 200
+#: Last bytes of white space outside ASCII (fixed by Unicode: U+0085, U+00A0, U+1680, U+2000 to U+200A, U+2028, U+2029, U+202F, U+205F, U+3000).
+WHITE_ENDS = [0x80, 0x81, 0x82, 0x83, 0x84, 0x85, 0x86, 0x87, 0x88, 0x89, 0x8A, 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]
 #: Fixed value: the word rule of byte-level tokenizers.
 WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
@@ -38,6 +46,37 @@ def byte_letters() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def safe_pairs() -> np.ndarray:
+    """By byte pair (first << 8 | second): whether the word rule allows a cut there, whatever stands around it."""
+    space = np.zeros(256, bool)
+    space[list(ASCII_SPACE)] = True
+    first = ~space
+    first[[*WHITE_ENDS, ord("'")]] = False
+    # Not inside a character; the separators 1C to 1F are white space to some word rules.
+    first[0x1C:0x20] = False
+    second = np.ones(256, bool)
+    second[0x80:0xC0] = False
+    safe = first[:, None] & second
+    word = np.zeros(256, bool)
+    word[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+    safe[~word, ord("'")] = False
+    safe[:, space] = True
+    return safe.ravel()
+
+
+class Fragments(dict):
+    """Packed ids by fragment; one that is missing is encoded."""
+
+    def __init__(self, encode) -> None:
+        self.encode, self.size = encode, 0
+
+    def __missing__(self, fragment: bytes) -> bytes:
+        ids = self.encode(fragment)
+        self[fragment] = ids
+        self.size += len(fragment) + len(ids) + ENTRY
+        return ids
+
+
 class Codec:
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -60,18 +99,17 @@ class Codec:
         for i, piece in added.items():
             self.pieces[i] = piece
         self.added = list(added.values())
-        self.lengths = np.array([len(x) for x in self.pieces], np.int64)
-        self.space = np.zeros(256, bool)
-        self.space[list(ASCII_SPACE)] = True
+        for piece in self.added:
+            for a, b in zip(piece, piece[1:]):
+                inside[a << 8 | b] = True
         pre = spec.get("pre_tokenizer") or {}
         plain = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not spec.get("normalizer")
         #: Certain cuts; none at all for a tokenizer whose word rule or normaliser isn't the one argued about above.
-        self.cuts = ~inside & np.tile(self.space, 256)
-        if not plain or any(set(x) & set(ASCII_SPACE) for x in self.added):
+        self.cuts = ~inside & safe_pairs()
+        if not plain:
             self.cuts[:] = False
         self.merger = self._merger(spec, vocab) if plain else None
-        self.young: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.known = Fragments(self._packed)
 
     def _merger(self, spec: dict, vocab: dict[str, int]):
         """An encoder by rank, where ids are given in the order of the merges; it gives the library's ids in less time."""
@@ -92,60 +130,26 @@ class Codec:
         n = len(data)
         if not n:
             return [], [0] * (len(texts) + 1)
-        bytes_ = np.frombuffer(data, np.uint8)
-        places = np.flatnonzero(self.space[bytes_])
-        places = places[places > 0]
-        pair = bytes_[places - 1].astype(np.uint16) << np.uint16(8) | bytes_[places]
-        edge = np.zeros(n + 1, bool)
-        edge[places[self.cuts[pair]]] = True
+        raw = np.frombuffer(data, np.uint8)
+        edge = np.ones(n + 1, bool)
+        edge[1:-1] = self.cuts[raw[:-1].astype(np.uint16) << np.uint16(8) | raw[1:]]
         edge[at] = True
         starts = np.flatnonzero(edge)
         bounds = starts.tolist()
         return [data[a:b] for a, b in zip(bounds, bounds[1:])], np.searchsorted(starts, at).tolist()
 
-    def _ids(self, text: bytes) -> np.ndarray:
-        if self.merger is None or any(x in text for x in self.added):
-            return np.array(self.tokenizer.encode(text.decode(), add_special_tokens=False).ids, np.uint32)
-        return np.array(self.merger.encode_ordinary(text.decode()), np.uint32)
-
-    def _encode_new(self, new: list[bytes]) -> dict[bytes, bytes]:
-        """The packed ids of fragments. Those that may follow each other at a certain cut are encoded as one text."""
-        out: dict[bytes, bytes] = {}
-        last = np.frombuffer(bytes(f[-1] for f in new), np.uint8).astype(np.int64)
-        first = np.frombuffer(bytes(f[0] for f in new), np.uint8)
-        sizes = np.fromiter(map(len, new), np.int64, len(new))
-        upto = np.cumsum(sizes)
-        apart = np.ones(len(new), bool)
-        apart[1:] = ~self.cuts[last[:-1] << 8 | first[1:]] | (upto[1:] >> 14 != upto[:-1] >> 14)
-        starts = np.flatnonzero(apart).tolist()
-        for lo, hi in zip(starts, [*starts[1:], len(new)]):
-            ids = self._ids(b"".join(new[lo:hi]))
-            if hi - lo == 1:
-                out[new[lo]] = ids.tobytes()
-                continue
-            packed_ids = ids.tobytes()
-            ends = (np.searchsorted(np.cumsum(self.lengths[ids]), np.cumsum(sizes[lo:hi])) + 1) * 4
-            a = 0
-            for f, b in zip(new[lo:hi], ends.tolist()):
-                out[f] = packed_ids[a:b]
-                a = b
-        return out
-
-    def known(self, fragments: list[bytes]) -> dict[bytes, bytes]:
-        """The packed ids of each distinct fragment: from the cache, or encoded now. It holds good until the next call."""
-        if len(self.young) > CACHE:
-            self.old, self.young = {f: ids for f, ids in self.young.items() if len(f) <= 64}, {}
-        missing = set(fragments).difference(self.young)
-        again = missing.intersection(self.old)
-        self.young.update((f, self.old[f]) for f in again)
-        # Fragments that begin with white space first: they can be encoded together.
-        self.young |= self._encode_new(sorted(missing - again, key=lambda f: f[0] > 0x20))
-        return self.young
+    def _packed(self, fragment: bytes) -> bytes:
+        text = fragment.decode()
+        if self.merger is None or any(x in fragment for x in self.added):
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        return array("I", self.merger.encode_ordinary(text)).tobytes()
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids one after the other, and where each text's begin (with the end as the last entry)."""
         fragments, first = self.fragments(texts)
-        ids = list(map(self.known(fragments).__getitem__, fragments))
+        if self.known.size > CACHE:
+            self.known = Fragments(self._packed)
+        ids = list(map(self.known.__getitem__, fragments))
         upto = np.zeros(len(ids) + 1, np.int64)
         np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)), out=upto[1:])
         return np.frombuffer(b"".join(ids), np.uint32), upto[first] // 4

@@ -69,6 +69,20 @@ def test_bpe_equals_the_library_on_mixed_text():
     assert codec.decode([codec.pieces.index("é".encode()[:1])]) == "�"
 
 
+def test_bpe_cuts_anywhere_and_encodes_each_fragment_alone():
+    codec, lib, r = bpe.Codec(bpe.vocab_file()), library(), random.Random(12)
+    parts = [*"'sStTmMdD7 \n\t\u00a0\u3000\u2009\u1680\u0085\x1c.,!?;:(){}[]#$%&-_=+/\\|<>~`^@\"", "'s", "'re", "\u2019", "日", "本", "語", "。", "、", "「", "」", "カ", "é", "ñ", "ß", "Ω", "я", "ק", "ع", "ไ", "½", "٣", "🙂", "👩‍🚀", "e\u0301", "the", "of", "ing", "qz", "<|endoftext|>", "endoftext"]
+    texts = ["".join(r.choices(parts, k=r.randint(1, 40))) for _ in range(4000)]
+    ids, at = codec.encode([t.encode() for t in texts])
+    for t, a, b, e in zip(texts, at, at[1:], lib.encode_batch(texts, add_special_tokens=False)):
+        assert ids[a:b].tolist() == e.ids, repr(t)
+    text = "日本語の文章には空白がありませんが切れ目はあります" * 3
+    fragments, _ = codec.fragments([text.encode()])
+    assert len(fragments) > 10 and b"".join(fragments) == text.encode()
+    one_by_one = [i for f in fragments for i in lib.encode(f.decode(), add_special_tokens=False).ids]
+    assert one_by_one == lib.encode(text, add_special_tokens=False).ids
+
+
 def test_bpe_every_token_and_cache_turnover(monkeypatch):
     monkeypatch.setattr(bpe, "CACHE", 50)
     codec, lib = bpe.Codec(bpe.vocab_file()), library()
@@ -525,7 +539,7 @@ def test_search_against_brute_force():
     for _ in range(60):
         items = [(i, " ".join(r.choices("ab", k=r.randint(0, 16)))) for i in range(4)]
         text = " ".join(r.choices("abA!", k=r.randint(0, 60)))
-        search = wu_manber.Search(wu_manber.windows([(i, t.encode()) for i, t in items]))
+        search = wu_manber.Search(wu_manber.Patterns([(i, t.encode()) for i, t in items]))
         spans = list(search.hits(wu_manber.words(text.encode())))
         hit = {k for a, b, _ in spans for k in range(a, b)}
         (_, n, n_hit, n_items, _, _), = wu_manber.brute_force([(1, text)], items)
