@@ -4,8 +4,9 @@ Each text is measured whole (words, symbols, repeated lines, repeated three-word
 pass the two base rules feed one sketch for each language, source and measure: counts of values by
 logarithmic bin, so a quantile is known to within GAMMA - 1 relatively, sketches merge by adding counts,
 and no order of rows or loss of executors changes them. A document fails a measure that lies beyond the
-group's fence, q75 + REACH * (q75 - q25) (or below q25 - ... for mean word length), but never within a slack.
-Groups of fewer than LEAST documents take the merged sketch of their language, then of everything.
+group's fence, t + REACH * (t - median), where t is the group's own tail quantile (for mean word length also below,
+at the quantile that far from the other end). There is no absolute cutoff: where t equals the median, what lies beyond
+the tail quantile fails. Groups of fewer than LEAST documents take the merged sketch of their language, then of everything.
 
 Defined cases: a null text has no words and fails the base rules; a null language or source counts as the
 empty string; an empty table gives an empty result; of extra columns none is read.
@@ -21,15 +22,19 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE, arrow_batches, packed, slices, staged, table, text_bytes
+from .common import ASCII_SPACE, arrow_batches, packed, slices, staged, table, text_bytes, trimmed
 
 SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS = 50
 GAMMA = 1.02
 REACH = 3.0
 LEAST = 100
-#: The measures, and how far beyond zero (or from the median) a value is never held against a document.
-SLACK = {"symbol_ratio": 0.1, "dup_line_ratio": 0.3, "repeat_ratio": 0.35, "word_length": 2.0}
+#: The measures, and the tail quantile in per cent from which their fence is reckoned: far out where single
+#: documents of good text differ much (repeats), further in where junk itself may make up the tail.
+TAIL = {"symbol_ratio": 85, "dup_line_ratio": 99, "repeat_ratio": 99, "word_length": 90}
+#: The measure that can also be too small.
+BOTH_SIDES = "word_length"
+ZERO_BIN = -(1 << 30)
 #: Groups up to which the thresholds are broadcast; more are joined by key.
 BROADCAST_GROUPS = 20_000
 
@@ -107,7 +112,7 @@ def measure(documents: DataFrame) -> DataFrame:
                     found = measure_texts(texts)
                     yield pa.RecordBatch.from_arrays([*part.columns[:3], *[pa.array(found[c], pa.int64()) for c in names]], names=["doc_id", "lang", "source", *names])
 
-    return docs.mapInArrow(run, "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in names))
+    return docs.mapInArrow(trimmed(run), "doc_id long, lang string, source string, " + ", ".join(f"{c} long" for c in names))
 
 
 def base_failed() -> Column:
@@ -121,11 +126,13 @@ def ratios() -> dict[str, Column]:
 
 def bin_of(value: Column) -> Column:
     """The sketch's bin: null-free; zero has a bin of its own below all others."""
-    return F.when(value <= 0, F.lit(-(1 << 30))).otherwise(F.ceil(F.log(value) / math.log(GAMMA))).cast("int")
+    return F.when(value <= 0, F.lit(ZERO_BIN)).otherwise(F.ceil(F.log(value) / math.log(GAMMA))).cast("int")
 
 
-def value_of(bin_: Column) -> Column:
-    return F.when(bin_ == -(1 << 30), F.lit(0.0)).otherwise(2 * F.pow(F.lit(GAMMA), bin_.cast("double")) / (1 + GAMMA))
+def value_of(bin_: Column, part: int) -> Column:
+    """The least (0), middle (1) or greatest (2) value of a bin."""
+    power = F.pow(F.lit(GAMMA), bin_.cast("double"))
+    return F.when(bin_ == ZERO_BIN, F.lit(0.0)).otherwise((power / GAMMA, 2 * power / (1 + GAMMA), power)[part])
 
 
 def sketches(measured: DataFrame) -> DataFrame:
@@ -135,33 +142,34 @@ def sketches(measured: DataFrame) -> DataFrame:
 
 
 def quantiles(sketch: DataFrame, by: list[str]) -> DataFrame:
-    """n, q25, q50 and q75 of each measure for the sketches merged by the given columns."""
+    """n and the bins of the median and of both tails (`mid`, `low`, `high`) of each measure for the sketches merged by the given columns."""
     merged = sketch.groupBy(*by, "measure", "bin").agg(F.sum("n").alias("n"))
     group = Window.partitionBy(*by, "measure")
+    tail = F.create_map(*[F.lit(x) for kv in TAIL.items() for x in kv])[F.col("measure")]
     ranked = merged.withColumn("upto", F.sum("n").over(group.orderBy("bin"))).withColumn("all", F.sum("n").over(group))
-    at = lambda q: F.min(F.when(F.col("upto") >= q * F.col("all"), F.col("bin")))
-    return ranked.groupBy(*by, "measure").agg(F.first("all").alias("n"), *[value_of(at(q / 100)).alias(f"q{q}") for q in (25, 50, 75)])
+    at = lambda q: F.min(F.when(100 * F.col("upto") >= q * F.col("all"), F.col("bin")))
+    return ranked.groupBy(*by, "measure").agg(F.first("all").alias("n"), at(F.lit(50)).alias("mid"), at(100 - tail).alias("low"), at(tail).alias("high"))
 
 
 def thresholds(sketch: DataFrame) -> DataFrame:
     """lang, source, and for each measure its lowest and highest value allowed (`symbol_ratio_lo`, ...)."""
+    bins = ("mid", "low", "high")
     fine = quantiles(sketch, ["lang", "source"])
-    lang = quantiles(sketch, ["lang"]).select("lang", "measure", *[F.col(c).alias(f"lang_{c}") for c in ("n", "q25", "q50", "q75")])
+    lang = quantiles(sketch, ["lang"]).select("lang", "measure", *[F.col(c).alias(f"lang_{c}") for c in ("n", *bins)])
     # One row for each measure: the sketch of everything has no more.
-    every = quantiles(sketch, []).select("measure", *[F.col(c).alias(f"all_{c}") for c in ("q25", "q50", "q75")])
+    every = quantiles(sketch, []).select("measure", *[F.col(c).alias(f"all_{c}") for c in bins])
     both = fine.join(lang, ["lang", "measure"]).join(F.broadcast(every), "measure")
-    q = {c: F.when(F.col("n") >= LEAST, F.col(c)).when(F.col("lang_n") >= LEAST, F.col(f"lang_{c}")).otherwise(F.col(f"all_{c}")) for c in ("q25", "q50", "q75")}
-    slack = F.create_map(*[x for k, v in SLACK.items() for x in (F.lit(k), F.lit(v))])[F.col("measure")]
-    reach = REACH * (q["q75"] - q["q25"])
-    hi = F.greatest(q["q75"] + reach, q["q50"] + slack)
-    lo = F.when(F.col("measure") == "word_length", F.least(q["q25"] - reach, q["q50"] - slack)).otherwise(F.lit(-1.0))
+    q = {c: F.when(F.col("n") >= LEAST, F.col(c)).when(F.col("lang_n") >= LEAST, F.col(f"lang_{c}")).otherwise(F.col(f"all_{c}")) for c in bins}
+    mid, low, high = value_of(q["mid"], 1), value_of(q["low"], 0), value_of(q["high"], 2)
+    hi = high + REACH * (high - mid)
+    lo = F.when(F.col("measure") == BOTH_SIDES, low - REACH * (mid - low)).otherwise(F.lit(-1.0))
     pick = lambda k, c: F.max(F.when(F.col("measure") == k, F.col(c)))
-    return both.select("lang", "source", "measure", lo.alias("lo"), hi.alias("hi")).groupBy("lang", "source").agg(*[pick(k, c).alias(f"{k}_{c}") for k in SLACK for c in ("lo", "hi")])
+    return both.select("lang", "source", "measure", lo.alias("lo"), hi.alias("hi")).groupBy("lang", "source").agg(*[pick(k, c).alias(f"{k}_{c}") for k in TAIL for c in ("lo", "hi")])
 
 
 def judged(measured: DataFrame) -> DataFrame:
     """The measures with base_failed and kept."""
-    limits = staged(thresholds(sketches(measured)), "limits")
+    limits = staged(thresholds(staged(sketches(measured), "sketches")), "limits")
     if limits.count() <= BROADCAST_GROUPS:
         limits = F.broadcast(limits)
     both = measured.join(limits, ["lang", "source"], "left")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from .licenses import CUE, LEAST, LICENCE_FILE, TEMPLATES, TERM
 from .ngram_join import PERCENT
-from .quality import GAMMA, REACH, SLACK
+from .quality import BOTH_SIDES, GAMMA, REACH, TAIL, ZERO_BIN
 from .quality import LEAST as LEAST_DOCS
 from .wu_manber import WINDOW
 
@@ -49,15 +49,19 @@ def quality() -> str:
     measures = {"symbol_ratio": "n_symbols / n_words", "dup_line_ratio": "n_dup_lines / n_lines", "repeat_ratio": "n_repeat_words / n_words", "word_length": "word_chars / n_words"}
     divided = ", ".join(f"coalesce(cast({v.split(' / ')[0]} as double) / nullif({v.split(' / ')[1]}, 0), 0.0) as {k}" for k, v in measures.items())
     long = " union all ".join(f"select lang, source, '{k}' as measure, {k} as value from m where not base_failed" for k in measures)
-    slack = "case measure " + " ".join(f"when '{k}' then {v}" for k, v in SLACK.items()) + " end"
+    tail = "case measure " + " ".join(f"when '{k}' then {v}" for k, v in TAIL.items()) + " end"
 
     def quantiles(by: str) -> str:
         keys = ", ".join(x for x in (by, "measure") if x)
-        return f"""select {keys}, max(total) as n, {', '.join(f"min(case when upto >= {q / 100} * total then bin end) as b{q}" for q in (25, 50, 75))}
+        bins = ", ".join(f"min(case when 100 * upto >= ({q}) * total then bin end) as {c}" for c, q in (("mid", "50"), ("low", f"100 - {tail}"), ("high", tail)))
+        return f"""select {keys}, max(total) as n, {bins}
         from (select {keys}, bin, sum(sum(n)) over (partition by {keys} order by bin) as upto, sum(sum(n)) over (partition by {keys}) as total from sketch group by {keys}, bin) group by {keys}"""
 
-    value = lambda b: f"(case when {b} = -1073741824 then 0.0 else 2 * power(cast({GAMMA} as double), {b}) / {1 + GAMMA} end)"
-    pick = lambda q: value(f"(case when fine.n >= {LEAST_DOCS} then fine.b{q} when lang.n >= {LEAST_DOCS} then lang.b{q} else whole.b{q} end)")
+    power = f"power(cast({GAMMA} as double), {{b}})"
+    shape = {"mid": f"2 * {power} / {1 + GAMMA}", "low": f"{power} / {GAMMA}", "high": power}
+    value = lambda c, b: f"(case when {b} = {ZERO_BIN} then 0.0 else {shape[c].format(b=b)} end)"
+    pick = lambda c: value(c, f"(case when fine.n >= {LEAST_DOCS} then fine.{c} when lang.n >= {LEAST_DOCS} then lang.{c} else whole.{c} end)")
+    side = {"lo": f"case when measure = '{BOTH_SIDES}' then low - {REACH} * (mid - low) else -1.0 end", "hi": f"high + {REACH} * (high - mid)"}
     fits = " and ".join(f"coalesce({k} between {k}_lo and {k}_hi, true)" for k in measures)
     return f"""
 with d as (select doc_id, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '{_SPACED}') as w from documents),
@@ -68,10 +72,10 @@ c as (select d.doc_id, lang, source, len(w) as n_words, coalesce(cast(list_sum(l
       coalesce(n_dup, 0) as n_dup_lines, coalesce(again.n, 0) as n_repeat_words, coalesce(n_lines, 0) as n_lines
       from d left join again on again.doc_id = d.doc_id left join lines on lines.doc_id = d.doc_id),
 m as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, {divided} from c),
-sketch as (select lang, source, measure, case when value <= 0 then -1073741824 else cast(ceil(ln(value) / ln(cast({GAMMA} as double))) as int) end as bin, count(*) as n from ({long}) group by all),
-limits as (select fine.lang, fine.source, measure, {pick(25)} as q25, {pick(50)} as q50, {pick(75)} as q75
+sketch as (select lang, source, measure, case when value <= 0 then {ZERO_BIN} else cast(ceil(ln(value) / ln(cast({GAMMA} as double))) as int) end as bin, count(*) as n from ({long}) group by all),
+limits as (select fine.lang, fine.source, measure, {pick('mid')} as mid, {pick('low')} as low, {pick('high')} as high
   from ({quantiles('lang, source')}) fine join ({quantiles('lang')}) lang using (lang, measure) join ({quantiles('')}) whole using (measure)),
-bounds as (select lang, source, {', '.join(f"max(case when measure = '{k}' then {e} end) as {k}_{side}" for k in measures for side, e in (('lo', f"case when measure = 'word_length' then least(q25 - {REACH} * (q75 - q25), q50 - {slack}) else -1.0 end"), ('hi', f'greatest(q75 + {REACH} * (q75 - q25), q50 + {slack})')))} from limits group by 1, 2)
+bounds as (select lang, source, {', '.join(f"max(case when measure = '{k}' then {e} end) as {k}_{c}" for k in measures for c, e in side.items())} from limits group by 1, 2)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and {fits} as kept from m left join bounds on bounds.lang = m.lang and bounds.source = m.source"""
 
 
