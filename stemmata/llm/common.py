@@ -26,14 +26,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir, or a temporary one where it is unset (local runs)."""
+    """The folder that the driver and all executors see: spark.checkpoint.dir, or the checkpoint folder that the session was given.
+
+    Where neither is set, a local session gets a temporary folder; on a cluster that is an error, as executors wouldn't see it."""
+    context = spark.sparkContext
     found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = "file://" + tempfile.mkdtemp(prefix="stemmata-")
-        spark.conf.set("spark.checkpoint.dir", found)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(found)
-    return found
+    given = context._jsc.sc().getCheckpointDir()
+    if given.isEmpty():
+        if not found:
+            if not context.master.startswith("local[") and context.master != "local":
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            found = "file://" + tempfile.mkdtemp(prefix="stemmata-")
+        context.setCheckpointDir(found)
+    return found or given.get()
+
+
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme and authority that Spark takes where they are missing."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    full = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString()
+    return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full
 
 
 def remove(spark: SparkSession, path: str) -> None:

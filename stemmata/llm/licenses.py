@@ -1,19 +1,15 @@
 """Licence scans with DataFrame functions only: TF-IDF cosine to templates, then inheritance along paths.
 
-Of a licence file, the whole text is one passage; of any other file, each line that holds a licence cue is
-one. Equal passages are scored once. A passage and a template are sparse vectors of (1 + ln tf) * idf, where
-idf = 1 + ln((1 + n) / (1 + df)) counts all distinct passages of the corpus; the passage takes the template of
-the largest cosine if that reaches LEAST, ties going to the smaller name. A file's own licence is that of its
-best passage. A licence file is one named so, or one of whose text the lines with a cue make up half or more.
-A directory's licence is what most of its licence files have. A file without a licence takes that of the
-nearest directory above it.
-
-scan() knows each licence by several FORMS (names, SPDX identifiers, headers, the short texts in full), of which
-the best counts. It also scores the paragraphs that hold a cue, and of a licence file the first of these, which is
-the title of a long text. Years and holders of copyright notices aren't compared. `Proprietary` gives way to any
-other licence found in a file, as notices of all kinds reserve rights. op3_license_scan is fixed by its SQL to
-single lines and one template of each licence (whole=False): there `All rights reserved.`, real licence texts and
-SPDX lines don't reach LEAST.
+Passages of a file are its lines that hold a licence cue (of a licence file, the whole text) and its paragraphs that
+hold one (of a licence file, the first of these, which is the title of a long text). Equal passages are scored once;
+a digest stands for their text in all joins. A passage and a form of a licence are sparse vectors of (1 + ln tf) * idf,
+where idf = 1 + ln((1 + n) / (1 + df)) counts all distinct passages of the corpus. Each licence has several FORMS
+(names, SPDX identifiers, headers, the short texts in full), of which the best counts; a passage takes the licence
+of the largest cosine if that reaches LEAST, ties going to the smaller name. Years and holders of copyright notices
+and the SPDX tag aren't compared. A file's own licence is that of its best passage, where `Proprietary` gives way to
+any other, as notices of all kinds reserve rights. A licence file is one named so, or one of whose text the lines
+with a cue make up half or more. A directory's licence is what most of its licence files have. A file without a
+licence takes that of the nearest directory above it.
 
 Defined cases: null or empty texts have no passage and can only inherit; a null path is the root; repeated
 paths each count; empty tables give no rows; extra columns are ignored.
@@ -66,7 +62,7 @@ def _cc(kind: str, name: str) -> tuple[str, ...]:
     return (f"CC-{kind}-4.0", f"CC {kind} 4.0", f"Licensed under CC {kind} 4.0.", f"This work is licensed under a Creative Commons {name} 4.0 International License.", f"Creative Commons {name} 4.0 International Public License", f"{name} 4.0 International")
 
 
-#: Other forms of the same licences; with their template, all that scan() compares.
+#: Other forms of the same licences; with their template, all that is compared.
 FORMS = {
     k: (TEMPLATES[k], *more)
     for k, more in {
@@ -107,6 +103,8 @@ CUE = r"(?i)licen[cs]e|copyright|spdx|all rights reserved|public domain|creative
 LICENCE_FILE = r"(?i)(^|/)(licen[cs]e|copying|notice|unlicense)([.-][^/]*)?$"
 TERM = "[a-z0-9]+(?:[.-][a-z0-9]+)*"
 LEAST = 0.6
+#: Directories with a licence, or distinct passages with one, up to which they are broadcast; more are joined by key.
+BROADCAST_ROWS = 50_000
 #: What isn't compared: the holder and years of a notice, the tag before an SPDX identifier.
 _NOTICE = r"(?i)copyright\b(?:[^\n]*?(all rights reserved)|\s*(?:\(c\)|©|[12]\d{3})[^\n]*)"
 _SPDX = r"(?i)spdx-license-identifier\s*:"
@@ -128,31 +126,35 @@ def _weights(vectors: DataFrame, key: str, idf: DataFrame) -> DataFrame:
     return w.withColumn("w", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(key)))).select(key, "term", "w")
 
 
-def matches(passages: DataFrame, whole: bool = True) -> DataFrame:
-    """passage, licence and score of the distinct passages that reach LEAST by some form, or without whole by the template."""
+def matches(passages: DataFrame) -> DataFrame:
+    """passage_key, licence and score of the distinct passages (passage_key, passage) that reach LEAST by some form."""
     spark = passages.sparkSession
-    distinct = staged(passages.select("passage").distinct(), "passages")
+    distinct = staged(passages.groupBy("passage_key").agg(F.first("passage").alias("passage")), "passages")
     n = distinct.count()
     # The forms are constants of this module: some thousand rows.
-    forms = [((k, i), t) for k, texts in sorted(FORMS.items()) for i, t in enumerate(texts if whole else texts[:1])]
+    forms = [((k, i), t) for k, texts in sorted(FORMS.items()) for i, t in enumerate(texts)]
     templates = spark.createDataFrame(forms, "form struct<licence: string, k: int>, text string").select("form", F.explode(_terms(F.col("text"))).alias("term"))
     known = F.broadcast(templates.select("term").distinct())
-    terms = distinct.select("passage", F.explode(_terms(F.col("passage"))).alias("term"))
+    terms = distinct.select("passage_key", F.explode(_terms(F.col("passage"))).alias("term"))
     df = terms.distinct().groupBy("term").agg(F.count("*").alias("df"))
     value = 1 + F.log((1.0 + n) / (1.0 + F.coalesce(F.col("df"), F.lit(0))))
     idf_all = df.select("term", value.alias("idf"))
     idf_known = known.join(df, "term", "left").select("term", value.alias("idf"))
-    ours = _weights(terms, "passage", idf_all)
+    ours = _weights(terms, "passage_key", idf_all)
     theirs = F.broadcast(_weights(templates, "form", idf_known).withColumnRenamed("w", "v"))
-    cosine = ours.join(theirs, "term").groupBy("passage", "form").agg(F.round(F.sum(F.col("w") * F.col("v")), 6).alias("score"))
-    best = cosine.groupBy("passage").agg(F.min(F.struct((-F.col("score")).alias("less"), F.col("form.licence").alias("licence"))).alias("best"))
-    return best.select("passage", F.col("best.licence").alias("licence"), (-F.col("best.less")).alias("score")).where(F.col("score") >= LEAST)
+    cosine = ours.join(theirs, "term").groupBy("passage_key", "form").agg(F.round(F.sum(F.col("w") * F.col("v")), 6).alias("score"))
+    best = cosine.groupBy("passage_key").agg(F.min(F.struct((-F.col("score")).alias("less"), F.col("form.licence").alias("licence"))).alias("best"))
+    return best.select("passage_key", F.col("best.licence").alias("licence"), (-F.col("best.less")).alias("score")).where(F.col("score") >= LEAST)
 
 
-def scan(files: DataFrame, whole: bool = True) -> DataFrame:
-    """file_id, path, licence, score, source (`own`, `inherited` or `none`) and found_in of every file; files has file_id, path and text.
+def _few(df: DataFrame, name: str) -> DataFrame:
+    """df, written once, and broadcast in joins if it has few rows."""
+    df = staged(df, name)
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
-    Without whole, only lines (of licence files, the text) are compared, and only to TEMPLATES."""
+
+def scan(files: DataFrame) -> DataFrame:
+    """file_id, path, licence, score, source (`own`, `inherited` or `none`) and found_in of every file; files has file_id, path and text."""
     rows = files.select("file_id", F.coalesce("path", F.lit("")).alias("path"), F.col("text").cast("string").alias("text"))
     named = F.col("path").rlike(LICENCE_FILE)
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(CUE))
@@ -162,28 +164,29 @@ def scan(files: DataFrame, whole: bool = True) -> DataFrame:
     plain = F.coalesce(F.filter(passages, lambda x: F.length(x) > 0), none)
     dir_of = F.regexp_extract("path", "^(.*)/[^/]*$", 1)
     rows = rows.withColumn("named", named).withColumn("plain", plain)
-    compared = F.col("plain")
-    if whole:
-        blocks = F.filter(F.split("text", _PARAGRAPH), lambda x: x.rlike(CUE))
-        blocks = F.coalesce(F.when(F.col("named"), F.slice(blocks, 1, 1)).otherwise(blocks), none)
-        compared = F.filter(F.array_distinct(F.transform(F.concat("plain", blocks), lambda x: F.trim(_compared(x)))), lambda x: F.length(x) > 0)
-    rows = rows.withColumn("passages", compared)
+    blocks = F.filter(F.split("text", _PARAGRAPH), lambda x: x.rlike(CUE))
+    blocks = F.coalesce(F.when(F.col("named"), F.slice(blocks, 1, 1)).otherwise(blocks), none)
+    compared = F.filter(F.array_distinct(F.transform(F.concat("plain", blocks), lambda x: F.trim(_compared(x)))), lambda x: F.length(x) > 0)
+    # Texts without a cue have neither lines nor paragraphs: one search settles most of them.
+    rows = rows.withColumn("passages", F.when(F.col("named") | F.col("text").rlike(CUE), compared).otherwise(none))
     is_file = F.col("named") | (F.size("plain") > 0) & mostly
     read = staged(rows.select("file_id", "path", dir_of.alias("dir"), is_file.alias("is_file"), "passages"), "licence-lines")
 
-    each = read.select("file_id", "path", "dir", "is_file", F.explode("passages").alias("passage"))
-    weak = (F.col("licence") == "Proprietary") & F.lit(whole)
-    found = each.join(matches(each, whole), "passage").groupBy("file_id", "path", "dir", "is_file").agg(F.min(F.struct(weak.alias("weak"), (-F.col("score")).alias("less"), "licence")).alias("best"))
+    each = read.select("file_id", "path", "dir", "is_file", F.explode("passages").alias("passage")).withColumn("passage_key", F.unhex(F.sha2("passage", 256)))
+    found = each.drop("passage").join(_few(matches(each), "matches"), "passage_key")
+    weak = F.col("licence") == "Proprietary"
+    found = found.groupBy("file_id", "path", "dir", "is_file").agg(F.min(F.struct(weak.alias("weak"), (-F.col("score")).alias("less"), "licence")).alias("best"))
     own = staged(found.select("file_id", "path", "dir", "is_file", F.col("best.licence").alias("licence"), (-F.col("best.less")).alias("score")), "own-licences")
 
     votes = own.where("is_file").groupBy("dir", "licence").agg(F.count("*").alias("n"))
     of_dir = votes.groupBy("dir").agg(F.min(F.struct((-F.col("n")).alias("less"), "licence")).alias("best")).select("dir", F.col("best.licence").alias("dir_licence"))
+    of_dir = _few(of_dir.withColumnRenamed("dir", "up"), "directory-licences")
     # Paths are resolved once for each directory, whatever the number of files in it.
     dirs = read.select("dir").distinct()
     parts = F.split("dir", "/")
     levels = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda k: F.struct(k.alias("depth"), F.array_join(F.slice(parts, 1, k), "/").alias("up")))
     above = dirs.select("dir", F.explode(levels).alias("at")).select("dir", "at.depth", "at.up").dropDuplicates(["dir", "up"])
-    nearest = above.join(of_dir.withColumnRenamed("dir", "up"), "up").groupBy("dir").agg(F.max(F.struct("depth", "up", "dir_licence")).alias("near"))
+    nearest = above.join(of_dir, "up").groupBy("dir").agg(F.max(F.struct("depth", "up", "dir_licence")).alias("near"))
     nearest = nearest.select("dir", F.col("near.up").alias("near_dir"), F.col("near.dir_licence").alias("near_licence"))
 
     all_files = read.select("file_id", "path", "dir").join(own.select("file_id", "path", "licence", "score"), ["file_id", "path"], "left").join(nearest, "dir", "left")
@@ -201,4 +204,4 @@ def as_files(documents: DataFrame) -> DataFrame:
 
 
 def op3_license_scan(spark, sf_dir: str) -> DataFrame:
-    return scan(as_files(table(spark, sf_dir, "documents")), whole=False).withColumnRenamed("file_id", "doc_id")
+    return scan(as_files(table(spark, sf_dir, "documents"))).withColumnRenamed("file_id", "doc_id")

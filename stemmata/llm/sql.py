@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .licenses import CUE, LEAST, LICENCE_FILE, TEMPLATES, TERM
+from .licenses import _NOTICE, _PARAGRAPH, _SPDX, CUE, FORMS, LEAST, LICENCE_FILE, TERM
 from .ngram_join import PERCENT
 from .quality import BOTH_SIDES, GAMMA, REACH, TAIL, ZERO_BIN
 from .quality import LEAST as LEAST_DOCS
@@ -80,25 +80,29 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 
 
 def licenses() -> str:
-    rows = ", ".join(f"('{k}', '{v}')" for k, v in sorted(TEMPLATES.items()))
+    quoted = lambda x: x.replace("'", "''")
+    rows = ", ".join(f"('{k}', {i}, '{quoted(t)}')" for k, texts in sorted(FORMS.items()) for i, t in enumerate(texts))
     cue = CUE.removeprefix("(?i)")
+    compared = f"regexp_replace(regexp_replace(x, '{_NOTICE}', 'Copyright \\1', 'g'), '{_SPDX}', '', 'g')"
     idf = lambda df: f"(1 + ln((1.0 + (select count(*) from texts)) / (1.0 + {df})))"
     return f"""
 with files as (select doc_id, coalesce(source, '') || '/' || (doc_id // 1000) as dir, coalesce(source, '') || '/' || (doc_id // 1000) || '/' || doc_id || '.txt' as path, coalesce(text, '') as text from documents),
 named as (select *, regexp_matches(path, '{LICENCE_FILE}') as named, list_filter(list_transform(case when regexp_matches(path, '{LICENCE_FILE}') then [text]
-  else list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '(?i){cue}')) end, lambda x: trim(x)), lambda x: length(x) > 0) as passages from files),
-read as (select *, named or (len(passages) > 0 and list_sum(list_transform(passages, lambda x: length(x))) * 2 >= length(text)) as is_file from named),
-each as (select doc_id, path, dir, is_file, unnest(passages) as passage from read),
+  else list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '(?i){cue}')) end, lambda x: trim(x)), lambda x: length(x) > 0) as plain,
+  case when regexp_matches(text, '(?i){cue}') then list_filter(string_split_regex(text, '{_PARAGRAPH}'), lambda x: regexp_matches(x, '(?i){cue}')) else [] end as blocks from files),
+read as (select *, named or (len(plain) > 0 and list_sum(list_transform(plain, lambda x: length(x))) * 2 >= length(text)) as is_file,
+  list_filter(list_transform(list_concat(plain, case when named then blocks[1:1] else blocks end), lambda x: trim({compared})), lambda x: length(x) > 0) as passages from named),
+each as (select distinct doc_id, path, dir, is_file, passage from (select doc_id, path, dir, is_file, unnest(passages) as passage from read)),
 texts as (select distinct passage from each),
 terms as (select passage, term, count(*) as tf from (select passage, unnest(regexp_extract_all(lower(passage), '{TERM}')) as term from texts) group by all),
 df as (select term, count(*) as df from terms group by 1),
-templates as (select licence, term, count(*) as tf from (select licence, unnest(regexp_extract_all(lower(t), '{TERM}')) as term from (values {rows}) as v(licence, t)) group by all),
+templates as (select licence, k, term, count(*) as tf from (select licence, k, unnest(regexp_extract_all(lower(t), '{TERM}')) as term from (values {rows}) as v(licence, k, t)) group by all),
 a as (select passage, term, (1 + ln(tf)) * {idf('df')} as w from terms join df using (term)),
-b as (select licence, templates.term, (1 + ln(tf)) * {idf('coalesce(df, 0)')} as w from templates left join df on df.term = templates.term),
-na as (select passage, sqrt(sum(w * w)) as n from a group by 1), nb as (select licence, sqrt(sum(w * w)) as n from b group by 1),
-cosine as (select a.passage, b.licence, round(sum(a.w / na.n * b.w / nb.n), 6) as score from a join b on b.term = a.term join na on na.passage = a.passage join nb on nb.licence = b.licence group by all),
+b as (select licence, k, templates.term, (1 + ln(tf)) * {idf('coalesce(df, 0)')} as w from templates left join df on df.term = templates.term),
+na as (select passage, sqrt(sum(w * w)) as n from a group by 1), nb as (select licence, k, sqrt(sum(w * w)) as n from b group by 1, 2),
+cosine as (select a.passage, b.licence, b.k, round(sum(a.w / na.n * b.w / nb.n), 6) as score from a join b on b.term = a.term join na on na.passage = a.passage join nb on nb.licence = b.licence and nb.k = b.k group by all),
 best as (select passage, licence, score from (select *, row_number() over (partition by passage order by score desc, licence) as r from cosine) where r = 1 and score >= {LEAST}),
-own as (select doc_id, path, dir, is_file, licence, score from (select e.doc_id, path, dir, is_file, licence, score, row_number() over (partition by e.doc_id, path order by score desc, licence) as r from each e join best on best.passage = e.passage) where r = 1),
+own as (select doc_id, path, dir, is_file, licence, score from (select e.doc_id, path, dir, is_file, licence, score, row_number() over (partition by e.doc_id, path order by licence = 'Proprietary', score desc, licence) as r from each e join best on best.passage = e.passage) where r = 1),
 votes as (select dir, licence from (select dir, licence, row_number() over (partition by dir order by count(*) desc, licence) as r from own where is_file group by dir, licence) where r = 1),
 dirs as (select distinct dir from read),
 near as (select dirs.dir, votes.dir as up, licence, row_number() over (partition by dirs.dir order by length(votes.dir) desc) as r from dirs join votes on votes.dir = dirs.dir or votes.dir = '' or starts_with(dirs.dir, votes.dir || '/'))

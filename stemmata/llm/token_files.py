@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import codec, vocab_file
-from .common import arrow_batches, scratch, slices, text_bytes
+from .common import arrow_batches, qualified, scratch, slices, text_bytes, trimmed
 
 LENGTH = 2048
 BATCH = 256
@@ -83,6 +83,7 @@ def write(documents: DataFrame, vocab: str, folder: str, end_id: int = 2, length
     """Encodes and writes all documents; returns the manifest in shard order: one small row for each shard."""
     spark = documents.sparkSession
     arrow_batches(spark)
+    folder = qualified(spark, folder)
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     size = docs.agg(F.sum(F.octet_length("text")), F.count("*")).first()
     shards = max(1, -(-((size[0] or 0) + 8 * size[1]) // shard_bytes), min(spark.sparkContext.defaultParallelism, size[1]))
@@ -106,7 +107,7 @@ def write(documents: DataFrame, vocab: str, folder: str, end_id: int = 2, length
             writer.close()
             yield pa.RecordBatch.from_pylist([{"shard": shard, "first_doc": first, "file": writer.paths[0], "index_file": writer.paths[1], "n_tokens": writer.total, "n_docs": writer.docs}], schema=pa.schema([("shard", pa.int32()), ("first_doc", pa.int64()), ("file", pa.string()), ("index_file", pa.string()), ("n_tokens", pa.int64()), ("n_docs", pa.int64())]))
 
-    return sorted(tuple(r) for r in docs.mapInArrow(run, MANIFEST).collect())
+    return sorted(tuple(r) for r in docs.mapInArrow(trimmed(run), MANIFEST).collect())
 
 
 class Shard:
@@ -162,7 +163,7 @@ def read(spark: SparkSession, manifest: list[tuple]) -> DataFrame:
                     sums = [zlib.crc32(shard.tokens(a, n).astype("<u4")) for a, n in zip(starts.tolist(), sizes.tolist())]
                     yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(starts + row["base"]), pa.array(sizes), pa.array(sums, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return files.mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return files.mapInArrow(trimmed(run), "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def op6_token_files(spark, sf_dir: str) -> DataFrame:

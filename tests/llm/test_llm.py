@@ -1,6 +1,7 @@
 """The training-data operators against brute force, round trips and defined edge cases."""
 
 import hashlib
+import os
 import random
 import zlib
 from pathlib import Path
@@ -125,6 +126,22 @@ def test_token_files(spark, odd, nothing):
     assert token_files.read(spark, token_files.write(nothing, bpe.vocab_file(), scratch(spark, "t"))).count() == 0
 
 
+def test_shared_folder_of_a_plain_session(tmp_path):
+    """A session without spark.checkpoint.dir: in a process of its own, as the setting can't be changed."""
+    import subprocess
+    import sys
+
+    code = """
+from pyspark.sql import SparkSession
+from stemmata.llm.common import qualified, shared_dir, staged
+spark = SparkSession.builder.master("local[1]").config("spark.ui.enabled", "false").getOrCreate()
+assert spark.conf.get("spark.checkpoint.dir", None) is None
+assert staged(spark.range(3), "x").count() == 3 and shared_dir(spark) == shared_dir(spark)
+assert qualified(spark, "/a/b") == "file:///a/b" and qualified(spark, "file:///a/b") == "file:///a/b"
+"""
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[2], timeout=120, env=os.environ | {"SPARK_CONF_DIR": str(tmp_path)})
+
+
 # ---- 2: quality
 
 
@@ -151,7 +168,21 @@ def test_quality_adapts_by_group_and_merges(spark, nothing):
     both = half(0).union(half(1)).groupBy("lang", "source", "measure", "bin").agg(F.sum("n").alias("n"))
     assert both.exceptAll(quality.sketches(m)).count() == 0
     exact = np.quantile([quality.brute_force(t)[1] / quality.brute_force(t)[0] for _, t, *_ in rows[:150]], 0.5, method="inverted_cdf")
-    assert quality.quantiles(quality.sketches(m.where("source = 'plain' and doc_id < 150")), ["source"]).where("measure = 'word_length'").first()["q50"] == pytest.approx(exact, rel=quality.GAMMA - 1)
+    row = quality.quantiles(quality.sketches(m.where("source = 'plain' and doc_id < 150")), ["source"]).where("measure = 'word_length'").first()
+    assert quality.GAMMA ** row["mid"] == pytest.approx(exact, rel=quality.GAMMA - 1)
+
+
+def test_quality_bounds_follow_the_group(spark, sf_dir):
+    """On the table: a change of one source's texts moves that source's bounds and no other's."""
+    docs = table(spark, sf_dir, "documents").withColumn("source", F.when(F.col("doc_id") % 3 == 0, "one").otherwise("two"))
+    noisy = docs.withColumn("text", F.when(F.col("source") == "one", F.regexp_replace("text", " ", " # ")).otherwise(F.col("text")))
+    # Merge nothing: the group has too few rows in the smallest table.
+    def bounds(df):
+        many = df.unionAll(df).unionAll(df).unionAll(df)
+        return {(r["lang"], r["source"]): (r["symbol_ratio_hi"], r["word_length_hi"]) for r in quality.thresholds(quality.sketches(quality.measure(many))).collect()}
+    plain, moved = bounds(docs.withColumn("lang", F.lit("en"))), bounds(noisy.withColumn("lang", F.lit("en")))
+    assert plain["en", "two"] == moved["en", "two"]
+    assert moved["en", "one"][0] > plain["en", "one"][0] + 0.3 and moved["en", "one"][1] < plain["en", "one"][1]
 
 
 # ---- 3: licences
@@ -170,7 +201,7 @@ def test_licences(spark, nothing):
     }
     assert licenses.scan(spark.createDataFrame([], "file_id long, path string, text string")).count() == 0
     for k, t in licenses.TEMPLATES.items():
-        best = licenses.matches(spark.createDataFrame([(t,)], "passage string")).first()
+        best = licenses.matches(spark.createDataFrame([(b"k", t)], "passage_key binary, passage string")).first()
         assert best["licence"] == k and best["score"] == pytest.approx(1, abs=1e-5)
 
 
