@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 from array import array
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -79,11 +79,7 @@ class Fragments(dict):
 
 class Codec:
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         letters = byte_letters()
@@ -108,14 +104,33 @@ class Codec:
         self.cuts = ~inside & safe_pairs()
         if not plain:
             self.cuts[:] = False
-        self.merger = self._merger(spec, vocab) if plain else None
+        self.plain = plain
         self.known = Fragments(self._packed)
 
-    def _merger(self, spec: dict, vocab: dict[str, int]):
+    @cached_property
+    def tokenizer(self):
+        """The library's; only fragments with a special token need it, and vocabularies of other kinds."""
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(self.path)
+        found.no_truncation()
+        found.no_padding()
+        return found
+
+    @cached_property
+    def merger(self):
+        """An encoder by rank, or None; decoding needs neither."""
+        if not self.plain:
+            return None
+        with open(self.path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        return self._merger(model["merges"], model["vocab"])
+
+    def _merger(self, merges: list, vocab: dict[str, int]):
         """An encoder by rank, where ids are given in the order of the merges; it gives the library's ids in less time."""
         import tiktoken
 
-        pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in merges]
         order = [vocab[a + b] for a, b in pairs]
         singles = [vocab.get(c, 1 << 30) for c in byte_letters()]
         special = {i for i in range(len(self.pieces)) if self.pieces[i] in self.added}

@@ -10,8 +10,10 @@ Only ASCII letters and bytes of other scripts tell languages apart here: case is
 punctuation and white space count as one blank. n-grams are those found in at least two landmarks, the
 most frequent VOCABULARY of them and those tied with the last.
 
-Fitting uses a bounded sample: PER_LANGUAGE labelled rows of each of at most LANGUAGES languages, drawn by a
-hash of doc_id, of texts up to SAMPLE_BYTES. Everything else, prediction above all, reads whole texts.
+Fitting uses a bounded sample of labelled rows: at most PER_LANGUAGE of each language, and as many fewer as keep all
+of them within TRAIN_CHARS characters, but one at least, so that every labelled language is learnt. Rows are drawn by a
+hash of doc_id, texts up to SAMPLE_CHARS first; of a longer one its first SAMPLE_CHARS are learnt from. The cut to so many rows
+is made before the driver gets them. Everything else, prediction above all, reads whole texts.
 
 Defined cases: `und` with score 0 for a null text, one without a letter, or where no labelled row exists to
 learn from; empty tables give no rows; equal texts get equal predictions; other columns are ignored.
@@ -25,15 +27,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, table, trimmed
+from .common import arrow_batches, staged, table, trimmed
 
 ORDERS = 3
 PER_LANGUAGE = 300
-LANGUAGES = 200
-SAMPLE_BYTES = 20_000
+SAMPLE_CHARS = 20_000
+TRAIN_CHARS = 100_000_000
 LANDMARKS = 128
 VOCABULARY = 6000
 RIDGE = 1e-2
@@ -147,18 +149,21 @@ def held_out() -> Column:
 def training_rows(documents: DataFrame, learnable: Column, per_language: int = PER_LANGUAGE) -> list[tuple[str, bytes]]:
     """The bounded sample, in an order that depends on doc_id alone."""
     rows = documents.where(learnable & F.col("lang").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()
-    if not counts:
+    rows = rows.where(F.col("text").rlike(r"\p{L}"))
+    counts = staged(rows.groupBy("lang").agg(F.count("*").alias("__n")), "languages")
+    languages = counts.count()
+    if not languages:
         return []
+    size = min(SAMPLE_CHARS, max(200, TRAIN_CHARS // languages))
+    per_language = max(1, min(per_language, TRAIN_CHARS // (size * languages)))
     draw = F.xxhash64(F.col("doc_id").cast("string"), F.lit("train"))
-    # Half as many again as wanted, as texts that are null, too long or without letters drop out.
-    chance = F.create_map(*[x for r in counts for x in (F.lit(r[0]), F.lit(min(1.0, 1.5 * per_language / r[1])))])[F.col("lang")]
-    sample = rows.where((F.pmod(draw, F.lit(1 << 30)) / float(1 << 30) < chance) & (F.octet_length("text") <= SAMPLE_BYTES))
-    found: dict[str, list[tuple[int, str]]] = {}
-    for lang, text, order in sample.select("lang", "text", draw).collect():
-        if has_letter(text):
-            found.setdefault(lang, []).append((order, text))
-    return [(lang, text.encode()) for lang in sorted(found) for _, text in sorted(found[lang])[:per_language]]
+    # A draw of about twice as many as wanted, and some more, keeps the ranking below small however large a language is.
+    share = (2.0 * per_language + 40) / F.col("__n")
+    drawn = rows.withColumn("draw", draw).join(F.broadcast(counts) if languages <= 50_000 else counts, "lang").where(F.pmod("draw", F.lit(1 << 30)) / float(1 << 30) < share)
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.length("text") > size, "draw", "doc_id"))
+    sample = drawn.withColumn("rank", rank).withColumn("text", F.substring("text", 1, size))
+    found = sample.where(F.col("rank") <= per_language).select("lang", "rank", "text").collect()
+    return [(r["lang"], r["text"].encode()) for r in sorted(found, key=lambda r: (r["lang"], r["rank"])) if has_letter(r["text"])]
 
 
 def margins(raw: np.ndarray) -> np.ndarray:

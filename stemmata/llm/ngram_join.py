@@ -39,6 +39,8 @@ SHORT_RUN = 32
 #: Ids up to which a needed-documents list is broadcast; beyond, it is joined by key.
 BROADCAST_IDS = 200_000
 ENTRIES_PER_BUCKET = 150_000
+#: Parts into which the documents of one class are dealt when they are joined with it.
+SALTS = 16
 #: Keys in one block of queries against the documents with long runs.
 QUERY_KEYS = 1_000_000
 
@@ -349,6 +351,19 @@ def unconnected(runs: DataFrame, class_of: DataFrame, found: DataFrame, pairs: D
     return every.groupBy("a", "b").agg(F.max("m").alias("m"))
 
 
+def _with_class(docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """docs (doc_id, n_shingles, k1, k2) with the least document of their equal sets as rep.
+
+    A class may hold a third of all documents: many classes are joined by key and a salt, each once for every salt."""
+    if classes.count() <= BROADCAST_IDS:
+        both = docs.join(F.broadcast(classes), ["k1", "k2"], "left")
+    else:
+        each = classes.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        both = docs.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(each, ["k1", "k2", "salt"], "left")
+    rep = F.when(F.col("n_shingles") > 0, F.coalesce("rep", "doc_id"))
+    return both.select("doc_id", "n_shingles", rep.alias("rep"))
+
+
 def joined(documents: DataFrame) -> DataFrame:
     """doc_id, n_shingles, class_id (least document with an equal set) and component_id of every document."""
     spark = documents.sparkSession
@@ -356,8 +371,10 @@ def joined(documents: DataFrame) -> DataFrame:
     profiled = staged(profile(documents), "profile")
     docs = profiled.where("kind = 0").select("doc_id", F.col("n").alias("n_shingles"), "k1", "k2")
     some = docs.where("n_shingles > 0")
-    classes = some.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"))
-    class_of = staged(some.join(classes, ["k1", "k2"]).select("doc_id", "rep", "n_shingles"), "classes")
+    # Only classes of several documents have to be looked up; all others stand for themselves.
+    classes = staged(some.groupBy("k1", "k2").agg(F.min("doc_id").alias("rep"), F.count("*").alias("members")).where("members > 1").drop("members"), "equal-sets")
+    docs = staged(_with_class(docs, classes), "classes")
+    class_of = docs.where("n_shingles > 0").select("doc_id", "rep", "n_shingles")
 
     total = docs.agg(F.coalesce(F.sum("n_shingles"), F.lit(0)), F.count("*")).first()
     expected = total[0] // 5 + total[1]
@@ -383,7 +400,7 @@ def joined(documents: DataFrame) -> DataFrame:
         more = more.where(enough(F.col("m") + F.coalesce("n", F.lit(0)))).join(first, ["a", "b"], "left_anti")
         links = links.union(linked(documents, staged(more.select("a", "b"), "more-pairs")))
     comps = components(links).select(F.col("node").alias("rep"), "component")
-    out = docs.join(classes, ["k1", "k2"], "left").join(comps, "rep", "left")
+    out = docs.join(comps, "rep", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("rep", "doc_id").alias("class_id"), F.coalesce("component", "rep", "doc_id").alias("component_id"))
 
 
