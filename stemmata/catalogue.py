@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from .functions.text import computed_urn, existing_urn, map_urn, pipeline_urn
 from .operators import audit, catalogues, genres, rewrite, schematron, structure, validation, vocabulary
-from .operators.shred import shred, tei
+from .operators.shred import AUDIT, CHECKS, ROOTS, SIGNATURE, shred, tei
 from .plans import commands
 from .plans.synthetic import IDS, catalogue_files, order_documents, table, text_documents, validator_lines
+from .runtime import staged
 from .sources.corpus import default_taxonomy
 from .vocabulary import FAMILY_DEFAULT, HIERARCHY, LINE, LITERARY
 
@@ -31,12 +32,17 @@ _GENRE = "case lang when 'en' then 'prose-standard' when 'fr' then 'verse-stichi
 _LINES = "len(string_split(coalesce(text, ''), chr(10)))"
 
 
-def _text_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shred(text_documents(spark, sf_dir))
+def _text_nodes(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return shred(text_documents(spark, sf_dir), columns)
 
 
-def _order_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shred(order_documents(spark, sf_dir))
+def _order_nodes(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    return shred(order_documents(spark, sf_dir), columns)
+
+
+def _audited(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For plans that read the nodes more than once: shredded once."""
+    return staged(_order_nodes(spark, sf_dir, *AUDIT), "nodes")
 
 
 def _doc_genre(spark: SparkSession, sf_dir: str):
@@ -59,18 +65,16 @@ from c group by all"""
 
 @query(_ELEMENTS)
 def element_vocab(spark, sf_dir):
-    nodes = _text_nodes(spark, sf_dir).where("kind = 'element'").select("path", "kind", "name", "attrs")
-    by_file = nodes.groupBy("path", F.col("name").alias("element")).agg(F.count("*").alias("n"), F.max(F.when((F.col("name") == "catRef") & (F.col("attrs")["scheme"] == "#genre"), F.regexp_replace(F.col("attrs")["target"], "^#+", ""))).alias("own"))
-    by_file = by_file.withColumn("genre", F.coalesce(F.max("own").over(Window.partitionBy("path")), F.lit("unknown")))
-    return vocabulary.ordered_elements(by_file.groupBy("element", "genre").agg(F.count("*").alias("file_count"), F.sum("n").alias("instance_count")))
+    docs, genre = _doc_genre(spark, sf_dir)
+    return vocabulary.ordered_elements(vocabulary.element_counts(vocabulary.element_files(docs.withColumn("genre", genre))))
 
 
 @query(f"select * from ({_ELEMENTS}) where genre = 'verse-stichic'")
 def vocab_genre_filter(spark, sf_dir):
     docs, genre = _doc_genre(spark, sf_dir)
     # The genre is settled before anything is shredded.
-    nodes = shred(docs.where(genre == "verse-stichic"))
-    return vocabulary.element_counts(nodes.withColumn("genre", F.lit("verse-stichic")))
+    nodes = shred(docs.where(genre == "verse-stichic"), ("kind", "name"))
+    return vocabulary.element_counts(vocabulary.files_of(nodes.withColumn("genre", F.lit("verse-stichic"))))
 
 
 @query("""
@@ -109,7 +113,7 @@ with v as (
   union all select 'milestone', 'unit', 'page' from {_ITEMS} where k = 4)
 select element, attribute, 'all' as genre, value, count(*) as count from v group by all""")
 def attr_vocab_xml(spark, sf_dir):
-    counts = vocabulary.attribute_values(_order_nodes(spark, sf_dir).withColumn("genre", F.lit("all")))
+    counts = vocabulary.attribute_values(_order_nodes(spark, sf_dir, "kind", "name", "attrs").withColumn("genre", F.lit("all")))
     return vocabulary.ordered_attributes(vocabulary.top_values(counts))
 
 
@@ -118,7 +122,7 @@ def parse_status(spark, sf_dir):
     docs = text_documents(spark, sf_dir)
     # Every seventeenth document loses its end: a broken file is a row, not a failure.
     broken = docs.withColumn("xml", F.when(F.col("doc_id") % 17 == 0, F.expr("left(xml, length(xml) - 7)")).otherwise(F.col("xml")))
-    return commands.roots(shred(broken)).groupBy("parse_ok").agg(F.count("*").alias("files"))
+    return commands.roots(shred(broken, ROOTS)).groupBy("parse_ok").agg(F.count("*").alias("files"))
 
 
 @query("""
@@ -127,7 +131,7 @@ where contains(coalesce(text, ''), '. ')""")
 def milestones(spark, sf_dir):
     docs = text_documents(spark, sf_dir)
     marked = docs.withColumn("xml", F.replace("xml", F.lit(". "), F.lit('.<milestone unit="sentence"/> ')))
-    return audit.milestones(shred(marked)).select(F.regexp_extract("path", r"d(\d+)\.xml$", 1).cast("long").alias("doc_id"), "count")
+    return audit.milestones(shred(marked, AUDIT)).select(F.regexp_extract("path", r"d(\d+)\.xml$", 1).cast("long").alias("doc_id"), "count")
 
 
 _UNITS = "case k when 3 then 'chapter' else 'book+chapter' end"
@@ -135,7 +139,7 @@ _UNITS = "case k when 3 then 'chapter' else 'book+chapter' end"
 
 @query(f"select o_custkey, {_UNITS} || case when k in (0, 2) then '+l' else '' end as signature from {_KIND}")
 def structure_signature(spark, sf_dir):
-    return structure.signatures(_order_nodes(spark, sf_dir)).select(_custkey(), structure.describe().alias("signature"))
+    return structure.signatures(_order_nodes(spark, sf_dir, *SIGNATURE)).select(_custkey(), structure.describe().alias("signature"))
 
 
 def _custkey():
@@ -144,12 +148,12 @@ def _custkey():
 
 @query(f"select o_custkey, 'book' as anc, 'chapter' as des from {_KIND} where k <> 3")
 def structure_contains(spark, sf_dir):
-    return structure.signatures(_order_nodes(spark, sf_dir)).select(_custkey(), F.explode("contains").alias("c")).select("o_custkey", "c.anc", "c.des")
+    return structure.signatures(_order_nodes(spark, sf_dir, *SIGNATURE)).select(_custkey(), F.explode("contains").alias("c")).select("o_custkey", "c.anc", "c.des")
 
 
 @query(f"select o_custkey, unnest(['book', 'chapter']) as unit from {_KIND} where k in (0, 2)")
 def lines_under_semi(spark, sf_dir):
-    return structure.signatures(_order_nodes(spark, sf_dir)).select(_custkey(), F.explode("lines_under").alias("unit"))
+    return structure.signatures(_order_nodes(spark, sf_dir, *SIGNATURE)).select(_custkey(), F.explode("lines_under").alias("unit"))
 
 
 _HIER = "(values " + ", ".join(f"('{k}', '{k.split('-')[0]}', [{', '.join(repr(u) for u in v)}])" for k, v in sorted(HIERARCHY.items())) + ") as h(subclass, family, units)"
@@ -164,12 +168,12 @@ where len(list_filter(units, lambda u: u <> '{LINE}' and not list_contains(divs,
 
 @query(f"select o_custkey, subclass from ({_FIT})")
 def subclass_match(spark, sf_dir):
-    return structure.fitting(structure.signatures(_order_nodes(spark, sf_dir))).select(_custkey(), "subclass")
+    return structure.fitting(structure.signatures(_order_nodes(spark, sf_dir, *SIGNATURE))).select(_custkey(), "subclass")
 
 
 @query(f"select o_custkey, subclass as best from (select *, row_number() over (partition by o_custkey order by depth desc, subclass) as r from ({_FIT})) where r = 1")
 def best_fit(spark, sf_dir):
-    return structure.best(structure.fitting(structure.signatures(_order_nodes(spark, sf_dir)))).select(_custkey(), "best")
+    return structure.best(structure.fitting(structure.signatures(_order_nodes(spark, sf_dir, *SIGNATURE)))).select(_custkey(), "best")
 
 
 @query(f"""
@@ -181,12 +185,12 @@ select o_custkey, case k when 2 then 'Chapter' else 'chapter' end, case k when 3
 from {_ITEMS} where k <> 1 group by o_custkey, k""")
 def citation_levels(spark, sf_dir):
     wrong = F.array_join(F.transform("base_wrong_examples", lambda w: w["actual"]), ",")
-    return audit.citation_levels(_order_nodes(spark, sf_dir)).select(_custkey(), "subtype", "depth", "count", "with_n", "with_base", "base_correct", wrong.alias("wrong"))
+    return audit.citation_levels(_audited(spark, sf_dir)).select(_custkey(), "subtype", "depth", "count", "with_n", "with_base", "base_correct", wrong.alias("wrong"))
 
 
 @query(f"select o_custkey, case k when 1 then 'unknown' when 4 then 'mixed' else 'div-based' end as structural_type from {_KIND}")
 def structural_type(spark, sf_dir):
-    return audit.facts(_order_nodes(spark, sf_dir)).select(_custkey(), audit.structural_type().alias("structural_type"))
+    return audit.facts(_order_nodes(spark, sf_dir, *AUDIT)).select(_custkey(), audit.structural_type().alias("structural_type"))
 
 
 @query(f"""
@@ -200,7 +204,7 @@ union all select o_custkey, 'STR003', 'warning', n || ' <div type=''textpart''>
 union all select o_custkey, 'STR004', 'warning', n || ' <div type=''textpart''>/@xml:base value(s) do not start with the document base URN (urn:cts:test:c' || o_custkey || '). Examples:' || chr(10)
   || array_to_string(list_resize(['  urn:cts:other:x', '  urn:cts:other:x', '  urn:cts:other:x'], least(3, n)), chr(10)) from w""")
 def audit_rules(spark, sf_dir):
-    found = audit.run_rules(_order_nodes(spark, sf_dir), audit.REFERENCE_RULES + audit.STRUCTURE_RULES)
+    found = audit.run_rules(_audited(spark, sf_dir), audit.REFERENCE_RULES + audit.STRUCTURE_RULES)
     return found.select(_custkey(), "rule_id", "role", "message")
 
 
@@ -210,12 +214,12 @@ select o_custkey, case k when 1 then '(no citation structure detected)' when 3 t
   || chr(10) || '  </citeStructure>' || chr(10) || '</refsDecl>' end as proposed_cite_structure, case when k = 1 then 'unknown' when k = 4 then 'mixed' else 'div-based' end as structural_type
 from (select *, case k when 2 then 'Book' else 'book' end as b, case k when 2 then 'Chapter' else 'chapter' end as c from {_KIND})""")
 def structure_report(spark, sf_dir):
-    return audit.structure_report(_order_nodes(spark, sf_dir)).select(_custkey(), "proposed_cite_structure", "structural_type")
+    return audit.structure_report(_audited(spark, sf_dir)).select(_custkey(), "proposed_cite_structure", "structural_type")
 
 
 @query(f"select o_custkey, case when k in (0, 4) then 'urn:cts:test:c' || o_custkey else '' end as base_urn, 0 as n_decls, case when k in (0, 4) then 2 else 3 end as n_issues from {_KIND}")
 def reference_report(spark, sf_dir):
-    return audit.reference_report(_order_nodes(spark, sf_dir)).select(_custkey(), "base_urn", F.col("refsDecl_count").alias("n_decls"), F.size("issues").alias("n_issues"))
+    return audit.reference_report(_audited(spark, sf_dir)).select(_custkey(), "base_urn", F.col("refsDecl_count").alias("n_decls"), F.size("issues").alias("n_issues"))
 
 
 _NORMALIZED = f"""
@@ -225,7 +229,7 @@ select o_custkey, check_id from {_KIND}, (values ('genre-annotation', [3]), ('ct
 
 @query(_NORMALIZED)
 def schematron_normalized(spark, sf_dir):
-    return schematron.run_checks(_order_nodes(spark, sf_dir), schematron.normalized_checks()).select(_custkey(), "check_id")
+    return schematron.run_checks(_order_nodes(spark, sf_dir, *CHECKS), schematron.normalized_checks()).select(_custkey(), "check_id")
 
 
 @query(f"select o_custkey, count(*) as findings, false as valid from ({_NORMALIZED}) group by all")
@@ -235,7 +239,7 @@ def gate_failures(spark, sf_dir):
 
 @query(f"select o_custkey, 'genre-needs-review' as check_id from {_KIND} where k = 2")
 def schematron_encoding(spark, sf_dir):
-    return schematron.run_checks(_order_nodes(spark, sf_dir), schematron.encoding_checks()).select(_custkey(), "check_id")
+    return schematron.run_checks(_order_nodes(spark, sf_dir, *CHECKS), schematron.encoding_checks()).select(_custkey(), "check_id")
 
 
 _IDS = "[" + ", ".join(f"'{x}'" for x in IDS) + "]"
@@ -263,7 +267,7 @@ def genre_family_lookup(spark, sf_dir):
 select d.doc_id, case when {_GENRE} <> '' then {_GENRE} when l.doc_id is null then 'unknown' when l.quality = 1 then 'prose' else 'verse' end as genre
 from documents d left join (select doc_id, max(quality) as quality from labels group by 1) l on l.doc_id = d.doc_id""")
 def genre_resolve(spark, sf_dir):
-    own = genres.document_genre(_text_nodes(spark, sf_dir))
+    own = genres.document_genre(_text_nodes(spark, sf_dir, "node_id", "kind", "ns", "name", "attrs", "anc_names"))
     labels = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality")).select("doc_id", F.when(F.col("quality") == 1, "prose").otherwise("verse").alias("map_genre"))
     docs = text_documents(spark, sf_dir).select("doc_id", "path")
     return docs.join(own, "path", "left").join(labels, "doc_id", "left").select("doc_id", genres.first_of("genre_tei", "map_genre", default="unknown").alias("genre"))
@@ -278,7 +282,7 @@ _STRUCTURAL = "case when sp_count > 0 then 'drama' when l_count > 0 and l_count
 @query(f"select *, {_STRUCTURAL} as structural from ({_SIGNALS})")
 def signals_family(spark, sf_dir):
     docs = text_documents(spark, sf_dir).select("path", "source")
-    found = catalogues.signals(_text_nodes(spark, sf_dir).join(docs, "path"), "source")
+    found = catalogues.signals(_text_nodes(spark, sf_dir, "node_id", "kind", "ns", "name", "attrs", "in_text").join(docs, "path"), "source")
     return found.select("source", "sp_count", "l_count", "p_count", catalogues.inferred_family().alias("structural"))
 
 
@@ -377,7 +381,8 @@ def rewrite_normalize(spark, sf_dir):
     docs = order_documents(spark, sf_dir)
     own = genres.with_family(docs.withColumn("genre", F.regexp_extract("xml", r'target="#([^"]*)"', 1)), default_taxonomy(spark))
     done = rewrite.rewritten(own.withColumn("cts_base", pipeline_urn(F.col("path"), F.lit(""))))
-    nodes = shred(done.select("path", "xml"))
+    done = staged(done, "rewritten")
+    nodes = shred(done.select("path", "xml"), ("kind", "name", "attrs", "text"))
     el = lambda name: (F.col("kind") == "element") & (F.col("name") == name)
     div = lambda *types: F.count_if(el("div") & F.col("attrs")["type"].isin(*types))
     counts = nodes.groupBy("path").agg(
@@ -393,7 +398,7 @@ def rewrite_verse(spark, sf_dir):
     lines = F.split("xml", "<l>")
     kind = lambda i: F.when(i % 3 == 0, '<l ana="#met-dact">').when(i % 3 == 1, '<l met="u">').otherwise("<l>")
     xml = F.concat(F.element_at(lines, 1), F.array_join(F.transform(F.slice(lines, 2, F.size(lines)), lambda x, i: F.concat(kind(i), x)), ""))
-    nodes = tei(shred(rewrite.rewritten(docs.withColumn("xml", xml), ("fix_verse",)).select("path", "xml")), "l")
+    nodes = tei(shred(rewrite.rewritten(docs.withColumn("xml", xml), ("fix_verse",)).select("path", "xml"), ("kind", "ns", "name", "attrs")), "l")
     met = F.col("attrs")["met"]
     return nodes.groupBy(F.regexp_extract("path", r"d(\d+)\.xml$", 1).cast("long").alias("doc_id")).agg(
         F.count_if((met == "dactylic-hexameter") & F.col("attrs")["ana"].isNull()).alias("dactylic"), F.count_if(met.isin("u", "U")).alias("placeholders"), F.count("*").alias("n_lines")
@@ -403,7 +408,7 @@ def rewrite_verse(spark, sf_dir):
 @query("select doc_id, '#verse-book-line' as target, 'low' as cert, 1 as n_classes from documents")
 def rewrite_set_genre(spark, sf_dir):
     done = rewrite.rewritten(text_documents(spark, sf_dir).withColumn("target", F.lit("verse-book-line")).withColumn("cert", F.lit("low")), ("set_genre",))
-    refs = tei(shred(done.select("path", "xml")), "catRef")
+    refs = tei(shred(done.select("path", "xml"), ("kind", "ns", "name", "attrs")), "catRef")
     out = refs.groupBy("path").agg(F.max(F.col("attrs")["target"]).alias("target"), F.max(F.col("attrs")["cert"]).alias("cert"), F.count("*").cast("int").alias("n_classes"))
     return out.select(F.regexp_extract("path", r"d(\d+)\.xml$", 1).cast("long").alias("doc_id"), "target", "cert", "n_classes")
 

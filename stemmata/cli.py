@@ -5,6 +5,7 @@ The exit code is the number of documents with an error (255 at most), as a calle
 from __future__ import annotations
 
 import argparse
+import os
 import sys
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,15 +18,14 @@ from .sources import corpus
 from .vocabulary import Names
 
 
-def resolve_output(source: str, output: str | None, batch: bool, is_dir: bool = False) -> str:
-    """Where a document goes: in place without an output, into a folder in batches, else to the path itself."""
-    if output is None:
-        return source
-    return f"{output.rstrip('/')}/{source.rsplit('/', 1)[-1]}" if batch or is_dir else output
+def _folder(args) -> str | None:
+    """Where documents go: below the output folder, or with --in-place to where they came from."""
+    return None if args.in_place else args.output
 
 
-def _folder(path: str) -> str:
-    return path if "://" in path else f"file://{path}"
+def _root(args) -> str | None:
+    """The corpus folder, below which documents keep their places; None for a list of files."""
+    return os.path.abspath(args.input[0]) if len(args.input) == 1 and not args.input[0].endswith(".xml") and "://" not in args.input[0] else None
 
 
 def _files(spark: SparkSession, args) -> DataFrame:
@@ -41,11 +41,11 @@ def _names(args) -> Names:
     return Names(**given)
 
 
-def _write(done: DataFrame, output: str, suffix: str = "", column: str = "xml") -> int:
+def _write(done: DataFrame, output: str | None, root: str | None, suffix: str = "", column: str = "xml") -> int:
     """Writes the documents and reports the errors, whose number it returns."""
     done = done.persist()
     bad = done.where(F.col("error").isNotNull()).select("path", "error") if "error" in done.columns else None
-    written = commands.write_documents(done, _folder(output), suffix, column).count()
+    written = commands.write_documents(done, output, suffix, column, root).count()
     errors = bad.count() if bad is not None else 0
     print(f"{written} written, {errors} errors", file=sys.stderr)
     for r in bad.limit(20).collect() if errors else ():
@@ -67,23 +67,24 @@ def genre_map(spark, args):
 
 
 def apply_map(spark, args):
-    out = commands.apply_genre_map(corpus.read_csv(spark, args.map), _files(spark, args), _taxonomy(spark, args)).persist()
+    files = _files(spark, args)
+    out = commands.apply_genre_map(corpus.read_csv(spark, args.map), files, _taxonomy(spark, args)).persist()
     counts = {r["status"]: r["n"] for r in commands.run_counts(out).collect()}
     print(", ".join(f"{n} {k}" for k, n in sorted(counts.items())), file=sys.stderr)
-    commands.write_documents(out.where("status = 'apply'"), _folder(args.output)).count()
+    commands.write_documents(out.where("status = 'apply'").join(files.select("rel", "path").withColumnsRenamed({"path": "whole", "rel": "path"}), "path").withColumn("path", F.col("whole")), _folder(args), root=_root(args)).count()
     return counts.get("error", 0)
 
 
 def annotate(spark, args):
-    return _write(commands.annotate(_files(spark, args), _taxonomy(spark, args)), args.output)
+    return _write(commands.annotate(_files(spark, args), _taxonomy(spark, args)), _folder(args), _root(args))
 
 
 def normalize(spark, args):
-    return _write(commands.normalize(corpus.texts(_files(spark, args)), _taxonomy(spark, args), _names(args)), args.output)
+    return _write(commands.normalize(corpus.texts(_files(spark, args)), _taxonomy(spark, args), _names(args)), _folder(args), _root(args))
 
 
 def set_genre(spark, args):
-    return _write(commands.set_genre(corpus.texts(_files(spark, args)), args.genre or "", _taxonomy(spark, args), args.cert, _names(args)), args.output)
+    return _write(commands.set_genre(corpus.texts(_files(spark, args)), args.genre or "", _taxonomy(spark, args), args.cert, _names(args)), _folder(args), _root(args))
 
 
 def validate(spark, args):
@@ -98,15 +99,15 @@ def _reports(suffix):
         nodes = shred(corpus.texts(_files(spark, args)))
         if suffix == "schema":
             names = _names(args)
-            report = schematron.report(schematron.run_checks(nodes, schematron.normalized_checks(names) + schematron.encoding_checks(names), names))
+            report = schematron.report(schematron.run_checks(nodes, schematron.normalized_checks(names) + schematron.encoding_checks(names)))
             shown = schematron.report_text(report)
         else:
             report = audit.reference_report(nodes) if suffix == "refs" else audit.structure_report(nodes)
             shown = audit.reference_text(report) if suffix == "refs" else audit.structure_text(report)
         if args.json:
-            _write(audit.as_json(report), args.output, f"-{suffix}.json", "json")
+            _write(audit.as_json(report), args.output, _root(args), f"-{suffix}.json", "json")
         else:
-            _write(shown, args.output, f"-{suffix}.txt", "text")
+            _write(shown, args.output, _root(args), f"-{suffix}.txt", "text")
         return commands.roots(nodes).where("not parse_ok").count()
 
     return run
@@ -136,6 +137,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--taxonomy-id", default="genres")
     p.add_argument("--cert", default="")
     p.add_argument("--json", action="store_true")
+    p.add_argument("--in-place", action="store_true", help="rewrite documents where they are")
     args = p.parse_args(argv)
     from .runtime import session
 

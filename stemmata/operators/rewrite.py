@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import LANGUAGES
-from ..runtime import ship
+from ..runtime import bounded
 from ..sources.corpus import TEI
 from ..vocabulary import FAMILY_DEFAULT, HIERARCHY, LINE, NAMES, Names
 
@@ -323,7 +323,7 @@ def rewritten(docs: DataFrame, steps: tuple[str, ...] | None = None, names: Name
     """path, xml and error of documents (path, xml, and where a step asks: family, cts_base, target, cert).
 
     Without steps, each document takes those of its family."""
-    ship(docs.sparkSession)
+    bounded(docs.sparkSession)
     have = set(docs.columns)
     given = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) if c in have else F.lit("").alias(c) for c in ("family", "cts_base", "target", "cert")]
 

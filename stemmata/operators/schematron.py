@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import after_hash, collapse, or_empty
+from ..runtime import bounded
 from ..sources.corpus import TEI
 from ..vocabulary import FAMILY_DEFAULT, HIERARCHY, NAMES, Names
 from .shred import parse
@@ -28,6 +31,11 @@ class Check:
     source: str  # the test as it is written in reports
 
 
+def _holds(path: str) -> Column:
+    """Whether a holder of the shredder has this child or grandchild."""
+    return F.coalesce(F.array_contains("holds", path), F.lit(False))
+
+
 def _element(name: str) -> Column:
     return (F.col("kind") == "element") & (F.col("ns") == TEI) & (F.col("name") == name)
 
@@ -41,13 +49,13 @@ def normalized_checks(names: Names = NAMES) -> list[Check]:
     valid = sorted([*HIERARCHY, *FAMILY_DEFAULT])
     text = or_empty(F.col("text"))
     return [
-        Check("genre-annotation", ASSERT, "error", _element("profileDesc"), F.col("has_genre"), F.lit(f"profileDesc must contain textClass/catRef[@scheme='{names.scheme}']. Run set-genre first."), "textClass/catRef"),
+        Check("genre-annotation", ASSERT, "error", _element("profileDesc"), _holds(f"textClass/catRef[@scheme='{names.scheme}']"), F.lit(f"profileDesc must contain textClass/catRef[@scheme='{names.scheme}']. Run set-genre first."), "textClass/catRef"),
         Check("genre-category", ASSERT, "error", ref, after_hash(target).isin(*valid), F.concat(F.lit("catRef target '"), target, F.lit("' is not a recognized genre category.")), "substring-after(@target, '#') = $valid-genres"),
         Check("cts-xml-base", ASSERT, "error", _element("body"), base.isNotNull(), F.lit("body must carry @xml:base with the CTS URN."), "@xml:base"),
         Check("cts-xml-base-urn", ASSERT, "error", _element("body"), or_empty(base).startswith("urn:cts:"), F.concat(F.lit("body/@xml:base must be a CTS URN (starting with 'urn:cts:'). Got: "), or_empty(base)), "starts-with(@xml:base, 'urn:cts:')"),
-        Check("cts-idno", ASSERT, "error", _element("publicationStmt"), F.col("has_idno"), F.lit("publicationStmt must contain idno[@type='CTS']."), "idno[@type='CTS']"),
-        Check("refs-decl", ASSERT, "error", _element("encodingDesc"), F.col("has_decl"), F.lit("encodingDesc must contain refsDecl[@n='CTS']."), "refsDecl[@n='CTS']"),
-        Check("refs-decl-cite", ASSERT, "error", _element("encodingDesc"), F.col("has_cite"), F.lit("refsDecl[@n='CTS'] must contain a citeStructure element."), "refsDecl[@n='CTS']/citeStructure"),
+        Check("cts-idno", ASSERT, "error", _element("publicationStmt"), _holds("idno[@type='CTS']"), F.lit("publicationStmt must contain idno[@type='CTS']."), "idno[@type='CTS']"),
+        Check("refs-decl", ASSERT, "error", _element("encodingDesc"), _holds("refsDecl[@n='CTS']"), F.lit("encodingDesc must contain refsDecl[@n='CTS']."), "refsDecl[@n='CTS']"),
+        Check("refs-decl-cite", ASSERT, "error", _element("encodingDesc"), _holds("refsDecl[@n='CTS']/citeStructure"), F.lit("refsDecl[@n='CTS'] must contain a citeStructure element."), "refsDecl[@n='CTS']/citeStructure"),
         Check("schema-pi", ASSERT, "error", pi, F.contains(text, F.lit(names.schema_base)), F.concat(F.lit("xml-model PI does not point to a corpus schema. Got: "), text), "contains(., schema base)"),
         Check("schema-pi-types", ASSERT, "error", pi, F.contains(text, F.lit("schematypens")), F.lit("xml-model PI is missing schematypens attribute."), "contains(., 'schematypens')"),
     ]
@@ -67,32 +75,7 @@ def encoding_checks(names: Names = NAMES) -> list[Check]:
     ]
 
 
-def _with_children(nodes: DataFrame, names: Names) -> DataFrame:
-    """The contexts of the checks, with what their child tests ask for: which descendants of the right kind stand where they should."""
-    up = lambda k: F.slice("anc_names", -k, k)
-    long = lambda k: F.size("anc_names") >= k
-    tail = lambda *n: F.when(long(len(n)), up(len(n)) == F.array(*map(F.lit, n))).otherwise(False)
-    known = nodes.where(F.col("kind").isin("element", "pi"))
-    marks = known.where(F.col("kind") == "element").select(
-        "path", "node_id",
-        F.when(_element("catRef") & (F.col("attrs")["scheme"] == names.scheme) & tail("profileDesc", "textClass"), "has_genre")
-        .when(_element("idno") & (F.col("attrs")["type"] == "CTS") & tail("publicationStmt"), "has_idno")
-        .when(_element("refsDecl") & (F.col("attrs")["n"] == "CTS") & tail("encodingDesc"), "has_decl")
-        .when(_element("citeStructure") & tail("encodingDesc", "refsDecl"), "has_cite").alias("mark"),
-        "parent_id",
-    ).where("mark is not null")
-    contexts = known.where(_element("profileDesc") | _element("publicationStmt") | _element("encodingDesc"))
-    cts = marks.where("mark = 'has_decl'").select("path", F.col("node_id").alias("parent_id"))
-    marks = marks.where("mark != 'has_cite'").unionByName(marks.where("mark = 'has_cite'").join(cts, ["path", "parent_id"], "left_semi").select("path", "node_id", "mark", "parent_id"))
-    inside = contexts.select("path", F.col("node_id").alias("lo"), F.col("end_id").alias("hi")).join(marks.select("path", "node_id", "mark"), "path").where("node_id between lo and hi")
-    held = inside.groupBy("path", F.col("lo").alias("node_id")).agg(F.collect_set("mark").alias("marks"))
-    out = known.join(held, ["path", "node_id"], "left")
-    for c in ("has_genre", "has_idno", "has_decl", "has_cite"):
-        out = out.withColumn(c, F.coalesce(F.array_contains("marks", c), F.lit(False)))
-    return out.drop("marks")
-
-
-def run_checks(nodes: DataFrame, checks: list[Check], names: Names = NAMES) -> DataFrame:
+def run_checks(nodes: DataFrame, checks: list[Check]) -> DataFrame:
     """path, check_id, kind, role, location, test, message of every finding; contexts that are absent give none."""
     each = [
         F.when(
@@ -101,7 +84,7 @@ def run_checks(nodes: DataFrame, checks: list[Check], names: Names = NAMES) -> D
         )
         for c in checks
     ]
-    rows = _with_children(nodes, names).where(F.col("kind").isin("element", "pi"))
+    rows = nodes.where(F.col("kind").isin("element", "pi"))
     return rows.select("path", F.explode(F.filter(F.array(*each), lambda x: x.isNotNull())).alias("f")).select("path", "f.*")
 
 
@@ -123,18 +106,21 @@ SVRL = "http://purl.oclc.org/dsdl/svrl"
 
 def read_svrl(reports: DataFrame) -> DataFrame:
     """path, kind, role, location, test, message of the findings in SVRL reports (path, xml)."""
-
-    @F.udf("array<struct<kind:string,role:string,location:string,test:string,message:string>>")
-    def found(xml: str):
-        nodes = parse(xml or "")
-        out = []
-        for n in nodes:
-            if n["kind"] == "element" and n["ns"] == SVRL and n["name"] in (ASSERT, REPORT):
-                text = next((m["text"] for m in nodes[n["node_id"] : n["end_id"]] if m["name"] == "text"), "")
-                out.append((n["name"], n["attrs"].get("role", ""), n["attrs"].get("location", ""), n["attrs"].get("test", ""), " ".join((text or "").split())))
-        return out
-
-    return reports.select("path", F.explode(found("xml")).alias("f")).select("path", "f.*")
+    bounded(reports.sparkSession)
+    names = ["path", "kind", "role", "location", "test", "message"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for path, xml in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                nodes = parse(xml or "", frozenset())
+                for n in nodes:
+                    if n["kind"] == "element" and n["ns"] == SVRL and n["name"] in (ASSERT, REPORT):
+                        text = next((m["text"] for m in nodes[n["node_id"] : n["end_id"]] if m["name"] == "text"), "")
+                        rows.append((path, n["name"], *[n["attrs"].get(k, "") for k in ("role", "location", "test")], " ".join((text or "").split())))
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.string()) for k in range(6)], names=names)
+
+    return reports.select("path", "xml").mapInArrow(run, ", ".join(f"{c} string" for c in names))
 
 
 def report(found: DataFrame) -> DataFrame:

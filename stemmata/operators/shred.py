@@ -14,21 +14,31 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..runtime import ship
+from ..runtime import bounded
 from ..sources.corpus import TEI, XML
 from ..vocabulary import WRAPPERS
 
 SCHEMA = (
     "path string, node_id int, end_id int, parent_id int, depth int, kind string, ns string, name string, attrs map<string,string>, text string, has_child_node boolean, "
-    "in_body boolean, in_text boolean, unit string, anc_units array<string>, anc_textparts int, anc_names array<string>, location string"
+    "in_body boolean, in_text boolean, unit string, anc_units array<string>, anc_textparts int, anc_names array<string>, holds array<string>, location string"
 )
+_TYPES = dict(c.split(" ", 1) for c in SCHEMA.split(", "))
 _ARROW = {
     "path": pa.string(), "node_id": pa.int32(), "end_id": pa.int32(), "parent_id": pa.int32(), "depth": pa.int32(), "kind": pa.string(), "ns": pa.string(), "name": pa.string(),
     "attrs": pa.map_(pa.string(), pa.string()), "text": pa.string(), "has_child_node": pa.bool_(), "in_body": pa.bool_(), "in_text": pa.bool_(), "unit": pa.string(),
-    "anc_units": pa.list_(pa.string()), "anc_textparts": pa.int32(), "anc_names": pa.list_(pa.string()), "location": pa.string(),
+    "anc_units": pa.list_(pa.string()), "anc_textparts": pa.int32(), "anc_names": pa.list_(pa.string()), "holds": pa.list_(pa.string()), "location": pa.string(),
 }
 
 
+#: What the operators read of a node; shred() makes no other columns than those asked for.
+SIGNATURE = ("kind", "ns", "name", "in_body", "unit", "anc_units")
+AUDIT = ("node_id", "end_id", "parent_id", "depth", "kind", "ns", "name", "attrs", "text", "in_body", "in_text", "unit", "anc_textparts", "anc_names")
+CHECKS = ("kind", "ns", "name", "attrs", "text", "has_child_node", "holds", "location")
+ROOTS = ("depth", "kind", "ns", "name", "text")
+#: Elements that list what stands in them, two levels down, for child tests.
+HOLDERS = ("profileDesc", "publicationStmt", "encodingDesc")
+
+
 def unit_of(attrs: dict[str, str]) -> str | None:
     """The citation unit of a div: a text part's subtype, else its type unless that is a mere wrapper."""
     kind = attrs.get("type", "")
@@ -38,7 +48,8 @@ def unit_of(attrs: dict[str, str]) -> str | None:
 
 
 class _Tree:
-    def __init__(self) -> None:
+    def __init__(self, located: bool = True) -> None:
+        self.located = located
         self.nodes: list[dict] = []
         self.stack: list[dict] = []
         self.counts: list[dict[str, int]] = [{}]
@@ -47,11 +58,14 @@ class _Tree:
         parent = self.stack[-1] if self.stack else None
         if parent:
             parent["has_child_node"] = True
-        seen = self.counts[-1]
-        seen[name] = seen.get(name, 0) + 1
+        location = None
+        if self.located:
+            seen = self.counts[-1]
+            seen[name] = seen.get(name, 0) + 1
+            location = f"{parent['location'] if parent else ''}/{name}[{seen[name]}]"
         node = {
             "node_id": len(self.nodes) + 1, "end_id": len(self.nodes) + 1, "parent_id": parent["node_id"] if parent else None, "depth": len(self.stack), "kind": kind, "ns": ns, "name": name,
-            "attrs": attrs, "text": text, "has_child_node": False, "location": f"{parent['location'] if parent else ''}/{name}[{seen[name]}]",
+            "attrs": attrs, "text": text, "has_child_node": False, "location": location,
         }
         self.nodes.append(node)
         return node
@@ -77,9 +91,28 @@ class _Tree:
             top["has_child_node"] = True
 
 
-def parse(xml: str) -> list[dict]:
-    """The nodes of one document in preorder."""
-    tree = _Tree()
+def _holds(nodes: list[dict]) -> None:
+    """Gives each holder its children and their children, as paths with one attribute test each (`refsDecl[@n='CTS']/citeStructure`)."""
+    for n in nodes:
+        n["holds"] = [] if n["kind"] == "element" and n["ns"] == TEI and n["name"] in HOLDERS else None
+    tests = lambda n: [f"{n['name']}[@{k}='{v}']" for k, v in n["attrs"].items()]
+    for n in nodes:
+        up = nodes[n["parent_id"] - 1] if n["parent_id"] and n["kind"] == "element" and n["ns"] == TEI else None
+        if up is None:
+            continue
+        if up["holds"] is not None:
+            up["holds"] += [n["name"], *tests(n)]
+        above = nodes[up["parent_id"] - 1] if up["parent_id"] else None
+        if above is not None and above["holds"] is not None:
+            above["holds"] += [f"{up['name']}/{x}" for x in (n["name"], *tests(n))] + [f"{x}/{n['name']}" for x in tests(up)]
+    for n in nodes:
+        if n["holds"]:
+            n["holds"] = list(dict.fromkeys(n["holds"]))
+
+
+def parse(xml: str, wanted: frozenset[str] = frozenset(_ARROW)) -> list[dict]:
+    """The nodes of one document in preorder; what isn't wanted and takes time is left out."""
+    tree = _Tree("location" in wanted)
     parser = expat.ParserCreate(namespace_separator="}")
     parser.ordered_attributes = True
     parser.buffer_text = True
@@ -89,8 +122,13 @@ def parse(xml: str) -> list[dict]:
     try:
         parser.Parse(xml.encode() if isinstance(xml, str) else xml, True)
     except (expat.ExpatError, ValueError) as e:
-        return [{"node_id": 0, "end_id": 0, "parent_id": None, "depth": 0, "kind": "error", "ns": "", "name": "", "attrs": {}, "text": str(e), "has_child_node": False, "in_body": False, "in_text": False, "unit": None, "anc_units": [], "anc_textparts": 0, "anc_names": [], "location": ""}]
+        return [{"node_id": 0, "end_id": 0, "parent_id": None, "depth": 0, "kind": "error", "ns": "", "name": "", "attrs": {}, "text": str(e), "has_child_node": False, "in_body": False, "in_text": False, "unit": None, "anc_units": [], "anc_textparts": 0, "anc_names": [], "holds": None, "location": ""}]
     nodes = tree.nodes
+    if "holds" in wanted:
+        _holds(nodes)
+    if not wanted & {"in_body", "in_text", "unit", "anc_units", "anc_textparts", "anc_names"}:
+        return nodes
+    named = "anc_names" in wanted
     tei = lambda n: n["kind"] == "element" and n["ns"] == TEI
     root = next(n for n in nodes if n["kind"] == "element")
     body = next((n for n in nodes if tei(n) and n["name"] == "body"), None) or next((n for n in nodes if tei(n) and n["name"] == "text"), root)
@@ -104,28 +142,32 @@ def parse(xml: str) -> list[dict]:
         n["in_text"] = up["in_text"] or (tei(up) and up["name"] == "text")
         n["anc_units"] = up["anc_units"] + [up["unit"]] if up["unit"] else up["anc_units"]
         n["anc_textparts"] = up["anc_textparts"] + (tei(up) and up["name"] == "div" and up["attrs"].get("type") == "textpart")
-        n["anc_names"] = [*up["anc_names"], up["name"]]
+        n["anc_names"] = [*up["anc_names"], up["name"]] if named else []
     return nodes
 
 
-def shred(docs: DataFrame) -> DataFrame:
-    """The nodes of all documents (path, xml)."""
-    ship(docs.sparkSession)
+def shred(docs: DataFrame, columns: tuple[str, ...] = ()) -> DataFrame:
+    """The nodes of all documents (path, xml), with the columns asked for (path always; none named: all)."""
+    bounded(docs.sparkSession)
+    names = [c for c in _ARROW if c == "path" or not columns or c in columns]
+    wanted = frozenset(names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        empty = lambda: {k: [] for k in names}
+        made = lambda columns: pa.RecordBatch.from_arrays([pa.array(c, _ARROW[k]) for k, c in columns.items()], names=names)
         for batch in batches:
-            columns: dict[str, list] = {k: [] for k in _ARROW}
+            columns = empty()
             for path, xml in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for n in parse(xml or ""):
-                    for k, c in columns.items():
-                        c.append(path if k == "path" else list(n[k].items()) if k == "attrs" else n[k])
+                nodes = parse(xml or "", wanted)
+                for k, c in columns.items():
+                    c += [path] * len(nodes) if k == "path" else [list(n["attrs"].items()) for n in nodes] if k == "attrs" else [n[k] for n in nodes]
                 if len(columns["path"]) > 20_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, _ARROW[k]) for k, c in columns.items()], names=list(_ARROW))
-                    columns = {k: [] for k in _ARROW}
+                    yield made(columns)
+                    columns = empty()
             if columns["path"]:
-                yield pa.RecordBatch.from_arrays([pa.array(c, _ARROW[k]) for k, c in columns.items()], names=list(_ARROW))
+                yield made(columns)
 
-    return docs.select("path", "xml").mapInArrow(run, SCHEMA)
+    return docs.select("path", "xml").mapInArrow(run, ", ".join(f"{c} {_TYPES[c]}" for c in names))
 
 
 def tei(nodes: DataFrame, *names: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
@@ -9,7 +11,8 @@ from pyspark.sql import functions as F
 
 from ..functions.text import map_urn, or_empty, or_null, pipeline_urn, strip, truthy
 from ..operators import audit, catalogues, genres, rewrite, schematron, structure, validation, vocabulary
-from ..operators.shred import shred
+from ..operators.shred import AUDIT, CHECKS, ROOTS, SIGNATURE, shred
+from ..runtime import qualified, staged
 from ..sources.corpus import MAP_COLUMNS, TEI, group_catalogues, texts, work_catalogues
 from ..vocabulary import FAMILY_DEFAULT, NAMES, Names
 
@@ -41,8 +44,9 @@ def resolved_genres(files: DataFrame, nodes: DataFrame, genre_map: DataFrame | N
 
 def survey(files: DataFrame, nodes: DataFrame | None = None, genre: str | None = None) -> dict[str, DataFrame]:
     """elements, attributes and structure tables of a corpus; a genre narrows all three before anything is counted."""
-    nodes = shred(texts(files)) if nodes is None else nodes
-    which = resolved_genres(files, nodes).select("path", "genre")
+    # Shredded once: four plans read the nodes.
+    nodes = staged(shred(texts(files), AUDIT), "nodes") if nodes is None else nodes
+    which = staged(resolved_genres(files, nodes).select("path", "genre"), "genres")
     if genre:
         which = which.where(F.col("genre") == genre)
     here = nodes.where("kind != 'error'").join(which, "path")
@@ -52,7 +56,7 @@ def survey(files: DataFrame, nodes: DataFrame | None = None, genre: str | None =
         F.array_join(F.col("milestones.unit"), "|").alias("milestone_units"), F.array_join("issues", "; ").alias("issues"),
     )
     return {
-        "elements": vocabulary.ordered_elements(vocabulary.element_counts(here)),
+        "elements": vocabulary.ordered_elements(vocabulary.element_counts(vocabulary.files_of(here))),
         "attributes": vocabulary.ordered_attributes(vocabulary.top_values(vocabulary.attribute_values(here))),
         "structure": base.orderBy("path"),
     }
@@ -71,9 +75,10 @@ def verified(signed: DataFrame) -> DataFrame:
 
 def genre_map(files: DataFrame, taxonomy: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """A row for each text of a catalogued work, for review: what its catalogue suggests and what its structure supports."""
-    nodes = shred(texts(files)) if nodes is None else nodes
+    nodes = staged(shred(texts(files), (*SIGNATURE, "node_id", "attrs")), "nodes") if nodes is None else nodes
     works = genres.with_proposal(work_table(files).withColumnRenamed("genre", "suggested_genre"), taxonomy, "suggested_genre")
     works = works.select("textgroup", "work", "author", "title", "suggested_genre", "confidence", F.col("proposed_family").alias("family"))
+    works = staged(works, "works")
     docs = texts(files).select("path", "rel", "textgroup", "work").join(works, ["textgroup", "work"])
     signed = structure.signatures(nodes).join(docs.select("path", "family"), "path")
     default = F.create_map(*[F.lit(x) for pair in FAMILY_DEFAULT.items() for x in pair])[F.col("family")]
@@ -113,10 +118,11 @@ def apply_plan(rows: DataFrame, docs: DataFrame, taxonomy: DataFrame) -> DataFra
 
 def apply_genre_map(rows: DataFrame, files: DataFrame, taxonomy: DataFrame) -> DataFrame:
     """path, status, xml and error; raises before anything is rewritten if any target is invalid."""
-    bad = [tuple(r) for r in invalid_targets(rows, taxonomy).limit(20).collect()]
+    # All of them: a map is reviewed by hand, so that its faults are few.
+    bad = [tuple(r) for r in invalid_targets(rows, taxonomy).collect()]
     if bad:
         raise ValueError(f"invalid genre values, nothing was changed: {bad}")
-    docs = roots(shred(texts(files))).join(texts(files).select("path", "rel", "xml"), "path")
+    docs = roots(shred(texts(files), ROOTS)).join(texts(files).select("path", "rel", "xml"), "path")
     plan = apply_plan(rows, docs, taxonomy)
     todo = plan.where("status = 'apply'").join(docs.select(F.col("rel").alias("path"), "xml"), "path").withColumnRenamed("genre", "target")
     done = rewrite.rewritten(todo, ("set_genre",))
@@ -139,7 +145,7 @@ def run_counts(rows: DataFrame) -> DataFrame:
 
 def normalize(files: DataFrame, taxonomy: DataFrame, names: Names = NAMES) -> DataFrame:
     """path, xml and error of every text, rewritten by the pipeline of its genre's family."""
-    nodes = shred(texts(files))
+    nodes = staged(shred(texts(files), ("node_id", "kind", "ns", "name", "attrs", "anc_names")), "nodes")
     own = genres.with_family(genres.document_genre(nodes, names, anywhere=True), taxonomy, "genre_tei").select("path", "genre_tei", "family")
     docs = texts(files).select("path", "xml").join(own, "path", "left").join(base_urns(nodes), "path", "left")
     return rewrite.rewritten(docs.withColumn("cts_base", pipeline_urn(F.col("path"), or_empty(F.col("base_urn")))), names=names)
@@ -153,16 +159,16 @@ def set_genre(files: DataFrame, target: str, taxonomy: DataFrame, cert: str = ""
 
 def validate(files: DataFrame, names: Names = NAMES) -> DataFrame:
     """path, findings and valid of every text that can be parsed, by the checks of normalized documents."""
-    nodes = shred(texts(files))
-    bad = schematron.gate(schematron.run_checks(nodes, schematron.normalized_checks(names), names)).groupBy("path").agg(F.count("*").alias("findings"))
+    nodes = staged(shred(texts(files), (*CHECKS, "depth")), "nodes")
+    bad = schematron.gate(schematron.run_checks(nodes, schematron.normalized_checks(names))).groupBy("path").agg(F.count("*").alias("findings"))
     return roots(nodes).join(bad, "path", "left").select("path", F.coalesce("findings", F.lit(0)).alias("findings"), (F.col("parse_ok") & F.col("findings").isNull()).alias("valid"))
 
 
 def annotate(files: DataFrame, taxonomy: DataFrame, classify: Callable = catalogues.by_structure) -> DataFrame:
     """Genre and confidence for each catalogued work that has none yet, with the catalogue entry to be written."""
-    works = work_table(files).where(strip(F.col("genre")) == "")
+    works = staged(work_table(files), "works").where(strip(F.col("genre")) == "")
     docs = texts(files).select("path", "textgroup", "work")
-    found = catalogues.signals(shred(texts(files)).join(docs, "path").withColumn("key", F.struct("textgroup", "work")), "key").select("key.*", "sp_count", "l_count", "p_count", "div_types")
+    found = catalogues.signals(shred(texts(files), ("node_id", "kind", "ns", "name", "attrs", "in_text")).join(docs, "path").withColumn("key", F.struct("textgroup", "work")), "key").select("key.*", "sp_count", "l_count", "p_count", "div_types")
     rows = works.join(found, ["textgroup", "work"], "left").na.fill(0, ["sp_count", "l_count", "p_count"]).withColumn("div_types", F.coalesce("div_types", F.array().cast("array<string>")))
     lines = "\n".join(f"  {r[0]}: {r[1]}" for r in sorted(taxonomy.select("target", "description").collect()))
     rows = rows.withColumn("structural", catalogues.inferred_family()).withColumn("prompt", catalogues.prompt(F.lit(lines)))
@@ -198,30 +204,52 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_documents(done: DataFrame, folder: str, suffix: str = "", column: str = "xml") -> DataFrame:
-    """Writes each row's text to folder/name from the tasks, each file first under a name of its own; returns path and target."""
+def targets(paths: DataFrame, folder: str | None, suffix: str = "", root: str | None = None) -> DataFrame:
+    """path and target: where each document goes. Below the folder, its path under the root (None: the directory that all share); without a folder, its own place.
+
+    Raises if two documents would go to one place."""
+    plain = F.regexp_replace("path", "^[a-z0-9]+:/*", "/")
+    if folder is None:
+        out = paths.select("path", F.col("path").alias("target"))
+    else:
+        # What the least and the greatest path share, all share.
+        least, most = paths.agg(F.min(plain), F.max(plain)).first()
+        shared = os.path.commonprefix([least or "", most or ""])
+        under = re.sub("^[a-z0-9]+:/*", "/", root).rstrip("/") + "/" if root else ""
+        place = F.substr(plain, F.lit(len(under) + 1 if under and shared.startswith(under) else shared.rfind("/") + 2))
+        out = paths.select("path", F.concat(F.lit(folder.rstrip("/") + "/"), place).alias("target"))
+    if suffix:
+        out = out.withColumn("target", F.concat(F.regexp_replace("target", r"\.[^./]*$", ""), F.lit(suffix)))
+    twice = [r[0] for r in out.groupBy("target").count().where("count > 1").limit(5).collect()]
+    if twice:
+        raise ValueError(f"several documents would be written to one place, nothing was written: {twice}")
+    return out
+
+
+def write_documents(done: DataFrame, folder: str | None, suffix: str = "", column: str = "xml", root: str | None = None) -> DataFrame:
+    """Writes each row's text below the folder (None: to where it came from) from the tasks, keeping the tree; returns path and target.
+
+    Each file first gets a name of its own and is then moved, so a lost task leaves no half of a file."""
+    folder = folder and qualified(done.sparkSession, folder)
+    rows = done.where(F.col(column).isNotNull()).select("path", column)
+    rows = rows.join(targets(rows.select("path"), folder, suffix, root), "path").select("path", column, "target")
 
     def run(batches):
-        import os
         import uuid
 
         import pyarrow as pa
         from pyarrow import fs
 
-        where, base = fs.FileSystem.from_uri(folder)
-        where.create_dir(base, recursive=True)
         for batch in batches:
-            targets = []
-            for path, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                name = path.rsplit("/", 1)[-1]
-                target = f"{base}/{os.path.splitext(name)[0]}{suffix}" if suffix else f"{base}/{name}"
-                with where.open_output_stream(part := f"{target}.{uuid.uuid4().hex[:8]}") as f:
+            for _, text, target in zip(*(c.to_pylist() for c in batch.columns)):
+                where, base = fs.FileSystem.from_uri(target if "://" in target else "file://" + target.removeprefix("file:"))
+                where.create_dir(os.path.dirname(base), recursive=True)
+                with where.open_output_stream(part := f"{base}.{uuid.uuid4().hex[:8]}") as f:
                     f.write((text or "").encode())
-                where.move(part, target)
-                targets.append(target)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(targets, pa.string())], names=["path", "target"])
+                where.move(part, base)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], names=["path", "target"])
 
-    return done.where(F.col(column).isNotNull()).select("path", column).mapInArrow(run, "path string, target string")
+    return rows.mapInArrow(run, "path string, target string")
 
 
 def latest(rows: DataFrame, key: str, order: str) -> DataFrame:

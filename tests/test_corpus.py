@@ -302,6 +302,42 @@ def test_annotate_apply_normalize_validate(spark, tree, tmp_path):
         commands.set_genre(files, "zzz", tax)
 
 
+def test_documents_keep_their_places(spark, tmp_path):
+    done = spark.createDataFrame([(f"file:///c/data/g/w{k}/__cts__.xml", f"<w{k}/>") for k in range(3)], "path string, xml string")
+    out = {r["path"]: r["target"] for r in commands.write_documents(done, f"file://{tmp_path}/out").collect()}
+    assert [(tmp_path / "out" / f"w{k}" / "__cts__.xml").read_text() for k in range(3)] == ["<w0/>", "<w1/>", "<w2/>"] and len(set(out.values())) == 3
+    commands.write_documents(done.limit(1), f"{tmp_path}/rooted", root="/c/data").collect()
+    assert (tmp_path / "rooted" / "g" / "w0" / "__cts__.xml").exists()
+    with pytest.raises(ValueError, match="one place"):
+        commands.write_documents(done.union(done.limit(1)), f"{tmp_path}/twice")
+    assert not (tmp_path / "twice").exists()
+    own = spark.createDataFrame([(f"file://{tmp_path}/rooted/g/w0/__cts__.xml", "<new/>")], "path string, xml string")
+    commands.write_documents(own, None).collect()
+    assert (tmp_path / "rooted" / "g" / "w0" / "__cts__.xml").read_text() == "<new/>"
+
+
+def python_passes(df):
+    """Python operators over documents in the plan as it was executed."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.split("== Initial Plan ==")[0].count("MapInArrow")
+
+
+def test_documents_are_parsed_once(spark, sf_dir):
+    from stemmata import catalogue
+
+    assert python_passes(catalogue.QUERIES["schematron_normalized"](spark, sf_dir)) == 1
+    assert python_passes(catalogue.QUERIES["element_vocab"](spark, sf_dir)) == 1
+    # Staged nodes are read as columns, without another parse.
+    for name in ("citation_levels", "structure_report", "reference_report", "genre_map_rows", "survey_structure"):
+        assert python_passes(catalogue.QUERIES[name](spark, sf_dir)) == 0, name
+
+
+def test_shred_makes_only_what_is_asked(spark):
+    nodes = shred(spark.createDataFrame([("a", doc(div("book", "<l>x</l>")))], "path string, xml string"), ("kind", "name"))
+    assert nodes.columns == ["path", "kind", "name"] and nodes.where("name = 'l'").count() == 1
+
+
 def test_map_csv(spark, tmp_path):
     (tmp_path / "m.csv").write_text('urn,path,suggested_genre,recommended_genre,notes\nu,a/x.ed.xml,prose,,"a ""q"", b\nc"\nu,b/x.ed.xml,prose,verse,\n')
     rows = corpus.numbered(corpus.read_csv(spark, str(tmp_path / "m.csv")))
@@ -346,11 +382,16 @@ def test_command_line(spark, tree, tmp_path):
 
     assert cli.main(["survey", str(tree), "-o", f"{tmp_path}/survey"]) == 0
     assert corpus.read_csv(spark, f"{tmp_path}/survey/structure").count() == 3
-    assert cli.main(["audit-structure", str(tree), "-o", f"{tmp_path}/a"]) == 1 and (tmp_path / "a" / "g1.w2.e1-structure.txt").exists()
-    assert cli.main(["audit-schema", str(tree), "-o", f"{tmp_path}/a", "--json"]) == 1 and '"check_id"' in (tmp_path / "a" / "g1.w1.e1-schema.json").read_text()
+    assert cli.main(["audit-structure", str(tree), "-o", f"{tmp_path}/a"]) == 1 and (tmp_path / "a" / "g1" / "w2" / "g1.w2.e1-structure.txt").exists()
+    assert cli.main(["audit-schema", str(tree), "-o", f"{tmp_path}/a", "--json"]) == 1 and '"check_id"' in (tmp_path / "a" / "g1" / "w1" / "g1.w1.e1-schema.json").read_text()
     assert cli.main(["set-genre", str(tree / "g1/w2/g1.w2.e1.xml"), "--genre", "verse", "-o", f"{tmp_path}/s"]) == 0
     assert 'target="#verse"' in (tmp_path / "s" / "g1.w2.e1.xml").read_text()
     (tmp_path / "log.txt").write_text("g1.w2.e1.xml:1:1: error: element \"a\" not allowed here; expected x\nbanner\n")
     assert cli.main(["validation-report", str(tree), "--log", str(tmp_path / "log.txt"), "-o", f"{tmp_path}/r"]) == 0
     assert corpus.read_csv(spark, f"{tmp_path}/r").first()["family"] == "drama"
-    assert cli.resolve_output("/a/b.xml", None, True) == "/a/b.xml" and cli.resolve_output("/a/b.xml", "out", True) == "out/b.xml" and cli.resolve_output("/a/b.xml", "c.xml", False) == "c.xml"
+    for name in ("normalize", "annotate"):
+        cli.main([name, str(tree), "-o", f"{tmp_path}/{name}"])
+    assert (tmp_path / "normalize" / "g1" / "w2" / "g1.w2.e1.xml").exists()
+    assert "drama-line" in (tmp_path / "annotate" / "g1" / "w2" / "__cts__.xml").read_text() or "drama-line" in (tmp_path / "annotate" / "g1" / "w1" / "__cts__.xml").read_text()
+    assert cli.main(["set-genre", str(tree / "g1/w2/g1.w2.e1.xml"), "--genre", "verse", "--in-place"]) == 0
+    assert 'target="#verse"' in (tree / "g1/w2/g1.w2.e1.xml").read_text()
