@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import atexit
 import contextlib
 import ctypes
 import gc
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,7 +12,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..runtime import ship
+from ..runtime import bounded as arrow_batches
+from ..runtime import qualified, scratch, shared_dir, staged
+
+__all__ = ["ASCII_SPACE", "arrow_batches", "packed", "qualified", "scratch", "shared_dir", "slices", "staged", "table", "text_bytes", "trimmed", "utf8"]
 
 #: Code points 9-13 and 32, as every operator's word rule takes them.
 ASCII_SPACE = b"\t\n\x0b\x0c\r "
@@ -25,60 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors see: spark.checkpoint.dir, or the checkpoint folder that the session was given.
-
-    Where neither is set, a local session gets a temporary folder; on a cluster that is an error, as executors wouldn't see it."""
-    context = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    given = context._jsc.sc().getCheckpointDir()
-    if given.isEmpty():
-        if not found:
-            if not context.master.startswith("local[") and context.master != "local":
-                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-            found = "file://" + tempfile.mkdtemp(prefix="stemmata-")
-        context.setCheckpointDir(found)
-    return found or given.get()
-
-
-def qualified(spark: SparkSession, path: str) -> str:
-    """The path with the scheme and authority that Spark takes where they are missing."""
-    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    full = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(where).toString()
-    return full.replace("file:/", "file:///", 1) if full.startswith("file:/") and not full.startswith("file://") else full
-
-
-def remove(spark: SparkSession, path: str) -> None:
-    with contextlib.suppress(Exception):
-        jvm = spark.sparkContext._jvm
-        where = jvm.org.apache.hadoop.fs.Path(path)
-        where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder, removed when the driver ends."""
-    path = f"{shared_dir(spark)}/stemmata/{name}-{uuid.uuid4().hex}"
-    atexit.register(remove, spark, path)
-    return path
-
-
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """df, written once to the shared folder and read back: lineage ends here, and lost executors cost no recomputation."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def arrow_batches(spark: SparkSession, rows: int = 1000, size: str = "8388608") -> None:
-    """Bounds what one Arrow batch holds, so that long texts don't add up in a Python worker."""
-    ship(spark)
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000")) > rows:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
-    with contextlib.suppress(Exception):
-        spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
-
-
 def trimmed(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """The function, after which a worker gives back the memory it no longer uses: workers live on between tasks."""
 
