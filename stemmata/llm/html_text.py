@@ -20,6 +20,7 @@ from __future__ import annotations
 
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from functools import lru_cache
@@ -39,7 +40,7 @@ BINS = 24
 RATE = 0.3
 
 #: Elements by their part in a page.
-SKIPPED = frozenset("script style head title template noscript svg iframe object canvas math audio video".split())
+SKIPPED = frozenset("script style head title template iframe object canvas".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr picture source area map meta link base param track embed col".split()
 )
@@ -47,6 +48,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 CLOSES_P = frozenset(
     "address article aside blockquote details div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
 )
+#: All others are inline, as browsers show what they don't know (formulas, drawings and elements of a page's own among them).
+BLOCKS = CLOSES_P | frozenset("html body center legend li dt dd option optgroup summary caption colgroup tbody thead tfoot tr td th dir select input button label textarea dialog search".split())
 SELF_CLOSING = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}, "tbody": {"thead", "tbody", "tr", "td", "th"}}
 SCOPES = frozenset("html body div article section main table ul ol dl nav header footer aside form td th".split())
 KINDS = {
@@ -67,7 +70,10 @@ BAD_TOKENS = frozenset(
 GOOD_TOKENS = frozenset("article articlebody blog body content entry entrycontent main mainentity maintext page post postbody posttext story storybody text prose".split())
 KIND_OF = {tag: k for k, (_, tags) in enumerate(KINDS.items()) for tag in tags.split()}
 
-_TAG = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|[!?][^>]*>)")
+_TAG = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|[!?][^>]*>)")
+#: For the rest of a page from a tag on whose quotes don't close: quotes are letters like others there.
+_LAX_TAG = re.compile(r"<(?:(!--)|(/?)([a-zA-Z][^\s/>]*)([^>]*)>|[!?][^>]*>)")
+_OPENED = re.compile("<[a-zA-Z/!?]")
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _TOKEN = re.compile("[A-Z]?[a-z]+|[A-Z]+")
 
@@ -102,16 +108,35 @@ def parse(page: str) -> list[Node]:
             seen_text += size
         node.text.append((text, block))
 
+    # How many elements of each tag are open, and skipped elements that have no end from here on: so that every step takes its time once.
+    opened: Counter[str] = Counter()
+    endless: set[str] = set()
+    pattern = _TAG
+
+    def close(k: int) -> None:
+        opened.subtract(nodes[i].tag for i in stack[k:])
+        del stack[k:]
+
     while at < n:
-        m = _TAG.search(page, at)
-        if m is None:
-            # A tag that never ends isn't text.
-            rest = page[at:]
-            cut = re.search(r"<(?:[a-zA-Z/!]|\Z)", rest)
-            rest = rest[: cut.start()] if cut else rest
+        begin = _OPENED.search(page, at)
+        if begin is None:
+            rest = page[at:].removesuffix("<")
             if rest:
                 add(rest)
             break
+        m = pattern.match(page, begin.start())
+        if m is None and pattern is _TAG and begin[0][1] not in "!?" and page.find(">", begin.start()) >= 0 and _LAX_TAG.match(page, begin.start()):
+            pattern = _LAX_TAG
+            m = pattern.match(page, begin.start())
+        if m is None:
+            # `</` or `<!` before what is no name is dropped; a tag that never ends isn't text.
+            if page.find(">", begin.start()) < 0:
+                if begin.start() > at:
+                    add(page[at : begin.start()])
+                break
+            add(page[at : begin.start() + 1])
+            at = begin.start() + 1
+            continue
         if m.start() > at:
             add(page[at : m.start()])
         at = m.end()
@@ -123,14 +148,16 @@ def parse(page: str) -> list[Node]:
             continue
         tag, closing = m[3].lower(), bool(m[2])
         if tag in SKIPPED:
-            if not closing and not m[4].endswith("/"):
+            if not closing and not m[4].endswith("/") and tag not in endless:
                 end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
                 if end:
                     at = end.end()
-                elif tag in ("script", "style"):
-                    at = n
+                else:
+                    endless.add(tag)
+                    if tag in ("script", "style"):
+                        at = n
             continue
-        if tag in INLINE:
+        if tag in INLINE or tag not in BLOCKS:
             if tag == "a":
                 anchors = 0 if closing else 1
             elif tag == "br":
@@ -138,23 +165,23 @@ def parse(page: str) -> list[Node]:
             continue
         block += 1
         if closing:
-            if tag == "p" and not any(nodes[k].tag == "p" for k in stack):
+            if not opened[tag]:
                 continue
             for k in range(len(stack) - 1, 0, -1):
                 if nodes[stack[k]].tag == tag:
-                    del stack[k:]
+                    close(k)
                     break
                 if tag not in SCOPES and nodes[stack[k]].tag in SCOPES:
                     break
             continue
         if tag in CLOSES_P and nodes[stack[-1]].tag == "p":
-            stack.pop()
+            close(len(stack) - 1)
         ends = SELF_CLOSING.get(tag)
-        if ends:
+        if ends and any(opened[t] for t in ends):
             for k in range(len(stack) - 1, 0, -1):
                 t = nodes[stack[k]].tag
                 if t in ends:
-                    del stack[k:]
+                    close(k)
                     if tag != "tr" and tag != "tbody":
                         break
                 elif t in SCOPES or t in ("ul", "ol", "dl", "tr", "table"):
@@ -167,6 +194,7 @@ def parse(page: str) -> list[Node]:
             anchors = 0
         if tag not in VOID and not m[4].endswith("/"):
             stack.append(len(nodes) - 1)
+            opened[tag] += 1
     return nodes
 
 

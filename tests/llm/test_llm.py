@@ -416,6 +416,23 @@ def test_html_cases(spark):
     assert html_text.extracted(df.where("false")).count() == 0
 
 
+def test_html_keeps_formulas_and_own_elements():
+    text = "A sentence of the article, and more of it. " * 20
+    pages = [page(f"<article><p>{text}</p><p>Let <math><mi>x</mi><mo>=</mo><mn>1</mn></math> be <x-term>so</x-term><noscript>, as said</noscript>.</p></article>")]
+    assert html_text.extract(pages, html_text.trained())[0].split("\n")[1] == "Let x=1 be so, as said."
+
+
+def test_html_long_and_broken_pages_take_linear_time():
+    import time
+
+    shapes = ['<a "', "<div></p>", "<svg>", "<li><figure>", "</section><div>", "<!-", "< <", "<template>", "<p><b>", "<x y='"]
+    for shape in shapes:
+        html_text.parse(shape * 100)
+        began = time.process_time()
+        html_text.parse(shape * (400_000 // len(shape)))
+        assert time.process_time() - began < 20, shape
+
+
 def test_html_without_body():
     bare = ["Words <b>of</b> a text.<br>More.", "\ufeffIntro text<p hidden></p>", "<html><body><p></p></body></html>bare", "\ufeff<!DOCTYPE html>\n<html><body></body></html>\n", "<title>t</title>"]
     assert html_text.extract(bare, html_text.trained()) == ["Words of a text. More.", "Intro text", "bare", "", ""]
