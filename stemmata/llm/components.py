@@ -1,4 +1,8 @@
-"""Connected components of a links table: in one task while the links are few, else by alternating large-star and small-star steps."""
+"""Connected components of a links table: in one task while the links are few, else by alternating large-star and small-star steps.
+
+Defined cases: links may repeat, stand in both directions or join a node to itself; a link with a null end joins nothing;
+an empty table gives no rows; nodes without links have none; columns other than a and b are ignored.
+"""
 
 from __future__ import annotations
 
