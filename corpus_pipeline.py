@@ -1,4 +1,11 @@
-"""The corpus pipeline: each stage reads what the one before kept."""
+"""The corpus pipeline: each stage reads what the one before kept.
+
+Defined cases, for all stages: an empty table gives no rows; extra columns pass through unchanged, whatever their names;
+repeated rows are judged each by itself, but for rows of equal doc_id and text, which are one document. A document with a
+null or empty text, or one without a letter, is in no language and goes in the first stage; one without words is linked with
+nothing; one under 100 bytes loses nothing; one without words has no contamination. A null doc_id has no place in the
+order of ids: such a row loses nothing and isn't an earlier occurrence. Texts of any length are read whole.
+"""
 
 from __future__ import annotations
 
