@@ -19,7 +19,7 @@ from __future__ import annotations
 import json
 from array import array
 from collections.abc import Iterator
-from functools import cached_property, lru_cache
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -27,12 +27,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import ASCII_SPACE, arrow_batches, packed, slices, text_bytes, trimmed
+from .common import ASCII_SPACE, arrow_batches, once, packed, slices, text_bytes, trimmed
 
 #: Bytes of memory that the fragments which a worker remembers may take; then it starts anew.
 CACHE = 48 << 20
 #: What an entry takes beside its bytes, about.
 ENTRY = 200
+#: Bytes of text cut into fragments at once: their list takes some 25 times that.
+PIECE = 1 << 20
 #: Last bytes of white space outside ASCII (fixed by Unicode: U+0085, U+00A0, U+1680, U+2000 to U+200A, U+2028, U+2029, U+202F, U+205F, U+3000).
 WHITE_ENDS = [0x80, 0x81, 0x82, 0x83, 0x84, 0x85, 0x86, 0x87, 0x88, 0x89, 0x8A, 0x9F, 0xA0, 0xA8, 0xA9, 0xAF]
 #: Fixed value: the word rule of byte-level tokenizers.
@@ -173,35 +175,28 @@ class Codec:
         return b"".join(map(self.pieces.__getitem__, ids)).decode("utf-8", "replace")
 
 
-@lru_cache(1)
 def codec(path: str) -> Codec:
     """One for each Python worker."""
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    return Codec(path)
+    return once("codec", path, lambda: Codec(path))
 
 
-def encode(df: DataFrame, vocab: str, text: str = "text", ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
-    """df's columns (or those named in keep) and the token ids of each text; a column of that name gives way."""
-    arrow_batches(df.sparkSession)
-    keep = [c for c in (df.columns if keep is None else keep) if c != ids]
-    df = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("__text"))
-    schema = T.StructType([*df.drop("__text").schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
+def _encoding(vocab: str, names: list[str]):
+    """Batches whose last column is a text become batches with its ids in place of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, texts in slices(batch, text_bytes(batch.column(batch.num_columns - 1))):
+            for part, texts in slices(batch, text_bytes(batch.column(batch.num_columns - 1)), PIECE):
                 flat, at = codec(vocab).encode(texts)
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat.view(np.int32)))], names=[*keep, ids])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(flat.view(np.int32)))], names=names)
 
-    return df.mapInArrow(trimmed(run), schema)
+    return run
 
 
-def decode(df: DataFrame, vocab: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """df's columns and the text that each row's ids stand for; a column of that name gives way."""
-    df = df.drop(text)
-    at = df.columns.index(ids)
+def _decoding(vocab: str, at: int, text: str):
+    """Batches get the text of the ids in column at as a last column."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -210,7 +205,37 @@ def decode(df: DataFrame, vocab: str, ids: str = "ids", text: str = "decoded") -
             texts = [codec(vocab).decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, text])
 
-    return df.mapInArrow(trimmed(run), T.StructType([*df.schema.fields, T.StructField(text, T.StringType())]))
+    return run
+
+
+def _to_encode(df: DataFrame, text: str, ids: str, keep: list[str] | None) -> tuple[DataFrame, T.StructType]:
+    """The columns kept with the text as the last one, and the schema with ids in its place."""
+    arrow_batches(df.sparkSession)
+    keep = [c for c in (df.columns if keep is None else keep) if c != ids]
+    df = df.select(*[F.col(f"`{c}`") for c in keep], F.col(text).cast("string").alias("__text"))
+    return df, T.StructType([*df.drop("__text").schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
+
+
+def encode(df: DataFrame, vocab: str, text: str = "text", ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
+    """df's columns (or those named in keep) and the token ids of each text; a column of that name gives way."""
+    rows, schema = _to_encode(df, text, ids, keep)
+    return rows.mapInArrow(trimmed(_encoding(vocab, schema.names), "codec"), schema)
+
+
+def decode(df: DataFrame, vocab: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
+    """df's columns and the text that each row's ids stand for; a column of that name gives way."""
+    df = df.drop(text)
+    schema = T.StructType([*df.schema.fields, T.StructField(text, T.StringType())])
+    return df.mapInArrow(trimmed(_decoding(vocab, df.columns.index(ids), text), "codec"), schema)
+
+
+def round_trip(df: DataFrame, vocab: str, text: str = "text", ids: str = "ids", decoded: str = "decoded", keep: list[str] | None = None) -> DataFrame:
+    """decode(encode(df)) in one pass: one worker for each task holds the vocabulary, not two."""
+    keep = [c for c in (df.columns if keep is None else keep) if c != decoded]
+    rows, schema = _to_encode(df, text, ids, keep)
+    names, last = schema.names, len(schema) - 1
+    both = lambda batches: _decoding(vocab, last, decoded)(_encoding(vocab, names)(batches))
+    return rows.mapInArrow(trimmed(both, "codec"), T.StructType([*schema.fields, T.StructField(decoded, T.StringType())]))
 
 
 def digests(df: DataFrame) -> DataFrame:
@@ -233,4 +258,4 @@ def op1_bpe(spark, sf_dir: str) -> DataFrame:
     from .common import table
 
     docs = table(spark, sf_dir, "documents")
-    return digests(decode(encode(docs, vocab_file(), keep=["doc_id"]), vocab_file()))
+    return digests(round_trip(docs, vocab_file(), keep=["doc_id"]))

@@ -5,7 +5,8 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 from ..runtime import bounded as arrow_batches
 from ..runtime import qualified, scratch, shared_dir, staged
 
-__all__ = ["ASCII_SPACE", "arrow_batches", "packed", "qualified", "scratch", "shared_dir", "slices", "staged", "table", "text_bytes", "trimmed", "utf8"]
+__all__ = ["ASCII_SPACE", "arrow_batches", "once", "packed", "qualified", "scratch", "shared_dir", "slices", "staged", "table", "text_bytes", "trimmed", "utf8"]
 
 #: Code points 9-13 and 32, as every operator's word rule takes them.
 ASCII_SPACE = b"\t\n\x0b\x0c\r "
@@ -25,10 +26,28 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def trimmed(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The function, after which a worker gives back the memory it no longer uses: workers live on between tasks."""
+_made: dict[str, tuple[Hashable, Any]] = {}
+
+
+def once(kind: str, key: Hashable, make: Callable[[], Any]) -> Any:
+    """What a worker makes once and keeps for its later tasks, one of each kind."""
+    if kind not in _made or _made[kind][0] != key:
+        _made.pop(kind, None)
+        _made[kind] = key, make()
+    return _made[kind][1]
+
+
+def forget(but: str = "") -> None:
+    """Drops what a worker keeps of other kinds: it serves one operator after another, and their tables would add up."""
+    for kind in [k for k in _made if k != but]:
+        del _made[kind]
+
+
+def trimmed(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], keeps: str = "") -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The function, after which a worker gives back the memory it no longer uses, but for what it keeps of one kind: workers live on between tasks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget(keeps)
         yield from function(batches)
         gc.collect()
         pa.default_memory_pool().release_unused()

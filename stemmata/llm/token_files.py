@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bpe import codec, vocab_file
+from .bpe import PIECE, codec, vocab_file
 from .common import arrow_batches, qualified, scratch, slices, text_bytes, trimmed
 
 LENGTH = 2048
@@ -96,7 +96,7 @@ def write(documents: DataFrame, vocab: str, folder: str, end_id: int = 2, length
 
         shard, writer, first = TaskContext.get().partitionId(), None, None
         for batch in batches:
-            for part, texts in slices(batch, text_bytes(batch.column(1))):
+            for part, texts in slices(batch, text_bytes(batch.column(1)), PIECE):
                 if not part.num_rows:
                     continue
                 if writer is None:
@@ -107,7 +107,7 @@ def write(documents: DataFrame, vocab: str, folder: str, end_id: int = 2, length
             writer.close()
             yield pa.RecordBatch.from_pylist([{"shard": shard, "first_doc": first, "file": writer.paths[0], "index_file": writer.paths[1], "n_tokens": writer.total, "n_docs": writer.docs}], schema=pa.schema([("shard", pa.int32()), ("first_doc", pa.int64()), ("file", pa.string()), ("index_file", pa.string()), ("n_tokens", pa.int64()), ("n_docs", pa.int64())]))
 
-    return sorted(tuple(r) for r in docs.mapInArrow(trimmed(run), MANIFEST).collect())
+    return sorted(tuple(r) for r in docs.mapInArrow(trimmed(run, "codec"), MANIFEST).collect())
 
 
 class Shard:

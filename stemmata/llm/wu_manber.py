@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -24,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, slices, staged, text_bytes, trimmed
+from .common import arrow_batches, once, slices, staged, text_bytes, trimmed
 
 WINDOW = 13
 #: Bytes of tables that one pass keeps in a worker's memory; more patterns are searched in further blocks.
@@ -133,10 +132,9 @@ class Search:
                 end += 1
 
 
-@lru_cache(2)
 def _search(shared) -> Search:
     """One for each Python worker and block."""
-    return Search(shared.value)
+    return once("search", shared, lambda: Search(shared.value))
 
 
 def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -207,7 +205,7 @@ def _searched(docs: DataFrame, blocks: Iterable[list[tuple[int, bytes]]], width:
                         names=["doc_id", "n_words", "starts", "ends", "items"],
                     )
 
-        parts.append(docs.mapInArrow(trimmed(run), schema))
+        parts.append(docs.mapInArrow(trimmed(run, "search"), schema))
     if len(parts) == 1:
         return parts[0]
     every = parts[0]
@@ -262,7 +260,7 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
                     keep.append(not (n_hit and 20 * n_hit >= len(w)))
                 yield part.filter(pa.array(keep, pa.bool_()))
 
-    return documents.mapInArrow(trimmed(run), documents.schema)
+    return documents.mapInArrow(trimmed(run, "search"), documents.schema)
 
 
 def brute_force(docs: list[tuple[int, str | None]], bench: list[tuple[int, str | None]]) -> list[tuple]:

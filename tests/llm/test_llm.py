@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stemmata.llm import bpe, bwt_dedup, components, html_text, langid, licenses, ngram_join, quality, sharding, token_files, wu_manber
+from stemmata.llm import bpe, bwt_dedup, common, components, html_text, langid, licenses, ngram_join, quality, sharding, token_files, wu_manber
 from stemmata.llm import queries as llm
 from stemmata.llm.common import scratch, staged, table
 
@@ -108,6 +108,19 @@ def test_bpe_frames(spark, odd, nothing):
     lib = library()
     assert sorted((r["doc_id"], r["ids"], r["decoded"], r["key"]) for r in out) == sorted((i, lib.encode(t or "", add_special_tokens=False).ids, t or "", "clash") for i, t in texts)
     assert bpe.decode(bpe.encode(nothing, bpe.vocab_file()), bpe.vocab_file()).count() == 0
+    once_through = bpe.round_trip(df, bpe.vocab_file())
+    assert once_through.columns == out[0].__fields__ and sorted(map(tuple, once_through.collect()), key=str) == sorted(map(tuple, out), key=str)
+    assert bpe.round_trip(nothing, bpe.vocab_file()).count() == 0
+
+
+def test_a_worker_keeps_one_of_a_kind_and_forgets_the_others():
+    made = []
+    make = lambda x: lambda: made.append(x) or x
+    assert [common.once("a", k, make(k)) for k in (1, 1, 2, 2)] == [1, 1, 2, 2] and made == [1, 2]
+    common.once("b", 3, make(3))
+    list(common.trimmed(iter, "a")([]))
+    assert common.once("a", 2, make(2)) == 2 and common.once("b", 3, make(3)) == 3 and made == [1, 2, 3, 3]
+    common.forget()
 
 
 def test_token_files(spark, odd, nothing):
