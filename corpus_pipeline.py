@@ -37,7 +37,7 @@ def decontaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """BPE encoding and decoding (1)."""
-    return bpe.digests(bpe.decode(bpe.encode(docs, bpe.vocab_file(), keep=["doc_id"]), bpe.vocab_file()))
+    return bpe.digests(bpe.round_trip(docs, bpe.vocab_file(), keep=["doc_id"]))
 
 
 STAGES = [
