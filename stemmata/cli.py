@@ -11,8 +11,8 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import audit, genres, schematron
-from .operators.shred import shred
+from .operators import audit, genres, schema_files, schematron
+from .operators.shred import HOLDERS, shred
 from .plans import commands
 from .sources import corpus
 from .vocabulary import Names
@@ -41,6 +41,10 @@ def _names(args) -> Names:
     return Names(**given)
 
 
+def _schema(args) -> schema_files.Schema | None:
+    return schema_files.read_schema(args.schematron) if args.schematron else None
+
+
 def _write(done: DataFrame, output: str | None, root: str | None, suffix: str = "", column: str = "xml") -> int:
     """Writes the documents and reports the errors, whose number it returns."""
     done = done.persist()
@@ -88,7 +92,7 @@ def set_genre(spark, args):
 
 
 def validate(spark, args):
-    out = commands.validate(_files(spark, args), _names(args)).where("not valid").persist()
+    out = commands.validate(_files(spark, args), _names(args), _schema(args)).where("not valid").persist()
     for r in out.orderBy("path").limit(200).collect():
         print(f"{r['path']}: {r['findings']} findings", file=sys.stderr)
     return out.count()
@@ -96,10 +100,12 @@ def validate(spark, args):
 
 def _reports(suffix):
     def run(spark, args):
-        nodes = shred(corpus.texts(_files(spark, args)))
+        schema = _schema(args)
+        nodes = shred(corpus.texts(_files(spark, args)), holders=schema.holders if schema else HOLDERS)
         if suffix == "schema":
             names = _names(args)
-            report = schematron.report(schematron.run_checks(nodes, schematron.normalized_checks(names) + schematron.encoding_checks(names)))
+            checks = schema.checks if schema else schematron.normalized_checks(names) + schematron.encoding_checks(names)
+            report = schematron.report(schematron.run_checks(nodes, checks))
             shown = schematron.report_text(report)
         else:
             report = audit.reference_report(nodes) if suffix == "refs" else audit.structure_report(nodes)
@@ -132,7 +138,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("command", choices=sorted(COMMANDS))
     p.add_argument("input", nargs="+", help="a corpus folder, or XML files")
     p.add_argument("-o", "--output", default="out")
-    for name in ("odd", "map", "log", "genre", "scheme", "schema-base", "schema-prefix"):
+    for name in ("odd", "map", "log", "genre", "scheme", "schema-base", "schema-prefix", "schematron"):
         p.add_argument(f"--{name}")
     p.add_argument("--taxonomy-id", default="genres")
     p.add_argument("--cert", default="")

@@ -91,11 +91,11 @@ class _Tree:
             top["has_child_node"] = True
 
 
-def _holds(nodes: list[dict]) -> None:
-    """Gives each holder its children and their children, as paths with one attribute test each (`refsDecl[@n='CTS']/citeStructure`)."""
+def _holds(nodes: list[dict], holders: tuple[str, ...]) -> None:
+    """Gives each holder its children and their children, as paths with at most one attribute test a step (`refsDecl[@n='CTS']/citeStructure`)."""
     for n in nodes:
-        n["holds"] = [] if n["kind"] == "element" and n["ns"] == TEI and n["name"] in HOLDERS else None
-    tests = lambda n: [f"{n['name']}[@{k}='{v}']" for k, v in n["attrs"].items()]
+        n["holds"] = [] if n["kind"] == "element" and n["ns"] == TEI and n["name"] in holders else None
+    tests = lambda n: [f"{n['name']}[@{k}{x}]" for k, v in n["attrs"].items() for x in ("", f"='{v}'")]
     for n in nodes:
         up = nodes[n["parent_id"] - 1] if n["parent_id"] and n["kind"] == "element" and n["ns"] == TEI else None
         if up is None:
@@ -104,13 +104,13 @@ def _holds(nodes: list[dict]) -> None:
             up["holds"] += [n["name"], *tests(n)]
         above = nodes[up["parent_id"] - 1] if up["parent_id"] else None
         if above is not None and above["holds"] is not None:
-            above["holds"] += [f"{up['name']}/{x}" for x in (n["name"], *tests(n))] + [f"{x}/{n['name']}" for x in tests(up)]
+            above["holds"] += [f"{up['name']}/{x}" for x in (n["name"], *tests(n))] + [f"{x}/{y}" for x in tests(up) for y in (n["name"], *tests(n))]
     for n in nodes:
         if n["holds"]:
             n["holds"] = list(dict.fromkeys(n["holds"]))
 
 
-def parse(xml: str, wanted: frozenset[str] = frozenset(_ARROW)) -> list[dict]:
+def parse(xml: str, wanted: frozenset[str] = frozenset(_ARROW), holders: tuple[str, ...] = HOLDERS) -> list[dict]:
     """The nodes of one document in preorder; what isn't wanted and takes time is left out."""
     tree = _Tree("location" in wanted)
     parser = expat.ParserCreate(namespace_separator="}")
@@ -125,7 +125,7 @@ def parse(xml: str, wanted: frozenset[str] = frozenset(_ARROW)) -> list[dict]:
         return [{"node_id": 0, "end_id": 0, "parent_id": None, "depth": 0, "kind": "error", "ns": "", "name": "", "attrs": {}, "text": str(e), "has_child_node": False, "in_body": False, "in_text": False, "unit": None, "anc_units": [], "anc_textparts": 0, "anc_names": [], "holds": None, "location": ""}]
     nodes = tree.nodes
     if "holds" in wanted:
-        _holds(nodes)
+        _holds(nodes, holders)
     if not wanted & {"in_body", "in_text", "unit", "anc_units", "anc_textparts", "anc_names"}:
         return nodes
     named = "anc_names" in wanted
@@ -146,8 +146,8 @@ def parse(xml: str, wanted: frozenset[str] = frozenset(_ARROW)) -> list[dict]:
     return nodes
 
 
-def shred(docs: DataFrame, columns: tuple[str, ...] = ()) -> DataFrame:
-    """The nodes of all documents (path, xml), with the columns asked for (path always; none named: all)."""
+def shred(docs: DataFrame, columns: tuple[str, ...] = (), holders: tuple[str, ...] = HOLDERS) -> DataFrame:
+    """The nodes of all documents (path, xml), with the columns asked for (path always; none named: all); holders are the elements whose children are written down."""
     bounded(docs.sparkSession)
     names = [c for c in _ARROW if c == "path" or not columns or c in columns]
     wanted = frozenset(names)
@@ -158,7 +158,7 @@ def shred(docs: DataFrame, columns: tuple[str, ...] = ()) -> DataFrame:
         for batch in batches:
             columns = empty()
             for path, xml in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                nodes = parse(xml or "", wanted)
+                nodes = parse(xml or "", wanted, holders)
                 for k, c in columns.items():
                     c += [path] * len(nodes) if k == "path" else [list(n["attrs"].items()) for n in nodes] if k == "attrs" else [n[k] for n in nodes]
                 if len(columns["path"]) > 20_000:

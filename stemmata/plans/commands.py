@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import map_urn, or_empty, or_null, pipeline_urn, strip, truthy
-from ..operators import audit, catalogues, genres, rewrite, schematron, structure, validation, vocabulary
-from ..operators.shred import AUDIT, CHECKS, ROOTS, SIGNATURE, shred
+from ..operators import audit, catalogues, genres, rewrite, schema_files, schematron, structure, validation, vocabulary
+from ..operators.shred import AUDIT, CHECKS, HOLDERS, ROOTS, SIGNATURE, shred
 from ..runtime import qualified, staged
 from ..sources.corpus import MAP_COLUMNS, TEI, group_catalogues, texts, work_catalogues
 from ..vocabulary import FAMILY_DEFAULT, NAMES, Names
@@ -157,10 +157,11 @@ def set_genre(files: DataFrame, target: str, taxonomy: DataFrame, cert: str = ""
     return rewrite.rewritten(files.withColumn("target", F.lit(target)).withColumn("cert", F.lit(cert)), ("set_genre",), names)
 
 
-def validate(files: DataFrame, names: Names = NAMES) -> DataFrame:
-    """path, findings and valid of every text that can be parsed, by the checks of normalized documents."""
-    nodes = staged(shred(texts(files), (*CHECKS, "depth")), "nodes")
-    bad = schematron.gate(schematron.run_checks(nodes, schematron.normalized_checks(names))).groupBy("path").agg(F.count("*").alias("findings"))
+def validate(files: DataFrame, names: Names = NAMES, schema: schema_files.Schema | None = None) -> DataFrame:
+    """path, findings and valid of every text, by the checks of normalized documents or those of a Schematron file."""
+    checks = schema.checks if schema else schematron.normalized_checks(names)
+    nodes = staged(shred(texts(files), (*CHECKS, "depth"), schema.holders if schema else HOLDERS), "nodes")
+    bad = schematron.gate(schematron.run_checks(nodes, checks)).groupBy("path").agg(F.count("*").alias("findings"))
     return roots(nodes).join(bad, "path", "left").select("path", F.coalesce("findings", F.lit(0)).alias("findings"), (F.col("parse_ok") & F.col("findings").isNull()).alias("valid"))
 
 

@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from stemmata.functions import text
-from stemmata.operators import audit, catalogues, genres, rewrite, schematron, structure, validation, vocabulary
-from stemmata.operators.shred import parse, shred
+from stemmata.operators import audit, catalogues, genres, rewrite, schema_files, schematron, structure, validation, vocabulary
+from stemmata.operators.shred import CHECKS, parse, shred
 from stemmata.plans import commands
 from stemmata.sources import corpus
 from stemmata.vocabulary import FAMILY_DEFAULT, HIERARCHY, LITERARY
@@ -135,6 +135,42 @@ def test_checks(spark):
     assert schematron.gate(more).count() == 0 and schematron.warnings(more).count() == 5
 
 
+OWN_SCHEMA = """<schema xmlns="http://purl.oclc.org/dsdl/schematron">
+  <ns prefix="t" uri="http://www.tei-c.org/ns/1.0"/><let name="low" value="('low', 'none')"/>
+  <pattern id="first"><rule context="t:s[not(node())]"><report id="empty" test="true()" role="warning">no  text</report></rule><rule context="t:s | t:p"><report test="@n" role="info">n is <value-of select="@n"/> of <name/></report></rule></pattern>
+  <pattern id="ref"><rule context="t:catRef"><let name="id" value="substring-after(@target, '#')"/>
+    <assert test="$id = ('prose', 'verse') and not(@cert = $low)">'<value-of select="$id"/>'</assert><assert test="contains(@target, 'x') or starts-with(@target, '#')" role="error">hash</assert></rule></pattern>
+  <pattern id="head"><rule context="t:encodingDesc"><assert test="t:refsDecl[@n='CTS']/t:citeStructure[@unit]">cite</assert></rule></pattern>
+  <pattern id="pi"><rule context="processing-instruction('xml-model')"><assert test="contains(., 'schemas')">got <value-of select="normalize-space(.)"/></assert></rule></pattern>
+</schema>"""
+
+
+def test_schema_file(spark):
+    schema = schema_files.read_schema(OWN_SCHEMA)
+    assert schema.holders == ("encodingDesc",)
+    one = f'<?xml-model href=" a  b"?><TEI {NS}><teiHeader><encodingDesc><refsDecl n="CTS"><citeStructure/></refsDecl></encodingDesc>{profile("#prose")}<catRef target="drama" cert="low"/></teiHeader><text><body><s n="1"/><s n="2">t</s><p n="3"/><p/><s xmlns=""/></body></text></TEI>'
+    two = f'<?xml-model href="schemas"?><TEI {NS}><teiHeader><encodingDesc><refsDecl n="CTS"><citeStructure unit="l"/></refsDecl></encodingDesc><catRef target="#verse"/></teiHeader></TEI>'
+    docs = spark.createDataFrame([("one", one), ("two", two), ("bad", "<a>")], "path string, xml string")
+    found = schematron.run_checks(shred(docs, CHECKS, schema.holders), schema.checks)
+    assert sorted((r["path"], r["check_id"], r["kind"], r["role"], r["message"]) for r in found.collect()) == [
+        ("one", "empty", "successful-report", "warning", "no text"),
+        ("one", "first", "successful-report", "info", "n is 2 of s"),
+        ("one", "first", "successful-report", "info", "n is 3 of p"),
+        ("one", "head", "failed-assert", "", "cite"),
+        ("one", "pi", "failed-assert", "", 'got href=" a b"'),
+        ("one", "ref", "failed-assert", "", "''"),
+        ("one", "ref-2", "failed-assert", "error", "hash"),
+    ]
+    files = corpus.with_places(docs)
+    assert sorted((r["path"], r["findings"], r["valid"]) for r in commands.validate(files, schema=schema).collect()) == [("bad", 0, False), ("one", 4, False), ("two", 0, True)]
+    assert schema_files.read_schema('<schema xmlns="http://purl.oclc.org/dsdl/schematron"/>').checks == []
+    for wrong in ("count(t:p) &gt; 1", "t:a/t:b/t:c", "x:p", "$none", "'a' =", "..", "lower-case(@a) = 'x'"):
+        with pytest.raises(ValueError):
+            schema_files.read_schema(OWN_SCHEMA.replace('test="@n"', f'test="{wrong}"'))
+    with pytest.raises(ValueError):
+        schema_files.read_schema(OWN_SCHEMA.replace("<pattern id=\"pi\">", "<include href=\"x\"/><pattern id=\"pi\">"))
+
+
 def test_svrl(spark):
     ns = 'xmlns:svrl="http://purl.oclc.org/dsdl/svrl"'
     xml = f'<svrl:schematron-output {ns}><svrl:failed-assert location="/a" test="t"><svrl:text> a  b\n</svrl:text></svrl:failed-assert><svrl:successful-report role="error"><svrl:text>e</svrl:text></svrl:successful-report><svrl:successful-report role="info"><svrl:text>i</svrl:text></svrl:successful-report></svrl:schematron-output>'
