@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions.text import computed_urn, existing_urn, map_urn, pipeline_urn
-from .operators import audit, catalogues, genres, rewrite, schematron, structure, validation, vocabulary
+from .operators import audit, catalogues, genres, rewrite, schema_files, schematron, structure, validation, vocabulary
 from .operators.shred import AUDIT, CHECKS, ROOTS, SIGNATURE, shred, tei
 from .plans import commands
 from .plans.synthetic import IDS, catalogue_files, order_documents, table, text_documents, validator_lines
@@ -232,6 +232,23 @@ def schematron_normalized(spark, sf_dir):
     return schematron.run_checks(_order_nodes(spark, sf_dir, *CHECKS), schematron.normalized_checks()).select(_custkey(), "check_id")
 
 
+#: The checks above that these documents can fail, as a user would bring them.
+_SCHEMA = """<schema xmlns="http://purl.oclc.org/dsdl/schematron"><ns prefix="t" uri="http://www.tei-c.org/ns/1.0"/><let name="start" value="'urn:cts:'"/>
+<pattern><rule context="t:profileDesc"><assert id="genre-annotation" test="t:textClass/t:catRef[@scheme='#genre']">no genre</assert></rule></pattern>
+<pattern><rule context="t:body"><assert id="cts-xml-base" test="@xml:base">no base</assert><assert id="cts-xml-base-urn" test="starts-with(@xml:base, $start)">base <value-of select="@xml:base"/></assert></rule></pattern>
+<pattern><rule context="t:publicationStmt"><assert id="cts-idno" test="t:idno[@type='CTS']">no idno</assert></rule></pattern>
+<pattern><rule context="t:encodingDesc"><assert id="refs-decl" test="t:refsDecl[@n='CTS']">no declaration</assert><assert id="refs-decl-cite" test="t:refsDecl[@n='CTS']/t:citeStructure">no structure</assert></rule></pattern>
+<pattern><rule context="processing-instruction('xml-model')"><assert id="schema-pi" test="contains(., 'https://example.org/schemas/')">schema</assert><assert id="schema-pi-types" test="contains(., 'schematypens')">types</assert></rule></pattern>
+<pattern><rule context="t:said | t:reg"><report id="legacy" test="true()">legacy</report></rule></pattern></schema>"""
+
+
+@query(_NORMALIZED)
+def schematron_file(spark, sf_dir):
+    schema = schema_files.read_schema(_SCHEMA)
+    nodes = shred(order_documents(spark, sf_dir).select("path", "xml"), CHECKS, schema.holders)
+    return schematron.run_checks(nodes, schema.checks).select(_custkey(), "check_id")
+
+
 @query(f"select o_custkey, count(*) as findings, false as valid from ({_NORMALIZED}) group by all")
 def gate_failures(spark, sf_dir):
     return commands.validate(order_documents(spark, sf_dir).withColumn("is_catalog", F.lit(False))).select(_custkey(), "findings", "valid")
