@@ -16,12 +16,16 @@ from pyspark.sql import functions as F
 from ..runtime import bounded as arrow_batches
 from ..runtime import qualified, scratch, shared_dir, staged
 
-__all__ = ["ASCII_SPACE", "arrow_batches", "once", "packed", "qualified", "scratch", "shared_dir", "slices", "staged", "table", "text_bytes", "trimmed", "utf8"]
+__all__ = ["ASCII_SPACE", "arrow_batches", "carried", "once", "packed", "qualified", "scratch", "shared_dir", "slices", "staged", "table", "text_bytes", "trimmed", "utf8"]
 
 #: Code points 9-13 and 32, as every operator's word rule takes them.
 ASCII_SPACE = b"\t\n\x0b\x0c\r "
 
 
+#: Under this name operators carry the columns that they don't read.
+REST = "__rest"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -80,5 +84,14 @@ def packed(texts: list[bytes]) -> tuple[bytes, np.ndarray]:
     return b"".join(texts), at
 
 
+def carried(documents: DataFrame, *used: str) -> tuple[DataFrame, list[Column]]:
+    """The columns named, with all others in one struct, so that no name of theirs can clash with an operator's own; and the Columns that give all of them back in order."""
+    quoted = lambda c: F.col("`" + c.replace("`", "``") + "`")
+    others = [c for c in documents.columns if c not in used]
+    rest = F.struct(F.lit(0).alias("none"), *[quoted(c).alias(f"c{i}") for i, c in enumerate(others)])
+    back = [F.col(c) if c in used else F.col(REST)[f"c{others.index(c)}"].alias(c) for c in documents.columns]
+    return documents.select(*[c for c in documents.columns if c in used], rest.alias(REST)), back
+
+
 def utf8(column: str) -> Column:
     return F.encode(F.coalesce(F.col(column).cast("string"), F.lit("")), "utf-8")

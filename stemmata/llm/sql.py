@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from .fill_in_middle import MIDDLE, PREFIX, SUFFIX, UNIT
 from .licenses import _NOTICE, _PARAGRAPH, _SPDX, CUE, FORMS, LEAST, LICENCE_FILE, TERM
 from .ngram_join import PERCENT
+from .prefix_trie import WORD
 from .quality import BOTH_SIDES, GAMMA, REACH, TAIL, ZERO_BIN
 from .quality import LEAST as LEAST_DOCS
 from .wu_manber import WINDOW
@@ -111,4 +113,51 @@ select f.doc_id, f.path, coalesce(own.licence, near.licence) as licence, own.sco
 from files f left join own on own.doc_id = f.doc_id and own.path = f.path left join near on near.dir = f.dir and near.r = 1"""
 
 
-ORACLE_SQL = {"op2_quality_rules": quality(), "op3_license_scan": licenses(), "op8_ngram_jaccard": ngram_join(), "op10_wu_manber": decontamination()}
+def top_k() -> str:
+    whole = "list_transform(embedding, lambda x: floor(1024 * x::double))"
+    fine = "vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+    return f"""
+with v as (select vec_id, {whole} as v from embeddings where {fine}),
+s as (select q.vec_id as query_id, d.vec_id, cast(list_dot_product(q.v, d.v) as bigint) as score from v q join v d on q.vec_id % 100 = 0 and d.vec_id <> q.vec_id)
+select query_id, cast(rank as int) as rank, vec_id, score from (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s) where rank <= 10"""
+
+
+def fill_in_middle() -> str:
+    digest = "sha256('42:' || coalesce(cast(doc_id as varchar), ''))"
+    draw = lambda k: f"cast('0x' || substr({digest}, {8 * k + 1}, 8) as bigint)"
+    upto = lambda c: f"cast(coalesce(list_sum(list_transform(u[1:{c}], lambda x: length(x))), 0) as bigint)"
+    return f"""
+with u as (select doc_id, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '{UNIT}') as u from documents),
+h as (select *, {draw(0)} % (len(u) + 1) as a, {draw(1)} % (len(u) + 1) as b, {draw(2)} % 100 as c, {draw(3)} % 100 as d from u),
+f as (select *, case when text = '' or contains(text, '{PREFIX}') or contains(text, '{SUFFIX}') or contains(text, '{MIDDLE}') or c >= 50 then 'plain' when d < 80 then 'spm' else 'psm' end as form,
+      least(a, b) as lo, greatest(a, b) as hi from h),
+o as (select *, {upto('lo')} as p, {upto('hi')} as m from f),
+t as (select *, substr(text, 1, p) as prefix, substr(text, p + 1, m - p) as middle, substr(text, m + 1) as suffix from o)
+select doc_id, len(u) as n, form, case when form <> 'plain' then p end as prefix_chars, case when form <> 'plain' then m - p end as middle_chars,
+  sha256(case form when 'plain' then text when 'psm' then '{PREFIX}' || prefix || '{SUFFIX}' || suffix || '{MIDDLE}' || middle else '{SUFFIX}' || suffix || '{PREFIX}' || prefix || '{MIDDLE}' || middle end) as output_sha256,
+  sha256(text) as restored_sha256 from t"""
+
+
+def prefix_trie() -> str:
+    """Nodes as lists of turns; each node's subtree is found by comparing lists."""
+    bits = "list_prepend(4294967295::bigint, flatten(list_transform(range(1, length(c) + 1), lambda i: [ascii(substr(c, i, 1))::bigint, 0, 0, 0, 0, 0, 0, 0])))"
+    # The reflected polynomial of the usual 32-bit check.
+    crc = f"xor(list_reduce({bits}, lambda a, x: xor(xor(a, x) >> 1, (xor(a, x) & 1) * 3988292384)), 4294967295)"
+    return f"""
+with t as (select conv_id, {{'role': coalesce(role, ''), 'text': coalesce(text, '')}} as t, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as k from conversations where conv_id is not null),
+o as (select conv_id, list(t order by k) as own, cast(conv_id as varchar) as c from t group by conv_id),
+h as (select conv_id, own, {crc} % 4 as h from o),
+r as (select a.conv_id, list_concat(coalesce(b.own[1:h], []), a.own[h + 1:]) as path from h a left join o b on b.conv_id = a.conv_id - a.conv_id % 20),
+m as (select conv_id, path[1:d] as node, d = len(path) as ends from (select conv_id, path, unnest(range(0, len(path) + 1)) as d from r)),
+n as (select node, len(node) as depth, min(conv_id) as conv_id, count(*) as n_convs, sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (ends), '')) as ends_sha256 from m group by node),
+c as (select node[1:len(node) - 1] as up, count(*) as n_children from n where depth > 0 group by 1),
+x as (select n.*, coalesce(n_children, 0) as n_children, case when depth > 0 then (n_convs - 1) * len(regexp_extract_all(node[-1].text, '{WORD}')) else 0 end as own from n left join c on c.up = n.node),
+s as (select a.node, cast(count(*) filter (b.n_children = 0) as bigint) as n_leaves, cast(sum(b.own) as bigint) as saved_tokens from x a join x b on b.depth >= a.depth and b.node[1:a.depth] = a.node group by 1)
+select x.conv_id, x.depth, u.conv_id as parent_conv_id, x.n_convs, x.n_children, n_leaves, saved_tokens, x.ends_sha256
+from x join s on s.node = x.node left join x u on x.depth > 0 and u.node = x.node[1:x.depth - 1]"""
+
+
+ORACLE_SQL = {
+    "op2_quality_rules": quality(), "op3_license_scan": licenses(), "op8_ngram_jaccard": ngram_join(), "op10_wu_manber": decontamination(), "op11_top_k": top_k(), "op12_fill_in_middle": fill_in_middle(),
+    "op13_prefix_trie": prefix_trie(),
+}
