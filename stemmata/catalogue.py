@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions.text import computed_urn, existing_urn, map_urn, pipeline_urn
-from .operators import audit, catalogues, genres, rewrite, schema_files, schematron, structure, validation, vocabulary
+from .operators import audit, catalogues, genres, intervals, rewrite, schema_files, schematron, structure, validation, vocabulary
 from .operators.shred import AUDIT, CHECKS, ROOTS, SIGNATURE, shred, tei
 from .plans import commands
-from .plans.synthetic import IDS, catalogue_files, order_documents, table, text_documents, validator_lines
+from .plans.synthetic import IDS, catalogue_files, encoded_documents, order_documents, table, text_documents, validator_lines
 from .runtime import staged
-from .sources.corpus import default_taxonomy
+from .sources.corpus import default_taxonomy, texts, with_places
 from .vocabulary import FAMILY_DEFAULT, HIERARCHY, LINE, LITERARY
 
 QUERIES: dict = {}
@@ -125,6 +125,22 @@ def parse_status(spark, sf_dir):
     return commands.roots(shred(broken, ROOTS)).groupBy("parse_ok").agg(F.count("*").alias("files"))
 
 
+_CLEAN = r"regexp_replace(coalesce(text, ''), '[\x00-\x08\x0b\x0c\x0d\x0e-\x1f]', '', 'g')"
+
+
+@query(f"""
+with d as (select doc_id, string_split({_CLEAN}, chr(10)) as x, regexp_matches({_CLEAN}, '[^\\x00-\\x7e\\x{{a0}}-\\x{{ff}}]') as far from documents)
+select doc_id, case when doc_id % 5 = 1 then 'utf-16' when doc_id % 5 = 4 then 'broken' when not far and doc_id % 5 = 2 then 'iso-8859-1' when not far and doc_id % 5 = 3 then 'windows-1252' else 'utf-8' end as encoding,
+  doc_id % 5 <> 4 as parse_ok, case when doc_id % 5 = 4 then 0 else len(x) end as lines, case when doc_id % 5 <> 4 then sha256(array_to_string(x, chr(10))) end as text_sha256 from d""")
+def declared_encodings(spark, sf_dir):
+    files = encoded_documents(spark, sf_dir)
+    nodes = shred(files.select("path", "xml"), ("node_id", "kind", "ns", "name", "text"))
+    line = (F.col("kind") == "element") & F.col("name").isin("p", "l")
+    lines = F.array_sort(F.collect_list(F.when(line, F.struct("node_id", F.coalesce("text", F.lit("")).alias("t")))))
+    read = nodes.groupBy("path").agg((F.count_if(F.col("kind") == "error") == 0).alias("parse_ok"), F.count_if(line).alias("lines"), F.array_join(lines["t"], "\n").alias("text"))
+    return files.select("doc_id", "encoding", "path").join(read, "path").select("doc_id", "encoding", "parse_ok", "lines", F.when(F.col("parse_ok"), F.sha2("text", 256)).alias("text_sha256"))
+
+
 @query("""
 select doc_id, cast((length(coalesce(text, '')) - length(replace(coalesce(text, ''), '. ', ''))) / 2 as bigint) as count from documents
 where contains(coalesce(text, ''), '. ')""")
@@ -249,6 +265,70 @@ def schematron_file(spark, sf_dir):
     return schematron.run_checks(nodes, schema.checks).select(_custkey(), "check_id")
 
 
+def _axis(rules: str, sql: str):
+    """A query of the findings by document and check, for rules along one axis."""
+
+    def take(f):
+        def run(spark, sf_dir):
+            schema = schema_files.read_schema(f'<schema xmlns="http://purl.oclc.org/dsdl/schematron"><ns prefix="t" uri="http://www.tei-c.org/ns/1.0"/><pattern>{rules}</pattern></schema>')
+            found = schema_files.check_documents(order_documents(spark, sf_dir).select("path", "xml"), schema)
+            return found.groupBy(_custkey(), "check_id").agg(F.count("*").alias("findings"))
+
+        run.__name__, run.__doc__ = f.__name__, f.__doc__
+        return query(f"""
+with b as (select o_custkey, k, o_orderkey, count(*) as chapters from {_ITEMS} group by all),
+d as (select o_custkey, k, count(*) as books, sum(chapters) as chapters, count(*) filter (chapters > 2) as thick from b group by all)
+{sql}""")(run)
+
+    return take
+
+
+@_axis(
+    """<rule context="t:div[@type='edition']"><report id="many" test="count(t:div) &gt; 3">many</report><assert id="nested" test="t:div/t:div/*">flat</assert></rule>""",
+    "select o_custkey, 'many' as check_id, cast(1 as bigint) as findings from d where case when k = 3 then chapters else books end > 3 union all select o_custkey, 'nested', 1 from d where k = 3",
+)
+def axis_child():
+    """Counts of children, and a path of three steps."""
+
+
+@_axis(
+    """<rule context="t:body"><report id="marked" test=".//t:milestone">marked</report><report id="long" test="count(.//t:div[@n]) &gt;= 20">long</report><assert id="lines" test="//t:l">prose</assert>
+<report id="leaves" test="count(t:div//t:p) = count(.//t:p) and count(//t:p) != 0">leaves</report></rule>""",
+    """select o_custkey, 'marked' as check_id, cast(1 as bigint) as findings from d where k = 4 union all select o_custkey, 'long', 1 from d where k <> 3 and books + chapters >= 20
+union all select o_custkey, 'lines', 1 from d where k not in (0, 2) union all select o_custkey, 'leaves', 1 from d where k not in (0, 2)""",
+)
+def axis_descendant():
+    """What stands anywhere below, below a child, or in the document."""
+
+
+@_axis(
+    """<rule context="t:l"><assert id="in-book" test="ancestor::t:div[@type='textpart'][@subtype='book']">no book</assert><report id="deep" test="count(ancestor::t:div) = 3 and ../.. or count(ancestor::*) = 6">deep</report></rule>
+<rule context="t:div[@subtype]"><report id="below" test="parent::t:div[@subtype]">below</report></rule>""",
+    """select o_custkey, 'in-book' as check_id, cast(chapters as bigint) as findings from d where k = 2 union all select o_custkey, 'deep', cast(chapters as bigint) from d where k in (0, 2)
+union all select o_custkey, 'below', cast(chapters as bigint) from d where k in (0, 2, 4)""",
+)
+def axis_ancestor():
+    """What a node stands in, at any height or just above."""
+
+
+@_axis(
+    """<rule context="t:div[@type='textpart']"><report id="third" test="count(preceding-sibling::t:div) = 2">third</report><assert id="last" test="following-sibling::t:div">last</assert></rule>""",
+    """select * from (select o_custkey, 'third' as check_id, cast(case when k = 3 then (chapters > 2)::int else (books > 2)::int + thick end as bigint) as findings from d where k <> 1) where findings > 0
+union all select o_custkey, 'last', case when k = 3 then 1 else 1 + books end from d where k <> 1""",
+)
+def axis_sibling():
+    """What stands before and after under the same parent."""
+
+
+@_axis(
+    """<rule context="t:div[position() = 2 and last() &gt; 2]"><report id="second" test="true()">second of <value-of select="count(../t:div)"/></report></rule><rule context="t:div[position() = last()]"><report id="end" test="true()">end</report></rule>""",
+    """select * from (select o_custkey, 'second' as check_id, cast(case when k = 3 then (chapters > 2)::int else (books > 2)::int + thick end as bigint) as findings from d) where findings > 0
+union all select o_custkey, 'end', case when k = 3 then 2 else 2 + books end from d""",
+)
+def axis_position():
+    """Places among the siblings of one name."""
+
+
 @query(f"select o_custkey, count(*) as findings, false as valid from ({_NORMALIZED}) group by all")
 def gate_failures(spark, sf_dir):
     return commands.validate(order_documents(spark, sf_dir).withColumn("is_catalog", F.lit(False))).select(_custkey(), "findings", "valid")
@@ -290,6 +370,19 @@ def genre_resolve(spark, sf_dir):
     return docs.join(own, "path", "left").join(labels, "doc_id", "left").select("doc_id", genres.first_of("genre_tei", "map_genre", default="unknown").alias("genre"))
 
 
+@query(f"""
+with s as (select s_suppkey, n_nationkey, n_regionkey, s_suppkey % 7 = 3 as deep, {_IDS}[n_nationkey % {len(IDS)} + 1] as work_genre from supplier join nation on s_nationkey = n_nationkey)
+select 'r' || n_regionkey || '/n' || n_nationkey || case when deep then '/deep/er' else '' end as folder, 's' || s_suppkey as stem,
+  coalesce(case when s_suppkey % 5 = 0 then 'drama-line' end, case when deep then case when n_nationkey % 2 = 0 then 'verse-elegiac' end else nullif(work_genre, '') end, case when s_suppkey % 4 = 0 then 'prose' end, 'unknown') as genre from s""")
+def genre_by_place(spark, sf_dir):
+    """Own genre, then the catalogue in the text's own folder at any depth, then the map by stem."""
+    files = catalogue_files(spark, sf_dir)
+    nodes = staged(shred(texts(files), ("node_id", "kind", "ns", "name", "attrs", "anc_names")), "nodes")
+    by_map = table(spark, sf_dir, "supplier").where("s_suppkey % 4 = 0").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("stem"), F.lit("prose").alias("map_genre"))
+    out = commands.resolved_genres(files, nodes, by_map)
+    return out.select(F.concat_ws("/", "textgroup", "work").alias("folder"), "stem", "genre")
+
+
 _SIGNALS = f"""
 select source, cast(sum(case when lang = 'de' then n else 0 end) as bigint) as sp_count, cast(sum(case when lang in ('de', 'fr') then n else 0 end) as bigint) as l_count,
   cast(sum(case when coalesce(lang, '') not in ('de', 'fr') then n else 0 end) as bigint) as p_count from (select source, lang, {_LINES} as n from documents) group by source"""
@@ -313,7 +406,7 @@ def confidence(spark, sf_dir):
 
 
 _MAP = f"""
-with src as (select s_suppkey, n_regionkey, n_nationkey, n_name, r_name, {_IDS}[n_nationkey % {len(IDS)} + 1] as genre from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey),
+with src as (select s_suppkey, n_regionkey, n_nationkey, n_name, r_name, {_IDS}[n_nationkey % {len(IDS)} + 1] as genre from supplier join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey where s_suppkey % 7 <> 3),
 p as ({_PROPOSED}), q as (select *, split_part(proposed_subclass, '-', 1) as family, s_suppkey % 3 as k from p),
 b as (select *, case when family = 'verse' and k = 0 then 'verse-book-line' when family = 'verse' and k = 2 then 'verse-stichic' when family = 'drama' and k in (0, 2) then 'drama-line'
   when family = 'prose' and k = 0 then 'prose-book' when family = 'prose' and k = 1 then 'prose-section' end as best from q),
@@ -458,9 +551,32 @@ def defaults_except(spark, sf_dir):
     return genres.missing_defaults(default_taxonomy(spark))
 
 
+_TREE = f"""
+with recursive i as materialized (select o_custkey, cast(o_custkey % 5 as int) as k, o_orderkey, row_number() over (order by o_custkey, o_orderkey, l_linenumber, l_partkey) as r from orders join lineitem on l_orderkey = o_orderkey),
+n as (
+  select o_custkey as c, 'b' as id, cast(null as varchar) as up, 'body' as label from {_KIND} union all select o_custkey, 'e', 'b', 'edition' from {_KIND}
+  union all select o_custkey, 'o' || o_orderkey, 'e', case k when 2 then 'Book' else 'book' end from {_BOOKS} where k <> 3
+  union all select o_custkey, 'c' || r, case k when 3 then 'e' else 'o' || o_orderkey end, case k when 2 then 'Chapter' else 'chapter' end from i
+  union all select o_custkey, 'x' || r, 'c' || r, case when k in (0, 2) then 'l' else 'p' end from i
+  union all select o_custkey, 'm' || r, 'c' || r, 'milestone' from i where k = 4),
+within as (select a.c, a.label as outer_label, a.id as top, b.id as id, b.label as inner_label from n a join n b on b.c = a.c and b.up = a.id
+  union all select w.c, w.outer_label, w.top, b.id, b.label from within w join n b on b.c = w.c and b.up = w.id)"""
+
+
+@query(f"{_TREE} select c as o_custkey, outer_label, inner_label, count(*) as pairs, count(distinct top) as outers from within group by all")
+def contains_any(spark, sf_dir):
+    """How many nodes of each kind stand in those of each other kind, at any depth: body and divs around divs, lines, paragraphs and milestones."""
+    nodes = staged(_order_nodes(spark, sf_dir, "node_id", "end_id", "kind", "name", "attrs"), "nodes").where("kind = 'element'")
+    label = F.coalesce(F.col("attrs")["subtype"], F.when(F.col("name") == "div", F.col("attrs")["type"]), F.col("name")).alias("label")
+    outer = nodes.where(F.col("name").isin("body", "div")).select("path", "node_id", "end_id", label)
+    inner = nodes.where(F.col("name").isin("div", "l", "p", "milestone")).select("path", "node_id", label)
+    found = intervals.containment(outer, inner).groupBy("path", F.col("outer.label").alias("outer_label"), F.col("inner.label").alias("inner_label"), "outer.node_id").agg(F.count("*").alias("n"))
+    return found.groupBy(_custkey(), "outer_label", "inner_label").agg(F.sum("n").alias("pairs"), F.count("*").alias("outers"))
+
+
 @query(f"""
 select genre, structural_type, cast(sum(n) as bigint) as files from (
   select case k when 2 then 'verse' when 3 then 'unknown' else 'prose-standard' end as genre, case k when 1 then 'unknown' when 4 then 'mixed' else 'div-based' end as structural_type, 1 as n from {_KIND}) group by all""")
 def survey_structure(spark, sf_dir):
-    files = order_documents(spark, sf_dir).select("path", "xml").withColumns({"textgroup": F.lit("c"), "work": F.lit("w"), "stem": F.lit(""), "is_catalog": F.lit(False), "depth_in_tree": F.lit(3)})
+    files = with_places(order_documents(spark, sf_dir).select("path", "xml"), "/corpus/canonical-test/data")
     return commands.survey(files)["structure"].groupBy("genre", "structural_type").agg(F.count("*").alias("files"))

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import audit, genres, schema_files, schematron
+from .operators.axes import probed
 from .operators.shred import HOLDERS, shred
 from .plans import commands
 from .sources import corpus
@@ -105,7 +106,7 @@ def _reports(suffix):
         if suffix == "schema":
             names = _names(args)
             checks = schema.checks if schema else schematron.normalized_checks(names) + schematron.encoding_checks(names)
-            report = schematron.report(schematron.run_checks(nodes, checks))
+            report = schematron.report(schematron.run_checks(probed(nodes, schema.probes) if schema else nodes, checks))
             shown = schematron.report_text(report)
         else:
             report = audit.reference_report(nodes) if suffix == "refs" else audit.structure_report(nodes)

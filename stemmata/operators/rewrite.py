@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from ..functions.text import LANGUAGES
 from ..runtime import bounded
 from ..sources.corpus import TEI
+from ..sources.encodings import readable
 from ..vocabulary import FAMILY_DEFAULT, HIERARCHY, LINE, NAMES, Names
 
 
@@ -311,9 +312,9 @@ PIPELINES = {
 }
 
 
-def rewrite(xml: str, steps: tuple[str, ...], context: Context) -> str:
+def rewrite(xml: str | bytes, steps: tuple[str, ...], context: Context) -> str:
     """One document through the steps."""
-    doc = minidom.parseString(xml.encode())
+    doc = minidom.parseString(readable(xml))
     reduce(lambda _, step: STEPS[step](doc, context), steps, None)
     prolog = '<?xml version="1.0" encoding="UTF-8"?>'
     return prolog + "".join("\n" + c.toxml() for c in doc.childNodes)

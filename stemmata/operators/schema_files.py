@@ -1,40 +1,57 @@
 """Schematron files read as checks: an XPath subset compiled to Columns over the node table.
 
-Contexts: an element name or processing-instruction(), with predicates, alternatives by `|`. Tests: and, or, not(), = and != (sequences
-of literals too), attributes, `.` of a processing instruction, node(), child paths of one or two steps with one attribute test each,
-contains, starts-with, substring-after, normalize-space, variables of sch:let. In a pattern the first rule whose context fits a node
-counts. Anything else raises ValueError with the expression: no rule is left out in silence.
+Contexts: an element name or processing-instruction(), with predicates, alternatives by `|`. Tests: and, or, not(), comparisons (with
+sequences of literals too, and with numbers), attributes, `.` of a processing instruction, node(), paths, count(), contains, starts-with,
+substring-after, normalize-space, string-length, number, concat, variables of sch:let; in a context also position() and last() among the
+siblings of its name. Paths: steps by `/` and `//` along child, descendant, ancestor and parent (`..`), with predicates that ask for
+attributes; a path by itself along preceding-sibling and following-sibling; `//` from the root. Child paths of one or two steps with one
+attribute test each are answered by the shredder; what else is counted along an axis is a probe (see axes). In a pattern the
+first rule whose context fits a node counts. Included files, extended abstract rules, abstract patterns, phases and diagnostics are
+resolved before. Anything else raises ValueError with the expression: no rule is left out in silence.
 """
 
 from __future__ import annotations
 
+import copy
+import os
 import re
 import xml.etree.ElementTree as ET
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import collapse, or_empty
+from ..runtime import staged
 from ..sources.corpus import TEI, XML
-from .schematron import ASSERT, REPORT, Check
+from .axes import SIBLINGS, Probe, Step, probed
+from .schematron import ASSERT, REPORT, Check, run_checks
+from .shred import AXES, CHECKS, shred
 
 SCH = "http://purl.oclc.org/dsdl/schematron"
-_TOKEN = re.compile(r"""\s*(?:(?P<string>"[^"]*"|'[^']*')|(?P<name>[$@]?[\w.-]*[^\W\d][\w.-]*(?::[\w.-]+)?)|(?P<mark>!=|//|[()\[\],=|/.]))""")
+_TOKEN = re.compile(r"""\s*(?:(?P<string>"[^"]*"|'[^']*')|(?P<number>\d+(?:\.\d+)?)(?![\w.-])|(?P<name>[$@]?[\w.-]*[^\W\d][\w.-]*(?::[\w.-]+)?)|(?P<mark>!=|<=|>=|//|::|\.\.|[()\[\],=<>|/.*]))""")
+_COMPARE = {"=": Column.__eq__, "!=": Column.__ne__, "<": Column.__lt__, "<=": Column.__le__, ">": Column.__gt__, ">=": Column.__ge__}
+_AXES = ("child", "descendant", "ancestor", "parent", *SIBLINGS)
 
 
 @dataclass(frozen=True)
 class Schema:
-    """The checks of a file, and the elements whose children they ask for (for shred's holders)."""
+    """The checks of a file, the elements whose children they ask for (for shred's holders), and what is to be counted along axes first."""
 
     checks: list[Check]
     holders: tuple[str, ...]
+    probes: tuple[Probe, ...] = ()
+
+    @property
+    def columns(self) -> tuple[str, ...]:
+        """What the checks read of a node."""
+        return AXES if self.probes else CHECKS
 
 
 @dataclass
 class _Value:
-    """What an expression gives: a truth, nodes (null: none) or strings."""
+    """What an expression gives: a truth, a number, nodes (null: none) or strings."""
 
     kind: str
     columns: list[Column]
@@ -42,13 +59,21 @@ class _Value:
     def truth(self) -> Column:
         if self.kind == "bool":
             return self.columns[0]
+        if self.kind == "number":
+            return F.coalesce(self.columns[0] != 0, F.lit(False))
         return reduce(Column.__or__, [c.isNotNull() if self.kind == "node" else F.coalesce(c != "", F.lit(False)) for c in self.columns])
 
     def text(self, source: str) -> Column:
         if self.kind == "bool" or len(self.columns) != 1:
             raise ValueError(f"a string is wanted in {source!r}")
+        if self.kind == "number":
+            n = self.columns[0].cast("double")
+            return or_empty(F.when(n == F.floor(n), n.cast("long").cast("string")).otherwise(n.cast("string")))
         return or_empty(self.columns[0])
 
+    def numbers(self) -> list[Column]:
+        return [c if self.kind == "number" else c.try_cast("double") for c in self.columns]
+
 
 @dataclass
 class _Scope:
@@ -58,6 +83,9 @@ class _Scope:
     variables: dict[str, str]
     element: str | None = None
     holders: set[str] = field(default_factory=set)
+    #: None inside a step's predicate, which can't ask for paths.
+    probes: dict[str, Probe] | None = field(default_factory=dict)
+    in_context: bool = False
 
 
 class _Parser:
@@ -109,15 +137,16 @@ class _Parser:
 
     def compared(self) -> _Value:
         left = self.operand()
-        if self.peek() not in ("=", "!="):
+        if self.peek() not in _COMPARE:
             return left
-        same = self.take() == "="
+        mark = self.take()
         right = self.operand()
         if "bool" in (left.kind, right.kind):
             raise self.wrong()
+        sides = (left, right)
+        a, b = (x.numbers() for x in sides) if mark not in ("=", "!=") or "number" in (left.kind, right.kind) else (x.columns for x in sides)
         # A general comparison: some pair fits.
-        pairs = [a == b if same else a != b for a in left.columns for b in right.columns]
-        return _Value("bool", [reduce(Column.__or__, [F.coalesce(p, F.lit(False)) for p in pairs])])
+        return _Value("bool", [reduce(Column.__or__, [F.coalesce(_COMPARE[mark](x, y), F.lit(False)) for x in a for y in b])])
 
     def local(self, name: str) -> str:
         """The local name of an element in the text's namespace."""
@@ -131,6 +160,8 @@ class _Parser:
         word = self.take()
         if kind == "string":
             return _Value("string", [F.lit(word[1:-1])])
+        if kind == "number":
+            return _Value("number", [F.lit(float(word))])
         if word == "(":
             found = [self.either()]
             while self.peek() == ",":
@@ -142,7 +173,7 @@ class _Parser:
             if any(v.kind == "bool" for v in found):
                 raise self.wrong()
             return _Value("string", [c for v in found for c in v.columns])
-        if word == ".":
+        if word == "." and self.peek() != "//":
             if self.scope.element is not None:
                 raise self.wrong()
             return _Value("node", [F.col("text")])
@@ -154,13 +185,18 @@ class _Parser:
             if word[1:] not in self.scope.variables:
                 raise self.wrong()
             inner = {k: v for k, v in self.scope.variables.items() if k != word[1:]}
-            return _Parser(self.scope.variables[word[1:]], _Scope(self.scope.prefixes, inner, self.scope.element, self.scope.holders)).whole()
-        if kind != "name":
-            raise self.wrong()
-        return self.call(word) if self.peek() == "(" else self.children(word)
+            return _Parser(self.scope.variables[word[1:]], replace(self.scope, variables=inner)).whole()
+        if kind == "name" and self.peek() == "(":
+            return self.call(word)
+        self.at -= 1
+        return self.path()
 
     def call(self, name: str) -> _Value:
         self.take("(")
+        if name == "count":
+            steps, whole, _ = self.steps()
+            self.take(")")
+            return _Value("number", [self.probe(steps, whole)])
         given = []
         while self.peek() != ")":
             if given:
@@ -184,35 +220,89 @@ class _Parser:
                 return _Value("string", [F.when(at > 0, F.substr(text(0), at + F.length(text(1)))).otherwise("")])
             case "normalize-space", 1:
                 return _Value("string", [collapse(text(0))])
+            case "string-length", 1:
+                return _Value("number", [F.length(text(0)).cast("double")])
+            case "number", 1:
+                return _Value("number", given[0].numbers()[:1])
+            case "concat", n if n >= 2:
+                return _Value("string", [F.concat(*map(text, range(n)))])
+            case "position" | "last", 0 if self.scope.in_context and self.scope.element:
+                named = self.named(self.scope.element)
+                place = self.probe([Step("preceding-sibling", named, self.scope.element)], False) + 1
+                return _Value("number", [place if name == "position" else place + self.probe([Step("following-sibling", named, self.scope.element)], False)])
         raise self.wrong()
 
-    def children(self, first: str) -> _Value:
-        """Whether the context has such a child, or grandchild: the shredder has written both down."""
-        steps = [self.step(first)]
-        while self.peek() == "/":
-            self.take()
-            steps.append(self.step(self.take()))
-        if len(steps) > 2 or self.scope.element is None:
+    def path(self) -> _Value:
+        """Whether there is a node at the end of the path. Children and grandchildren the shredder has written down."""
+        steps, whole, plain = self.steps()
+        if plain is not None:
+            self.scope.holders.add(self.scope.element)
+            return _Value("bool", [F.coalesce(F.array_contains("holds", plain), F.lit(False))])
+        return _Value("bool", [self.probe(steps, whole) > 0])
+
+    def named(self, name: str) -> Column:
+        found = F.col("kind") == "element"
+        return found if name == "*" else found & (F.col("ns") == TEI) & (F.col("name") == name)
+
+    def steps(self) -> tuple[list[Step], bool, str | None]:
+        """The steps, whether they go from the root, and what the shredder calls the path, if it knows it."""
+        if self.scope.element is None or self.scope.probes is None:
             raise self.wrong()
-        self.scope.holders.add(self.scope.element)
-        return _Value("bool", [F.coalesce(F.array_contains("holds", "/".join(steps)), F.lit(False))])
+        whole, descend = self.peek() == "//", False
+        if self.peek() in (".", "//"):
+            descend = True
+            if self.take() == ".":
+                self.take("//")
+        found, plain = [], []
+        while True:
+            step, simple = self.step("descendant" if descend else "child")
+            found.append(step)
+            plain.append(simple)
+            if self.peek() not in ("/", "//"):
+                break
+            descend = self.take() == "//"
+        if (whole or any(x.axis in SIBLINGS for x in found)) and len(found) > 1:
+            raise self.wrong()
+        known = len(found) <= 2 and all(x.axis == "child" for x in found) and None not in plain
+        return found, whole, "/".join(plain) if known else None
 
-    def step(self, name: str) -> str:
-        out = self.local(name)
-        if self.peek() == "[":
+    def step(self, axis: str) -> tuple[Step, str | None]:
+        """A step, and what the shredder calls it where it has one attribute test at most."""
+        first = self.at
+        word = self.take()
+        if word == "..":
+            return Step("parent", F.col("kind") == "element", ".."), None
+        if self.peek() == "::":
             self.take()
-            attribute = self.take()
-            if not attribute.startswith("@"):
+            if word not in _AXES or axis == "descendant":
                 raise self.wrong()
-            value = ""
-            if self.peek() == "=":
-                self.take()
-                if self.ended() or self.tokens[self.at][0] != "string":
-                    raise self.wrong()
-                value = f"='{self.take()[1:-1]}'"
+            axis, word = word, self.take()
+        if word != "*" and self.tokens[self.at - 1][0] != "name":
+            raise self.wrong()
+        name = word if word == "*" else self.local(word)
+        test, plain = self.named(name), [name]
+        while self.peek() == "[":
+            self.take()
+            begin = self.at
+            inner = _Parser.__new__(_Parser)
+            inner.__dict__.update(self.__dict__, scope=replace(self.scope, element=name, probes=None, in_context=False))
+            test &= F.coalesce(inner.either().truth(), F.lit(False))
+            self.at = inner.at
+            asked = self.tokens[begin : self.at]
+            simple = asked[0][1].startswith("@") and (len(asked) == 1 or (len(asked) == 3 and asked[1][1] == "=" and asked[2][0] == "string"))
+            plain.append(f"[{asked[0][1]}{f"='{asked[2][1][1:-1]}'" if len(asked) == 3 else ''}]" if simple else None)
             self.take("]")
-            out += f"[{attribute}{value}]"
-        return out
+        known = name != "*" and len(plain) <= 2 and None not in plain
+        return Step(axis, test, "".join(t for _, t in self.tokens[first : self.at])), "".join(plain) if known else None
+
+    def probe(self, steps: list[Step], whole: bool) -> Column:
+        """How many nodes are at the end of the path: a column that probed() adds."""
+        if self.scope.probes is None or self.scope.element is None:
+            raise self.wrong()
+        key = f"{self.scope.element}{' //' if whole else ' '}{'/'.join(f'{x.axis}::{x.source}' for x in steps)}"
+        if key not in self.scope.probes:
+            self.scope.probes[key] = Probe(f"probe_{len(self.scope.probes)}", self.named(self.scope.element), tuple(steps), whole)
+        return F.col(self.scope.probes[key].name)
 
     def contexts(self) -> list[tuple[Column, str | None]]:
         """What a context says of a node, for each alternative, and the element's name."""
@@ -239,11 +329,12 @@ class _Parser:
             if not re.fullmatch(r"[^\W\d][\w.-]*", element) or (prefix and prefix not in self.scope.prefixes):
                 raise self.wrong()
             found = (F.col("kind") == "element") & (F.col("ns") == self.scope.prefixes.get(prefix, "")) & (F.col("name") == element)
-        self.scope.element = element
+        self.scope.element, self.scope.in_context = element, True
         while self.peek() == "[":
             self.take()
             found &= F.coalesce(self.either().truth(), F.lit(False))
             self.take("]")
+        self.scope.in_context = False
         return found, element
 
 
@@ -264,29 +355,92 @@ def _message(at: ET.Element, scope: _Scope) -> Column:
     return F.concat(*parts)
 
 
-def read_schema(source: str) -> Schema:
-    """The checks of a Schematron file (a path, or its text)."""
+def _included(at: ET.Element, folder: str | None) -> None:
+    """Puts in place what include elements, and extends with a reference, name."""
+    for i, x in reversed(list(enumerate(at))):
+        href = x.get("href")
+        if href is not None and x.tag in (f"{{{SCH}}}include", f"{{{SCH}}}extends"):
+            if folder is None or "#" in href:
+                raise ValueError(f"not supported: {href!r} included in a schema that isn't a file, or by part")
+            found = ET.parse(os.path.join(folder, href)).getroot()
+            at.remove(x)
+            for k, new in enumerate([found] if x.tag == f"{{{SCH}}}include" else list(found)):
+                at.insert(i + k, new)
+    for x in at:
+        _included(x, folder)
+
+
+def _patterns(root: ET.Element, phase: str | None) -> list[ET.Element]:
+    """The patterns that are active in the phase, with abstract ones and abstract rules filled in."""
+    given = root.findall(f"{{{SCH}}}pattern")
+    abstract = {p.get("id"): p for p in given if p.get("abstract") == "true"}
+    phase = root.get("defaultPhase", "#ALL") if phase in (None, "#DEFAULT") else phase
+    if phase != "#ALL":
+        chosen = next((p for p in root.findall(f"{{{SCH}}}phase") if p.get("id") == phase), None)
+        if chosen is None:
+            raise ValueError(f"no phase {phase}")
+        active = {x.get("pattern") for x in chosen.findall(f"{{{SCH}}}active")}
+        given = [p for p in given if p.get("id") in active]
+    out = []
+    for p in given:
+        if p.get("abstract") == "true":
+            continue
+        if p.get("is-a"):
+            if p.get("is-a") not in abstract:
+                raise ValueError(f"no abstract pattern {p.get('is-a')}")
+            values = {x.get("name", ""): x.get("value", "") for x in p.findall(f"{{{SCH}}}param")}
+            filled = copy.deepcopy(abstract[p.get("is-a")])
+            for x in filled.iter():
+                for k in ("context", "test", "select", "value", "path"):
+                    if x.get(k) is not None:
+                        x.set(k, re.sub(r"\$([\w.-]+)", lambda m: values.get(m[1], m[0]), x.get(k)))
+            filled.attrib = {k: v for k, v in {**filled.attrib, "id": p.get("id") or p.get("is-a")}.items() if k != "abstract"}
+            p = filled
+        out.append(p)
+    rules = {r.get("id"): r for r in root.iter(f"{{{SCH}}}rule") if r.get("abstract") == "true"}
+
+    def inherited(rule: ET.Element, seen: tuple[str, ...] = ()) -> list[ET.Element]:
+        parts = []
+        for x in rule:
+            name = x.get("rule") if x.tag == f"{{{SCH}}}extends" else None
+            if name is None:
+                parts.append(x)
+            elif name not in rules or name in seen:
+                raise ValueError(f"no abstract rule {name}, or one that extends itself")
+            else:
+                parts += inherited(rules[name], (*seen, name))
+        return parts
+
+    for p in out:
+        for r in list(p.findall(f"{{{SCH}}}rule")):
+            if r.get("abstract") == "true":
+                p.remove(r)
+            else:
+                r[:] = inherited(r)
+    return out
+
+
+def read_schema(source: str, phase: str | None = None) -> Schema:
+    """The checks of a Schematron file (a path, or its text) in a phase: one by name, #ALL, or the schema's default."""
+    folder = None
     if not source.lstrip().startswith("<"):
+        folder = os.path.dirname(os.path.abspath(source))
         with open(source, encoding="utf-8") as f:
             source = f.read()
     root = ET.fromstring(source)
     if root.tag != f"{{{SCH}}}schema":
         raise ValueError("the root is no sch:schema")
-    for name in ("include", "extends", "diagnostics", "phase"):
-        if root.find(f".//{{{SCH}}}{name}") is not None:
-            raise ValueError(f"not supported: sch:{name}")
+    _included(root, folder)
     prefixes = {x.get("prefix", ""): x.get("uri", "") for x in root.findall(f"{{{SCH}}}ns")} | {"xml": XML}
+    more = {x.get("id"): x for x in root.iter(f"{{{SCH}}}diagnostic")}
     checks: list[Check] = []
     holders: set[str] = set()
+    probes: dict[str, Probe] = {}
     names: dict[str, int] = {}
-    for pattern in root.findall(f"{{{SCH}}}pattern"):
-        if pattern.get("abstract") == "true" or pattern.get("is-a"):
-            raise ValueError("not supported: abstract patterns")
+    for pattern in _patterns(root, phase):
         earlier: list[Column] = []
         for rule in pattern.findall(f"{{{SCH}}}rule"):
-            if rule.get("abstract") == "true":
-                raise ValueError("not supported: abstract rules")
-            scope = _Scope(prefixes, _lets(root) | _lets(pattern) | _lets(rule), None, holders)
+            scope = _Scope(prefixes, _lets(root) | _lets(pattern) | _lets(rule), None, holders, probes)
             matches = []
             for here, element in _Parser(rule.get("context", ""), scope).contexts():
                 scope.element = element
@@ -296,7 +450,8 @@ def read_schema(source: str) -> Schema:
                     if kind is None:
                         continue
                     test = at.get("test", "")
-                    matches.append((at, Check("", kind, at.get("role", ""), fits, F.coalesce(_Parser(test, scope).whole().truth(), F.lit(False)), _message(at, scope), test)))
+                    said = [_message(x, scope) for x in (at, *[more[d] for d in at.get("diagnostics", "").split()])]
+                    matches.append((at, Check("", kind, at.get("role", ""), fits, F.coalesce(_Parser(test, scope).whole().truth(), F.lit(False)), F.concat_ws(" ", *said), test)))
                 earlier = [*earlier, here]
             ids: dict[int, str] = {}
             for at, check in matches:
@@ -305,4 +460,11 @@ def read_schema(source: str) -> Schema:
                     names[base] = names.get(base, 0) + 1
                     ids[id(at)] = base if names[base] == 1 else f"{base}-{names[base]}"
                 checks.append(Check(ids[id(at)], check.kind, check.role, check.context, check.test, check.message, check.source))
-    return Schema(checks, tuple(sorted(holders)))
+    return Schema(checks, tuple(sorted(holders)), tuple(probes.values()))
+
+
+def check_documents(docs: DataFrame, schema: Schema) -> DataFrame:
+    """The findings of a schema in documents (path, xml)."""
+    nodes = shred(docs, schema.columns, schema.holders)
+    # Probes read the nodes several times.
+    return run_checks(probed(staged(nodes, "nodes"), schema.probes) if schema.probes else nodes, schema.checks)

@@ -2,7 +2,7 @@
 
 Each node has its place in preorder (node_id) and that of its last descendant (end_id), so containment is an
 interval test; what the hot queries ask of ancestors (citation units, text parts, names) stands on the node itself.
-A document that isn't well formed gives one node of kind `error`.
+A document that isn't well formed, or isn't in the encoding that it declares, gives one node of kind `error`.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..runtime import bounded
 from ..sources.corpus import TEI, XML
+from ..sources.encodings import readable
 from ..vocabulary import WRAPPERS
 
 SCHEMA = (
@@ -34,6 +35,8 @@ _ARROW = {
 SIGNATURE = ("kind", "ns", "name", "in_body", "unit", "anc_units")
 AUDIT = ("node_id", "end_id", "parent_id", "depth", "kind", "ns", "name", "attrs", "text", "in_body", "in_text", "unit", "anc_textparts", "anc_names")
 CHECKS = ("kind", "ns", "name", "attrs", "text", "has_child_node", "holds", "location")
+#: For checks that count along axes.
+AXES = (*CHECKS, "node_id", "end_id", "parent_id")
 ROOTS = ("depth", "kind", "ns", "name", "text")
 #: Elements that list what stands in them, two levels down, for child tests.
 HOLDERS = ("profileDesc", "publicationStmt", "encodingDesc")
@@ -110,8 +113,8 @@ def _holds(nodes: list[dict], holders: tuple[str, ...]) -> None:
             n["holds"] = list(dict.fromkeys(n["holds"]))
 
 
-def parse(xml: str, wanted: frozenset[str] = frozenset(_ARROW), holders: tuple[str, ...] = HOLDERS) -> list[dict]:
-    """The nodes of one document in preorder; what isn't wanted and takes time is left out."""
+def parse(xml: str | bytes, wanted: frozenset[str] = frozenset(_ARROW), holders: tuple[str, ...] = HOLDERS) -> list[dict]:
+    """The nodes of one document in preorder; what isn't wanted and takes time is left out. Bytes are read in the encoding that they declare."""
     tree = _Tree("location" in wanted)
     parser = expat.ParserCreate(namespace_separator="}")
     parser.ordered_attributes = True
@@ -120,8 +123,8 @@ def parse(xml: str, wanted: frozenset[str] = frozenset(_ARROW), holders: tuple[s
     parser.ProcessingInstructionHandler = lambda target, data: tree.add("pi", "", target, {}, data)
     parser.CommentHandler = lambda data: tree.add("comment", "", "", {}, data)
     try:
-        parser.Parse(xml.encode() if isinstance(xml, str) else xml, True)
-    except (expat.ExpatError, ValueError) as e:
+        parser.Parse(readable(xml), True)
+    except (expat.ExpatError, ValueError, LookupError) as e:
         return [{"node_id": 0, "end_id": 0, "parent_id": None, "depth": 0, "kind": "error", "ns": "", "name": "", "attrs": {}, "text": str(e), "has_child_node": False, "in_body": False, "in_text": False, "unit": None, "anc_units": [], "anc_textparts": 0, "anc_names": [], "holds": None, "location": ""}]
     nodes = tree.nodes
     if "holds" in wanted:
@@ -147,7 +150,7 @@ def parse(xml: str, wanted: frozenset[str] = frozenset(_ARROW), holders: tuple[s
 
 
 def shred(docs: DataFrame, columns: tuple[str, ...] = (), holders: tuple[str, ...] = HOLDERS) -> DataFrame:
-    """The nodes of all documents (path, xml), with the columns asked for (path always; none named: all); holders are the elements whose children are written down."""
+    """The nodes of all documents (path, xml: a string, or the bytes of a file), with the columns asked for (path always; none named: all); holders are the elements whose children are written down."""
     bounded(docs.sparkSession)
     names = [c for c in _ARROW if c == "path" or not columns or c in columns]
     wanted = frozenset(names)

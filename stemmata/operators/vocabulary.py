@@ -10,10 +10,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..runtime import bounded
+from ..sources.encodings import readable
 from ..vocabulary import TOP_VALUES, VALUE_ATTRIBUTES, VALUE_LENGTH
 
 
-def names_of(xml: str) -> dict[str, int]:
+def names_of(xml: str | bytes) -> dict[str, int]:
     """How often each element stands in a document; nothing for one that isn't well formed."""
     found: dict[str, int] = {}
     parser = expat.ParserCreate(namespace_separator="}")
@@ -24,8 +25,8 @@ def names_of(xml: str) -> dict[str, int]:
 
     parser.StartElementHandler = start
     try:
-        parser.Parse(xml.encode(), True)
-    except (expat.ExpatError, ValueError):
+        parser.Parse(readable(xml), True)
+    except (expat.ExpatError, ValueError, LookupError):
         return {}
     return found
 

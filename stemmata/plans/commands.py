@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import map_urn, or_empty, or_null, pipeline_urn, strip, truthy
 from ..operators import audit, catalogues, genres, rewrite, schema_files, schematron, structure, validation, vocabulary
+from ..operators.axes import probed
 from ..operators.shred import AUDIT, CHECKS, HOLDERS, ROOTS, SIGNATURE, shred
 from ..runtime import qualified, staged
 from ..sources.corpus import MAP_COLUMNS, TEI, group_catalogues, texts, work_catalogues
@@ -23,20 +24,20 @@ def base_urns(nodes: DataFrame) -> DataFrame:
     return nodes.where(here).groupBy("path").agg(F.min_by(F.col("attrs")["xml:base"], "node_id").alias("base_urn"))
 
 
-def work_table(files: DataFrame) -> DataFrame:
-    """textgroup, work, author, title, description, genre, confidence and urn of each catalogued work."""
-    cat = work_catalogues(files)
+def work_table(files: DataFrame, anywhere: bool = False) -> DataFrame:
+    """textgroup, work, author, title, description, genre, confidence and urn of each catalogued work: those two folders down, or anywhere."""
+    cat = files.where("is_catalog") if anywhere else work_catalogues(files)
     found = catalogues.works(shred(cat)).join(cat.select("path", "textgroup", "work"), "path")
-    groups = group_catalogues(files)
-    names = catalogues.group_names(shred(groups)).join(groups.select("path", "textgroup"), "path").select("textgroup", "author")
+    groups = files.where("is_catalog") if anywhere else group_catalogues(files)
+    names = catalogues.group_names(shred(groups)).join(groups.select("path", F.col("folder").alias("textgroup")), "path").select("textgroup", "author")
     return found.join(names, "textgroup", "left").withColumn("author", or_empty(F.col("author")))
 
 
 def resolved_genres(files: DataFrame, nodes: DataFrame, genre_map: DataFrame | None = None, default: str = "unknown", names: Names = NAMES) -> DataFrame:
-    """path and genre: the document's own, the catalogue's, the map's, or the default."""
+    """path and genre: the document's own, that of the catalogue in its own folder, the map's, or the default."""
     docs = texts(files).select("path", "textgroup", "work", "stem")
     own = genres.document_genre(nodes, names)
-    cat = work_table(files).select("textgroup", "work", strip(F.col("genre")).alias("genre_cat"))
+    cat = work_table(files, anywhere=True).select("textgroup", "work", strip(F.col("genre")).alias("genre_cat"))
     out = docs.join(own, "path", "left").join(cat, ["textgroup", "work"], "left")
     out = out.join(genre_map, "stem", "left") if genre_map is not None else out.withColumn("map_genre", F.lit(None).cast("string"))
     return out.select("path", "textgroup", "work", "stem", genres.first_of("genre_tei", "genre_cat", "map_genre", default=default).alias("genre"))
@@ -160,8 +161,8 @@ def set_genre(files: DataFrame, target: str, taxonomy: DataFrame, cert: str = ""
 def validate(files: DataFrame, names: Names = NAMES, schema: schema_files.Schema | None = None) -> DataFrame:
     """path, findings and valid of every text, by the checks of normalized documents or those of a Schematron file."""
     checks = schema.checks if schema else schematron.normalized_checks(names)
-    nodes = staged(shred(texts(files), (*CHECKS, "depth"), schema.holders if schema else HOLDERS), "nodes")
-    bad = schematron.gate(schematron.run_checks(nodes, checks)).groupBy("path").agg(F.count("*").alias("findings"))
+    nodes = staged(shred(texts(files), (*(schema.columns if schema else CHECKS), "depth"), schema.holders if schema else HOLDERS), "nodes")
+    bad = schematron.gate(schematron.run_checks(probed(nodes, schema.probes) if schema else nodes, checks)).groupBy("path").agg(F.count("*").alias("findings"))
     return roots(nodes).join(bad, "path", "left").select("path", F.coalesce("findings", F.lit(0)).alias("findings"), (F.col("parse_ok") & F.col("findings").isNull()).alias("valid"))
 
 
@@ -246,7 +247,7 @@ def write_documents(done: DataFrame, folder: str | None, suffix: str = "", colum
                 where, base = fs.FileSystem.from_uri(target if "://" in target else "file://" + target.removeprefix("file:"))
                 where.create_dir(os.path.dirname(base), recursive=True)
                 with where.open_output_stream(part := f"{base}.{uuid.uuid4().hex[:8]}") as f:
-                    f.write((text or "").encode())
+                    f.write(text if isinstance(text, bytes) else text.encode())
                 where.move(part, base)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], names=["path", "target"])
 

@@ -98,10 +98,33 @@ def catalogue_files(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(at, F.lit("/__cts__.xml")).alias("path"),
         F.concat(F.lit(f'<ti:work {ti} urn="urn:w:'), F.col("n_nationkey").cast("string"), F.lit('"><ti:title>'), F.col("n_name"), F.lit('</ti:title><ti:genre confidence="medium">'), ids, F.lit("</ti:genre></ti:work>")).alias("xml"),
     )
+    # Folders below a work: every second one has a catalogue of its own.
+    deep = nations.where("n_nationkey % 2 = 0").select(F.concat(at, F.lit("/deep/er/__cts__.xml")).alias("path"), F.lit(f"<ti:work {ti}><ti:genre> verse-elegiac </ti:genre></ti:work>").alias("xml"))
     k = F.col("s_suppkey") % 3
     body = F.when(k == 0, '<div type="book"><l>x</l></div>').when(k == 1, '<div type="section"><p>x</p></div>').otherwise("<l>x</l>")
-    text = suppliers.join(F.broadcast(nations), suppliers["s_nationkey"] == nations["n_nationkey"]).select(F.concat(at, F.lit("/s"), F.col("s_suppkey").cast("string"), F.lit(".xml")).alias("path"), tei(F.lit(""), body).alias("xml"))
-    return with_places(group.union(work).union(text), home)
+    place = F.concat(at, F.when(F.col("s_suppkey") % 7 == 3, "/deep/er").otherwise(""), F.lit("/s"), F.col("s_suppkey").cast("string"), F.lit(".xml"))
+    own = F.when(F.col("s_suppkey") % 5 == 0, "drama-line").otherwise("")
+    text = suppliers.join(F.broadcast(nations), suppliers["s_nationkey"] == nations["n_nationkey"]).select(place.alias("path"), tei(own, body).alias("xml"))
+    return with_places(group.union(work).union(deep).union(text), home)
+
+
+def encoded_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents of `documents` as bytes: UTF-8, Latin-1 (where the text allows it) and Windows-1252 by declaration, UTF-16 by its mark, and every fifth one broken."""
+    docs = text_documents(spark, sf_dir)
+    k = F.col("doc_id") % 5
+    fits = ~F.col("xml").rlike(r"[^\x00-\x7e\xa0-\xff]")
+    kind = F.when(k == 1, "utf-16").when(k == 4, "broken").when(fits & (k == 2), "iso-8859-1").when(fits & (k == 3), "windows-1252").otherwise("utf-8")
+    docs = docs.withColumn("encoding", kind)
+    declared = lambda name: F.concat(F.lit(f'<?xml version="1.0" encoding="{name}"?>'), F.col("xml"))
+    content = (
+        F.when(F.col("encoding") == "utf-16", F.encode("xml", "utf-16"))
+        # From 0xA0 on, both are the same single bytes.
+        .when(F.col("encoding") == "iso-8859-1", F.encode(F.regexp_replace(declared("ISO-8859-1"), r"[^\x00-\x7e\xa0-\xff]", "?"), "iso-8859-1"))
+        .when(F.col("encoding") == "windows-1252", F.encode(F.regexp_replace(declared("windows-1252"), r"[^\x00-\x7e\xa0-\xff]", "?"), "iso-8859-1"))
+        .when(F.col("encoding") == "broken", F.concat(F.encode(F.regexp_replace("xml", "</text></TEI>$", ""), "utf-8"), F.unhex(F.lit("FFFE")), F.encode(F.lit("</text></TEI>"), "utf-8")))
+        .otherwise(F.encode("xml", "utf-8"))
+    )
+    return docs.select("doc_id", "encoding", "path", content.alias("xml"))
 
 
 def validator_lines(spark: SparkSession, sf_dir: str) -> DataFrame:

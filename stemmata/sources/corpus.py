@@ -20,9 +20,9 @@ MAP_COLUMNS = "urn path author title suggested_genre confidence family proposed_
 
 
 def read_corpus(spark: SparkSession, directory: str) -> DataFrame:
-    """path, rel, textgroup, work, stem, is_catalog and xml of every XML file below the directory, however deep."""
+    """path, rel, textgroup, work, stem, is_catalog and xml (the bytes) of every XML file below the directory, however deep. Bytes are decoded where they are parsed, so a file that can't be is an error row."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.xml").load(directory)
-    return with_places(files.select("path", F.decode("content", "utf-8").alias("xml")).unionByName(catalogue_files(spark, directory)), directory)
+    return with_places(files.select("path", F.col("content").alias("xml")).unionByName(catalogue_files(spark, directory)), directory)
 
 
 def catalogue_files(spark: SparkSession, directory: str) -> DataFrame:
@@ -47,25 +47,26 @@ def catalogue_files(spark: SparkSession, directory: str) -> DataFrame:
             for path in batch.column(0).to_pylist():
                 at, base = fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
                 with at.open_input_stream(base) as f:
-                    found.append(f.read().decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.string())], names=["path", "xml"])
+                    found.append(f.read())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["path", "xml"])
 
     files = spark.createDataFrame(paths, "path string")
-    return files.repartition(max(1, min(len(paths), 4 * spark.sparkContext.defaultParallelism))).mapInArrow(read, "path string, xml string")
+    return files.repartition(max(1, min(len(paths), 4 * spark.sparkContext.defaultParallelism))).mapInArrow(read, "path string, xml binary")
 
 
 def with_places(files: DataFrame, directory: str = "") -> DataFrame:
-    """Adds what a path says: place below the directory, text group, work, stem, whether it is a catalogue file."""
+    """Adds what a path says: place below the directory, its own folder, the folder above it (textgroup, as a path) and its folder's name (work), stem, whether it is a catalogue file."""
     base = directory.rstrip("/").removeprefix("file:")
     plain = F.regexp_replace("path", "^file:/*", "/")
     rel = F.when(plain.startswith(base + "/"), F.substr(plain, F.lit(len(base) + 2))).otherwise(F.col("path")) if base else F.col("path")
-    parts = F.split("rel", "/")
+    folder = F.regexp_extract("rel", "^(.*)/[^/]*$", 1)
     return (
         files.withColumn("rel", rel)
-        .withColumn("textgroup", F.when(F.size(parts) >= 2, F.element_at(parts, 1)).otherwise(""))
-        .withColumn("work", F.when(F.size(parts) >= 3, F.element_at(parts, 2)).otherwise(""))
+        .withColumn("folder", folder)
+        .withColumn("textgroup", F.regexp_extract("folder", "^(.*)/[^/]*$", 1))
+        .withColumn("work", file_name(F.col("folder")))
         .withColumn("stem", stem(F.col("path")))
-        .withColumn("depth_in_tree", F.size(parts))
+        .withColumn("depth_in_tree", F.size(F.split("rel", "/")))
         .withColumn("is_catalog", file_name(F.col("path")) == CATALOGUE)
     )
 
@@ -85,7 +86,7 @@ def group_catalogues(files: DataFrame) -> DataFrame:
 
 def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """An explicit list of files."""
-    return with_places(spark.read.format("binaryFile").load(paths).select("path", F.decode("content", "utf-8").alias("xml")))
+    return with_places(spark.read.format("binaryFile").load(paths).select("path", F.col("content").alias("xml")))
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
