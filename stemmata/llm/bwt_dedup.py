@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, packed, slices, staged, table, text_bytes, trimmed
+from .common import arrow_batches, carried, packed, slices, staged, table, text_bytes, trimmed
 from .ngram_join import BROADCAST_IDS, mixed
 
 #: Fixed by the rule of removal; a multiple of 4.
@@ -55,6 +55,8 @@ HOT_STRINGS = 20_000
 HOT_STEP = 5
 #: The order of documents: doc_id, or a number where ids repeat; then REPEATED is there too.
 ROW, REPEATED = "__row", "__repeated"
+#: What deduplicated() adds.
+RESULTS = {"__n_bytes": "long", "__n_removed": "long", "__starts": "array<int>", "__ends": "array<int>", "__kept": "binary"}
 
 _SEGMENT = np.dtype([("key", "<u8"), ("body", "<u8"), ("doc", "<i8"), ("at", "<i4"), ("left", "<u4"), ("right", "<u4"), ("n", "u1"), ("rel", "u1")])
 _STRING = np.dtype([("doc", "<i8"), ("at", "<i4"), ("n", "<i4")])
@@ -559,7 +561,13 @@ def _numbered(documents: DataFrame, repeated_ids: bool) -> DataFrame:
 
 
 def deduplicated(documents: DataFrame, whole_characters: bool = False) -> DataFrame:
-    """All columns of the documents, with __n_bytes, __n_removed, __starts and __ends of the removed spans, and the __kept bytes (or characters)."""
+    """All columns of the documents, with __n_bytes, __n_removed, __starts and __ends of the removed spans, and the __kept bytes (or characters); columns that have these names give way."""
+    rows, back = carried(documents.drop(*RESULTS), "doc_id", "text")
+    return _marked(rows, whole_characters).select(*back, *RESULTS)
+
+
+def _marked(documents: DataFrame, whole_characters: bool = False) -> DataFrame:
+    """The same for documents whose other columns are carried in one."""
     spark = documents.sparkSession
     arrow_batches(spark)
     by_id = documents.groupBy(F.col("doc_id").cast("long").alias("id")).agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size"))
@@ -584,7 +592,7 @@ def deduplicated(documents: DataFrame, whole_characters: bool = False) -> DataFr
     else:
         both = docs.join(places, F.col(ROW) == places["doc"], "left").select(*own, "__places")
     at = own.index("text")
-    full = spark.createDataFrame([], "__n_bytes long, __n_removed long, __starts array<int>, __ends array<int>, __kept binary").schema
+    full = spark.createDataFrame([], ", ".join(f"{c} {kind}" for c, kind in RESULTS.items())).schema
     out = type(full)([*documents.schema.fields, *full.fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -602,19 +610,20 @@ def deduplicated(documents: DataFrame, whole_characters: bool = False) -> DataFr
 
 
 def op5_bwt_dedup(spark, sf_dir: str) -> DataFrame:
-    out = deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = _marked(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", F.col("__n_bytes").alias("n_bytes"), F.col("__n_removed").alias("n_removed"), F.size("__starts").cast("long").alias("n_spans"), F.sha2("__kept", 256).alias("kept_sha256"))
 
 
 def without_repeats(documents: DataFrame) -> DataFrame:
     """The documents with repeated strings cut out of their texts; those that lose all their bytes go."""
+    rows, back = carried(documents, "doc_id", "text", "n_chars")
     # A cut can fall inside a character; what is left of it goes too.
-    out = deduplicated(documents, whole_characters=True)
+    out = _marked(rows, whole_characters=True)
     text = F.when(F.col("__n_removed") == 0, F.col("text")).otherwise(F.make_valid_utf8(F.col("__kept").cast("string")))
     out = out.where("__n_removed = 0 or __n_removed < __n_bytes").withColumn("text", text)
     if "n_chars" in documents.columns:
         out = out.withColumn("n_chars", F.when(F.col("__n_removed") == 0, F.col("n_chars")).otherwise(F.length("text")).cast(documents.schema["n_chars"].dataType))
-    return out.select(*documents.columns)
+    return out.select(*back)
 
 
 def brute_force(rows: list[tuple[int, bytes]]) -> dict[int, tuple[int, int, int, str]]:

@@ -10,10 +10,10 @@ Only ASCII letters and bytes of other scripts tell languages apart here: case is
 punctuation and white space count as one blank. n-grams are those found in at least two landmarks, the
 most frequent VOCABULARY of them and those tied with the last.
 
-Fitting uses a bounded sample of labelled rows: at most PER_LANGUAGE of each language, and as many fewer as keep all
-of them within TRAIN_CHARS characters, but one at least, so that every labelled language is learnt. Rows are drawn by a
-hash of doc_id, texts up to SAMPLE_CHARS first; of a longer one its first SAMPLE_CHARS are learnt from. The cut to so many rows
-is made before the driver gets them. Everything else, prediction above all, reads whole texts.
+Fitting uses a bounded sample of labelled rows: at most PER_LANGUAGE of each language, drawn by a hash of doc_id, and as many
+fewer as keep a language within its share of TRAIN_CHARS characters, but one at least, so that every labelled language is learnt.
+Their texts are learnt from whole; one longer than the whole share is drawn only where there is none within it. The cut to so many
+rows is made before the driver gets them. Everything else, prediction above all, reads all texts whole.
 
 Defined cases: `und` with score 0 for a null text, one without a letter, or where no labelled row exists to
 learn from; empty tables give no rows; equal texts get equal predictions; other columns are ignored.
@@ -30,12 +30,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, staged, table, trimmed
+from .common import arrow_batches, carried, staged, table, trimmed
 
 ORDERS = 3
 PER_LANGUAGE = 300
-SAMPLE_CHARS = 20_000
-TRAIN_CHARS = 100_000_000
+TRAIN_CHARS = 20_000_000
 LANDMARKS = 128
 VOCABULARY = 6000
 RIDGE = 1e-2
@@ -154,15 +153,17 @@ def training_rows(documents: DataFrame, learnable: Column, per_language: int = P
     languages = counts.count()
     if not languages:
         return []
-    size = min(SAMPLE_CHARS, max(200, TRAIN_CHARS // languages))
-    per_language = max(1, min(per_language, TRAIN_CHARS // (size * languages)))
+    budget = max(200, TRAIN_CHARS // languages)
+    per_language = max(1, min(per_language, budget // 200))
     draw = F.xxhash64(F.col("doc_id").cast("string"), F.lit("train"))
     # A draw of about twice as many as wanted, and some more, keeps the ranking below small however large a language is.
     share = (2.0 * per_language + 40) / F.col("__n")
     drawn = rows.withColumn("draw", draw).join(F.broadcast(counts) if languages <= 50_000 else counts, "lang").where(F.pmod("draw", F.lit(1 << 30)) / float(1 << 30) < share)
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.length("text") > size, "draw", "doc_id"))
-    sample = drawn.withColumn("rank", rank).withColumn("text", F.substring("text", 1, size))
-    found = sample.where(F.col("rank") <= per_language).select("lang", "rank", "text").collect()
+    order = Window.partitionBy("lang").orderBy(F.length("text") > budget, "draw", "doc_id")
+    # Whole texts, as many as the budget of characters holds; one of each language always.
+    sample = drawn.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= per_language)
+    sample = sample.withColumn("chars", F.sum(F.length("text")).over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    found = sample.where((F.col("rank") == 1) | (F.col("chars") <= budget)).select("lang", "rank", "text").collect()
     return [(r["lang"], r["text"].encode()) for r in sorted(found, key=lambda r: (r["lang"], r["rank"])) if has_letter(r["text"])]
 
 
@@ -215,6 +216,7 @@ def op4_language_id(spark, sf_dir: str) -> DataFrame:
 
 def in_a_language(documents: DataFrame) -> DataFrame:
     """The documents that are in some language, with all their columns."""
-    model = fit(training_rows(documents, ~held_out()))
-    said = predict(documents, model, documents.columns, ("__lang_pred", "__margin"), by_margin=True)
-    return said.where((F.col("__lang_pred") != "und") & (F.col("__margin") >= LEAST_MARGIN)).select(*documents.columns)
+    rows, back = carried(documents, "doc_id", "text", "lang")
+    model = fit(training_rows(rows, ~held_out()))
+    said = predict(rows, model, rows.columns, ("__lang_pred", "__margin"), by_margin=True)
+    return said.where((F.col("__lang_pred") != "und") & (F.col("__margin") >= LEAST_MARGIN)).select(*back)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, slices, staged, table, text_bytes, trimmed
+from .common import arrow_batches, carried, slices, staged, table, text_bytes, trimmed
 from .components import components
 
 WORDS = 5
@@ -411,7 +411,8 @@ def op8_ngram_jaccard(spark, sf_dir: str) -> DataFrame:
 def one_of_each(documents: DataFrame) -> DataFrame:
     """The documents without those that a document with a smaller id is linked to, directly or through others."""
     out = staged(joined(documents), "components")
-    return only(documents, out.where("component_id != doc_id"), "left_anti")
+    rows, back = carried(documents, "doc_id")
+    return only(rows, out.where("component_id != doc_id"), "left_anti").select(*back)
 
 
 def brute_force(rows: list[tuple[int, str | None]]) -> dict[int, tuple[int, int]]:

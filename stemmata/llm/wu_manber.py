@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_batches, once, slices, staged, text_bytes, trimmed
+from .common import arrow_batches, carried, once, slices, staged, text_bytes, trimmed
 
 WINDOW = 13
 #: Bytes of tables that one pass keeps in a worker's memory; more patterns are searched in further blocks.
@@ -240,13 +240,15 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that aren't contaminated, with all their columns: the verdict is made in the scan that reads them."""
     spark = documents.sparkSession
     arrow_batches(spark)
-    blocks = list(_blocks(benchmark, PATTERN_BYTES // TABLE_BYTES))
-    if len(blocks) > 1:
+    blocks = _blocks(benchmark, PATTERN_BYTES // TABLE_BYTES)
+    first, second = next(blocks), next(blocks, None)
+    documents, back = carried(documents, "doc_id", "text")
+    if second is not None:
         rows = _numbered(documents, "documents")
         docs = rows.select(F.col("__row").alias("doc_id"), F.col("text").cast("string").alias("text"))
-        bad = judged(_searched(docs, blocks, WINDOW)).where("contaminated").select(F.col("doc_id").alias("__row"))
-        return rows.join(bad, "__row", "left_anti").select(*documents.columns)
-    shared = spark.sparkContext.broadcast(Patterns(blocks[0]))
+        bad = judged(_searched(docs, chain([first, second], blocks), WINDOW)).where("contaminated").select(F.col("doc_id").alias("__row"))
+        return rows.join(bad, "__row", "left_anti").select(*back)
+    shared = spark.sparkContext.broadcast(Patterns(first))
     at = documents.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,7 +262,7 @@ def clean_documents(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
                     keep.append(not (n_hit and 20 * n_hit >= len(w)))
                 yield part.filter(pa.array(keep, pa.bool_()))
 
-    return documents.mapInArrow(trimmed(run, "search"), documents.schema)
+    return documents.mapInArrow(trimmed(run, "search"), documents.schema).select(*back)
 
 
 def brute_force(docs: list[tuple[int, str | None]], bench: list[tuple[int, str | None]]) -> list[tuple]:

@@ -401,7 +401,30 @@ def test_dedup_by_row_not_by_id(spark):
     got = sorted((x["doc_id"], x["text"], x["__n_removed"], x["kept"]) for x in bwt_dedup.deduplicated(frame(spark, [(1, a), (1, b), (2, a), (3, b[50:])]).withColumn("kept", F.lit("mine"))).collect())
     assert got == sorted([(1, a, 0, "mine"), (1, b, 0, "mine"), (2, a, len(a), "mine"), (3, b[50:], len(b) - 50, "mine")])
     back = bwt_dedup.without_repeats(frame(spark, [(1, a), (2, a + b)]).withColumn("n_bytes", F.lit("mine"))).collect()
-    assert [(x["doc_id"], x["n_bytes"]) for x in back] == [(1, "mine"), (2, "mine")]
+    assert sorted((x["doc_id"], x["text"], x["n_bytes"]) for x in back) == [(1, a, "mine"), (2, b, "mine")]
+
+
+def test_stages_keep_columns_of_any_name(spark, bench):
+    """Values, not just names, of columns that are named like an operator's own or can't stand unquoted."""
+    r = random.Random(21)
+    a, b, c = words(r, 80, "abc"), words(r, 80, "def"), words(r, 70, "ghi")
+    rows = [(1, a, "en"), (2, a, "en"), (3, b, "fr"), (4, b[-300:] + c, "fr"), (5, c[:200], None), (6, None, "en"), (7, "x " * 40, "fr")]
+    df = spark.createDataFrame([(i, t, g, len(t or "")) for i, t, g in rows], "doc_id long, text string, lang string, n_chars int")
+    names = ["doc", "__row", "__places", "__lang_pred", "a.b", "__kept", "with`tick", "id", "tokens"]
+    df = df.withColumns({c: F.concat(F.lit(f"{c} of "), "doc_id") for c in names})
+    own = lambda x: [x[n] for n in names] == [f"{n} of {x['doc_id']}" for n in names]
+    stages = {
+        "language": (langid.in_a_language, None), "join": (ngram_join.one_of_each, {1, 3, 4, 5, 6, 7}), "dedup": (bwt_dedup.without_repeats, {1, 3, 4, 6, 7}),
+        "clean": (lambda d: wu_manber.clean_documents(d, bench), {1, 2, 3, 4, 5, 6}),
+    }
+    for stage, want in stages.values():
+        out = stage(df)
+        got = out.collect()
+        assert out.columns == df.columns and all(own(x) for x in got)
+        assert want is None or {x["doc_id"] for x in got} == want
+    got = bwt_dedup.deduplicated(df).collect()
+    assert all(x["doc"] == f"doc of {x['doc_id']}" and x["a.b"] == f"a.b of {x['doc_id']}" for x in got)
+    assert {x["doc_id"]: x["__n_removed"] for x in got}[2] == len(a)
 
 
 # ---- 7: pages
