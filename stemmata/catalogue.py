@@ -10,8 +10,9 @@ from .operators import audit, catalogues, genres, intervals, rewrite, schema_fil
 from .operators.shred import AUDIT, CHECKS, ROOTS, SIGNATURE, shred, tei
 from .plans import commands
 from .plans.synthetic import IDS, catalogue_files, encoded_documents, order_documents, table, text_documents, validator_lines
-from .runtime import staged
+from .runtime import scratch, staged
 from .sources.corpus import default_taxonomy, texts, with_places
+from .streaming import survey as stream
 from .vocabulary import FAMILY_DEFAULT, HIERARCHY, LINE, LITERARY
 
 QUERIES: dict = {}
@@ -77,6 +78,28 @@ def vocab_genre_filter(spark, sf_dir):
     return vocabulary.element_counts(vocabulary.files_of(nodes.withColumn("genre", F.lit("verse-stichic"))))
 
 
+@query(f"""
+with d as (select case when doc_id % 3 = 0 then '' else {_GENRE} end as g, {_LINES} as n from documents where doc_id % 17 <> 0 or doc_id % 3 <> 0),
+e as (select unnest(['TEI','teiHeader','fileDesc','titleStmt','title','publicationStmt','sourceDesc','encodingDesc','profileDesc','text','body']) as element),
+c as (select element, g, 1 as n from d, e
+      union all select x, g, 1 from d, (select unnest(['textClass','catRef']) as x) where g <> ''
+      union all select 'p', g, n from d where g in ('prose-standard', '')
+      union all select 'l', g, n from d where g in ('verse-stichic', 'drama-line')
+      union all select 'sp', g, n from d where g = 'drama-line')
+select element, case when g = '' then 'unknown' else g end as genre, count(*) as file_count, cast(sum(n) as bigint) as instance_count from c group by all""")
+def survey_stream(spark, sf_dir):
+    """The survey kept by a stream: all documents come as plain prose, every seventeenth broken; then those not divisible by three come as they are, and a part of the others again unchanged."""
+    whole = text_documents(spark, sf_dir)
+    first = text_documents(spark, sf_dir, plain=True).withColumn("xml", F.when(F.col("doc_id") % 17 == 0, F.expr("left(xml, length(xml) - 7)")).otherwise(F.col("xml")))
+    feed, out, state = scratch(spark, "feed"), scratch(spark, "differences"), scratch(spark, "stream")
+    wave = lambda docs, k: docs.select("path", "xml", F.lit(k).cast("long").alias("version")).write.mode("append").parquet(feed)
+    wave(first, 1)
+    stream.start(stream.document_stream(spark, feed), out, state).awaitTermination()
+    wave(whole.where("doc_id % 3 != 0").unionByName(first.where("doc_id % 6 = 0")), 2)
+    stream.start(stream.document_stream(spark, feed), out, state).awaitTermination()
+    return stream.table(spark, out)
+
+
 @query("""
 with t as (select page_id, regexp_extract(html, '<html lang="([a-z]*)"', 1) as lang, unnest(regexp_extract_all(html, '<([a-zA-Z][a-zA-Z0-9]*)', 1)) as tag from pages)
 select lower(tag) as element, lang as genre, count(distinct page_id) as file_count, count(*) as instance_count from t group by all""")

@@ -40,9 +40,10 @@ def _genre() -> Column:
     return F.coalesce(F.create_map(*[F.lit(x) for pair in GENRE_OF_LANG.items() for x in pair])[F.col("lang")], F.lit(""))
 
 
-def text_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A document for each row of `documents`: paragraphs, verse lines, or speeches, by its language."""
+def text_documents(spark: SparkSession, sf_dir: str, plain: bool = False) -> DataFrame:
+    """A document for each row of `documents`: paragraphs, verse lines, or speeches, by its language; plain ones have paragraphs and no genre."""
     docs = table(spark, sf_dir, "documents")
+    docs = docs.withColumn("lang", F.lit("")) if plain else docs
     lines = F.transform(F.split(F.coalesce("text", F.lit("")), "\n"), escaped)
     wrap = lambda a, b: F.array_join(F.transform(lines, lambda x: F.concat(F.lit(a), x, F.lit(b))), "")
     body = F.when(F.col("lang") == "fr", wrap("<l>", "</l>")).when(F.col("lang") == "de", wrap("<sp><l>", "</l></sp>")).otherwise(wrap("<p>", "</p>"))

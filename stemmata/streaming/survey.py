@@ -1,25 +1,150 @@
-"""The vocabulary survey over a growing folder: a file stream whose counts are kept up to date."""
+"""The vocabulary survey over documents as they arrive, again and changed.
+
+What a file has contributed (elements and their numbers, under its genre) is kept by path in the stream's state. When the file comes
+again, its old contribution is taken back and the new one added: the stream writes differences, and the survey is their sum. A file that
+has become broken contributes nothing from then on; one that hasn't changed writes nothing. The state is bounded by the files and their
+vocabularies, not by how often they come. Differences are written by batch, each once, however often a run is cut short and
+taken up again from its checkpoint; compact() folds them between runs.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import Any
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.shred import shred
+from ..functions.text import stem
+from ..operators.shred import parse
+from ..runtime import bounded, remove
+from ..sources.corpus import TEI
+from ..vocabulary import NAMES, Names
+
+#: path, xml and version (the greatest of a path in one batch counts; a later batch always counts).
+FEED = "path string, xml string, version long"
+_CONTRIBUTION = "path string, version long, genre string, names array<string>, counts array<long>"
+_DIFFERENCE = "element string, genre string, files long, instances long"
+_STATE = "genre string, names array<string>, counts array<long>"
 
 
 def document_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
-    """path and xml of Parquet rows as they arrive."""
-    return spark.readStream.schema("path string, xml string").option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
+    """The rows of a growing folder of Parquet files of FEED."""
+    return spark.readStream.schema(FEED).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
+
+
+def own_genre(nodes: list[dict], names: Names) -> str:
+    """The genre in a document's header, without its leading #; empty if there is none."""
+    for n in nodes:
+        if n["kind"] == "element" and n["ns"] == TEI and n["name"] == "catRef" and n["anc_names"][-2:] == ["profileDesc", "textClass"] and n["attrs"].get("scheme") == names.scheme and "target" in n["attrs"]:
+            return n["attrs"]["target"].lstrip("#")
+    return ""
+
+
+def contributions(docs: DataFrame, names: Names = NAMES) -> DataFrame:
+    """path, version, genre, names and counts of the elements of each document (path, xml, version), all made where it is parsed; nothing of a broken one."""
+    bounded(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for path, xml, version in zip(*(c.to_pylist() for c in batch.columns)):
+                nodes = parse(xml or "", frozenset({"anc_names"}))
+                found: dict[str, int] = {}
+                for n in nodes:
+                    if n["kind"] == "element":
+                        found[n["name"]] = found.get(n["name"], 0) + 1
+                each = sorted(found.items())
+                rows.append((path, version, own_genre(nodes, names), [k for k, _ in each], [n for _, n in each]))
+            kinds = [pa.string(), pa.int64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["path", "version", "genre", "names", "counts"])
+
+    return docs.select("path", "xml", "version").mapInArrow(run, _CONTRIBUTION)
+
+
+def with_genre(found: DataFrame, by_stem: DataFrame | None = None, default: str = "unknown") -> DataFrame:
+    """The genre of a contribution: the document's own, that of a table (stem, map_genre), or the default."""
+    given = F.nullif("genre", F.lit(""))
+    if by_stem is None:
+        return found.withColumn("genre", F.coalesce(given, F.lit(default)))
+    both = found.withColumn("stem", stem(F.col("path"))).join(by_stem.select("stem", "map_genre"), "stem", "left")
+    return both.withColumn("genre", F.coalesce(given, F.nullif("map_genre", F.lit("")), F.lit(default))).drop("stem", "map_genre")
+
+
+def _differences(_key: tuple[str], pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """What the newest version of a file changes; it replaces what the state holds of the file."""
+    newest: Any = None
+    for piece in pieces:
+        for row in piece.itertuples(index=False):
+            if newest is None or (row.version or 0) >= (newest.version or 0):
+                newest = row
+    rows: dict[tuple[str, str], list[int]] = {}
+
+    def add(genre: str, names: list[str], counts: list[int], sign: int) -> None:
+        for name, n in zip(names, counts):
+            row = rows.setdefault((name, genre), [0, 0])
+            row[0] += sign
+            row[1] += sign * int(n)
+
+    if state.exists:
+        add(*state.get, -1)
+    add(newest.genre, newest.names, newest.counts, 1)
+    state.update((newest.genre, list(newest.names), [int(n) for n in newest.counts]))
+    changed = [(name, genre, *d) for (name, genre), d in rows.items() if any(d)]
+    if changed:
+        yield pd.DataFrame(changed, columns=["element", "genre", "files", "instances"])
+
+
+def start(docs: DataFrame, folder: str, checkpoint: str, by_stem: DataFrame | None = None, names: Names = NAMES) -> StreamingQuery:
+    """Runs over what is there, writes differences below the folder and stops; run again with the same checkpoint, it takes only what is new."""
+    found = with_genre(contributions(docs, names), by_stem)
+    changes = found.groupBy("path").applyInPandasWithState(_differences, _DIFFERENCE, _STATE, "append", GroupStateTimeout.NoTimeout)
+
+    def write(batch: DataFrame, number: int) -> None:
+        # A batch that is done again replaces what it left.
+        batch.write.mode("overwrite").parquet(f"{folder}/kind=batch/number={number}")
+
+    return changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+
+
+def _pieces(spark: SparkSession, folder: str) -> tuple[DataFrame, int]:
+    """All differences with the kind and number of their piece, and the number of the last sum: it stands for the batches up to it."""
+    rows = spark.read.schema(f"{_DIFFERENCE}, kind string, number long").option("basePath", folder).parquet(folder)
+    return rows, rows.where("kind = 'sum'").agg(F.coalesce(F.max("number"), F.lit(-1))).first()[0]
+
+
+def _valid(rows: DataFrame, summed: int) -> DataFrame:
+    return rows.where((F.col("number") > summed) | ((F.col("number") == summed) & (F.col("kind") == "sum")))
+
+
+def _summed(rows: DataFrame) -> DataFrame:
+    total = rows.groupBy("element", "genre").agg(F.sum("files").alias("files"), F.sum("instances").alias("instances"))
+    return total.where("files != 0 or instances != 0")
+
+
+def table(spark: SparkSession, folder: str) -> DataFrame:
+    """element, genre, file_count and instance_count: the differences in sum."""
+    return _summed(_valid(*_pieces(spark, folder))).withColumnsRenamed({"files": "file_count", "instances": "instance_count"})
 
 
-def counts(docs: DataFrame) -> DataFrame:
-    """Elements by name, kept by the stream's state store."""
-    return shred(docs).where("kind = 'element'").groupBy(F.col("name").alias("element")).agg(F.count("*").alias("instance_count"))
+def compact(spark: SparkSession, folder: str) -> None:
+    """Between runs: one difference for each element and genre in place of all before. The sum, as large as the table, is one file that appears at once, and from then on older batches don't count."""
+    rows, summed = _pieces(spark, folder)
+    old = [tuple(r) for r in rows.select("kind", "number").distinct().collect()]
+    last = max([number for _, number in old], default=-1)
+    if last > summed:
+        _summed(_valid(rows, summed)).coalesce(1).write.mode("overwrite").parquet(f"{folder}/kind=sum/number={last}")
+    for kind, number in old:
+        if (kind, number) != ("sum", summed if last <= summed else last):
+            remove(spark, f"{folder}/kind={kind}/number={number}")
 
 
-def start(docs: DataFrame, name: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Runs over what is there and stops; run again with the same checkpoint, it takes only what is new."""
-    out = counts(docs).writeStream.outputMode("complete").format("memory").queryName(name).trigger(availableNow=True)
-    return (out.option("checkpointLocation", checkpoint) if checkpoint else out).start()
+def batch_table(docs: DataFrame, by_stem: DataFrame | None = None, names: Names = NAMES) -> DataFrame:
+    """The same table of documents (path, xml, version) that are all there: of each path the greatest version."""
+    found = with_genre(contributions(docs.groupBy("path").agg(F.max_by("xml", "version").alias("xml"), F.max("version").alias("version")), names), by_stem)
+    each = found.select("genre", F.explode(F.arrays_zip("names", "counts")).alias("e"))
+    return each.groupBy(F.col("e.names").alias("element"), "genre").agg(F.count("*").alias("file_count"), F.sum("e.counts").alias("instance_count"))

@@ -395,17 +395,6 @@ def test_signals_and_confidence(spark):
     assert [r[0] for r in rows.select(catalogues.inferred_family()).collect()] == ["drama", "verse", "prose", "prose", None]
 
 
-def test_stream_takes_only_what_is_new(spark, tmp_path):
-    from stemmata.streaming import survey
-
-    folder, state = str(tmp_path / "in"), str(tmp_path / "state")
-    add = lambda k: spark.createDataFrame([(f"{k}", doc("<l/>"))], "path string, xml string").write.mode("append").parquet(folder)
-    add(1)
-    q = survey.start(survey.document_stream(spark, folder), "survey_a", state)
-    q.awaitTermination(120)
-    assert spark.table("survey_a").where("element = 'l'").first()["instance_count"] == 1
-
-
 def test_udtf(spark):
     from stemmata.operators.shred import shred_udtf
 
