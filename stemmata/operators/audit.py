@@ -41,6 +41,20 @@ def audit_rule(rule_id: str, role: str = "warning", description: str = "") -> Ca
     return take
 
 
+def wrong_base(part: Column) -> Column:
+    """Whether a text part has a base that doesn't begin with the document's, where the document has one."""
+    base = F.col("attrs")["xml:base"]
+    return part & base.isNotNull() & (F.col("doc_base") != "") & ~base.startswith(F.col("doc_base"))
+
+
+def first_wrong(parts: DataFrame, by: list[str], k: int = 3) -> DataFrame:
+    """The first k wrong bases (expected, actual) of each group as `examples`: ranked before they are brought together, so no more of a group ever meet."""
+    rows = parts.where(wrong_base(F.lit(True))).select(*by, "node_id", F.col("doc_base").alias("expected"), F.col("attrs")["xml:base"].alias("actual"))
+    first = rows.withColumn("place", F.row_number().over(Window.partitionBy(*by).orderBy("node_id"))).where(F.col("place") <= k)
+    found = first.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("place", "expected", "actual"))).alias("w"))
+    return found.select(*by, F.transform("w", lambda w: F.struct(w["expected"].alias("expected"), w["actual"].alias("actual"))).alias("examples"))
+
+
 def facts(nodes: DataFrame) -> DataFrame:
     """One row for each well-formed document, with all that the rules ask."""
     tei = (F.col("kind") == "element") & (F.col("ns") == TEI)
@@ -53,20 +67,20 @@ def facts(nodes: DataFrame) -> DataFrame:
     ordered = lambda when, *what: F.array_sort(F.collect_list(F.when(when, F.struct("node_id", *what))))
     rows = nodes.where(F.col("kind") != "error").withColumn("anc_names", F.when(F.size("anc_names") > 0, F.col("anc_names")).otherwise(F.array(F.lit(""))))
     out = rows.groupBy("path").agg(
-        or_empty(F.min_by(F.when(tei & (F.col("name") == "body"), base), F.when(tei & (F.col("name") == "body") & base.isNotNull(), F.col("node_id")))).alias("base_urn"),
+        or_empty(F.max("doc_base")).alias("base_urn"),
         F.count_if(part).alias("textparts"),
         F.count_if(part & F.col("attrs")["n"].isNull()).alias("without_n"),
         F.array_sort(F.collect_set(F.when(part & F.col("attrs")["n"].isNull(), F.coalesce(F.col("attrs")["subtype"], F.lit("(none)"))))).alias("subtypes_without_n"),
         F.count_if(tei & (F.col("name") == "milestone")).alias("milestones"),
-        ordered(part & base.isNotNull(), base.alias("base")).alias("bases"),
+        F.count_if(wrong_base(part)).alias("wrong_count"),
         ordered(decl, or_empty(F.col("attrs")["xml:id"]).alias("id"), or_empty(F.col("attrs")["default"]).alias("default")).alias("decls"),
         ordered(cite, F.col("parent_id").alias("decl")).alias("cites"),
         ordered(crefs, or_empty(F.col("attrs")["n"]).alias("n")).alias("crefs"),
     )
-    wrong = F.filter("bases", lambda b: ~b["base"].startswith(F.col("base_urn")))
+    out = out.join(first_wrong(nodes.where(part), ["path"]).select("path", F.col("examples.actual").alias("wrong_examples")), "path", "left")
     defaults = F.filter("decls", lambda d: d["default"] == "true")
     return (
-        out.withColumn("wrong_bases", F.when(F.col("base_urn") == "", F.slice("bases", 1, 0)).otherwise(wrong))
+        out.withColumn("wrong_examples", F.coalesce("wrong_examples", F.array().cast("array<string>")))
         .withColumn("has_cite_structures", F.size("cites") > 0)
         .withColumn("has_default_refsdecl", F.size(defaults) > 0)
         .withColumn("default_is_cite_structure", F.when((F.size(defaults) > 0) & (F.size("cites") > 0), F.get("cites", F.lit(0))["decl"] == F.get(defaults, F.lit(0))["node_id"]).otherwise(False))
@@ -114,9 +128,9 @@ def numbered_divs_rule():
 
 @audit_rule("STR004", role="warning")
 def base_values_rule():
-    examples = F.array_join(F.transform(F.slice("wrong_bases", 1, 3), lambda b: F.concat(F.lit("  "), b["base"])), "\n")
-    text = F.concat(F.size("wrong_bases").cast("string"), F.lit(" <div type='textpart'>/@xml:base value(s) do not start with the document base URN ("), F.col("base_urn"), F.lit("). Examples:\n"), examples)
-    return F.size("wrong_bases") > 0, text
+    examples = F.array_join(F.transform("wrong_examples", lambda b: F.concat(F.lit("  "), b)), "\n")
+    text = F.concat(F.col("wrong_count").cast("string"), F.lit(" <div type='textpart'>/@xml:base value(s) do not start with the document base URN ("), F.col("base_urn"), F.lit("). Examples:\n"), examples)
+    return F.col("wrong_count") > 0, text
 
 
 REFERENCE_RULES, STRUCTURE_RULES = ("REF001", "REF002", "REF003"), ("STR001", "STR002", "STR003", "STR004")
@@ -143,12 +157,10 @@ def citation_levels(nodes: DataFrame) -> DataFrame:
     """One row for each document and subtype of text part, in the order of depth (level_no)."""
     tei = (F.col("kind") == "element") & (F.col("ns") == TEI)
     part = tei & (F.col("name") == "div") & (F.col("attrs")["type"] == "textpart")
-    base_of = nodes.where(tei & (F.col("name") == "body") & F.col("attrs")["xml:base"].isNotNull()).groupBy("path").agg(F.min_by(F.col("attrs")["xml:base"], "node_id").alias("base_urn"))
-    base = or_null(F.col("attrs")["xml:base"])
-    rows = nodes.where(part).join(base_of, "path", "left").withColumn("base_urn", or_empty(F.col("base_urn")))
-    right = base.startswith(F.col("base_urn")) & (F.col("base_urn") != "")
-    wrong = F.when(~base.startswith(F.col("base_urn")), F.struct("node_id", F.col("base_urn").alias("expected"), base.alias("actual")))
-    out = rows.groupBy("path", or_empty(F.col("attrs")["subtype"]).alias("subtype")).agg(
+    subtype = or_empty(F.col("attrs")["subtype"])
+    rows = nodes.where(part)
+    right = (F.col("doc_base") != "") & F.coalesce(F.col("attrs")["xml:base"].startswith(F.col("doc_base")), F.lit(False))
+    out = rows.groupBy("path", subtype.alias("subtype")).agg(
         (F.min_by("anc_textparts", "node_id") + 1).alias("depth"),
         F.min("node_id").alias("first_node"),
         F.count("*").alias("count"),
@@ -156,8 +168,10 @@ def citation_levels(nodes: DataFrame) -> DataFrame:
         F.count_if(F.col("attrs")["xml:base"].isNotNull()).alias("with_base"),
         F.count_if(F.col("attrs")["xml:id"].isNotNull()).alias("with_id"),
         F.count_if(right).alias("base_correct"),
-        F.transform(F.slice(F.array_sort(F.collect_list(wrong)), 1, 3), lambda w: F.struct(w["expected"].alias("expected"), w["actual"].alias("actual"))).alias("base_wrong_examples"),
     )
+    examples = first_wrong(rows.where(F.col("attrs")["xml:base"] != "").withColumn("subtype", subtype), ["path", "subtype"]).withColumnRenamed("examples", "base_wrong_examples")
+    out = out.join(examples, ["path", "subtype"], "left")
+    out = out.withColumn("base_wrong_examples", F.coalesce("base_wrong_examples", F.array().cast("array<struct<expected: string, actual: string>>")))
     return out.withColumn("element", F.lit("div")).withColumn("level_no", F.row_number().over(Window.partitionBy("path").orderBy("depth", "first_node")))
 
 

@@ -38,11 +38,13 @@ def signals(nodes: DataFrame, by: str = "work") -> DataFrame:
     """Of each work: speeches, verse lines and paragraphs of its texts, and its div types in the order they come."""
     tei = (F.col("kind") == "element") & (F.col("ns") == TEI)
     kind = F.when(tei & (F.col("name") == "div"), or_null(F.col("attrs")["type"]))
-    ordered = F.array_sort(F.collect_list(F.when(kind.isNotNull(), F.struct("path", "node_id", kind.alias("t")))))
-    return nodes.groupBy(by).agg(
-        F.count_if(tei & (F.col("name") == "sp")).alias("sp_count"), F.count_if(tei & F.col("name").isin("l", "lg")).alias("l_count"),
-        F.count_if(tei & (F.col("name") == "p") & F.col("in_text")).alias("p_count"), F.array_distinct(F.transform(ordered, lambda x: x["t"])).alias("div_types"),
+    # By type first: what meets in one place is a work's types, not its divs.
+    by_type = nodes.withColumn("__type", kind).groupBy(by, "__type").agg(
+        F.count_if(tei & (F.col("name") == "sp")).alias("sp"), F.count_if(tei & F.col("name").isin("l", "lg")).alias("l"), F.count_if(tei & (F.col("name") == "p") & F.col("in_text")).alias("p"),
+        F.min(F.struct("path", "node_id")).alias("first"),
     )
+    ordered = F.array_sort(F.collect_list(F.when(F.col("__type").isNotNull(), F.struct("first", F.col("__type").alias("t")))))
+    return by_type.groupBy(by).agg(F.sum("sp").alias("sp_count"), F.sum("l").alias("l_count"), F.sum("p").alias("p_count"), F.transform(ordered, lambda x: x["t"]).alias("div_types"))
 
 
 def inferred_family() -> Column:

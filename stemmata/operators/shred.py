@@ -21,19 +21,19 @@ from ..vocabulary import WRAPPERS
 
 SCHEMA = (
     "path string, node_id int, end_id int, parent_id int, depth int, kind string, ns string, name string, attrs map<string,string>, text string, has_child_node boolean, "
-    "in_body boolean, in_text boolean, unit string, anc_units array<string>, anc_textparts int, anc_names array<string>, holds array<string>, location string"
+    "in_body boolean, in_text boolean, unit string, anc_units array<string>, anc_textparts int, anc_names array<string>, holds array<string>, location string, doc_base string"
 )
 _TYPES = dict(c.split(" ", 1) for c in SCHEMA.split(", "))
 _ARROW = {
     "path": pa.string(), "node_id": pa.int32(), "end_id": pa.int32(), "parent_id": pa.int32(), "depth": pa.int32(), "kind": pa.string(), "ns": pa.string(), "name": pa.string(),
     "attrs": pa.map_(pa.string(), pa.string()), "text": pa.string(), "has_child_node": pa.bool_(), "in_body": pa.bool_(), "in_text": pa.bool_(), "unit": pa.string(),
-    "anc_units": pa.list_(pa.string()), "anc_textparts": pa.int32(), "anc_names": pa.list_(pa.string()), "holds": pa.list_(pa.string()), "location": pa.string(),
+    "anc_units": pa.list_(pa.string()), "anc_textparts": pa.int32(), "anc_names": pa.list_(pa.string()), "holds": pa.list_(pa.string()), "location": pa.string(), "doc_base": pa.string(),
 }
 
 
 #: What the operators read of a node; shred() makes no other columns than those asked for.
 SIGNATURE = ("kind", "ns", "name", "in_body", "unit", "anc_units")
-AUDIT = ("node_id", "end_id", "parent_id", "depth", "kind", "ns", "name", "attrs", "text", "in_body", "in_text", "unit", "anc_textparts", "anc_names")
+AUDIT = ("node_id", "end_id", "parent_id", "depth", "kind", "ns", "name", "attrs", "text", "in_body", "in_text", "unit", "anc_textparts", "anc_names", "doc_base")
 CHECKS = ("kind", "ns", "name", "attrs", "text", "has_child_node", "holds", "location")
 #: For checks that count along axes.
 AXES = (*CHECKS, "node_id", "end_id", "parent_id")
@@ -125,10 +125,14 @@ def parse(xml: str | bytes, wanted: frozenset[str] = frozenset(_ARROW), holders:
     try:
         parser.Parse(readable(xml), True)
     except (expat.ExpatError, ValueError, LookupError) as e:
-        return [{"node_id": 0, "end_id": 0, "parent_id": None, "depth": 0, "kind": "error", "ns": "", "name": "", "attrs": {}, "text": str(e), "has_child_node": False, "in_body": False, "in_text": False, "unit": None, "anc_units": [], "anc_textparts": 0, "anc_names": [], "holds": None, "location": ""}]
+        return [{"node_id": 0, "end_id": 0, "parent_id": None, "depth": 0, "kind": "error", "ns": "", "name": "", "attrs": {}, "text": str(e), "has_child_node": False, "in_body": False, "in_text": False, "unit": None, "anc_units": [], "anc_textparts": 0, "anc_names": [], "holds": None, "location": "", "doc_base": None}]
     nodes = tree.nodes
     if "holds" in wanted:
         _holds(nodes, holders)
+    if "doc_base" in wanted:
+        base = next((n["attrs"]["xml:base"] for n in nodes if n["kind"] == "element" and n["ns"] == TEI and n["name"] == "body" and "xml:base" in n["attrs"]), "")
+        for n in nodes:
+            n["doc_base"] = base
     if not wanted & {"in_body", "in_text", "unit", "anc_units", "anc_textparts", "anc_names"}:
         return nodes
     named = "anc_names" in wanted

@@ -14,6 +14,7 @@ from ..operators import audit, catalogues, genres, rewrite, schema_files, schema
 from ..operators.axes import probed
 from ..operators.shred import AUDIT, CHECKS, HOLDERS, ROOTS, SIGNATURE, shred
 from ..runtime import qualified, staged
+from ..sources import journal
 from ..sources.corpus import MAP_COLUMNS, TEI, group_catalogues, texts, work_catalogues
 from ..vocabulary import FAMILY_DEFAULT, NAMES, Names
 
@@ -229,29 +230,18 @@ def targets(paths: DataFrame, folder: str | None, suffix: str = "", root: str |
 
 
 def write_documents(done: DataFrame, folder: str | None, suffix: str = "", column: str = "xml", root: str | None = None) -> DataFrame:
-    """Writes each row's text below the folder (None: to where it came from) from the tasks, keeping the tree; returns path and target.
-
-    Each file first gets a name of its own and is then moved, so a lost task leaves no half of a file."""
-    folder = folder and qualified(done.sparkSession, folder)
-    rows = done.where(F.col(column).isNotNull()).select("path", column)
-    rows = rows.join(targets(rows.select("path"), folder, suffix, root), "path").select("path", column, "target")
-
-    def run(batches):
-        import uuid
-
-        import pyarrow as pa
-        from pyarrow import fs
-
-        for batch in batches:
-            for _, text, target in zip(*(c.to_pylist() for c in batch.columns)):
-                where, base = fs.FileSystem.from_uri(target if "://" in target else "file://" + target.removeprefix("file:"))
-                where.create_dir(os.path.dirname(base), recursive=True)
-                with where.open_output_stream(part := f"{base}.{uuid.uuid4().hex[:8]}") as f:
-                    f.write(text if isinstance(text, bytes) else text.encode())
-                where.move(part, base)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2)], names=["path", "target"])
-
-    return rows.mapInArrow(run, "path string, target string")
+    """Writes each row's text below the folder (None: to where it came from), keeping the tree, all of them or none; returns path and target.
+
+    The rows are made once. The journal is below the folder, or in the root (else the folder that all share); journal.recover() ends a run that was cut short."""
+    spark = done.sparkSession
+    folder = folder and qualified(spark, folder)
+    rows = staged(done.where(F.col(column).isNotNull()).select("path", column), "documents")
+    placed = staged(targets(rows.select("path"), folder, suffix, root), "targets")
+    least, most = placed.agg(F.min("target"), F.max("target")).first()
+    if least is not None:
+        home = folder or root or os.path.commonprefix([least, most]).rpartition("/")[0]
+        journal.write_all(rows, placed, home, column)
+    return placed
 
 
 def latest(rows: DataFrame, key: str, order: str) -> DataFrame:

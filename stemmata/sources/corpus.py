@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import os
 import xml.etree.ElementTree as ET
-from collections.abc import Iterator
 
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import file_name, or_null, stem, strip
+from ..runtime import qualified
 from ..vocabulary import FAMILY_DEFAULT, HIERARCHY
+from . import listing
 
 CATALOGUE = "__cts__.xml"
 TEI = "http://www.tei-c.org/ns/1.0"
@@ -20,38 +20,11 @@ MAP_COLUMNS = "urn path author title suggested_genre confidence family proposed_
 
 
 def read_corpus(spark: SparkSession, directory: str) -> DataFrame:
-    """path, rel, textgroup, work, stem, is_catalog and xml (the bytes) of every XML file below the directory, however deep. Bytes are decoded where they are parsed, so a file that can't be is an error row."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.xml").load(directory)
-    return with_places(files.select("path", F.col("content").alias("xml")).unionByName(catalogue_files(spark, directory)), directory)
+    """path, rel, textgroup, work, stem, is_catalog and xml (the bytes) of every XML file below the directory, however deep.
 
-
-def catalogue_files(spark: SparkSession, directory: str) -> DataFrame:
-    """path and xml of the catalogue files. Spark's readers pass over names that begin with an underscore, so these are listed by the file system and read in the tasks."""
-    from ..runtime import ship
-
-    ship(spark)
-    jvm = spark.sparkContext._jvm
-    where = jvm.org.apache.hadoop.fs.Path(directory)
-    listing = where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).listFiles(where, True)
-    paths = []
-    while listing.hasNext():
-        path = listing.next().getPath()
-        if path.getName() == CATALOGUE:
-            paths.append((path.toString(),))
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        for batch in batches:
-            found = []
-            for path in batch.column(0).to_pylist():
-                at, base = fs.FileSystem.from_uri(path if "://" in path else "file://" + path.removeprefix("file:"))
-                with at.open_input_stream(base) as f:
-                    found.append(f.read())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["path", "xml"])
-
-    files = spark.createDataFrame(paths, "path string")
-    return files.repartition(max(1, min(len(paths), 4 * spark.sparkContext.defaultParallelism))).mapInArrow(read, "path string, xml binary")
+    Tasks list the folders, names that begin with an underscore and empty files too. Bytes are decoded where they are parsed, so a file that can't be is an error row."""
+    files = listing.read_files(listing.named(listing.list_files(spark, directory)))
+    return with_places(files.select("path", "xml"), directory)
 
 
 def with_places(files: DataFrame, directory: str = "") -> DataFrame:
@@ -86,7 +59,8 @@ def group_catalogues(files: DataFrame) -> DataFrame:
 
 def read_files(spark: SparkSession, paths: list[str]) -> DataFrame:
     """An explicit list of files."""
-    return with_places(spark.read.format("binaryFile").load(paths).select("path", F.col("content").alias("xml")))
+    named = spark.createDataFrame([(qualified(spark, p),) for p in paths], "path string")
+    return with_places(listing.read_files(listing.stated(spark, named)).select("path", "xml"))
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:

@@ -175,7 +175,7 @@ def test_encodings_in_one_folder(spark, tmp_path):
         "latin.xml": b'<?xml version="1.0" encoding="ISO-8859-1"?>' + latin.encode("latin-1"), "cp1252.xml": b"<?xml version='1.0' encoding='windows-1252'?>" + text.encode("cp1252"),
         "koi8.xml": '<?xml version="1.0" encoding="KOI8-R"?><p>мир</p>'.encode("koi8-r"), "sjis.xml": '<?xml version="1.0" encoding="Shift_JIS"?><p>日本</p>'.encode("shift_jis"),
         "broken.xml": text.encode("latin-1", "replace")[:60] + b"\xff\xfe" + b"</p></body></text></TEI>", "wrong.xml": b'<?xml version="1.0" encoding="UTF-8"?>' + latin.encode("latin-1"),
-        "unknown.xml": b'<?xml version="1.0" encoding="no-such-code"?><p/>', "codec.xml": b'<?xml version="1.0" encoding="base64"?><p/>',
+        "unknown.xml": b'<?xml version="1.0" encoding="no-such-code"?><p/>', "codec.xml": b'<?xml version="1.0" encoding="base64"?><p/>', "empty.xml": b"",
     }
     for name, content in files.items():
         (tmp_path / name).write_bytes(content)
@@ -186,7 +186,7 @@ def test_encodings_in_one_folder(spark, tmp_path):
             if x["kind"] == "error" or x["name"] in ("p", "w"):
                 got[x["path"].rsplit("/", 1)[-1]] = None if x["kind"] == "error" else x["text"]
         want = {n: "café – ñ" for n in ("utf8.xml", "bom.xml", "utf16.xml", "declared.xml", "cp1252.xml")} | {"latin.xml": "café - ñ", "koi8.xml": "мир", "sjis.xml": "日本"}
-        want |= dict.fromkeys(["broken.xml", "wrong.xml", "unknown.xml", "codec.xml"])
+        want |= dict.fromkeys(["broken.xml", "wrong.xml", "unknown.xml", "codec.xml", "empty.xml"])
         assert got == want | ({"__cts__.xml": "é"} if "__cts__.xml" in got else {})
     whole = commands.survey(corpus.read_corpus(spark, str(tmp_path)))
     assert {x["element"]: x["file_count"] for x in whole["elements"].collect()}["p"] == 8
