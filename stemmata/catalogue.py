@@ -495,6 +495,43 @@ def rng_error_agg(spark, sf_dir):
     return validation.ordered(validation.counted(validation.parsed(validator_lines(spark, sf_dir))))
 
 
+_FILES = "select *, case when k % 10 = 0 then null else ['drama', 'prose', 'verse'][k % 3 + 1] end as family, 'u' || (k % 97) as stem from (select distinct user_id % 970 as k from events)"
+
+
+def _validated(spark, sf_dir):
+    """Files of three families, of which stems stand in several; verse has no schema, and every tenth file no family."""
+    k = F.col("k")
+    files = table(spark, sf_dir, "events").select((F.col("user_id") % 970).alias("k")).distinct()
+    family = F.when(k % 10 != 0, F.element_at(F.array(F.lit("drama"), F.lit("prose"), F.lit("verse")), (k % 3 + 1).cast("int")))
+    files = files.select("k", F.concat(F.lit("/data/"), F.lpad(k.cast("string"), 4, "0"), F.lit("/u"), (k % 97).cast("string"), F.lit(".xml")).alias("path"), F.concat(F.lit("u"), (k % 97).cast("string")).alias("stem"), family.alias("family"))
+    return files, spark.createDataFrame([("drama",), ("prose",), ("other",)], "family string")
+
+
+@query(f"select coalesce(family, '') as family, case when family is null then 'skipped' when family = 'verse' then 'schema not found' else 'validated' end as status, count(*) as files, case when family in ('drama', 'prose') then cast(ceil(count(*) / 20.0) as bigint) else 0 end as batches from ({_FILES}) group by family")
+def validation_batches(spark, sf_dir):
+    files, schemas = _validated(spark, sf_dir)
+    return validation.batch_counts(files, schemas, 20)
+
+
+@query(f"""
+with f as ({_FILES}), b as (select *, cast(floor((row_number() over (partition by family order by lpad(cast(k as varchar), 4, '0')) - 1) / 20) as bigint) as batch from f where family in ('drama', 'prose')),
+e as (select b.family, b.batch, b.stem, case event_type when 'error' then '' else event_type end as element,
+  case event_type when 'click' then 'element "click" not allowed here' when 'view' then 'attribute "view" not allowed here' when 'purchase' then 'element "purchase" incomplete' else 'Premature end of file.' end as message
+  from events join b on user_id % 970 = b.k where event_type in ('click', 'view', 'purchase', 'error'))
+select family, batch, element, message, count(*) as instance_count, count(distinct stem) as file_count from e group by all""")
+def validation_by_batch(spark, sf_dir):
+    """Lines know their batch, not their family's files: they are told apart by it, though stems repeat."""
+    files, schemas = _validated(spark, sf_dir)
+    batches = staged(validation.batched(files.drop("k"), schemas, 20), "batches")
+    place = files.join(batches.select("path", "batch"), "path").select("k", "family", "batch")
+    events = table(spark, sf_dir, "events").select("event_id", (F.col("user_id") % 970).alias("k"))
+    lines = validator_lines(spark, sf_dir).select("event_id", "line").join(events, "event_id").join(place, "k").select("family", "batch", "line")
+    # The composed lines name the edition; here the stem is the file's.
+    lines = lines.withColumn("line", F.replace("line", F.lit(".edition-2.xml"), F.lit(".xml")))
+    found = validation.attributed(lines, batches).where("path is not null")
+    return found.groupBy("family", "batch", F.col("subject").alias("element"), "message").agg(F.count("*").alias("instance_count"), F.count_distinct("stem").alias("file_count"))
+
+
 @query("""
 select s_suppkey, 'urn:cts:ns' || (s_suppkey % 4) || ':s' || s_suppkey || '.a' as computed, case when s_suppkey % 2 = 0 then 'urn:cts:own:' || s_suppkey else '' end as existing,
 case when s_suppkey % 2 = 0 then 'urn:cts:own:' || s_suppkey else 'urn:cts:ns' || (s_suppkey % 4) || ':s' || s_suppkey || '.a' end as for_map, 'urn:cts:ns' || (s_suppkey % 4) || ':s' || s_suppkey || '.a' as for_pipeline from supplier""")

@@ -11,10 +11,10 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators import audit, genres, schema_files, schematron
+from .operators import audit, catalogues, genres, schema_files, schematron
 from .operators.axes import probed
 from .operators.shred import HOLDERS, shred
-from .plans import commands
+from .plans import annotation, commands
 from .sources import corpus
 from .vocabulary import Names
 
@@ -81,7 +81,16 @@ def apply_map(spark, args):
 
 
 def annotate(spark, args):
-    return _write(commands.annotate(_files(spark, args), _taxonomy(spark, args)), _folder(args), _root(args))
+    files, tax = _files(spark, args), _taxonomy(spark, args)
+    if args.dry_run:
+        asked = annotation.dry_run(files, tax, args.ledger).orderBy("path")
+        print(f"{asked.count()} to ask", file=sys.stderr)
+        for r in asked.limit(20).collect():
+            print(f"--- {r['urn']}\n{r['prompt']}", file=sys.stderr)
+        return 0
+    corpus.load_env(".env")  # what a classifier may need
+    done = annotation.annotate_with_ledger(files, tax, catalogues.by_structure, args.ledger) if args.ledger else annotation.annotate(files, tax)
+    return _write(done, _folder(args), _root(args))
 
 
 def normalize(spark, args):
@@ -124,8 +133,16 @@ def rng_report(spark, args):
     files = _files(spark, args)
     lookup = corpus.genre_lookup(corpus.numbered(corpus.read_csv(spark, args.map))) if args.map else None
     resolved = commands.resolved_genres(files, shred(corpus.texts(files)), lookup, default="", names=_names(args))
-    families = genres.with_family(resolved, _taxonomy(spark, args)).where("family is not null").select("stem", "family").distinct()
-    commands.write_csv(commands.validation_report(corpus.read_validator_log(spark, args.log), families), args.output)
+    tax = _taxonomy(spark, args)
+    lines = corpus.read_validator_log(spark, args.log)
+    if args.schemas:
+        batches, counts = commands.validation_plan(resolved, tax, corpus.schemas_in(spark, args.schemas, _names(args).schema_prefix))
+        for r in counts.orderBy("family").collect():
+            print(f"{r['family'] or '(no genre)'}: {r['files']} {r['status']}", file=sys.stderr)
+        commands.write_csv(commands.batch_report(lines.where("family is not null"), batches), args.output)
+        return
+    families = genres.with_family(resolved, tax).where("family is not null").select("stem", "family").distinct()
+    commands.write_csv(commands.validation_report(lines.select("line"), families), args.output)
 
 
 COMMANDS = {
@@ -139,11 +156,12 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("command", choices=sorted(COMMANDS))
     p.add_argument("input", nargs="+", help="a corpus folder, or XML files")
     p.add_argument("-o", "--output", default="out")
-    for name in ("odd", "map", "log", "genre", "scheme", "schema-base", "schema-prefix", "schematron"):
+    for name in ("odd", "map", "log", "schemas", "genre", "scheme", "schema-base", "schema-prefix", "schematron", "ledger"):
         p.add_argument(f"--{name}")
     p.add_argument("--taxonomy-id", default="genres")
     p.add_argument("--cert", default="")
     p.add_argument("--json", action="store_true")
+    p.add_argument("--dry-run", action="store_true", help="show what would be asked")
     p.add_argument("--in-place", action="store_true", help="rewrite documents where they are")
     args = p.parse_args(argv)
     from .runtime import session

@@ -224,6 +224,7 @@ def as_json(report: DataFrame) -> DataFrame:
     return report.select("path", F.to_json(F.struct(*report.columns), {"pretty": "true", "ignoreNullFields": "false"}).alias("json"))
 
 
+# The layout of the text reports below, which other programs may read.
 _RULE = "=" * 70
 
 

@@ -59,12 +59,12 @@ def confidence(family: Column, structural: Column) -> Column:
 
 def prompt(taxonomy_lines: Column) -> Column:
     """The question for a classifier; columns author, title, description and the signals."""
-    some = lambda c, other: F.coalesce(or_null(F.col(c)), F.lit(other))
+    known = lambda label, c: F.when(F.coalesce(F.col(c), F.lit("")) != "", F.concat(F.lit(f"{label}: "), F.col(c)))
+    counted = F.concat_ws(", ", *[F.concat(F.col(c).cast("string"), F.lit(f" {what}")) for c, what in (("sp_count", "speeches"), ("l_count", "lines of verse"), ("p_count", "paragraphs"))])
+    parts = F.when(F.size("div_types") > 0, F.concat(F.lit("Its divisions are called "), F.array_join("div_types", ", "), F.lit(".")))
     return F.concat_ws(
-        "\n", F.concat(F.lit("Author: "), some("author", "unknown")), F.concat(F.lit("Title: "), some("title", "unknown")), F.when(F.col("description") != "", F.concat(F.lit("Description: "), F.col("description"))), F.lit(""),
-        F.lit("Structural signals from the TEI encoding:"), F.concat(F.lit("  speech/speaker elements (sp, speaker): "), F.col("sp_count")), F.concat(F.lit("  verse line elements (l, lg): "), F.col("l_count")),
-        F.concat(F.lit("  paragraph elements in body (p): "), F.col("p_count")), F.concat(F.lit("  div @type values: "), F.coalesce(or_null(F.array_join("div_types", ", ")), F.lit("none"))), F.lit(""),
-        F.lit("Valid genre ids (id: description):"), taxonomy_lines, F.lit(""), F.lit("Respond with exactly one genre id from the list above, nothing else."),
+        "\n", F.lit("To which genre does this work belong? Choose one of the identifiers below and reply with it alone."), known("Work", "title"), known("By", "author"), known("About", "description"),
+        F.concat(F.lit("Its texts contain "), counted, F.lit(".")), parts, F.lit("Identifiers and what they stand for:"), taxonomy_lines,
     )
 
 

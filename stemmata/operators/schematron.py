@@ -40,6 +40,7 @@ def _element(name: str) -> Column:
     return (F.col("kind") == "element") & (F.col("ns") == TEI) & (F.col("name") == name)
 
 
+# The ids and messages of both lists of checks, and the layout of the text report at the end.
 def normalized_checks(names: Names = NAMES) -> list[Check]:
     """What a normalized document must hold."""
     ref = _element("catRef") & (F.col("attrs")["scheme"] == names.scheme)

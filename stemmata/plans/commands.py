@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 import re
-from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -167,22 +166,19 @@ def validate(files: DataFrame, names: Names = NAMES, schema: schema_files.Schema
     return roots(nodes).join(bad, "path", "left").select("path", F.coalesce("findings", F.lit(0)).alias("findings"), (F.col("parse_ok") & F.col("findings").isNull()).alias("valid"))
 
 
-def annotate(files: DataFrame, taxonomy: DataFrame, classify: Callable = catalogues.by_structure) -> DataFrame:
-    """Genre and confidence for each catalogued work that has none yet, with the catalogue entry to be written."""
-    works = staged(work_table(files), "works").where(strip(F.col("genre")) == "")
-    docs = texts(files).select("path", "textgroup", "work")
-    found = catalogues.signals(shred(texts(files), ("node_id", "kind", "ns", "name", "attrs", "in_text")).join(docs, "path").withColumn("key", F.struct("textgroup", "work")), "key").select("key.*", "sp_count", "l_count", "p_count", "div_types")
-    rows = works.join(found, ["textgroup", "work"], "left").na.fill(0, ["sp_count", "l_count", "p_count"]).withColumn("div_types", F.coalesce("div_types", F.array().cast("array<string>")))
-    lines = "\n".join(f"  {r[0]}: {r[1]}" for r in sorted(taxonomy.select("target", "description").collect()))
-    rows = rows.withColumn("structural", catalogues.inferred_family()).withColumn("prompt", catalogues.prompt(F.lit(lines)))
-    said = genres.with_family(catalogues.suggested(rows.drop("genre", "confidence"), classify), taxonomy, "suggestion")
-    said = said.withColumn("target", F.when(F.col("family").isNull(), "unknown").otherwise(F.col("suggestion"))).withColumn("cert", catalogues.confidence(F.col("family"), F.col("structural")))
-    entries = said.join(work_catalogues(files).select("path", "xml"), "path")
-    return said.select("path", "urn", F.col("target").alias("genre"), F.col("cert").alias("confidence")).join(rewrite.rewritten(entries, ("set_catalogue_genre",)), "path")
+def validation_plan(resolved: DataFrame, taxonomy: DataFrame, schemas: DataFrame, size: int = validation.BATCH) -> tuple[DataFrame, DataFrame]:
+    """The batches in which texts (path, stem, genre) are to be validated, and the counts of what is validated, skipped, or without a schema."""
+    files = staged(genres.with_family(resolved, taxonomy).select("path", "stem", "family"), "families")
+    return validation.batched(files, schemas, size), validation.batch_counts(files, schemas, size)
+
+
+def batch_report(lines: DataFrame, batches: DataFrame) -> DataFrame:
+    """Counts of the errors in the lines of batches (family, batch, line), by the family of the batch."""
+    return validation.ordered(validation.counted(validation.attributed(lines, batches)))
 
 
 def validation_report(lines: DataFrame, family_of: DataFrame) -> DataFrame:
-    """Counts of the errors in validator lines; family_of has stem and family of the validated texts."""
+    """Counts of the errors in the lines of one log; family_of has stem and family of the validated texts, so a stem of two families counts for both."""
     return validation.ordered(validation.counted(validation.parsed(lines).join(family_of, "stem")))
 
 

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import os
+import re
 import xml.etree.ElementTree as ET
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import file_name, or_null, stem, strip
@@ -77,12 +78,20 @@ def genre_lookup(rows: DataFrame) -> DataFrame:
 
 
 def numbered(rows: DataFrame) -> DataFrame:
-    """row_no in file order; for small reviewed maps only, as it needs one order of all rows."""
-    return rows.withColumn("__id", F.monotonically_increasing_id()).withColumn("row_no", F.row_number().over(Window.orderBy("__id"))).drop("__id")
+    """row_no, which rises in file order."""
+    return rows.withColumn("row_no", F.monotonically_increasing_id())
 
 
 def read_validator_log(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).withColumnRenamed("value", "line")
+    """line of a log; of a folder with a log for each batch (`<family>-<batch>.log`) also its family and batch."""
+    lines = spark.read.text(path).select(F.col("value").alias("line"), F.regexp_extract("_metadata.file_name", r"^(.+)-(\d+)\.log$", 1).alias("family"), F.regexp_extract("_metadata.file_name", r"^(.+)-(\d+)\.log$", 2).try_cast("long").alias("batch"))
+    return lines.withColumn("family", F.nullif("family", F.lit("")))
+
+
+def schemas_in(spark: SparkSession, folder: str, prefix: str) -> DataFrame:
+    """family of the schemas `<prefix><family>.rng` that are in the folder."""
+    files = listing.list_files(spark, folder)
+    return files.select(F.regexp_extract(file_name(F.col("path")), f"^{re.escape(prefix)}(.+)\\.rng$", 1).alias("family")).where("family != ''").distinct()
 
 
 def default_taxonomy(spark: SparkSession) -> DataFrame:

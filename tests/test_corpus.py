@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from stemmata.functions import text
 from stemmata.operators import audit, catalogues, genres, rewrite, schema_files, schematron, structure, validation, vocabulary
 from stemmata.operators.shred import CHECKS, parse, shred
-from stemmata.plans import commands
+from stemmata.plans import annotation, commands
 from stemmata.sources import corpus
 from stemmata.vocabulary import FAMILY_DEFAULT, HIERARCHY, LITERARY
 
@@ -320,9 +320,9 @@ def test_survey_and_sinks(spark, tree, tmp_path):
 
 def test_annotate_apply_normalize_validate(spark, tree, tmp_path):
     files, tax = corpus.read_corpus(spark, str(tree)), corpus.default_taxonomy(spark)
-    row = commands.annotate(files, tax).collect()
+    row = annotation.annotate(files, tax).collect()
     assert len(row) == 1 and (row[0]["genre"], row[0]["confidence"]) == ("drama-line", "high") and '<ti:genre confidence="high">drama-line</ti:genre>' in row[0]["xml"]
-    assert commands.annotate(files, tax, classify=lambda rows: ["nonsense." for _ in rows]).first()["genre"] == "unknown"
+    assert annotation.annotate(files, tax, classify=lambda rows: ["nonsense." for _ in rows]).first()["genre"] == "unknown"
     rows = commands.genre_map(files, tax)
     done = {r["path"]: r for r in commands.apply_genre_map(rows, files, tax).collect()}
     assert done["g1/w1/g1.w1.e1.xml"]["status"] == "apply" and done["g1/w1/g1.w1.bad.xml"]["status"] == "error" and done["g1/w2/g1.w2.e1.xml"]["status"] == "skipped"
