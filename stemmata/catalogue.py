@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .functions.text import computed_urn, existing_urn, map_urn, pipeline_urn
-from .operators import audit, catalogues, genres, intervals, rewrite, schema_files, schematron, structure, validation, vocabulary
+from .operators import audit, catalogues, genres, intervals, rewrite, schema_files, schematron, structure, taxonomies, validation, vocabulary
 from .operators.shred import AUDIT, CHECKS, ROOTS, SIGNATURE, shred, tei
 from .plans import commands
 from .plans.synthetic import IDS, catalogue_files, encoded_documents, order_documents, table, text_documents, validator_lines
@@ -362,6 +362,44 @@ def schematron_encoding(spark, sf_dir):
     return schematron.run_checks(_order_nodes(spark, sf_dir, *CHECKS), schematron.encoding_checks()).select(_custkey(), "check_id")
 
 
+@query("""
+with recursive e as (
+  select 'r' || r_regionkey as id, cast(null as varchar) as parent from region union all select 'n' || n_nationkey, 'r' || n_regionkey from nation
+  union all select 's' || s_suppkey, case when s_suppkey > 0 and floor(s_suppkey / 2) in (select s_suppkey from supplier) then 's' || cast(floor(s_suppkey / 2) as bigint) else 'n' || s_nationkey end from supplier),
+c as (select id, id as root, 0 as depth from e where parent is null union all select e.id, c.root, c.depth + 1 from e join c on e.parent = c.id)
+select id, root, cast(depth as bigint) as depth from c""")
+def taxonomy_closure(spark, sf_dir):
+    """Roots and depths of a tree of regions, nations and suppliers, who hang on the supplier of half their number, so the depth grows with the table."""
+    s = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+    text = lambda letter, c: F.concat(F.lit(letter), c.cast("string"))
+    half = s.select(F.col("s_suppkey").alias("half"))
+    under = s.join(half, F.floor(F.col("s_suppkey") / 2) == F.col("half"), "left")
+    edges = table(spark, sf_dir, "region").select(text("r", F.col("r_regionkey")).alias("id"), F.lit(None).cast("string").alias("parent"))
+    edges = edges.union(table(spark, sf_dir, "nation").select(text("n", F.col("n_nationkey")), text("r", F.col("n_regionkey"))))
+    edges = edges.union(under.select(text("s", F.col("s_suppkey")), F.when((F.col("s_suppkey") > 0) & F.col("half").isNotNull(), text("s", F.col("half"))).otherwise(text("n", F.col("s_nationkey")))))
+    return taxonomies.closure(edges)
+
+
+@query("""
+with i as (select o_custkey, o_orderkey, l_linenumber, row_number() over (partition by o_orderkey order by l_linenumber, l_partkey, l_suppkey) as r, count(*) over (partition by o_orderkey) as n from orders join lineitem on l_orderkey = o_orderkey)
+select o_custkey, 'o' || o_orderkey as family, max(r) + 1 as deepest, count(*) filter (r = n) as leaves, cast(sum(r + 1) as bigint) as depths, 'last of ' || max(n) as description from i group by o_custkey, o_orderkey""")
+def taxonomy_categories(spark, sf_dir):
+    """Categories from documents: for each customer a taxonomy with a family for each order, whose lines are nested in each other."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey")
+    lines = items.groupBy("l_orderkey").agg(F.count("*").cast("int").alias("n"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey").join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+    o = F.col("o_orderkey").cast("string")
+    opened = F.array_join(F.transform(F.sequence(F.lit(1), F.col("n")), lambda k: F.concat(F.lit('<category xml:id="o'), o, F.lit("."), k.cast("string"), F.lit('">'))), "")
+    inner = F.concat(opened, F.lit("<catDesc> last <hi>of</hi>\n"), F.col("n").cast("string"), F.lit("</catDesc>"), F.repeat(F.lit("</category>"), F.col("n")))
+    top = F.concat(F.lit('<category xml:id="o'), o, F.lit('">'), inner, F.lit("</category>"))
+    docs = orders.groupBy("o_custkey").agg(F.array_join(F.array_sort(F.collect_list(top)), "").alias("x"))
+    xml = F.concat(F.lit('<TEI xmlns="http://www.tei-c.org/ns/1.0"><taxonomy xml:id="other"><category xml:id="no"/></taxonomy><taxonomy xml:id="mine">'), "x", F.lit("</taxonomy></TEI>"))
+    found = taxonomies.categories(docs.select(F.col("o_custkey").cast("string").alias("path"), xml.alias("xml")), "mine")
+    return found.where("depth > 1").groupBy(F.col("path").cast("long").alias("o_custkey"), "family").agg(
+        F.max("depth").alias("deepest"), F.count_if("is_leaf").alias("leaves"), F.sum("depth").alias("depths"), F.max(F.when(F.col("is_leaf"), F.col("description"))).alias("description")
+    )
+
+
 _IDS = "[" + ", ".join(f"'{x}'" for x in IDS) + "]"
 _TAX = "(values " + ", ".join([f"('{f}', 'family', '{f}', '{d}')" for f, d in sorted(FAMILY_DEFAULT.items())] + [f"('{s}', 'subclass', '{s.split('-')[0]}', '{FAMILY_DEFAULT[s.split('-')[0]]}')" for s in sorted(HIERARCHY)]) + ") as t(target, kind, family, d)"
 _LIT = "(values " + ", ".join(f"('{a}', '{b}')" for a, b in sorted(LITERARY.items())) + ") as m(literary, proposed)"

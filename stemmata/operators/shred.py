@@ -21,13 +21,13 @@ from ..vocabulary import WRAPPERS
 
 SCHEMA = (
     "path string, node_id int, end_id int, parent_id int, depth int, kind string, ns string, name string, attrs map<string,string>, text string, has_child_node boolean, "
-    "in_body boolean, in_text boolean, unit string, anc_units array<string>, anc_textparts int, anc_names array<string>, holds array<string>, location string, doc_base string"
+    "in_body boolean, in_text boolean, unit string, anc_units array<string>, anc_textparts int, anc_names array<string>, holds array<string>, location string, doc_base string, content string"
 )
 _TYPES = dict(c.split(" ", 1) for c in SCHEMA.split(", "))
 _ARROW = {
     "path": pa.string(), "node_id": pa.int32(), "end_id": pa.int32(), "parent_id": pa.int32(), "depth": pa.int32(), "kind": pa.string(), "ns": pa.string(), "name": pa.string(),
     "attrs": pa.map_(pa.string(), pa.string()), "text": pa.string(), "has_child_node": pa.bool_(), "in_body": pa.bool_(), "in_text": pa.bool_(), "unit": pa.string(),
-    "anc_units": pa.list_(pa.string()), "anc_textparts": pa.int32(), "anc_names": pa.list_(pa.string()), "holds": pa.list_(pa.string()), "location": pa.string(), "doc_base": pa.string(),
+    "anc_units": pa.list_(pa.string()), "anc_textparts": pa.int32(), "anc_names": pa.list_(pa.string()), "holds": pa.list_(pa.string()), "location": pa.string(), "doc_base": pa.string(), "content": pa.string(),
 }
 
 
@@ -51,8 +51,8 @@ def unit_of(attrs: dict[str, str]) -> str | None:
 
 
 class _Tree:
-    def __init__(self, located: bool = True) -> None:
-        self.located = located
+    def __init__(self, located: bool = True, contents: tuple[str, ...] = ()) -> None:
+        self.located, self.contents = located, contents
         self.nodes: list[dict] = []
         self.stack: list[dict] = []
         self.counts: list[dict[str, int]] = [{}]
@@ -68,7 +68,7 @@ class _Tree:
             location = f"{parent['location'] if parent else ''}/{name}[{seen[name]}]"
         node = {
             "node_id": len(self.nodes) + 1, "end_id": len(self.nodes) + 1, "parent_id": parent["node_id"] if parent else None, "depth": len(self.stack), "kind": kind, "ns": ns, "name": name,
-            "attrs": attrs, "text": text, "has_child_node": False, "location": location,
+            "attrs": attrs, "text": text, "has_child_node": False, "location": location, "content": "" if name in self.contents else None,
         }
         self.nodes.append(node)
         return node
@@ -92,6 +92,9 @@ class _Tree:
             if top["end_id"] == len(self.nodes) and top["node_id"] == len(self.nodes):
                 top["text"] = (top["text"] or "") + data
             top["has_child_node"] = True
+            for n in self.stack if self.contents else ():
+                if n["content"] is not None:
+                    n["content"] += data
 
 
 def _holds(nodes: list[dict], holders: tuple[str, ...]) -> None:
@@ -113,9 +116,9 @@ def _holds(nodes: list[dict], holders: tuple[str, ...]) -> None:
             n["holds"] = list(dict.fromkeys(n["holds"]))
 
 
-def parse(xml: str | bytes, wanted: frozenset[str] = frozenset(_ARROW), holders: tuple[str, ...] = HOLDERS) -> list[dict]:
+def parse(xml: str | bytes, wanted: frozenset[str] = frozenset(_ARROW), holders: tuple[str, ...] = HOLDERS, contents: tuple[str, ...] = ()) -> list[dict]:
     """The nodes of one document in preorder; what isn't wanted and takes time is left out. Bytes are read in the encoding that they declare."""
-    tree = _Tree("location" in wanted)
+    tree = _Tree("location" in wanted, contents)
     parser = expat.ParserCreate(namespace_separator="}")
     parser.ordered_attributes = True
     parser.buffer_text = True
@@ -125,7 +128,7 @@ def parse(xml: str | bytes, wanted: frozenset[str] = frozenset(_ARROW), holders:
     try:
         parser.Parse(readable(xml), True)
     except (expat.ExpatError, ValueError, LookupError) as e:
-        return [{"node_id": 0, "end_id": 0, "parent_id": None, "depth": 0, "kind": "error", "ns": "", "name": "", "attrs": {}, "text": str(e), "has_child_node": False, "in_body": False, "in_text": False, "unit": None, "anc_units": [], "anc_textparts": 0, "anc_names": [], "holds": None, "location": "", "doc_base": None}]
+        return [{"node_id": 0, "end_id": 0, "parent_id": None, "depth": 0, "kind": "error", "ns": "", "name": "", "attrs": {}, "text": str(e), "has_child_node": False, "in_body": False, "in_text": False, "unit": None, "anc_units": [], "anc_textparts": 0, "anc_names": [], "holds": None, "location": "", "doc_base": None, "content": None}]
     nodes = tree.nodes
     if "holds" in wanted:
         _holds(nodes, holders)
@@ -153,8 +156,8 @@ def parse(xml: str | bytes, wanted: frozenset[str] = frozenset(_ARROW), holders:
     return nodes
 
 
-def shred(docs: DataFrame, columns: tuple[str, ...] = (), holders: tuple[str, ...] = HOLDERS) -> DataFrame:
-    """The nodes of all documents (path, xml: a string, or the bytes of a file), with the columns asked for (path always; none named: all); holders are the elements whose children are written down."""
+def shred(docs: DataFrame, columns: tuple[str, ...] = (), holders: tuple[str, ...] = HOLDERS, contents: tuple[str, ...] = ()) -> DataFrame:
+    """The nodes of all documents (path, xml: a string, or the bytes of a file), with the columns asked for (path always; none named: all); holders are the elements whose children are written down, contents those whose whole text is."""
     bounded(docs.sparkSession)
     names = [c for c in _ARROW if c == "path" or not columns or c in columns]
     wanted = frozenset(names)
@@ -165,7 +168,7 @@ def shred(docs: DataFrame, columns: tuple[str, ...] = (), holders: tuple[str, ..
         for batch in batches:
             columns = empty()
             for path, xml in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                nodes = parse(xml or "", wanted, holders)
+                nodes = parse(xml or "", wanted, holders, contents)
                 for k, c in columns.items():
                     c += [path] * len(nodes) if k == "path" else [list(n["attrs"].items()) for n in nodes] if k == "attrs" else [n[k] for n in nodes]
                 if len(columns["path"]) > 20_000:

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 import os
 import re
-import xml.etree.ElementTree as ET
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import file_name, or_null, stem, strip
-from ..runtime import qualified
+from ..runtime import qualified, staged
 from ..vocabulary import FAMILY_DEFAULT, HIERARCHY
 from . import listing
 
@@ -111,23 +110,14 @@ def taxonomy_frame(spark: SparkSession, families: dict[str, dict[str, str]]) ->
 
 
 def read_taxonomy(spark: SparkSession, odd: str, taxonomy_id: str) -> DataFrame:
-    """A taxonomy from an ODD document: families are the top categories, subclasses the leaves below them."""
-    root = ET.fromstring(odd if odd.lstrip().startswith("<") else open(odd, encoding="utf-8").read())
-    found = next((t for t in root.iter(f"{{{TEI}}}taxonomy") if t.get(f"{{{XML}}}id") == taxonomy_id), None)
-    if found is None:
+    """A taxonomy from an ODD document (a path, or its text): families are the top categories, subclasses the leaves below them, at any depth."""
+    from ..operators import taxonomies
+
+    docs = spark.createDataFrame([("odd", odd)], "path string, xml string") if odd.lstrip().startswith("<") else read_files(spark, [odd])
+    found = staged(taxonomies.categories(docs, taxonomy_id), "taxonomy")
+    if found.isEmpty():
         raise ValueError(f"no taxonomy {taxonomy_id}")
-    families: dict[str, dict[str, str]] = {}
-    for top in found.findall(f"{{{TEI}}}category"):
-        name = top.get(f"{{{XML}}}id", "")
-        if name in FAMILY_DEFAULT:
-            leaves = families.setdefault(name, {})
-            for c in top.iter(f"{{{TEI}}}category"):
-                if c is not top and c.find(f"{{{TEI}}}category") is None:
-                    text = c.find(f"{{{TEI}}}catDesc")
-                    leaves[c.get(f"{{{XML}}}id", "")] = " ".join("".join(text.itertext()).split()) if text is not None else ""
-    for family in FAMILY_DEFAULT:
-        families.setdefault(family, {})
-    return taxonomy_frame(spark, families)
+    return staged(taxonomies.checked(found), "taxonomy")
 
 
 def load_env(path: str) -> None:
