@@ -3,8 +3,8 @@
 The ids of all documents, in ascending doc_id order and each with an end id, form one stream of tokens.
 Each range of documents is a shard: one Arrow IPC stream file whose record batches hold `tokens`
 (fixed-size list of uint16, or uint32 for larger vocabularies) and `mask` (fixed-size list of bool: false
-behind the shard's last token), uncompressed, so that a memory map gives sequence i without copying or
-reading what lies before it. A second stream file beside it holds doc_id, start and length in the shard.
+behind the shard's last token), uncompressed, so that a memory map gives sequence i without reading what lies
+before it: its tokens as a view of the map, its mask unpacked from bits. A second stream file beside it holds doc_id, start and length in the shard.
 
 Files are written by the tasks straight to the shared folder under a name of their own for each attempt;
 the manifest lists those of the attempts that ended, so a lost executor or a repeated task leaves nothing wrong.
@@ -111,7 +111,7 @@ def write(documents: DataFrame, vocab: str, folder: str, end_id: int = 2, length
 
 
 class Shard:
-    """Random access to one written shard; sequences and masks are views of the memory map where the file system has one."""
+    """Random access to one written shard. Tokens are views of the memory map where the file system has one; masks are stored as bits, so one is a copy of its own sequence's."""
 
     def __init__(self, file: str, index_file: str) -> None:
         self.batches = self._read(file)
