@@ -3,10 +3,16 @@
 Each text is measured whole (words, symbols, repeated lines, repeated three-word windows). Documents that
 pass the two base rules feed one sketch for each language, source and measure: counts of values by
 logarithmic bin, so a quantile is known to within GAMMA - 1 relatively, sketches merge by adding counts,
-and no order of rows or loss of executors changes them. A document fails a measure that lies beyond the
-group's fence, t + REACH * (t - median), where t is the group's own tail quantile (for mean word length also below,
-at the quantile that far from the other end). There is no absolute cutoff: where t equals the median, what lies beyond
-the tail quantile fails. Groups of fewer than LEAST documents take the merged sketch of their language, then of everything.
+and no order of rows or loss of executors changes them.
+
+What is counted feeds the sketch as (count + 1/2) / (rest + 1/2): a text without a symbol shows only that its rate lies
+below what its length can tell, so a group of texts without any still has a median and a tail, and no fence is zero.
+A repeat's rest is what isn't repeated, so every fence can be passed. A document fails a measure if its value, reckoned
+without one occurrence, lies beyond the group's fence, t + REACH * (t - median), where t is the group's own tail quantile
+(for mean word length also below, at the quantile that far from the other end). A count of one never fails. There is
+no absolute cutoff: in a group without spread, what lies more than some bins beyond the common value fails.
+The quantiles of a group of n documents are drawn towards its language's with the weight of PRIOR documents, and those
+towards everything's in the same way (means of logarithms), so bounds change with the number of documents by no jump.
 
 Defined cases: a null text has no words and fails the base rules; a null language or source counts as the
 empty string; an empty table gives an empty result; of extra columns none is read.
@@ -28,13 +34,13 @@ SYMBOLS = b"#*$%&|<>"
 LEAST_WORDS = 50
 GAMMA = 1.02
 REACH = 3.0
-LEAST = 100
+#: The documents that a group's language, and a language's everything, weigh in its quantiles.
+PRIOR = 100
 #: The measures, and the tail quantile in per cent from which their fence is reckoned: far out where single
 #: documents of good text differ much (repeats), further in where junk itself may make up the tail.
 TAIL = {"symbol_ratio": 85, "dup_line_ratio": 99, "repeat_ratio": 99, "word_length": 90}
 #: The measure that can also be too small.
 BOTH_SIDES = "word_length"
-ZERO_BIN = -(1 << 30)
 #: Groups up to which the thresholds are broadcast; more are joined by key.
 BROADCAST_GROUPS = 20_000
 
@@ -119,25 +125,42 @@ def base_failed() -> Column:
     return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
+#: What each measure counts, and what its rest is.
+COUNTED = {"symbol_ratio": ("n_symbols", "n_words"), "dup_line_ratio": ("n_dup_lines", "n_lines - n_dup_lines"), "repeat_ratio": ("n_repeat_words", "n_words - n_repeat_words")}
+
+
+def _of_rest(count: Column, rest: str) -> Column:
+    return count.cast("double") / (F.expr(rest).cast("double") + 0.5)
+
+
+def _word_length() -> Column:
+    return F.coalesce(F.try_divide(F.col("word_chars").cast("double"), F.col("n_words").cast("double")), F.lit(0.0))
+
+
+def sketched() -> dict[str, Column]:
+    """The measures as they feed the sketches; all above zero where the base rules pass."""
+    return {**{k: _of_rest(F.col(n).cast("double") + 0.5, rest) for k, (n, rest) in COUNTED.items()}, "word_length": _word_length()}
+
+
 def ratios() -> dict[str, Column]:
-    part = lambda a, b: F.coalesce(F.try_divide(F.col(a).cast("double"), F.col(b).cast("double")), F.lit(0.0))
-    return {"symbol_ratio": part("n_symbols", "n_words"), "dup_line_ratio": part("n_dup_lines", "n_lines"), "repeat_ratio": part("n_repeat_words", "n_words"), "word_length": part("word_chars", "n_words")}
+    """The measures as they are judged: what a document shows with one occurrence taken away."""
+    return {**{k: _of_rest(F.greatest(F.col(n) - 1, F.lit(0)), rest) for k, (n, rest) in COUNTED.items()}, "word_length": _word_length()}
 
 
 def bin_of(value: Column) -> Column:
-    """The sketch's bin: null-free; zero has a bin of its own below all others."""
-    return F.when(value <= 0, F.lit(ZERO_BIN)).otherwise(F.ceil(F.log(value) / math.log(GAMMA))).cast("int")
+    """The sketch's bin of a value above zero."""
+    return F.ceil(F.log(value) / math.log(GAMMA)).cast("int")
 
 
 def value_of(bin_: Column, part: int) -> Column:
-    """The least (0), middle (1) or greatest (2) value of a bin."""
+    """The least (0), middle (1) or greatest (2) value of a bin, or of a mean of bins."""
     power = F.pow(F.lit(GAMMA), bin_.cast("double"))
-    return F.when(bin_ == ZERO_BIN, F.lit(0.0)).otherwise((power / GAMMA, 2 * power / (1 + GAMMA), power)[part])
+    return (power / GAMMA, 2 * power / (1 + GAMMA), power)[part]
 
 
 def sketches(measured: DataFrame) -> DataFrame:
     """(lang, source, measure, bin, n): the sketches, mergeable by adding n."""
-    rows = measured.where(~base_failed()).select("lang", "source", F.explode(F.map_from_arrays(F.array(*[F.lit(k) for k in ratios()]), F.array(*ratios().values()))).alias("measure", "value"))
+    rows = measured.where(~base_failed()).select("lang", "source", F.explode(F.map_from_arrays(F.array(*[F.lit(k) for k in sketched()]), F.array(*sketched().values()))).alias("measure", "value"))
     return rows.groupBy("lang", "source", "measure", bin_of(F.col("value")).alias("bin")).agg(F.count("*").alias("n"))
 
 
@@ -159,10 +182,11 @@ def thresholds(sketch: DataFrame) -> DataFrame:
     # One row for each measure: the sketch of everything has no more.
     every = quantiles(sketch, []).select("measure", *[F.col(c).alias(f"all_{c}") for c in bins])
     both = fine.join(lang, ["lang", "measure"]).join(F.broadcast(every), "measure")
-    q = {c: F.when(F.col("n") >= LEAST, F.col(c)).when(F.col("lang_n") >= LEAST, F.col(f"lang_{c}")).otherwise(F.col(f"all_{c}")) for c in bins}
+    drawn = lambda n, own, to: (F.col(n) * own + PRIOR * to) / (F.col(n) + PRIOR)
+    q = {c: drawn("n", F.col(c), drawn("lang_n", F.col(f"lang_{c}"), F.col(f"all_{c}"))) for c in bins}
     mid, low, high = value_of(q["mid"], 1), value_of(q["low"], 0), value_of(q["high"], 2)
     hi = high + REACH * (high - mid)
-    lo = F.when(F.col("measure") == BOTH_SIDES, low - REACH * (mid - low)).otherwise(F.lit(-1.0))
+    lo = F.when(F.col("measure") == BOTH_SIDES, low - REACH * (mid - low)).otherwise(F.lit(0.0))
     pick = lambda k, c: F.max(F.when(F.col("measure") == k, F.col(c)))
     return both.select("lang", "source", "measure", lo.alias("lo"), hi.alias("hi")).groupBy("lang", "source").agg(*[pick(k, c).alias(f"{k}_{c}") for k in TAIL for c in ("lo", "hi")])
 

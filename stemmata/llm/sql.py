@@ -6,8 +6,7 @@ from .fill_in_middle import MIDDLE, PREFIX, SUFFIX, UNIT
 from .licenses import _NOTICE, _PARAGRAPH, _SPDX, CUE, FORMS, LEAST, LICENCE_FILE, TERM
 from .ngram_join import PERCENT
 from .prefix_trie import WORD
-from .quality import BOTH_SIDES, GAMMA, REACH, TAIL, ZERO_BIN
-from .quality import LEAST as LEAST_DOCS
+from .quality import BOTH_SIDES, COUNTED, GAMMA, PRIOR, REACH, TAIL
 from .wu_manber import WINDOW
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -48,9 +47,11 @@ from d left join n on n.doc_id = d.doc_id left join (select node, min(found) as
 
 
 def quality() -> str:
-    measures = {"symbol_ratio": "n_symbols / n_words", "dup_line_ratio": "n_dup_lines / n_lines", "repeat_ratio": "n_repeat_words / n_words", "word_length": "word_chars / n_words"}
-    divided = ", ".join(f"coalesce(cast({v.split(' / ')[0]} as double) / nullif({v.split(' / ')[1]}, 0), 0.0) as {k}" for k, v in measures.items())
-    long = " union all ".join(f"select lang, source, '{k}' as measure, {k} as value from m where not base_failed" for k in measures)
+    measures = [*COUNTED, "word_length"]
+    divided = ", ".join(f"cast(greatest({n} - 1, 0) as double) / (cast({rest} as double) + 0.5) as {k}" for k, (n, rest) in COUNTED.items())
+    divided += ", coalesce(cast(word_chars as double) / nullif(n_words, 0), 0.0) as word_length"
+    fed = {**{k: f"(cast({n} as double) + 0.5) / (cast({rest} as double) + 0.5)" for k, (n, rest) in COUNTED.items()}, "word_length": "word_length"}
+    long = " union all ".join(f"select lang, source, '{k}' as measure, {fed[k]} as value from m where not base_failed" for k in measures)
     tail = "case measure " + " ".join(f"when '{k}' then {v}" for k, v in TAIL.items()) + " end"
 
     def quantiles(by: str) -> str:
@@ -61,9 +62,9 @@ def quality() -> str:
 
     power = f"power(cast({GAMMA} as double), {{b}})"
     shape = {"mid": f"2 * {power} / {1 + GAMMA}", "low": f"{power} / {GAMMA}", "high": power}
-    value = lambda c, b: f"(case when {b} = {ZERO_BIN} then 0.0 else {shape[c].format(b=b)} end)"
-    pick = lambda c: value(c, f"(case when fine.n >= {LEAST_DOCS} then fine.{c} when lang.n >= {LEAST_DOCS} then lang.{c} else whole.{c} end)")
-    side = {"lo": f"case when measure = '{BOTH_SIDES}' then low - {REACH} * (mid - low) else -1.0 end", "hi": f"high + {REACH} * (high - mid)"}
+    drawn = lambda n, own, to: f"(({n} * {own} + {PRIOR} * {to}) / ({n} + {PRIOR}))"
+    pick = lambda c: shape[c].format(b=drawn("fine.n", f"fine.{c}", drawn("lang.n", f"lang.{c}", f"whole.{c}")))
+    side = {"lo": f"case when measure = '{BOTH_SIDES}' then low - {REACH} * (mid - low) else 0.0 end", "hi": f"high + {REACH} * (high - mid)"}
     fits = " and ".join(f"coalesce({k} between {k}_lo and {k}_hi, true)" for k in measures)
     return f"""
 with d as (select doc_id, coalesce(lang, '') as lang, coalesce(source, '') as source, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '{_SPACED}') as w from documents),
@@ -74,7 +75,7 @@ c as (select d.doc_id, lang, source, len(w) as n_words, coalesce(cast(list_sum(l
       coalesce(n_dup, 0) as n_dup_lines, coalesce(again.n, 0) as n_repeat_words, coalesce(n_lines, 0) as n_lines
       from d left join again on again.doc_id = d.doc_id left join lines on lines.doc_id = d.doc_id),
 m as (select *, n_words < 50 or 100 * n_repeat_words > 50 * n_words as base_failed, {divided} from c),
-sketch as (select lang, source, measure, case when value <= 0 then {ZERO_BIN} else cast(ceil(ln(value) / ln(cast({GAMMA} as double))) as int) end as bin, count(*) as n from ({long}) group by all),
+sketch as (select lang, source, measure, cast(ceil(ln(value) / ln(cast({GAMMA} as double))) as int) as bin, count(*) as n from ({long}) group by all),
 limits as (select fine.lang, fine.source, measure, {pick('mid')} as mid, {pick('low')} as low, {pick('high')} as high
   from ({quantiles('lang, source')}) fine join ({quantiles('lang')}) lang using (lang, measure) join ({quantiles('')}) whole using (measure)),
 bounds as (select lang, source, {', '.join(f"max(case when measure = '{k}' then {e} end) as {k}_{c}" for k in measures for c, e in side.items())} from limits group by 1, 2)

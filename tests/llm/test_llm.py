@@ -1,6 +1,7 @@
 """The training-data operators against brute force, round trips and defined edge cases."""
 
 import hashlib
+import math
 import os
 import random
 import zlib
@@ -186,18 +187,33 @@ def test_quality_adapts_by_group_and_merges(spark, nothing):
 
 
 def test_quality_bounds_follow_the_group(spark, sf_dir):
-    """On the table: a change of one source's texts moves that source's bounds and no other's."""
+    """On the table: a change of one source's texts moves that source's bounds; another's hardly, by what the language weighs."""
     docs = table(spark, sf_dir, "documents").withColumn("source", F.when(F.col("doc_id") % 3 == 0, "one").otherwise("two"))
     noisy = docs.withColumn("text", F.when(F.col("source") == "one", F.regexp_replace("text", " ", " # ")).otherwise(F.col("text")))
-    # Merge nothing: the group has too few rows in the smallest table.
     def bounds(df):
         many = df.unionAll(df).unionAll(df).unionAll(df)
         return {(r["lang"], r["source"]): (r["symbol_ratio_hi"], r["word_length_hi"]) for r in quality.thresholds(quality.sketches(quality.measure(many))).collect()}
     plain, moved = bounds(docs.withColumn("lang", F.lit("en"))), bounds(noisy.withColumn("lang", F.lit("en")))
-    assert plain["en", "two"] == moved["en", "two"]
+    far, near = ([abs(math.log(moved["en", k][m] / plain["en", k][m])) for m in (0, 1)] for k in ("one", "two"))
+    assert all(3 * b < a for a, b in zip(far, near))
     assert moved["en", "one"][0] > plain["en", "one"][0] + 0.3 and moved["en", "one"][1] < plain["en", "one"][1]
 
 
+def test_quality_fences_are_not_degenerate(spark, sf_dir):
+    """One symbol loses no clean text, a group without spread keeps its own, junk among few goes, and bounds of every measure differ by group and can be passed."""
+    r = random.Random(6)
+    rows = [(i, words(r, r.randint(60, 1500)), "en", "plain", 0) for i in range(150)] + [(200, words(r, 2000) + " #", "en", "plain", 0), (201, words(r, 60) + " #", "en", "plain", 0)]
+    rows += [(300 + i, words(r, 400), "en", "even", 0) for i in range(40)] + [(400, words(r, 400) + " #", "en", "even", 0)]
+    rows += [(500, " ".join(w + "##" for w in words(r, 300).split()), "en", "alone", 0), (501, words(r, 300), "en", "alone", 0)]
+    rows += [(600, "\n".join([words(r, 30)] + ["Share this story"] * 12 + [words(r, 60)]), "en", "plain", 0)]
+    kept = {x["doc_id"]: x["kept"] for x in quality.judged(quality.measure(spark.createDataFrame(rows, SCHEMA))).collect()}
+    assert {i for i, k in kept.items() if not k} == {500, 600}
+    limits = quality.thresholds(quality.sketches(quality.measure(table(spark, sf_dir, "documents")))).toPandas()
+    for k in quality.COUNTED:
+        assert limits[f"{k}_hi"].nunique() > 1 and (limits[f"{k}_hi"] > 0).all()
+    assert limits["word_length_hi"].nunique() > 1
+
+
 # ---- 3: licences
 
 
