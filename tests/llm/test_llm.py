@@ -259,6 +259,22 @@ def test_licences_as_they_are_written(spark, sf_dir):
     assert cued <= {r["file_id"] for r in licenses.scan(licenses.as_files(docs)).where("source = 'own'").collect()}
 
 
+def test_licences_of_plain_lines(spark):
+    """Lines without the word licence: every form is reached, and each licence's short forms and paragraphs by themselves."""
+    import re
+
+    cue = re.compile(licenses.CUE.replace(r"[^\p{L}\p{N}]", r"[\W_]"))
+    assert {f for forms in licenses.FORMS.values() for f in forms if not cue.search(f)} == {"MIT", "ISC"}
+    want = {
+        "Released under GPLv3.": "GPL-3.0", "# GPL-3.0-or-later": "GPL-3.0", "This code is under Apache-2.0": "Apache-2.0", "(c) X, BSD-3-Clause": "BSD-3-Clause", licenses._ISC: "ISC", licenses._MIT: "MIT", licenses._ZLIB: "Zlib",
+        "Distributed under the Boost Software License, Version 1.0.": "BSL-1.0", "Licensed under the EUPL": "EUPL-1.2", "mit": None, "MIT": None, "wir gehen mit dem Hund": None, "the public was told of the domain": None,
+        "Permission to enter was not given": None, "Apache helicopters flew over the village at dawn": None, "the gnu ran over the plain": None,
+    }
+    rows = [(i, f"{i}/x.py", "x = 1\n" * 5000 + f"{t}\n" + "y = 2\n" * 10) for i, t in enumerate(want)] + [(900 + i, f"z/{i}.py", f"# note {i} on gnu and apache, permission is needed for this code and for all of it") for i in range(40)]
+    got = {r["file_id"]: r["licence"] for r in licenses.scan(spark.createDataFrame(rows, "file_id long, path string, text string").withColumn("dir", F.lit("d")).withColumn("licence", F.lit("l"))).collect()}
+    assert {t: got[i] for i, t in enumerate(want)} == want
+
+
 # ---- 4: languages
 
 
