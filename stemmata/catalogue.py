@@ -9,7 +9,7 @@ from .functions.text import computed_urn, existing_urn, map_urn, pipeline_urn
 from .operators import audit, catalogues, genres, intervals, rewrite, schema_files, schematron, structure, taxonomies, validation, vocabulary
 from .operators.shred import AUDIT, CHECKS, ROOTS, SIGNATURE, shred, tei
 from .plans import commands
-from .plans.synthetic import IDS, catalogue_files, encoded_documents, order_documents, table, text_documents, validator_lines
+from .plans.synthetic import IDS, catalogue_files, declared_documents, encoded_documents, order_documents, table, text_documents, validator_lines
 from .runtime import scratch, staged
 from .sources.corpus import default_taxonomy, texts, with_places
 from .streaming import survey as stream
@@ -261,6 +261,54 @@ def reference_report(spark, sf_dir):
     return audit.reference_report(_audited(spark, sf_dir)).select(_custkey(), "base_urn", F.col("refsDecl_count").alias("n_decls"), F.size("issues").alias("n_issues"))
 
 
+_DECLARED = """(select c_custkey, cast(c_custkey % 6 as int) as k, cast(c_custkey % 4 as int) as b, case when cast(floor(c_acctbal) as bigint) % 2 = 0 then 'urn:cts:test:c' || c_custkey else '' end as base from customer)"""
+
+
+@query(f"""
+select c_custkey, base as base_urn, [0, 1, 1, 2, 2, 1][k + 1] as n_decls, ['', 'CTS', 'd', 'CTS,', 'a,b', ''][k + 1] as decl_ids, ['', 'false', 'true', 'false,true', 'true,false', 'true'][k + 1] as decl_cites,
+  k >= 2 as has_cites, k in (2, 3, 4) as has_default, k in (2, 3) as default_is_cited, case when k in (1, 3) then 'book,line' else '' end as patterns,
+  cast(base = '' as int) + cast(k < 2 as int) + cast(k not in (2, 3, 4) as int) as n_issues from {_DECLARED}""")
+def reference_declarations(spark, sf_dir):
+    """The whole reference report, over headers that declare references in every way and in none."""
+    nodes = staged(shred(declared_documents(spark, sf_dir), AUDIT), "nodes")
+    facts = audit.facts(nodes).select("path", F.col("default_is_cite_structure").alias("default_is_cited"), F.array_join("crefs.n", ",").alias("patterns"))
+    report = audit.reference_report(nodes).join(facts, "path")
+    return report.select(
+        F.regexp_extract("path", r"/c([0-9]+)\.xml$", 1).cast("long").alias("c_custkey"), "base_urn", F.col("refsDecl_count").alias("n_decls"), F.array_join("refsDecl_ids", ",").alias("decl_ids"),
+        F.array_join(F.transform("refsDecl_has_cite_structure", lambda b: b.cast("string")), ",").alias("decl_cites"), F.col("has_cite_structures").alias("has_cites"), F.col("has_default_refsDecl").alias("has_default"),
+        "default_is_cited", "patterns", F.size("issues").alias("n_issues"),
+    )
+
+
+@query(f"""
+select c_custkey, rule_id, role from (select * from {_DECLARED}) d join (values
+  ('REF001', 'warning', [0, 1, 2, 3, 4, 5], [0, 1, 2, 3], true), ('REF002', 'info', [0, 1], [0, 1, 2, 3], false), ('REF003', 'warning', [0, 1, 5], [0, 1, 2, 3], false),
+  ('STR001', 'warning', [0, 1, 2, 3, 4, 5], [0], false), ('STR002', 'info', [0, 1, 2, 3, 4, 5], [3], false), ('STR003', 'warning', [0, 1, 2, 3, 4, 5], [3], false)
+) as r(rule_id, role, ks, bs, unbased) on list_contains(ks, k) and list_contains(bs, b) and (base = '' or not unbased)""")
+def declaration_rules(spark, sf_dir):
+    """Rules of both audits over the same headers and bodies: each fires on some and not on others."""
+    nodes = staged(shred(declared_documents(spark, sf_dir), AUDIT), "nodes")
+    found = audit.run_rules(nodes, audit.REFERENCE_RULES + audit.STRUCTURE_RULES)
+    return found.select(F.regexp_extract("path", r"/c([0-9]+)\.xml$", 1).cast("long").alias("c_custkey"), "rule_id", "role")
+
+
+@query(f"""
+select c_custkey, case b when 0 then 'unknown' when 1 then 'milestone-based' when 2 then 'div-based' else 'mixed' end as structural_type, ['', '', 'div/poem/1/1/1/0/0/0', 'div/poem/1/1/0/0/0/0;div//2/1/0/0/0/0'][b + 1] as levels,
+  ['', 'page=1', '', 'line=1'][b + 1] as marks, case when k in (1, 3) then 'book,line' else '' end as patterns, ['', '', 'poem', 'poem,'][b + 1] as subtypes, [1, 0, 0, 2][b + 1] as n_issues,
+  case b when 2 then '<refsDecl default="true">' || chr(10) || '  <citeStructure unit="poem" match="tei:div[@subtype=''poem'']" use="@n" delim=":"/>' || chr(10) || '</refsDecl>'
+  when 3 then '<refsDecl default="true">' || chr(10) || '  <citeStructure unit="poem" match="tei:div[@subtype=''poem'']" use="@n" delim=":">' || chr(10) || '    <citeStructure unit="" match="tei:div[@subtype='''']" use="@n" delim="."/>' || chr(10) || '  </citeStructure>' || chr(10) || '</refsDecl>'
+  else '(no citation structure detected)' end as proposed from {_DECLARED}""")
+def structure_declarations(spark, sf_dir):
+    """The whole structure report over bodies of every structural type."""
+    report = audit.structure_report(staged(shred(declared_documents(spark, sf_dir), AUDIT), "nodes"))
+    level = lambda v: F.concat_ws("/", *[v[c].cast("string") for c in ("element", "subtype", "depth", "count", "with_n", "with_base", "with_id", "base_correct")])
+    return report.select(
+        F.regexp_extract("path", r"/c([0-9]+)\.xml$", 1).cast("long").alias("c_custkey"), "structural_type", F.array_join(F.transform("citation_levels", level), ";").alias("levels"),
+        F.array_join(F.transform("milestones", lambda m: F.concat(m["unit"], F.lit("="), m["count"].cast("string"))), ",").alias("marks"), F.array_join("cref_patterns", ",").alias("patterns"),
+        F.array_join("div_subtypes", ",").alias("subtypes"), F.size("issues").alias("n_issues"), F.col("proposed_cite_structure").alias("proposed"),
+    )
+
+
 _NORMALIZED = f"""
 select o_custkey, check_id from {_KIND}, (values ('genre-annotation', [3]), ('cts-xml-base', [1, 2, 3]), ('cts-xml-base-urn', [1, 2, 3]), ('cts-idno', [0, 1, 2, 3, 4]),
   ('refs-decl', [0, 1, 2, 3, 4]), ('refs-decl-cite', [0, 1, 2, 3, 4]), ('schema-pi', [0, 1, 2, 3, 4]), ('schema-pi-types', [0, 1, 2, 3, 4])) as c(check_id, ks) where list_contains(ks, k)"""

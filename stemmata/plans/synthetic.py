@@ -87,6 +87,32 @@ def order_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return books.select("o_custkey", "kind", path.alias("path"), tei(genre, body, base, prolog='<?xml-model href="old.rng"?>').alias("xml"))
 
 
+def declared_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document for each customer whose header declares references: c_custkey mod 6 sets how, mod 4 how the body is marked up, and odd balances' bodies have no base.
+
+    Declared: 0 nothing; 1 patterns only; 2 a default with a structure; 3 patterns, then a default with two structures; 4 a structure, then a default without one; 5 a structure
+    and one outside any declaration, but no default. Body: 0 lines only; 1 milestones; 2 text parts, of which every part has a number; 3 text parts of two kinds without numbers, and a milestone."""
+    c = table(spark, sf_dir, "customer")
+    key = F.col("c_custkey").cast("string")
+    cite = '<citeStructure unit="book" match="x" use="@n"/>'
+    patterns = '<refsDecl xml:id="CTS"><cRefPattern n="book" matchPattern="a"/><cRefPattern n="line" matchPattern="b"/></refsDecl>'
+    decls = F.array(
+        *map(F.lit, (
+            "<encodingDesc/>", f"<encodingDesc>{patterns}</encodingDesc>", f'<encodingDesc><refsDecl default="true" xml:id="d">{cite}</refsDecl></encodingDesc>',
+            f'<encodingDesc>{patterns}<refsDecl default="true">{cite}{cite}</refsDecl></encodingDesc>', f'<encodingDesc><refsDecl xml:id="a">{cite}</refsDecl><refsDecl default="true" xml:id="b"/></encodingDesc>',
+            f'<encodingDesc><p>{cite}</p><refsDecl default="false">{cite}</refsDecl></encodingDesc>',
+        ))
+    )
+    bodies = F.array(
+        F.lit("<l>x</l>"), F.concat(F.lit('<milestone unit="page" n="'), key, F.lit('"/><p>x</p>')), F.concat(F.lit('<div type="textpart" subtype="poem" n="'), key, F.lit('"><l>x</l></div>')),
+        F.lit('<div type="textpart" subtype="poem"><div type="textpart"><p>x</p></div></div><milestone unit="line"/>'),
+    )
+    at = lambda values, n: F.get(values, (F.col("c_custkey") % n).cast("int"))
+    base = F.when(F.floor(F.col("c_acctbal")) % 2 == 0, F.concat(F.lit("urn:cts:test:c"), key)).otherwise("")
+    xml = F.replace(tei(F.lit("prose"), at(bodies, 4), base), F.lit("<encodingDesc/>"), at(decls, 6))
+    return c.select("c_custkey", F.concat(F.lit("/corpus/canonical-test/data/d/w/c"), key, F.lit(".xml")).alias("path"), xml.alias("xml"))
+
+
 def catalogue_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A tree of files: a text group for each region, a work for each nation, a text for each supplier, with catalogue files."""
     regions, nations, suppliers = (table(spark, sf_dir, t) for t in ("region", "nation", "supplier"))
