@@ -26,7 +26,7 @@ from ..functions.text import collapse, or_empty
 from ..runtime import staged
 from ..sources.corpus import TEI, XML
 from .axes import SIBLINGS, Probe, Step, probed
-from .schematron import ASSERT, REPORT, Check, run_checks
+from .schematron import ASSERT, REPORT, Check, asked, run_checks
 from .shred import AXES, CHECKS, shred
 
 SCH = "http://purl.oclc.org/dsdl/schematron"
@@ -48,6 +48,12 @@ class Schema:
         """What the checks read of a node."""
         return AXES if self.probes else CHECKS
 
+    @property
+    def asked(self) -> frozenset[str] | None:
+        """The names of the nodes that contexts and steps ask for; None: nodes of any name."""
+        own, steps = asked(self.checks), [s.name for p in self.probes for s in (p.steps[-1:] if p.beside else p.steps)]
+        return None if own is None or None in steps else own | frozenset(steps)
+
 
 @dataclass
 class _Value:
@@ -86,6 +92,8 @@ class _Scope:
     #: None inside a step's predicate, which can't ask for paths.
     probes: dict[str, Probe] | None = field(default_factory=dict)
     in_context: bool = False
+    #: The name of the context's nodes; None if any will do.
+    node: str | None = None
 
 
 class _Parser:
@@ -228,8 +236,8 @@ class _Parser:
                 return _Value("string", [F.concat(*map(text, range(n)))])
             case "position" | "last", 0 if self.scope.in_context and self.scope.element:
                 named = self.named(self.scope.element)
-                place = self.probe([Step("preceding-sibling", named, self.scope.element)], False) + 1
-                return _Value("number", [place if name == "position" else place + self.probe([Step("following-sibling", named, self.scope.element)], False)])
+                place = self.probe([Step("preceding-sibling", named, self.scope.element, self.scope.element)], False) + 1
+                return _Value("number", [place if name == "position" else place + self.probe([Step("following-sibling", named, self.scope.element, self.scope.element)], False)])
         raise self.wrong()
 
     def path(self) -> _Value:
@@ -293,7 +301,7 @@ class _Parser:
             plain.append(f"[{asked[0][1]}{f"='{asked[2][1][1:-1]}'" if len(asked) == 3 else ''}]" if simple else None)
             self.take("]")
         known = name != "*" and len(plain) <= 2 and None not in plain
-        return Step(axis, test, "".join(t for _, t in self.tokens[first : self.at])), "".join(plain) if known else None
+        return Step(axis, test, "".join(t for _, t in self.tokens[first : self.at]), name if name != "*" else None), "".join(plain) if known else None
 
     def probe(self, steps: list[Step], whole: bool) -> Column:
         """How many nodes are at the end of the path: a column that probed() adds."""
@@ -304,8 +312,8 @@ class _Parser:
             self.scope.probes[key] = Probe(f"probe_{len(self.scope.probes)}", self.named(self.scope.element), tuple(steps), whole)
         return F.col(self.scope.probes[key].name)
 
-    def contexts(self) -> list[tuple[Column, str | None]]:
-        """What a context says of a node, for each alternative, and the element's name."""
+    def contexts(self) -> list[tuple[Column, str | None, str | None]]:
+        """What a context says of a node, for each alternative, the element's name and the node's."""
         out = [self.context()]
         while self.peek() == "|":
             self.take()
@@ -314,15 +322,16 @@ class _Parser:
             raise self.wrong()
         return out
 
-    def context(self) -> tuple[Column, str | None]:
+    def context(self) -> tuple[Column, str | None, str | None]:
         if self.peek() == "//":
             self.take()
-        name, element = self.take(), None
+        name, element, self.scope.node = self.take(), None, None
         if name == "processing-instruction":
             self.take("(")
             found = F.col("kind") == "pi"
             if self.peek() != ")":
-                found &= F.col("name") == self.take().strip("\"'")
+                self.scope.node = self.take().strip("\"'")
+                found &= F.col("name") == self.scope.node
             self.take(")")
         else:
             prefix, _, element = name.rpartition(":")
@@ -330,12 +339,13 @@ class _Parser:
                 raise self.wrong()
             found = (F.col("kind") == "element") & (F.col("ns") == self.scope.prefixes.get(prefix, "")) & (F.col("name") == element)
         self.scope.element, self.scope.in_context = element, True
+        self.scope.node = element or self.scope.node
         while self.peek() == "[":
             self.take()
             found &= F.coalesce(self.either().truth(), F.lit(False))
             self.take("]")
         self.scope.in_context = False
-        return found, element
+        return found, element, self.scope.node
 
 
 def _lets(at: ET.Element) -> dict[str, str]:
@@ -442,7 +452,7 @@ def read_schema(source: str, phase: str | None = None) -> Schema:
         for rule in pattern.findall(f"{{{SCH}}}rule"):
             scope = _Scope(prefixes, _lets(root) | _lets(pattern) | _lets(rule), None, holders, probes)
             matches = []
-            for here, element in _Parser(rule.get("context", ""), scope).contexts():
+            for here, element, node in _Parser(rule.get("context", ""), scope).contexts():
                 scope.element = element
                 fits = reduce(lambda a, b: a & ~b, earlier, here)
                 for at in rule:
@@ -451,7 +461,7 @@ def read_schema(source: str, phase: str | None = None) -> Schema:
                         continue
                     test = at.get("test", "")
                     said = [_message(x, scope) for x in (at, *[more[d] for d in at.get("diagnostics", "").split()])]
-                    matches.append((at, Check("", kind, at.get("role", ""), fits, F.coalesce(_Parser(test, scope).whole().truth(), F.lit(False)), F.concat_ws(" ", *said), test)))
+                    matches.append((at, Check("", kind, at.get("role", ""), fits, F.coalesce(_Parser(test, scope).whole().truth(), F.lit(False)), F.concat_ws(" ", *said), test, node)))
                 earlier = [*earlier, here]
             ids: dict[int, str] = {}
             for at, check in matches:
@@ -459,12 +469,12 @@ def read_schema(source: str, phase: str | None = None) -> Schema:
                     base = at.get("id") or pattern.get("id") or "pattern"
                     names[base] = names.get(base, 0) + 1
                     ids[id(at)] = base if names[base] == 1 else f"{base}-{names[base]}"
-                checks.append(Check(ids[id(at)], check.kind, check.role, check.context, check.test, check.message, check.source))
+                checks.append(replace(check, check_id=ids[id(at)]))
     return Schema(checks, tuple(sorted(holders)), tuple(probes.values()))
 
 
 def check_documents(docs: DataFrame, schema: Schema) -> DataFrame:
     """The findings of a schema in documents (path, xml)."""
-    nodes = shred(docs, schema.columns, schema.holders)
+    nodes = shred(docs, schema.columns, schema.holders, only=schema.asked)
     # Probes read the nodes several times.
     return run_checks(probed(staged(nodes, "nodes"), schema.probes) if schema.probes else nodes, schema.checks)

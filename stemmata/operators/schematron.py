@@ -29,6 +29,13 @@ class Check:
     test: Column
     message: Column
     source: str  # the test as it is written in reports
+    name: str | None = None  # that of the nodes of the context, where it is known
+
+
+def asked(checks: list[Check]) -> frozenset[str] | None:
+    """The names of the nodes that the checks are about: others need not be made. None: all are."""
+    names = frozenset(c.name for c in checks if c.name is not None)
+    return names if all(c.name is not None for c in checks) else None
 
 
 def _holds(path: str) -> Column:
@@ -50,15 +57,15 @@ def normalized_checks(names: Names = NAMES) -> list[Check]:
     valid = sorted([*HIERARCHY, *FAMILY_DEFAULT])
     text = or_empty(F.col("text"))
     return [
-        Check("genre-annotation", ASSERT, "error", _element("profileDesc"), _holds(f"textClass/catRef[@scheme='{names.scheme}']"), F.lit(f"profileDesc must contain textClass/catRef[@scheme='{names.scheme}']. Run set-genre first."), "textClass/catRef"),
-        Check("genre-category", ASSERT, "error", ref, after_hash(target).isin(*valid), F.concat(F.lit("catRef target '"), target, F.lit("' is not a recognized genre category.")), "substring-after(@target, '#') = $valid-genres"),
-        Check("cts-xml-base", ASSERT, "error", _element("body"), base.isNotNull(), F.lit("body must carry @xml:base with the CTS URN."), "@xml:base"),
-        Check("cts-xml-base-urn", ASSERT, "error", _element("body"), or_empty(base).startswith("urn:cts:"), F.concat(F.lit("body/@xml:base must be a CTS URN (starting with 'urn:cts:'). Got: "), or_empty(base)), "starts-with(@xml:base, 'urn:cts:')"),
-        Check("cts-idno", ASSERT, "error", _element("publicationStmt"), _holds("idno[@type='CTS']"), F.lit("publicationStmt must contain idno[@type='CTS']."), "idno[@type='CTS']"),
-        Check("refs-decl", ASSERT, "error", _element("encodingDesc"), _holds("refsDecl[@n='CTS']"), F.lit("encodingDesc must contain refsDecl[@n='CTS']."), "refsDecl[@n='CTS']"),
-        Check("refs-decl-cite", ASSERT, "error", _element("encodingDesc"), _holds("refsDecl[@n='CTS']/citeStructure"), F.lit("refsDecl[@n='CTS'] must contain a citeStructure element."), "refsDecl[@n='CTS']/citeStructure"),
-        Check("schema-pi", ASSERT, "error", pi, F.contains(text, F.lit(names.schema_base)), F.concat(F.lit("xml-model PI does not point to a corpus schema. Got: "), text), "contains(., schema base)"),
-        Check("schema-pi-types", ASSERT, "error", pi, F.contains(text, F.lit("schematypens")), F.lit("xml-model PI is missing schematypens attribute."), "contains(., 'schematypens')"),
+        Check("genre-annotation", ASSERT, "error", _element("profileDesc"), _holds(f"textClass/catRef[@scheme='{names.scheme}']"), F.lit(f"profileDesc must contain textClass/catRef[@scheme='{names.scheme}']. Run set-genre first."), "textClass/catRef", "profileDesc"),
+        Check("genre-category", ASSERT, "error", ref, after_hash(target).isin(*valid), F.concat(F.lit("catRef target '"), target, F.lit("' is not a recognized genre category.")), "substring-after(@target, '#') = $valid-genres", "catRef"),
+        Check("cts-xml-base", ASSERT, "error", _element("body"), base.isNotNull(), F.lit("body must carry @xml:base with the CTS URN."), "@xml:base", "body"),
+        Check("cts-xml-base-urn", ASSERT, "error", _element("body"), or_empty(base).startswith("urn:cts:"), F.concat(F.lit("body/@xml:base must be a CTS URN (starting with 'urn:cts:'). Got: "), or_empty(base)), "starts-with(@xml:base, 'urn:cts:')", "body"),
+        Check("cts-idno", ASSERT, "error", _element("publicationStmt"), _holds("idno[@type='CTS']"), F.lit("publicationStmt must contain idno[@type='CTS']."), "idno[@type='CTS']", "publicationStmt"),
+        Check("refs-decl", ASSERT, "error", _element("encodingDesc"), _holds("refsDecl[@n='CTS']"), F.lit("encodingDesc must contain refsDecl[@n='CTS']."), "refsDecl[@n='CTS']", "encodingDesc"),
+        Check("refs-decl-cite", ASSERT, "error", _element("encodingDesc"), _holds("refsDecl[@n='CTS']/citeStructure"), F.lit("refsDecl[@n='CTS'] must contain a citeStructure element."), "refsDecl[@n='CTS']/citeStructure", "encodingDesc"),
+        Check("schema-pi", ASSERT, "error", pi, F.contains(text, F.lit(names.schema_base)), F.concat(F.lit("xml-model PI does not point to a corpus schema. Got: "), text), "contains(., schema base)", "xml-model"),
+        Check("schema-pi-types", ASSERT, "error", pi, F.contains(text, F.lit("schematypens")), F.lit("xml-model PI is missing schematypens attribute."), "contains(., 'schematypens')", "xml-model"),
     ]
 
 
@@ -68,11 +75,11 @@ def encoding_checks(names: Names = NAMES) -> list[Check]:
     family = after_hash(or_empty(F.col("attrs")["target"]))
     always = F.lit(True)
     return [
-        Check("empty-s-milestone", REPORT, "warning", _element("s"), ~F.col("has_child_node"), F.lit("Empty <s/> used as a sentence milestone rather than a segment."), "not(node())"),
-        Check("legacy-said", REPORT, "warning", _element("said"), always, F.lit("<said> is a legacy element. Migrate to <q> for quoted speech."), "true()"),
-        Check("legacy-docAuthor", REPORT, "warning", _element("docAuthor"), always, F.lit("<docAuthor> is not part of the schema. Use <author> inside titleStmt for a work's author."), "true()"),
-        Check("legacy-reg", REPORT, "warning", _element("reg"), always, F.lit("Standalone <reg> is not allowed. Pair it with the original reading inside a choice."), "true()"),
-        Check("genre-needs-review", REPORT, "warning", ref, (or_empty(F.col("attrs")["cert"]) == "low") | family.isin(*FAMILY_DEFAULT), F.concat(F.lit("Genre classification needs review: the catRef targets a bare family ('"), family, F.lit("') or is marked cert=\"low\".")), "@cert='low' or bare family"),
+        Check("empty-s-milestone", REPORT, "warning", _element("s"), ~F.col("has_child_node"), F.lit("Empty <s/> used as a sentence milestone rather than a segment."), "not(node())", "s"),
+        Check("legacy-said", REPORT, "warning", _element("said"), always, F.lit("<said> is a legacy element. Migrate to <q> for quoted speech."), "true()", "said"),
+        Check("legacy-docAuthor", REPORT, "warning", _element("docAuthor"), always, F.lit("<docAuthor> is not part of the schema. Use <author> inside titleStmt for a work's author."), "true()", "docAuthor"),
+        Check("legacy-reg", REPORT, "warning", _element("reg"), always, F.lit("Standalone <reg> is not allowed. Pair it with the original reading inside a choice."), "true()", "reg"),
+        Check("genre-needs-review", REPORT, "warning", ref, (or_empty(F.col("attrs")["cert"]) == "low") | family.isin(*FAMILY_DEFAULT), F.concat(F.lit("Genre classification needs review: the catRef targets a bare family ('"), family, F.lit("') or is marked cert=\"low\".")), "@cert='low' or bare family", "catRef"),
     ]
 
 

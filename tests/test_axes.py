@@ -6,6 +6,7 @@ import xml.etree.ElementTree as ET
 import pytest
 from pyspark.sql import functions as F
 
+from stemmata import catalogue
 from stemmata.operators import intervals, rewrite, schema_files
 from stemmata.operators.shred import shred
 from stemmata.plans import commands
@@ -212,3 +213,22 @@ def test_catalogues_by_folder(spark, tmp_path):
     nodes = shred(corpus.texts(found))
     assert {x["stem"]: x["genre"] for x in commands.resolved_genres(found, nodes).collect()} == {"a": "prose", "b": "unknown", "c": "verse", "d": "unknown"}
     assert [(x["path"], x["author"]) for x in commands.genre_map(found, corpus.default_taxonomy(spark)).collect()] == [("g/w/a.xml", "G")]
+
+
+def test_probes_move_no_rows_through_the_driver(spark, sf_dir):
+    """Staged files are far smaller than their rows: no join of nodes may be left to a guess by file size."""
+    for name in ("axis_child", "axis_descendant", "axis_ancestor", "axis_position", "taxonomy_categories"):
+        assert "BroadcastHashJoin" not in catalogue.QUERIES[name](spark, sf_dir)._jdf.queryExecution().sparkPlan().toString(), name
+
+
+def test_only_what_is_asked_for(spark):
+    docs = spark.createDataFrame([("a", f"<?x y?><TEI {NS}><text><body><div n='1'><l>x</l><l>y</l></div><div n='1'/></body></text></TEI>"), ("b", "<TEI"), ("c", f"<TEI {NS}/>")], "path string, xml string")
+    columns = ("node_id", "end_id", "parent_id", "kind", "name", "location", "anc_names")
+    every = [tuple(r) for r in shred(docs, columns).collect()]
+    got = [tuple(r) for r in shred(docs, columns, only=frozenset(("div", "x"))).collect()]
+    assert got == [r for r in every if r[4] in ("error", "pi") and r[5] in ("", "x") or r[5] in ("TEI", "div")]
+    once = shred(docs, ("kind", "name", "unit", "anc_units"), only=frozenset(("l", "div")), once=True).groupBy("path").count().collect()
+    assert sorted(map(tuple, once)) == [("a", 3), ("b", 1), ("c", 1)]
+    schema = lambda rule: schema_files.read_schema(f'<schema xmlns="http://purl.oclc.org/dsdl/schematron"><ns prefix="t" uri="{TEI}"/><pattern>{rule}</pattern></schema>').asked
+    assert schema('<rule context="t:a[position() = 2]"><report test="count(../t:b) = 1 and .//t:c">x</report></rule>') == {"a", "b", "c"}
+    assert schema('<rule context="t:a"><report test="count(../..) = 1">x</report></rule>') is None and schema('<rule context="processing-instruction()"><report test="true()">x</report></rule>') is None
