@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .intervals import containment, sibling_counts
+from .intervals import contained_counts, container_counts, containment, sibling_counts
 
 SIBLINGS = ("preceding-sibling", "following-sibling")
 
@@ -24,6 +24,8 @@ class Step:
     axis: str
     test: Column
     source: str
+    #: The name of what stands at its end; None: of any name.
+    name: str | None = None
 
 
 @dataclass(frozen=True)
@@ -35,6 +37,11 @@ class Probe:
     steps: tuple[Step, ...]
     whole: bool = False
 
+    @property
+    def beside(self) -> bool:
+        """Whether it is answered among the children of the context's parent, without that parent."""
+        return not self.whole and (self.steps[0].axis in SIBLINGS or (len(self.steps) == 2 and self.steps[0].source == ".." and self.steps[1].axis == "child"))
+
 
 _HERE = ["path", "node_id", "end_id", "parent_id"]
 
@@ -47,39 +54,75 @@ def _taken(here: DataFrame, nodes: DataFrame, step: Step) -> DataFrame:
     if step.axis == "ancestor":
         return containment(there, here.select("path", "node_id", "context")).select("path", "inner.context", "outer.*")
     if step.axis == "child":
-        return here.select("path", "context", F.col("node_id").alias("parent_id")).join(there, ["path", "parent_id"])
-    return here.select("path", "context", F.col("parent_id").alias("node_id")).join(there, ["path", "node_id"])
+        return here.select("path", "context", F.col("node_id").alias("parent_id")).join(there.hint("merge"), ["path", "parent_id"])
+    return here.select("path", "context", F.col("parent_id").alias("node_id")).join(there.hint("merge"), ["path", "node_id"])
 
 
 def _counted(nodes: DataFrame, probe: Probe) -> DataFrame:
     """path, node_id, probe and n of the contexts with some node at the end of the path."""
     here = nodes.where(probe.context).select(*_HERE, F.col("node_id").alias("context"))
     *before, last = probe.steps
+    there = nodes.where(last.test)
+    # Along children alone, nodes are met once and none stands in another.
+    once = all(step.axis == "child" for step in before)
     if probe.whole:
-        found = here.join(nodes.where(last.test).groupBy("path").agg(F.count("*").alias("n")), "path")
+        found = here.join(there.groupBy("path").agg(F.count("*").alias("n")).hint("merge"), "path")
     else:
         for step in before:
-            here = _taken(here, nodes, step).select("context", *_HERE).distinct()
+            here = _taken(here, nodes, step).select("context", *_HERE)
+            here = here if step.axis == "child" else here.distinct()
         if last.axis == "child":
             # Counted by parent first, so that a node of very many children moves as one row.
-            children = nodes.where(last.test).groupBy("path", F.col("parent_id").alias("node_id")).agg(F.count("*").alias("n"))
-            found = here.join(children, ["path", "node_id"]).groupBy("path", "context").agg(F.sum("n").alias("n"))
+            counts = there.groupBy("path", F.col("parent_id").alias("node_id")).agg(F.count("*").alias("n"))
+        elif last.axis == "descendant" and once:
+            counts = contained_counts(here, there)
+        elif last.axis == "ancestor" and not before:
+            counts = container_counts(there, here)
         else:
+            counts = None
+        if counts is None:
             found = _taken(here, nodes, last).select("path", "context", "node_id").distinct().groupBy("path", "context").agg(F.count("*").alias("n"))
+        elif not before:
+            found = counts.withColumn("context", F.col("node_id"))
+            if last.axis == "child":
+                found = here.select("path", "context").join(found.hint("merge"), ["path", "context"])
+        else:
+            found = here.join(counts.hint("merge"), ["path", "node_id"]).groupBy("path", "context").agg(F.sum("n").alias("n"))
     return found.select("path", F.col("context").alias("node_id"), F.lit(probe.name).alias("probe"), "n")
 
 
+def _fitting(nodes: DataFrame, any_of: list[Column]) -> tuple[DataFrame, DataFrame]:
+    """The nodes for which one holds, and the others."""
+    fits = F.coalesce(reduce(Column.__or__, any_of), F.lit(False))
+    return nodes.where(fits), nodes.where(~fits)
+
+
 def probed(nodes: DataFrame, probes: tuple[Probe, ...]) -> DataFrame:
-    """The nodes with a column for each probe (0 where there is nothing, or the node is no context)."""
-    joined = [p for p in probes if p.steps[0].axis not in SIBLINGS or p.whole]
-    beside = [p for p in probes if p not in joined]
+    """The nodes with a column for each probe (0 where there is nothing, or the node is no context); only nodes that are asked about are moved.
+
+    Joins are by merging: staged files are a small part of their rows' size in memory, so Spark would send millions of rows to the driver to broadcast them."""
+    joined, beside = [p for p in probes if not p.beside], [p for p in probes if p.beside]
+    none = lambda df, of: df.select("*", *[F.lit(0).cast("long").alias(p.name) for p in of])
     out = nodes
     if joined:
         found = reduce(DataFrame.unionByName, [_counted(nodes, p) for p in joined])
         wide = found.groupBy("path", "node_id").agg(*[F.max(F.when(F.col("probe") == p.name, F.col("n"))).alias(p.name) for p in joined])
-        out = nodes.join(wide, ["path", "node_id"], "left").na.fill(0, [p.name for p in joined])
+        here, rest = _fitting(nodes, [p.context for p in joined])
+        out = here.join(wide.hint("merge"), ["path", "node_id"], "left").na.fill(0, [p.name for p in joined]).unionByName(none(rest, joined))
     if beside:
         kept = out.columns
-        out = sibling_counts(out, {p.name: p.steps[0].test for p in beside})
-        out = out.select(*kept, *[F.col(f"{p.name}_{'before' if p.steps[0].axis == 'preceding-sibling' else 'after'}").alias(p.name) for p in beside])
+        here, rest = _fitting(out, [c for p in beside for c in (p.context, p.steps[-1].test)])
+        # One count for each test, though several probes ask for it; a variable may differ from rule to rule.
+        key = {p.name: p.name if "$" in p.steps[-1].source else p.steps[-1].source for p in beside}
+        tests = {key[p.name]: (f"{p.name}_of", p.steps[-1].test) for p in beside}
+        here = sibling_counts(here, dict(tests.values()))
+
+        def count(p: Probe) -> Column:
+            before, after = (F.col(f"{tests[key[p.name]][0]}_{side}") for side in ("before", "after"))
+            if p.steps[0].axis in SIBLINGS:
+                return before if p.steps[0].axis == "preceding-sibling" else after
+            return F.when(F.col("parent_id").isNotNull(), before + after + F.coalesce(p.steps[-1].test, F.lit(False)).cast("long")).otherwise(0)
+
+        here = here.select(*kept, *[F.when(F.coalesce(p.context, F.lit(False)), count(p)).otherwise(0).alias(p.name) for p in beside])
+        out = here.unionByName(none(rest, beside))
     return out

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.text import collapse, or_empty
 from ..runtime import staged
 from ..vocabulary import FAMILY_DEFAULT
-from .intervals import containment
+from .intervals import container_counts, containment
 from .shred import shred, tei
 
 _ROWS = "target string, kind string, family string, default_subclass string, description string"
@@ -18,21 +18,22 @@ SHOWN = 10
 
 def categories(docs: DataFrame, taxonomy_id: str) -> DataFrame:
     """path, node_id, target, depth (1 at the top), family (the id at the top), is_leaf and description of every category in the taxonomies of this id, in documents (path, xml)."""
-    nodes = shred(docs, ("node_id", "end_id", "parent_id", "kind", "ns", "name", "attrs", "content"), contents=("catDesc",))
-    nodes = staged(nodes.where(F.col("name").isin("taxonomy", "category", "catDesc")), "categories")
+    nodes = shred(docs, ("node_id", "end_id", "parent_id", "kind", "ns", "name", "attrs", "content"), contents=("catDesc",), only=frozenset(("taxonomy", "category", "catDesc")))
+    nodes = staged(nodes, "categories")
     ident = or_empty(F.col("attrs")["xml:id"])
     whole = tei(nodes, "taxonomy").where(ident == taxonomy_id).select("path", "node_id", "end_id")
     cats = tei(nodes, "category").select("path", "node_id", "end_id", "parent_id", ident.alias("target"))
     inside = containment(whole, cats).select("path", F.col("outer.node_id").alias("taxonomy"), "inner.*")
     tops = inside.where(F.col("parent_id") == F.col("taxonomy")).select("path", "node_id", "end_id", "target")
     # Each category with those that contain it: how many they are is its depth, the outermost its family.
-    above = containment(cats.select("path", "node_id", "end_id"), inside.select("path", "node_id")).groupBy("path", F.col("inner.node_id").alias("node_id")).agg(F.count("*").alias("above"))
+    above = container_counts(cats, inside).withColumnRenamed("n", "above")
     family = containment(tops, inside.select("path", "node_id")).select("path", F.col("inner.node_id").alias("node_id"), F.col("outer.target").alias("top"))
     parents = cats.select("path", F.col("parent_id").alias("node_id"), F.lit(True).alias("has_children")).distinct()
     said = tei(nodes, "catDesc").groupBy("path", F.col("parent_id").alias("node_id")).agg(F.min_by("content", "node_id").alias("description"))
     out = inside
     for part in (above, family, parents, said):
-        out = out.join(part, ["path", "node_id"], "left")
+        # By merging, as these are as many as the categories.
+        out = out.join(part.hint("merge"), ["path", "node_id"], "left")
     return out.select(
         "path", "node_id", "target", (F.coalesce("above", F.lit(0)) + 1).alias("depth"), F.coalesce("top", "target").alias("family"), F.col("has_children").isNull().alias("is_leaf"),
         collapse(or_empty(F.col("description"))).alias("description"),
