@@ -25,6 +25,9 @@ class Rule:
 
 
 RULES: dict[str, Callable[[], Rule]] = {}
+#: What audits ask for, for shred's `only` (besides each document's root) and its columns.
+NAMED = frozenset(("div", "milestone", "refsDecl", "citeStructure", "cRefPattern"))
+COLUMNS = ("node_id", "parent_id", "depth", "kind", "ns", "name", "attrs", "anc_textparts", "anc_names", "doc_base")
 
 
 def audit_rule(rule_id: str, role: str = "warning", description: str = "") -> Callable:
@@ -65,7 +68,8 @@ def facts(nodes: DataFrame) -> DataFrame:
     cite = tei & (F.col("name") == "citeStructure") & F.when(F.size("anc_names") >= 3, F.slice("anc_names", -3, 3) == F.array(F.lit("teiHeader"), F.lit("encodingDesc"), F.lit("refsDecl"))).otherwise(False)
     crefs = tei & (F.col("name") == "cRefPattern") & (F.element_at("anc_names", -1) == "refsDecl")
     ordered = lambda when, *what: F.array_sort(F.collect_list(F.when(when, F.struct("node_id", *what))))
-    rows = nodes.where(F.col("kind") != "error").withColumn("anc_names", F.when(F.size("anc_names") > 0, F.col("anc_names")).otherwise(F.array(F.lit(""))))
+    # The root stands for a document with nothing else.
+    rows = nodes.where((F.col("kind") == "element") & ((F.col("depth") == 0) | F.col("name").isin(*NAMED))).withColumn("anc_names", F.when(F.size("anc_names") > 0, F.col("anc_names")).otherwise(F.array(F.lit(""))))
     out = rows.groupBy("path").agg(
         or_empty(F.max("doc_base")).alias("base_urn"),
         F.count_if(part).alias("textparts"),
@@ -77,7 +81,7 @@ def facts(nodes: DataFrame) -> DataFrame:
         ordered(cite, F.col("parent_id").alias("decl")).alias("cites"),
         ordered(crefs, or_empty(F.col("attrs")["n"]).alias("n")).alias("crefs"),
     )
-    out = out.join(first_wrong(nodes.where(part), ["path"]).select("path", F.col("examples.actual").alias("wrong_examples")), "path", "left")
+    out = out.join(first_wrong(nodes.where(part), ["path"]).select("path", F.col("examples.actual").alias("wrong_examples")).hint("merge"), "path", "left")
     defaults = F.filter("decls", lambda d: d["default"] == "true")
     return (
         out.withColumn("wrong_examples", F.coalesce("wrong_examples", F.array().cast("array<string>")))
@@ -136,13 +140,18 @@ def base_values_rule():
 REFERENCE_RULES, STRUCTURE_RULES = ("REF001", "REF002", "REF003"), ("STR001", "STR002", "STR003", "STR004")
 
 
-def findings(table: DataFrame, rules: list[Rule]) -> DataFrame:
-    """path, rule_no, rule_id, role, message, location of every rule that fires, all rules in one pass."""
+def _fired(rules: list[Rule]) -> Column:
+    """What the rules that fire say of a document, in their order."""
     each = [
         F.when(r.fires, F.struct(F.lit(i).alias("rule_no"), F.lit(r.rule_id).alias("rule_id"), F.lit(r.role).alias("role"), r.message.alias("message"), (F.lit("") if r.location is None else r.location).alias("location")))
         for i, r in enumerate(rules)
     ]
-    return table.select("path", F.explode(F.filter(F.array(*each), lambda x: x.isNotNull())).alias("f")).select("path", "f.*")
+    return F.filter(F.array(*each), lambda x: x.isNotNull())
+
+
+def findings(table: DataFrame, rules: list[Rule]) -> DataFrame:
+    """path, rule_no, rule_id, role, message, location of every rule that fires, all rules in one pass."""
+    return table.select("path", F.explode(_fired(rules)).alias("f")).select("path", "f.*")
 
 
 def run_rules(nodes: DataFrame, ids: tuple[str, ...]) -> DataFrame:
@@ -170,7 +179,7 @@ def citation_levels(nodes: DataFrame) -> DataFrame:
         F.count_if(right).alias("base_correct"),
     )
     examples = first_wrong(rows.where(F.col("attrs")["xml:base"] != "").withColumn("subtype", subtype), ["path", "subtype"]).withColumnRenamed("examples", "base_wrong_examples")
-    out = out.join(examples, ["path", "subtype"], "left")
+    out = out.join(examples.hint("merge"), ["path", "subtype"], "left")
     out = out.withColumn("base_wrong_examples", F.coalesce("base_wrong_examples", F.array().cast("array<struct<expected: string, actual: string>>")))
     return out.withColumn("element", F.lit("div")).withColumn("level_no", F.row_number().over(Window.partitionBy("path").orderBy("depth", "first_node")))
 
@@ -191,16 +200,16 @@ def proposed_structure(subtypes: Column) -> Column:
     return F.when(n == 0, F.lit("(no citation structure detected)")).otherwise(whole)
 
 
-def _issues(nodes: DataFrame, ids: tuple[str, ...]) -> DataFrame:
-    found = run_rules(nodes, ids).groupBy("path").agg(F.array_sort(F.collect_list(F.struct("rule_no", "message"))).alias("f"))
-    return found.select("path", F.col("f.message").alias("issues"))
+def _issues(ids: tuple[str, ...]) -> Column:
+    """The messages of the rules that fire, from a document's facts: nothing is gathered again."""
+    return F.transform(_fired([RULES[i]() for i in ids]), lambda f: f["message"])
 
 
 def reference_report(nodes: DataFrame) -> DataFrame:
     declared = F.transform("decls", lambda d: F.exists("cites", lambda c: c["decl"] == d["node_id"]))
-    return facts(nodes).join(_issues(nodes, REFERENCE_RULES), "path", "left").select(
+    return facts(nodes).select(
         "path", "base_urn", F.size("decls").alias("refsDecl_count"), F.col("decls.id").alias("refsDecl_ids"), declared.alias("refsDecl_has_cite_structure"),
-        "has_cite_structures", F.col("has_default_refsdecl").alias("has_default_refsDecl"), F.coalesce("issues", F.array().cast("array<string>")).alias("issues"),
+        "has_cite_structures", F.col("has_default_refsdecl").alias("has_default_refsDecl"), _issues(REFERENCE_RULES).alias("issues"),
     )
 
 
@@ -208,14 +217,14 @@ def structure_report(nodes: DataFrame) -> DataFrame:
     level = F.struct("level_no", "element", "subtype", "depth", "count", "with_n", "with_base", "with_id", "base_correct", "base_wrong_examples")
     levels = citation_levels(nodes).groupBy("path").agg(F.array_sort(F.collect_list(level)).alias("levels"))
     marks = milestones(nodes).groupBy("path").agg(F.array_sort(F.collect_list(F.struct("unit", "count"))).alias("marks"))
-    both = facts(nodes).join(levels, "path", "left").join(marks, "path", "left").join(_issues(nodes, STRUCTURE_RULES), "path", "left")
+    both = facts(nodes).join(levels.hint("merge"), "path", "left").join(marks.hint("merge"), "path", "left")
     for df, c in ((levels, "levels"), (marks, "marks")):
         both = both.withColumn(c, F.coalesce(c, F.array().cast(df.schema[c].dataType)))
     subtypes = F.col("levels.subtype")
     plain = F.transform("levels", lambda v: F.struct(*[v[c].alias(c) for c in ("element", "subtype", "depth", "count", "with_n", "with_base", "with_id", "base_correct", "base_wrong_examples")]))
     return both.select(
         "path", "base_urn", structural_type().alias("structural_type"), plain.alias("citation_levels"), F.col("marks").alias("milestones"), F.col("crefs.n").alias("cref_patterns"),
-        F.coalesce("issues", F.array().cast("array<string>")).alias("issues"), proposed_structure(subtypes).alias("proposed_cite_structure"), subtypes.alias("div_subtypes"),
+        _issues(STRUCTURE_RULES).alias("issues"), proposed_structure(subtypes).alias("proposed_cite_structure"), subtypes.alias("div_subtypes"),
     )
 
 
