@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from typing import Any
+from xml.parsers import expat
 
 import pandas as pd
 import pyarrow as pa
@@ -20,9 +21,9 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.text import stem
-from ..operators.shred import parse
 from ..runtime import bounded, remove
 from ..sources.corpus import TEI
+from ..sources.encodings import readable
 from ..vocabulary import NAMES, Names
 
 #: path, xml and version (the greatest of a path in one batch counts; a later batch always counts).
@@ -37,12 +38,29 @@ def document_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1
     return spark.readStream.schema(FEED).option("maxFilesPerTrigger", files_per_trigger).parquet(folder)
 
 
-def own_genre(nodes: list[dict], names: Names) -> str:
-    """The genre in a document's header, without its leading #; empty if there is none."""
-    for n in nodes:
-        if n["kind"] == "element" and n["ns"] == TEI and n["name"] == "catRef" and n["anc_names"][-2:] == ["profileDesc", "textClass"] and n["attrs"].get("scheme") == names.scheme and "target" in n["attrs"]:
-            return n["attrs"]["target"].lstrip("#")
-    return ""
+def read(xml: str | bytes, names: Names) -> tuple[str, dict[str, int]]:
+    """The genre in a document's header, without its leading # (empty if there is none), and how often each element stands in it; nothing of a broken one."""
+    found: dict[str, int] = {}
+    above: list[str] = []
+    genres: list[str] = []
+    known: dict[str, str] = {}
+    parser = expat.ParserCreate(namespace_separator="}")
+
+    def start(tag: str, attrs: dict[str, str]) -> None:
+        name = known.get(tag)
+        if name is None:
+            name = known[tag] = tag.rpartition("}")[2]
+        found[name] = found.get(name, 0) + 1
+        if tag == f"{TEI}}}catRef" and above[-2:] == ["profileDesc", "textClass"] and attrs.get("scheme") == names.scheme and "target" in attrs:
+            genres.append(attrs["target"].lstrip("#"))
+        above.append(name)
+
+    parser.StartElementHandler, parser.EndElementHandler = start, lambda _: above.pop()
+    try:
+        parser.Parse(readable(xml), True)
+    except (expat.ExpatError, ValueError, LookupError):
+        return "", {}
+    return (genres or [""])[0], found
 
 
 def contributions(docs: DataFrame, names: Names = NAMES) -> DataFrame:
@@ -53,13 +71,9 @@ def contributions(docs: DataFrame, names: Names = NAMES) -> DataFrame:
         for batch in batches:
             rows = []
             for path, xml, version in zip(*(c.to_pylist() for c in batch.columns)):
-                nodes = parse(xml or "", frozenset({"anc_names"}))
-                found: dict[str, int] = {}
-                for n in nodes:
-                    if n["kind"] == "element":
-                        found[n["name"]] = found.get(n["name"], 0) + 1
+                genre, found = read(xml or "", names)
                 each = sorted(found.items())
-                rows.append((path, version, own_genre(nodes, names), [k for k, _ in each], [n for _, n in each]))
+                rows.append((path, version, genre, [k for k, _ in each], [n for _, n in each]))
             kinds = [pa.string(), pa.int64(), pa.string(), pa.list_(pa.string()), pa.list_(pa.int64())]
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)], names=["path", "version", "genre", "names", "counts"])
 
