@@ -1,6 +1,7 @@
 """Counts of the nodes that a path leads to, for every node of a context: what checks ask beyond a node and its children.
 
 Each step is a join of its own kind: child and parent by parent_id, descendant and ancestor by intervals, siblings by running counts.
+Siblings that are asked for by name alone the shredder has counted, where it is told their names: no node moves for them.
 Nodes that several ways lead to count once.
 """
 
@@ -26,6 +27,8 @@ class Step:
     source: str
     #: The name of what stands at its end; None: of any name.
     name: str | None = None
+    #: Whether the name is all that the test asks.
+    bare: bool = False
 
 
 @dataclass(frozen=True)
@@ -42,6 +45,16 @@ class Probe:
         """Whether it is answered among the children of the context's parent, without that parent."""
         return not self.whole and (self.steps[0].axis in SIBLINGS or (len(self.steps) == 2 and self.steps[0].source == ".." and self.steps[1].axis == "child"))
 
+    @property
+    def told(self) -> bool:
+        """Whether the shredder can count it: siblings by name alone."""
+        return self.beside and self.steps[-1].bare
+
+
+def names_beside(probes: tuple[Probe, ...]) -> tuple[str, ...]:
+    """For shred's `beside`: the names of siblings that it is to count."""
+    return tuple(sorted({p.steps[-1].name for p in probes if p.told}))
+
 
 _HERE = ["path", "node_id", "end_id", "parent_id"]
 
@@ -97,11 +110,30 @@ def _fitting(nodes: DataFrame, any_of: list[Column]) -> tuple[DataFrame, DataFra
     return nodes.where(fits), nodes.where(~fits)
 
 
-def probed(nodes: DataFrame, probes: tuple[Probe, ...]) -> DataFrame:
+def _told(nodes: DataFrame, probes: list[Probe], names: tuple[str, ...]) -> DataFrame:
+    """Adds the probes that the shredder has counted, by the places of their names."""
+
+    def count(p: Probe) -> Column:
+        before, among = (F.get(side, F.lit(names.index(p.steps[-1].name))).cast("long") for side in ("before", "among"))
+        if p.steps[0].axis not in SIBLINGS:
+            return among
+        own = F.coalesce(p.steps[-1].test, F.lit(False)).cast("long")
+        # The root is not among its siblings.
+        return before if p.steps[0].axis == "preceding-sibling" else F.greatest(among - before - own, F.lit(0))
+
+    kept = [F.col(c) for c in nodes.columns if c not in ("before", "among")]
+    return nodes.select(*kept, *[F.when(F.coalesce(p.context, F.lit(False)), count(p)).otherwise(0).alias(p.name) for p in probes])
+
+
+def probed(nodes: DataFrame, probes: tuple[Probe, ...], names: tuple[str, ...] = ()) -> DataFrame:
     """The nodes with a column for each probe (0 where there is nothing, or the node is no context); only nodes that are asked about are moved.
+    names: what the shredder was told to count beside nodes; without them, the nodes have no such counts and all is counted here.
 
     Joins are by merging: staged files are a small part of their rows' size in memory, so Spark would send millions of rows to the driver to broadcast them."""
-    joined, beside = [p for p in probes if not p.beside], [p for p in probes if p.beside]
+    told = [p for p in probes if p.told and p.steps[-1].name in names]
+    nodes = _told(nodes, told, names) if names else nodes
+    known = {p.name for p in told}
+    joined, beside = [p for p in probes if not p.beside], [p for p in probes if p.beside and p.name not in known]
     none = lambda df, of: df.select("*", *[F.lit(0).cast("long").alias(p.name) for p in of])
     out = nodes
     if joined:

@@ -25,9 +25,9 @@ from pyspark.sql import functions as F
 from ..functions.text import collapse, or_empty
 from ..runtime import staged
 from ..sources.corpus import TEI, XML
-from .axes import SIBLINGS, Probe, Step, probed
+from .axes import SIBLINGS, Probe, Step, names_beside, probed
 from .schematron import ASSERT, REPORT, Check, asked, run_checks
-from .shred import AXES, CHECKS, shred
+from .shred import shred
 
 SCH = "http://purl.oclc.org/dsdl/schematron"
 _TOKEN = re.compile(r"""\s*(?:(?P<string>"[^"]*"|'[^']*')|(?P<number>\d+(?:\.\d+)?)(?![\w.-])|(?P<name>[$@]?[\w.-]*[^\W\d][\w.-]*(?::[\w.-]+)?)|(?P<mark>!=|<=|>=|//|::|\.\.|[()\[\],=<>|/.*]))""")
@@ -42,11 +42,24 @@ class Schema:
     checks: list[Check]
     holders: tuple[str, ...]
     probes: tuple[Probe, ...] = ()
+    #: The columns of a node that its expressions name, besides its kind and name.
+    reads: tuple[str, ...] = ()
 
     @property
     def columns(self) -> tuple[str, ...]:
-        """What the checks read of a node."""
-        return AXES if self.probes else CHECKS
+        """What the checks read of a node, and what their findings and probes need."""
+        place = () if self.told else ("node_id", "end_id", "parent_id")
+        return ("kind", "ns", "name", *self.reads, "location", *place)
+
+    @property
+    def beside(self) -> tuple[str, ...]:
+        """The names of siblings that the shredder is to count."""
+        return names_beside(self.probes)
+
+    @property
+    def told(self) -> bool:
+        """Whether the shredder answers all probes."""
+        return all(p.told for p in self.probes)
 
     @property
     def asked(self) -> frozenset[str] | None:
@@ -92,6 +105,8 @@ class _Scope:
     #: None inside a step's predicate, which can't ask for paths.
     probes: dict[str, Probe] | None = field(default_factory=dict)
     in_context: bool = False
+    #: The columns of a node that are named.
+    reads: set[str] = field(default_factory=set)
     #: The name of the context's nodes; None if any will do.
     node: str | None = None
 
@@ -156,6 +171,10 @@ class _Parser:
         # A general comparison: some pair fits.
         return _Value("bool", [reduce(Column.__or__, [F.coalesce(_COMPARE[mark](x, y), F.lit(False)) for x in a for y in b])])
 
+    def read(self, column: str) -> Column:
+        self.scope.reads.add(column)
+        return F.col(column)
+
     def local(self, name: str) -> str:
         """The local name of an element in the text's namespace."""
         prefix, _, name = name.rpartition(":")
@@ -184,11 +203,11 @@ class _Parser:
         if word == "." and self.peek() != "//":
             if self.scope.element is not None:
                 raise self.wrong()
-            return _Value("node", [F.col("text")])
+            return _Value("node", [self.read("text")])
         if word.startswith("@"):
             if self.scope.element is None:
                 raise self.wrong()
-            return _Value("node", [F.col("attrs")[word[1:]]])
+            return _Value("node", [self.read("attrs")[word[1:]]])
         if word.startswith("$"):
             if word[1:] not in self.scope.variables:
                 raise self.wrong()
@@ -218,7 +237,7 @@ class _Parser:
             case "not", 1:
                 return _Value("bool", [~given[0].truth()])
             case "node", 0:
-                return _Value("bool", [F.col("has_child_node")])
+                return _Value("bool", [self.read("has_child_node")])
             case "contains", 2:
                 return _Value("bool", [F.contains(text(0), text(1))])
             case "starts-with", 2:
@@ -236,8 +255,8 @@ class _Parser:
                 return _Value("string", [F.concat(*map(text, range(n)))])
             case "position" | "last", 0 if self.scope.in_context and self.scope.element:
                 named = self.named(self.scope.element)
-                place = self.probe([Step("preceding-sibling", named, self.scope.element, self.scope.element)], False) + 1
-                return _Value("number", [place if name == "position" else place + self.probe([Step("following-sibling", named, self.scope.element, self.scope.element)], False)])
+                place = self.probe([Step("preceding-sibling", named, self.scope.element, self.scope.element, True)], False) + 1
+                return _Value("number", [place if name == "position" else place + self.probe([Step("following-sibling", named, self.scope.element, self.scope.element, True)], False)])
         raise self.wrong()
 
     def path(self) -> _Value:
@@ -245,7 +264,7 @@ class _Parser:
         steps, whole, plain = self.steps()
         if plain is not None:
             self.scope.holders.add(self.scope.element)
-            return _Value("bool", [F.coalesce(F.array_contains("holds", plain), F.lit(False))])
+            return _Value("bool", [F.coalesce(F.array_contains(self.read("holds"), plain), F.lit(False))])
         return _Value("bool", [self.probe(steps, whole) > 0])
 
     def named(self, name: str) -> Column:
@@ -301,7 +320,7 @@ class _Parser:
             plain.append(f"[{asked[0][1]}{f"='{asked[2][1][1:-1]}'" if len(asked) == 3 else ''}]" if simple else None)
             self.take("]")
         known = name != "*" and len(plain) <= 2 and None not in plain
-        return Step(axis, test, "".join(t for _, t in self.tokens[first : self.at]), name if name != "*" else None), "".join(plain) if known else None
+        return Step(axis, test, "".join(t for _, t in self.tokens[first : self.at]), name if name != "*" else None, name != "*" and len(plain) == 1), "".join(plain) if known else None
 
     def probe(self, steps: list[Step], whole: bool) -> Column:
         """How many nodes are at the end of the path: a column that probed() adds."""
@@ -445,12 +464,13 @@ def read_schema(source: str, phase: str | None = None) -> Schema:
     more = {x.get("id"): x for x in root.iter(f"{{{SCH}}}diagnostic")}
     checks: list[Check] = []
     holders: set[str] = set()
+    reads: set[str] = set()
     probes: dict[str, Probe] = {}
     names: dict[str, int] = {}
     for pattern in _patterns(root, phase):
         earlier: list[Column] = []
         for rule in pattern.findall(f"{{{SCH}}}rule"):
-            scope = _Scope(prefixes, _lets(root) | _lets(pattern) | _lets(rule), None, holders, probes)
+            scope = _Scope(prefixes, _lets(root) | _lets(pattern) | _lets(rule), None, holders, probes, reads=reads)
             matches = []
             for here, element, node in _Parser(rule.get("context", ""), scope).contexts():
                 scope.element = element
@@ -470,11 +490,13 @@ def read_schema(source: str, phase: str | None = None) -> Schema:
                     names[base] = names.get(base, 0) + 1
                     ids[id(at)] = base if names[base] == 1 else f"{base}-{names[base]}"
                 checks.append(replace(check, check_id=ids[id(at)]))
-    return Schema(checks, tuple(sorted(holders)), tuple(probes.values()))
+    return Schema(checks, tuple(sorted(holders)), tuple(probes.values()), tuple(sorted(reads)))
 
 
-def check_documents(docs: DataFrame, schema: Schema) -> DataFrame:
-    """The findings of a schema in documents (path, xml)."""
-    nodes = shred(docs, schema.columns, schema.holders, only=schema.asked)
-    # Probes read the nodes several times.
-    return run_checks(probed(staged(nodes, "nodes"), schema.probes) if schema.probes else nodes, schema.checks)
+def check_documents(docs: DataFrame, schema: Schema, located: bool = True) -> DataFrame:
+    """The findings of a schema in documents (path, xml); with their locations, unless nobody asks for them."""
+    columns = tuple(c for c in schema.columns if located or c != "location")
+    nodes = shred(docs, columns, schema.holders, only=schema.asked, beside=schema.beside)
+    # Other probes than the shredder's read the nodes several times.
+    nodes = nodes if schema.told else staged(nodes, "nodes")
+    return run_checks(probed(nodes, schema.probes, schema.beside), schema.checks)

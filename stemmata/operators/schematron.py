@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -84,15 +85,18 @@ def encoding_checks(names: Names = NAMES) -> list[Check]:
 
 
 def run_checks(nodes: DataFrame, checks: list[Check]) -> DataFrame:
-    """path, check_id, kind, role, location, test, message of every finding; contexts that are absent give none."""
+    """path, check_id, kind, role, location (where the nodes have theirs), test, message of every finding; contexts that are absent give none."""
+    place = [F.col("location")] if "location" in nodes.columns else []
+    fires = [c.context & (~F.coalesce(c.test, F.lit(False)) if c.kind == ASSERT else F.coalesce(c.test, F.lit(False))) for c in checks]
     each = [
         F.when(
-            c.context & (~F.coalesce(c.test, F.lit(False)) if c.kind == ASSERT else F.coalesce(c.test, F.lit(False))),
-            F.struct(F.lit(c.check_id).alias("check_id"), F.lit(c.kind).alias("kind"), F.lit(c.role).alias("role"), F.col("location"), F.lit(c.source).alias("test"), collapse(c.message).alias("message")),
+            here,
+            F.struct(F.lit(c.check_id).alias("check_id"), F.lit(c.kind).alias("kind"), F.lit(c.role).alias("role"), *place, F.lit(c.source).alias("test"), collapse(c.message).alias("message")),
         )
-        for c in checks
+        for c, here in zip(checks, fires)
     ]
-    rows = nodes.where(F.col("kind").isin("element", "pi"))
+    # Most nodes have no finding, and go before any is composed.
+    rows = nodes.where(F.col("kind").isin("element", "pi") & reduce(Column.__or__, fires, F.lit(False)))
     return rows.select("path", F.explode(F.filter(F.array(*each), lambda x: x.isNotNull())).alias("f")).select("path", "f.*")
 
 

@@ -161,8 +161,8 @@ def set_genre(files: DataFrame, target: str, taxonomy: DataFrame, cert: str = ""
 def validate(files: DataFrame, names: Names = NAMES, schema: schema_files.Schema | None = None) -> DataFrame:
     """path, findings and valid of every text, by the checks of normalized documents or those of a Schematron file."""
     checks = schema.checks if schema else schematron.normalized_checks(names)
-    nodes = staged(shred(texts(files), (*(schema.columns if schema else CHECKS), "depth"), schema.holders if schema else HOLDERS, only=schema.asked if schema else schematron.asked(checks)), "nodes")
-    bad = schematron.gate(schematron.run_checks(probed(nodes, schema.probes) if schema else nodes, checks)).groupBy("path").agg(F.count("*").alias("findings"))
+    nodes = staged(shred(texts(files), (*(schema.columns if schema else CHECKS), "depth", "text"), schema.holders if schema else HOLDERS, only=schema.asked if schema else schematron.asked(checks), beside=schema.beside if schema else ()), "nodes")
+    bad = schematron.gate(schematron.run_checks(probed(nodes, schema.probes, schema.beside) if schema else nodes, checks)).groupBy("path").agg(F.count("*").alias("findings"))
     return roots(nodes).join(bad.hint("merge"), "path", "left").select("path", F.coalesce("findings", F.lit(0)).alias("findings"), (F.col("parse_ok") & F.col("findings").isNull()).alias("valid"))
 
 

@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from stemmata import catalogue
-from stemmata.operators import intervals, rewrite, schema_files
-from stemmata.operators.shred import shred
+from stemmata.operators import axes, intervals, rewrite, schema_files, schematron
+from stemmata.operators.shred import parse, shred
 from stemmata.plans import commands
 from stemmata.sources import corpus
 
@@ -232,3 +232,41 @@ def test_only_what_is_asked_for(spark):
     schema = lambda rule: schema_files.read_schema(f'<schema xmlns="http://purl.oclc.org/dsdl/schematron"><ns prefix="t" uri="{TEI}"/><pattern>{rule}</pattern></schema>').asked
     assert schema('<rule context="t:a[position() = 2]"><report test="count(../t:b) = 1 and .//t:c">x</report></rule>') == {"a", "b", "c"}
     assert schema('<rule context="t:a"><report test="count(../..) = 1">x</report></rule>') is None and schema('<rule context="processing-instruction()"><report test="true()">x</report></rule>') is None
+
+
+def test_siblings_by_name_are_counted_where_documents_are_parsed(spark, trees):
+    """The same counts with and without the shredder's, and no node moves or is staged for its siblings; tests that ask for more are counted as before."""
+    _, docs = trees
+    read = lambda rules: schema_files.read_schema(f'<schema xmlns="{schema_files.SCH}"><ns prefix="t" uri="{TEI}"/><pattern>{rules}</pattern></schema>')
+    message = """<value-of select="count(preceding-sibling::t:a)"/> <value-of select="count(following-sibling::t:c)"/> <value-of select="count(../t:b)"/>"""
+    plain = read(f"""<rule context="t:b[position() &lt; last()][@n]"><report id="here" test="true()">{message}</report></rule><rule context="t:TEI"><report id="root" test="true()">{message}</report></rule>""")
+    assert plain.told and plain.beside == ("a", "b", "c") and plain.reads == ("attrs",)
+    found = schema_files.check_documents(docs, plain)
+    assert not any(x in found._jdf.queryExecution().sparkPlan().toString() for x in ("Exchange", "Window", "Sort", "FileScan", "Aggregate"))
+    nodes = shred(docs, (*plain.columns, "node_id", "parent_id"), only=plain.asked)
+    want = schematron.run_checks(axes.probed(nodes, plain.probes), plain.checks)
+    rows = lambda df: sorted(map(tuple, df.select("path", "check_id", "location", "message").collect()))
+    assert rows(found) == rows(want) and {x[1] for x in rows(found)} == {"here", "root"}
+    short = schema_files.check_documents(docs, plain, located=False)
+    assert "location" not in short.columns and sorted((x["path"], x["message"]) for x in short.collect()) == sorted((x[0], x[3]) for x in rows(found))
+    mixed = read(f"""<rule context="t:b"><report id="m" test="following-sibling::t:c[@n='1'] and .//t:d or preceding-sibling::*">{message}</report></rule>""")
+    assert not mixed.told and mixed.beside == ("a", "b", "c")
+    got, asked = rows(schema_files.check_documents(docs, mixed)), shred(docs, mixed.columns, only=mixed.asked)
+    assert got and got == rows(schematron.run_checks(axes.probed(asked, mixed.probes), mixed.checks))
+
+
+def test_kept_nodes_are_those_of_the_whole_parse(trees):
+    """A parse that keeps some names only gives the columns that a parse of all nodes gives, siblings' counts too."""
+    found, _ = trees
+    columns = frozenset(("node_id", "end_id", "parent_id", "depth", "kind", "ns", "name", "attrs", "text", "has_child_node", "in_text", "anc_textparts", "anc_names", "doc_base"))
+    extra = f"""<?x y?><!--c--><TEI {NS}><a xml:base="no"/><text><body xml:base="u:1"><div type="textpart">t<?x z?><!--c--><div xmlns="" type="textpart"><a/>u<b/></div><div type="textpart" xml:id="i"><a>v</a><div/></div></div></body><body xml:base="u:2"/></text><x/></TEI>"""
+    texts = [*(ET.tostring(t, encoding="unicode") for t in found.values()), extra, extra.replace('xml:base="u:1"', 'xml:base=""'), extra[:-3], ""]
+    for xml in texts:
+        for only in (frozenset("a"), frozenset(("a", "div", "x")), frozenset(("b", "TEI", "zz"))):
+            names = ("a", "div")
+            got = parse(xml, columns, only=only, beside=names)
+            want = parse(xml, columns | {"location"}, only=only, beside=names)
+            keys = sorted(columns) if got[0]["kind"] == "error" else [*sorted(columns), "before", "among"]
+            assert [[n[k] for k in keys] for n in got] == [[n[k] for k in keys] for n in want]
+            fewer = ["kind", "ns", "name", "attrs"] + keys[len(columns) :]
+            assert [[n[k] for k in fewer] for n in parse(xml, frozenset(fewer), only=only, beside=names)] == [[n[k] for k in fewer] for n in want]
