@@ -25,8 +25,12 @@ class Rule:
 
 
 RULES: dict[str, Callable[[], Rule]] = {}
-#: What audits ask for, for shred's `only` (besides each document's root) and its columns.
+#: What audits ask for, for shred's `only` (besides each document's root), its `under`, and its columns.
 NAMED = frozenset(("div", "milestone", "refsDecl", "citeStructure", "cRefPattern"))
+UNDER = frozenset(("refsDecl", "citeStructure", "cRefPattern"))
+#: The same for structural types alone.
+STRUCTURAL = frozenset(("div", "milestone"))
+KINDS = ("node_id", "kind", "ns", "name", "attrs", "anc_names")
 COLUMNS = ("node_id", "parent_id", "depth", "kind", "ns", "name", "attrs", "anc_textparts", "anc_names", "doc_base")
 
 
@@ -93,6 +97,14 @@ def facts(nodes: DataFrame) -> DataFrame:
     )
 
 
+def structural_types(nodes: DataFrame) -> DataFrame:
+    """path and structural_type of each well-formed document; nodes may be those of its kinds (KINDS)."""
+    tei = (F.col("kind") == "element") & (F.col("ns") == TEI)
+    part = tei & (F.col("name") == "div") & (F.col("attrs")["type"] == "textpart")
+    out = nodes.where("kind = 'element'").groupBy("path").agg((F.count_if(part) > 0).alias("has_divs"), (F.count_if(tei & (F.col("name") == "milestone")) > 0).alias("has_milestones"))
+    return out.select("path", structural_type().alias("structural_type"))
+
+
 def structural_type() -> Column:
     both, divs = F.col("has_divs") & F.col("has_milestones"), F.col("has_divs")
     return F.when(both, "mixed").when(divs, "div-based").when(F.col("has_milestones"), "milestone-based").otherwise("unknown")

@@ -38,20 +38,37 @@ def resolved_genres(files: DataFrame, nodes: DataFrame, genre_map: DataFrame | N
     docs = texts(files).select("path", "textgroup", "work", "stem")
     own = genres.document_genre(nodes, names)
     cat = work_table(files, anywhere=True).select("textgroup", "work", strip(F.col("genre")).alias("genre_cat"))
-    out = docs.join(own, "path", "left").join(cat, ["textgroup", "work"], "left")
+    out = docs.join(own.hint("merge"), "path", "left").join(cat, ["textgroup", "work"], "left")
     out = out.join(genre_map, "stem", "left") if genre_map is not None else out.withColumn("map_genre", F.lit(None).cast("string"))
     return out.select("path", "textgroup", "work", "stem", genres.first_of("genre_tei", "genre_cat", "map_genre", default=default).alias("genre"))
 
 
+def surveyed_genres(files: DataFrame, nodes: DataFrame) -> DataFrame:
+    """path and genre of every text."""
+    # Places of all files and the text of catalogues, from one reading: both are asked for in several places.
+    listed = staged(files.withColumn("xml", F.when(F.col("is_catalog"), F.col("xml"))), "files")
+    return staged(resolved_genres(listed, nodes).select("path", "genre"), "genres")
+
+
+def structural_types(files: DataFrame) -> DataFrame:
+    """path, genre and structural_type of every well-formed text, as in the survey's structure table.
+
+    What it asks of the nodes of a document is which kinds there are, so each kind stands once."""
+    nodes = staged(shred(texts(files), audit.KINDS, only=audit.STRUCTURAL | {"catRef"}, under=frozenset(("catRef",)), keys=("type", "scheme", "target"), once=True), "kinds")
+    return audit.structural_types(nodes).join(surveyed_genres(files, nodes).hint("merge"), "path").select("path", "genre", "structural_type")
+
+
 def survey(files: DataFrame, nodes: DataFrame | None = None, genre: str | None = None) -> dict[str, DataFrame]:
     """elements, attributes and structure tables of a corpus; a genre narrows all three before anything is counted."""
     # Shredded once: four plans read the nodes.
     nodes = staged(shred(texts(files), AUDIT), "nodes") if nodes is None else nodes
-    which = staged(resolved_genres(files, nodes).select("path", "genre"), "genres")
+    which = surveyed_genres(files, nodes)
+    audited = nodes
     if genre:
         which = which.where(F.col("genre") == genre)
-    here = nodes.where("kind != 'error'").join(which, "path")
-    report = audit.structure_report(nodes.join(which, "path", "left_semi")).join(which, "path")
+        audited = nodes.join(which.hint("merge"), "path", "left_semi")
+    here = nodes.where("kind != 'error'").join(which.hint("merge"), "path")
+    report = audit.structure_report(audited).join(which.hint("merge"), "path")
     base = report.select(
         F.col("base_urn").alias("urn"), "path", "genre", "structural_type", F.array_join("div_subtypes", "|").alias("div_subtypes"),
         F.array_join(F.col("milestones.unit"), "|").alias("milestone_units"), F.array_join("issues", "; ").alias("issues"),

@@ -318,6 +318,23 @@ def test_survey_and_sinks(spark, tree, tmp_path):
     assert {r["genre"] for r in only["structure"].collect()} == {"drama-line"} and only["elements"].where("genre != 'drama-line'").count() == 0
 
 
+def test_structural_types_are_those_of_the_survey(spark, tree):
+    """The short way to genres and structural types, over one node of each kind, says what the survey's structure table says."""
+    odd = {
+        "two": doc(div("textpart", "<l>x</l>") + '<milestone unit="p"/>', "<profileDesc><textClass>" + "".join(f'<catRef scheme="#genre" target="#{t}"/>' for t in ("prose", "verse", "prose")) + "</textClass></profileDesc>"),
+        "other": f'<TEI xmlns="{corpus.TEI}"><text><body><div xmlns="" type="textpart"/><p type="textpart"/></body></text></TEI>',
+        "marks": f'<TEI xmlns="{corpus.TEI}"><text><body><milestone/><milestone/></body></text></TEI>', "broken": "<TEI><a>", "part": f'<TEI xmlns="{corpus.TEI}"><text><front><div n="1" type="textpart"/><div n="2" type="textpart"/></front></text></TEI>',
+    }
+    more = corpus.with_places(spark.createDataFrame([(f"/c/g/w/{k}.xml", v.encode()) for k, v in odd.items()], "path string, xml binary"), "/c")
+    files = corpus.read_corpus(spark, str(tree)).unionByName(more)
+    rows = lambda df: sorted(map(tuple, df.select("path", "genre", "structural_type").collect()))
+    got = commands.structural_types(files)
+    assert rows(got) == rows(commands.survey(files)["structure"]) and {r[2] for r in rows(got)} >= {"unknown", "milestone-based", "div-based", "mixed"}
+    many = spark.createDataFrame([("m", doc("".join(f'<div type="textpart" n="{k}"><milestone/></div>' for k in range(500))))], "path string, xml string")
+    kinds = shred(many, audit.KINDS, only=audit.STRUCTURAL, under=frozenset(), keys=("type",), once=True).collect()
+    assert sorted((r["name"], r["node_id"], str(r["attrs"])) for r in kinds) == [("TEI", 1, "{}"), ("div", 8, "{'type': 'textpart'}"), ("milestone", 9, "{}")]
+
+
 def test_annotate_apply_normalize_validate(spark, tree, tmp_path):
     files, tax = corpus.read_corpus(spark, str(tree)), corpus.default_taxonomy(spark)
     row = annotation.annotate(files, tax).collect()
