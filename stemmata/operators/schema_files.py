@@ -26,8 +26,9 @@ from ..functions.text import collapse, or_empty
 from ..runtime import staged
 from ..sources.corpus import TEI, XML
 from .axes import SIBLINGS, Probe, Step, names_beside, probed
-from .schematron import ASSERT, REPORT, Check, asked, run_checks
+from .schematron import ASSERT, REPORT, Check, asked, count_checks, run_checks
 from .shred import shred
+from .tally import tally
 
 SCH = "http://purl.oclc.org/dsdl/schematron"
 _TOKEN = re.compile(r"""\s*(?:(?P<string>"[^"]*"|'[^']*')|(?P<number>\d+(?:\.\d+)?)(?![\w.-])|(?P<name>[$@]?[\w.-]*[^\W\d][\w.-]*(?::[\w.-]+)?)|(?P<mark>!=|<=|>=|//|::|\.\.|[()\[\],=<>|/.*]))""")
@@ -44,6 +45,10 @@ class Schema:
     probes: tuple[Probe, ...] = ()
     #: The columns of a node that its expressions name, besides its kind and name.
     reads: tuple[str, ...] = ()
+    #: The attributes that they name.
+    keys: tuple[str, ...] = ()
+    #: Whether some context is one of processing instructions.
+    instructions: bool = False
 
     @property
     def columns(self) -> tuple[str, ...]:
@@ -61,6 +66,11 @@ class Schema:
         """Whether the shredder answers all probes."""
         return all(p.told for p in self.probes)
 
+    @property
+    def tallied(self) -> bool:
+        """Whether elements can be counted where documents are parsed: nothing is asked of them but attributes and siblings."""
+        return self.told and self.asked is not None and not self.instructions and set(self.reads) <= {"attrs"}
+
     @property
     def asked(self) -> frozenset[str] | None:
         """The names of the nodes that contexts and steps ask for; None: nodes of any name."""
@@ -107,6 +117,8 @@ class _Scope:
     in_context: bool = False
     #: The columns of a node that are named.
     reads: set[str] = field(default_factory=set)
+    #: The attributes that are named.
+    keys: set[str] = field(default_factory=set)
     #: The name of the context's nodes; None if any will do.
     node: str | None = None
 
@@ -207,6 +219,7 @@ class _Parser:
         if word.startswith("@"):
             if self.scope.element is None:
                 raise self.wrong()
+            self.scope.keys.add(word[1:])
             return _Value("node", [self.read("attrs")[word[1:]]])
         if word.startswith("$"):
             if word[1:] not in self.scope.variables:
@@ -465,15 +478,18 @@ def read_schema(source: str, phase: str | None = None) -> Schema:
     checks: list[Check] = []
     holders: set[str] = set()
     reads: set[str] = set()
+    keys: set[str] = set()
+    instructions = False
     probes: dict[str, Probe] = {}
     names: dict[str, int] = {}
     for pattern in _patterns(root, phase):
         earlier: list[Column] = []
         for rule in pattern.findall(f"{{{SCH}}}rule"):
-            scope = _Scope(prefixes, _lets(root) | _lets(pattern) | _lets(rule), None, holders, probes, reads=reads)
+            scope = _Scope(prefixes, _lets(root) | _lets(pattern) | _lets(rule), None, holders, probes, reads=reads, keys=keys)
             matches = []
             for here, element, node in _Parser(rule.get("context", ""), scope).contexts():
                 scope.element = element
+                instructions |= element is None
                 fits = reduce(lambda a, b: a & ~b, earlier, here)
                 for at in rule:
                     kind = {f"{{{SCH}}}assert": ASSERT, f"{{{SCH}}}report": REPORT}.get(at.tag)
@@ -490,7 +506,7 @@ def read_schema(source: str, phase: str | None = None) -> Schema:
                     names[base] = names.get(base, 0) + 1
                     ids[id(at)] = base if names[base] == 1 else f"{base}-{names[base]}"
                 checks.append(replace(check, check_id=ids[id(at)]))
-    return Schema(checks, tuple(sorted(holders)), tuple(probes.values()), tuple(sorted(reads)))
+    return Schema(checks, tuple(sorted(holders)), tuple(probes.values()), tuple(sorted(reads)), tuple(sorted(keys)), instructions)
 
 
 def check_documents(docs: DataFrame, schema: Schema, located: bool = True) -> DataFrame:
@@ -500,3 +516,14 @@ def check_documents(docs: DataFrame, schema: Schema, located: bool = True) -> Da
     # Other probes than the shredder's read the nodes several times.
     nodes = nodes if schema.told else staged(nodes, "nodes")
     return run_checks(probed(nodes, schema.probes, schema.beside), schema.checks)
+
+
+def count_findings(docs: DataFrame, schema: Schema, by: Column | None = None) -> DataFrame:
+    """by (the path, or what is said of it), check_id, findings: how many findings of each check there are in documents (path, xml); checks without any are left out.
+
+    Where nothing but attributes and siblings is asked of elements, equal ones of a document are one row with their number, and neither messages nor places are made."""
+    by = F.col("path") if by is None else by
+    if not schema.tallied:
+        return check_documents(docs, schema, located=False).groupBy(by, "check_id").agg(F.count("*").alias("findings"))
+    nodes = probed(tally(docs, schema.asked, schema.keys, schema.beside), schema.probes, schema.beside)
+    return count_checks(nodes, schema.checks, by)

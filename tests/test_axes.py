@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from stemmata import catalogue
 from stemmata.operators import axes, intervals, rewrite, schema_files, schematron
 from stemmata.operators.shred import parse, shred
+from stemmata.operators.tally import tally
 from stemmata.plans import commands
 from stemmata.sources import corpus
 
@@ -271,3 +272,53 @@ def test_kept_nodes_are_those_of_the_whole_parse(trees):
             for some in ([], ["node_id"], ["anc_names"], ["anc_textparts", "doc_base"], ["parent_id"]):
                 fewer = ["kind", "ns", "name", "attrs", *some, *keys[len(columns) :]]
                 assert [[n[k] for k in fewer] for n in parse(xml, frozenset(fewer), only=only, beside=names)] == [[n[k] for k in fewer] for n in want]
+
+
+def odd_documents():
+    """Namespaces, instructions, comments, attributes by default, entities declared here, elsewhere or nowhere, bytes that are no text, and nothing at all."""
+    div = '<div type="textpart" n="1"><a xml:id="i">v</a><div/></div>'
+    extra = f"""<?x y?><?div z?><!--c--><TEI {NS} n="r"><a xml:id="i"/><text><?div z?><!--c-->{div}<div xmlns="" type="textpart" n="1"/><div type="textpart"/>{div}{div}</text></TEI>"""
+    declared = f"""<!DOCTYPE TEI [<!ENTITY e '<a {NS}/><div {NS} n="2"/>'><!ATTLIST div type CDATA "usual">]><TEI {NS}>&e;<div/>&e;</TEI>"""
+    return [extra, declared, f'<!DOCTYPE TEI SYSTEM "no.dtd"><TEI {NS}>&e;<div/><div/><a/></TEI>', f"<TEI {NS}>&e;<div/></TEI>", extra[:-3], "", f"<div {NS} type='textpart'/>", f"<x><y {NS}/></x>", "<div/>", "<!-- -->"]
+
+
+def test_equal_elements_stand_once_with_their_number(spark, trees):
+    """What the tally says is what all nodes say one by one, whatever the document; a large one makes few rows."""
+    found, _ = trees
+    texts = [*(ET.tostring(t, encoding="unicode") for t in found.values()), *odd_documents()]
+    given = [t.encode() for t in texts] + [t.encode("utf-16") for t in texts if t] + ['<?xml version="1.0" encoding="ISO-8859-1"?><div n="é"/>'.encode("latin-1"), b"<a>\xff</a>", None]
+    frames = [spark.createDataFrame([(f"d{i}", x) for i, x in enumerate(of)], f"path string, xml {kind}") for of, kind in ((texts, "string"), (given, "binary"))]
+    row = lambda x: (x["path"], x["kind"], x["ns"], x["name"], tuple(sorted(x["attrs"].items())), tuple(x["before"]), tuple(x["among"]))
+    for docs in frames:
+        for only, keys, beside in (("a",), (), ("a",)), (("a", "div"), ("n", "type", "xml:id"), ("b", "div")), (("b", "TEI", "zz"), ("n",), ()), (("div",), ("type", "no"), ("div",)):
+            want = {}
+            columns = ("kind", "ns", "name", "attrs")
+            for x in shred(docs, columns, only=frozenset(only), beside=beside or ("none",), keys=keys).where("kind in ('element', 'error')").collect():
+                key = row(x) if beside else (*row(x)[:5], (), ())
+                want[key] = want.get(key, 0) + 1
+            got = tally(docs, frozenset(only), keys, beside).collect()
+            assert {row(x): x["times"] for x in got} == want and len(got) == len(want)
+    book = "<div type='b'>" + "<div type='c'><l>x</l></div>" * 7 + "</div>"
+    large = spark.createDataFrame([("d", f"<TEI {NS}><text>{book * 2000}</text></TEI>")], "path string, xml string")
+    rows = tally(large, frozenset(("div",)), ("type",), ("div",)).collect()
+    assert len(rows) == 1 + 2000 + 7 and sum(x["times"] for x in rows) == 1 + 2000 * 8
+
+
+def test_findings_are_counted_as_they_are_found(spark, trees):
+    """Counts are those of the findings one by one: where elements are tallied, and where more is asked of them than attributes and siblings."""
+    found, _ = trees
+    texts = [*(ET.tostring(t, encoding="unicode") for t in found.values()), *odd_documents()]
+    docs = spark.createDataFrame([(f"d{i}", x) for i, x in enumerate(texts)], "path string, xml string")
+    read = lambda rules: schema_files.read_schema(f'<schema xmlns="{schema_files.SCH}"><ns prefix="t" uri="{TEI}"/><pattern>{rules}</pattern></schema>')
+    beside = """<rule context="t:a[@n] | t:div"><report id="twice" test="count(preceding-sibling::t:a) = 1">x</report><assert id="last" test="following-sibling::t:div or @xml:id = 'i'"><value-of select="@n"/></assert></rule>
+<rule context="t:TEI | t:a[position() = last()]"><assert id="n" test="@n">n</assert></rule>"""
+    more = ["<rule context='processing-instruction(\"div\")'><report id='pi' test='true()'>x</report></rule>", "<rule context='t:b'><report id='node' test='node() and count(../t:b) &gt; 1'>x</report></rule>", "<rule context='t:c'><report id='deep' test='.//t:a'>x</report></rule>"]
+    for rules, tallied in ((beside, True), *((beside + x, False) for x in more)):
+        schema = read(rules)
+        assert schema.tallied == tallied
+        want = {}
+        for x in schema_files.check_documents(docs, schema).collect():
+            want[x["path"], x["check_id"]] = want.get((x["path"], x["check_id"]), 0) + 1
+        assert {(x["path"], x["check_id"]): x["findings"] for x in schema_files.count_findings(docs, schema).collect()} == want and len({c for _, c in want}) == 3 + (not tallied)
+        by = schema_files.count_findings(docs, schema, F.length("path").alias("by"))
+        assert by.columns == ["by", "check_id", "findings"] and {(x["by"], x["check_id"]): x["findings"] for x in by.collect()} == {(k, c): sum(n for (p, d), n in want.items() if len(p) == k and d == c) for k, c in {(len(p), c) for p, c in want}}
