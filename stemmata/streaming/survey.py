@@ -1,24 +1,22 @@
 """The vocabulary survey over documents as they arrive, again and changed.
 
-What a file has contributed (elements and their numbers, under its genre) is kept by path in the stream's state. When the file comes
-again, its old contribution is taken back and the new one added: the stream writes differences, and the survey is their sum. A file that
-has become broken contributes nothing from then on; one that hasn't changed writes nothing. The state is bounded by the files and their
-vocabularies, not by how often they come. Differences are written by batch, each once, however often a run is cut short and
-taken up again from its checkpoint; compact() folds them between runs.
+What a file has contributed (elements and their numbers, under its genre) is kept by path beside the stream's checkpoint, in tables: a piece
+for each batch, and now and then one in place of all before. When the file comes again, its old contribution is taken back and the new one
+added, for all files of a batch in one join: the stream writes differences, and the survey is their sum. A file that has become broken
+contributes nothing from then on; one that hasn't changed writes nothing. The state is bounded by the files and their vocabularies, not by how
+often they come. Differences are written by batch, each once, however often a run is cut short and taken up again from its checkpoint;
+compact() folds them between runs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import Any
 from xml.parsers import expat
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ..functions.text import stem
 from ..runtime import bounded, remove
@@ -30,7 +28,9 @@ from ..vocabulary import NAMES, Names
 FEED = "path string, xml string, version long"
 _CONTRIBUTION = "path string, version long, genre string, names array<string>, counts array<long>"
 _DIFFERENCE = "element string, genre string, files long, instances long"
-_STATE = "genre string, names array<string>, counts array<long>"
+_STATE = "path string, genre string, names array<string>, counts array<long>, kind string, number long"
+#: Pieces of the state from which on they are put together; the last two batches are left, as they may be done again.
+PIECES = 16
 
 
 def document_stream(spark: SparkSession, folder: str, files_per_trigger: int = 1000) -> DataFrame:
@@ -89,40 +89,64 @@ def with_genre(found: DataFrame, by_stem: DataFrame | None = None, default: str
     return both.withColumn("genre", F.coalesce(given, F.nullif("map_genre", F.lit("")), F.lit(default))).drop("stem", "map_genre")
 
 
-def _differences(_key: tuple[str], pieces: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """What the newest version of a file changes; it replaces what the state holds of the file."""
-    newest: Any = None
-    for piece in pieces:
-        for row in piece.itertuples(index=False):
-            if newest is None or (row.version or 0) >= (newest.version or 0):
-                newest = row
-    rows: dict[tuple[str, str], list[int]] = {}
+def _found(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths that fit a pattern."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    return [x.getPath().toString() for x in where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(where) or []]
 
-    def add(genre: str, names: list[str], counts: list[int], sign: int) -> None:
-        for name, n in zip(names, counts):
-            row = rows.setdefault((name, genre), [0, 0])
-            row[0] += sign
-            row[1] += sign * int(n)
 
-    if state.exists:
-        add(*state.get, -1)
-    add(newest.genre, newest.names, newest.counts, 1)
-    state.update((newest.genre, list(newest.names), [int(n) for n in newest.counts]))
-    changed = [(name, genre, *d) for (name, genre), d in rows.items() if any(d)]
-    if changed:
-        yield pd.DataFrame(changed, columns=["element", "genre", "files", "instances"])
+def _earlier(spark: SparkSession, state: str, number: int) -> list[tuple[str, int]]:
+    """The pieces, as kind and number, that hold the state before a batch: the last sum and the batches after it, all written to their end."""
+    whole = [tuple(x.split("=", 1)[1] for x in path.split("/")[-3:-1]) for path in _found(spark, f"{state}/kind=*/number=*/_SUCCESS")]
+    there = [(kind, int(n)) for kind, n in whole if int(n) < number]
+    summed = max((n for kind, n in there if kind == "sum"), default=-1)
+    return sorted((kind, n) for kind, n in there if n > summed or (kind, n) == ("sum", summed))
+
+
+def _read(spark: SparkSession, state: str, pieces: list[tuple[str, int]]) -> DataFrame:
+    return spark.read.schema(_STATE).option("basePath", state).parquet(*[f"{state}/kind={kind}/number={n}" for kind, n in pieces])
+
+
+def _differences(spark: SparkSession, state: str, number: int) -> DataFrame:
+    """What the contributions of a batch change in the survey."""
+    said = F.struct("genre", "names", "counts")
+    rows = _read(spark, state, [*_earlier(spark, state, number), ("batch", number)])
+    each = rows.groupBy("path").agg(F.max_by(F.when(F.col("number") == number, said), F.when(F.col("number") == number, F.col("number"))).alias("new"), F.max_by(F.when(F.col("number") < number, said), F.when(F.col("number") < number, F.col("number"))).alias("old"))
+    changed = each.where("new is not null and not new <=> old")
+    signed = changed.select(F.explode(F.array(F.struct(F.lit(1).alias("sign"), F.col("new").alias("c")), F.struct(F.lit(-1).alias("sign"), F.col("old").alias("c")))).alias("s")).where("s.c is not null")
+    e = signed.select(F.col("s.sign").cast("long").alias("sign"), F.col("s.c.genre").alias("genre"), F.explode(F.arrays_zip("s.c.names", "s.c.counts")).alias("e"))
+    return _summed(e.select(F.col("e.names").alias("element"), "genre", F.col("sign").alias("files"), (F.col("sign") * F.col("e.counts")).alias("instances")))
+
+
+def _put_together(spark: SparkSession, state: str, number: int) -> None:
+    """One piece in place of those that no batch that is done again asks for: of each path the last contribution."""
+    old = _earlier(spark, state, number - 1)
+    if len(old) < PIECES:
+        return
+    last = max(n for _, n in old)
+    said = F.max_by(F.struct("genre", "names", "counts"), "number").alias("c")
+    # It counts only when it is written to its end, and the others go after that.
+    _read(spark, state, old).groupBy("path").agg(said).select("path", "c.*").write.mode("overwrite").parquet(f"{state}/kind=sum/number={last}")
+    if ("sum", last) in _earlier(spark, state, number - 1):
+        for kind, n in old:
+            remove(spark, f"{state}/kind={kind}/number={n}")
 
 
 def start(docs: DataFrame, folder: str, checkpoint: str, by_stem: DataFrame | None = None, names: Names = NAMES) -> StreamingQuery:
     """Runs over what is there, writes differences below the folder and stops; run again with the same checkpoint, it takes only what is new."""
-    found = with_genre(contributions(docs, names), by_stem)
-    changes = found.groupBy("path").applyInPandasWithState(_differences, _DIFFERENCE, _STATE, "append", GroupStateTimeout.NoTimeout)
+    found, state = with_genre(contributions(docs, names), by_stem), f"{checkpoint}/contributions"
+    if _found(docs.sparkSession, f"{checkpoint}/state"):
+        raise ValueError(f"{checkpoint} is of an earlier version, which kept contributions in another form")
 
     def write(batch: DataFrame, number: int) -> None:
         # A batch that is done again replaces what it left.
-        batch.write.mode("overwrite").parquet(f"{folder}/kind=batch/number={number}")
+        spark = batch.sparkSession
+        newest = batch.groupBy("path").agg(F.max_by(F.struct("genre", "names", "counts"), F.coalesce("version", F.lit(0))).alias("c")).select("path", "c.*")
+        newest.write.mode("overwrite").parquet(f"{state}/kind=batch/number={number}")
+        _differences(spark, state, number).write.mode("overwrite").parquet(f"{folder}/kind=batch/number={number}")
+        _put_together(spark, state, number)
 
-    return changes.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
+    return found.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
 
 
 def _pieces(spark: SparkSession, folder: str) -> tuple[DataFrame, int]:
