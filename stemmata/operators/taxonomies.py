@@ -1,43 +1,151 @@
-"""Taxonomies as relations: categories of any depth, from documents by their intervals or from a table of edges by doubling."""
+"""Taxonomies as relations: categories of any depth, from documents where they are parsed or from a table of edges by doubling."""
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Iterator
+from xml.parsers import expat
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import collapse, or_empty
-from ..runtime import staged
+from ..functions.text import or_empty
+from ..runtime import bounded, staged
+from ..sources.corpus import TEI, XML
+from ..sources.encodings import readable
 from ..vocabulary import FAMILY_DEFAULT
-from .intervals import container_counts, containment
-from .shred import shred, tei
 
 _ROWS = "target string, kind string, family string, default_subclass string, description string"
 #: Faults that an error names.
 SHOWN = 10
 
 
+_CATEGORY = {"node_id": pa.int32(), "target": pa.string(), "depth": pa.int64(), "family": pa.string(), "is_leaf": pa.bool_(), "description": pa.string()}
+_FAMILY = {"family": pa.string(), "deepest": pa.int64(), "leaves": pa.int64(), "depths": pa.int64(), "description": pa.string()}
+_NAMES = {pa.string(): "string", pa.int32(): "int", pa.int64(): "long", pa.bool_(): "boolean"}
+
+
+def read(xml: str | bytes, taxonomy_id: str) -> list[list]:
+    """node_id, target, depth, family, is_leaf and description of the categories in a document's taxonomies of this id, in its order; none of a broken one."""
+    category, taxonomy, description, ident = f"{TEI}}}category", f"{TEI}}}taxonomy", f"{TEI}}}catDesc", f"{XML}}}id"
+    rows: list[list] = []
+    #: Of the open elements: a category's row, True for a taxonomy of this id, the pieces of a description.
+    above: list = [None]
+    #: Descriptions that are open and are some category's first; the family that is open, and its row.
+    said: list[list[str]] = []
+    count, within, depth, top = 0, 0, 0, None
+
+    def start(tag: str, attrs: dict[str, str]) -> None:
+        nonlocal count, within, depth, top
+        count += 1
+        here = None
+        if tag == category:
+            up, target = above[-1], attrs.get(ident, "")
+            depth += 1
+            here = [count, target, depth, target if top is None else top[1], True, None]
+            if type(up) is list:
+                up[4] = False
+            if within:
+                rows.append(here)
+                if up is True and top is None:
+                    top = here
+        elif tag == description:
+            up = above[-1]
+            if type(up) is list and up[5] is None:
+                here = up[5] = _Pieces()
+                said.append(here)
+        elif tag == taxonomy and attrs.get(ident, "") == taxonomy_id:
+            here = True
+            within += 1
+        above.append(here)
+
+    def end(_tag: str) -> None:
+        nonlocal within, depth, top
+        here = above.pop()
+        if here is None:
+            return
+        if here is True:
+            within -= 1
+        elif type(here) is _Pieces:
+            said.pop()
+        else:
+            depth -= 1
+            if here is top:
+                top = None
+
+    def chars(data: str) -> None:
+        for pieces in said:
+            pieces.append(data)
+
+    def other(*_: str) -> None:
+        nonlocal count
+        count += 1
+
+    parser = expat.ParserCreate(namespace_separator="}")
+    parser.buffer_text = True
+    parser.StartElementHandler, parser.EndElementHandler, parser.CharacterDataHandler = start, end, chars
+    parser.ProcessingInstructionHandler = parser.CommentHandler = other
+    try:
+        parser.Parse(readable(xml), True)
+    except (expat.ExpatError, ValueError, LookupError):
+        return []
+    for row in rows:
+        # White space of any kind, as in functions.text.
+        row[5] = " ".join("".join(row[5] or ()).split())
+    return rows
+
+
+class _Pieces(list):
+    """The text of a description, as it comes."""
+
+
+def _by_document(docs: DataFrame, columns: dict[str, pa.DataType], of: Callable[[str | bytes], Iterable[list]]) -> DataFrame:
+    """path and the rows that are made of each document (path, xml)."""
+    bounded(docs.sparkSession)
+    names = ["path", *columns]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            paths, rows, which = batch.column(0), [], []
+
+            def made() -> pa.RecordBatch:
+                values = zip(*rows) if rows else [()] * len(columns)
+                return pa.RecordBatch.from_arrays([paths.take(pa.array(which, pa.int32())), *(pa.array(v, kind) for v, kind in zip(values, columns.values()))], names=names)
+
+            for k, xml in enumerate(batch.column(1).to_pylist()):
+                found = of(xml or "")
+                rows += found
+                which += [k] * len(found)
+                if len(rows) > 20_000:
+                    yield made()
+                    rows, which = [], []
+            yield made()
+
+    return docs.select("path", "xml").mapInArrow(run, ", ".join(["path string", *(f"{c} {_NAMES[kind]}" for c, kind in columns.items())]))
+
+
 def categories(docs: DataFrame, taxonomy_id: str) -> DataFrame:
     """path, node_id, target, depth (1 at the top), family (the id at the top), is_leaf and description of every category in the taxonomies of this id, in documents (path, xml)."""
-    nodes = shred(docs, ("node_id", "end_id", "parent_id", "kind", "ns", "name", "attrs", "content"), contents=("catDesc",), only=frozenset(("taxonomy", "category", "catDesc")))
-    nodes = staged(nodes, "categories")
-    ident = or_empty(F.col("attrs")["xml:id"])
-    whole = tei(nodes, "taxonomy").where(ident == taxonomy_id).select("path", "node_id", "end_id")
-    cats = tei(nodes, "category").select("path", "node_id", "end_id", "parent_id", ident.alias("target"))
-    inside = containment(whole, cats).select("path", F.col("outer.node_id").alias("taxonomy"), "inner.*")
-    tops = inside.where(F.col("parent_id") == F.col("taxonomy")).select("path", "node_id", "end_id", "target")
-    # Each category with those that contain it: how many they are is its depth, the outermost its family.
-    above = container_counts(cats, inside).withColumnRenamed("n", "above")
-    family = containment(tops, inside.select("path", "node_id")).select("path", F.col("inner.node_id").alias("node_id"), F.col("outer.target").alias("top"))
-    parents = cats.select("path", F.col("parent_id").alias("node_id"), F.lit(True).alias("has_children")).distinct()
-    said = tei(nodes, "catDesc").groupBy("path", F.col("parent_id").alias("node_id")).agg(F.min_by("content", "node_id").alias("description"))
-    out = inside
-    for part in (above, family, parents, said):
-        # By merging, as these are as many as the categories.
-        out = out.join(part.hint("merge"), ["path", "node_id"], "left")
-    return out.select(
-        "path", "node_id", "target", (F.coalesce("above", F.lit(0)) + 1).alias("depth"), F.coalesce("top", "target").alias("family"), F.col("has_children").isNull().alias("is_leaf"),
-        collapse(or_empty(F.col("description"))).alias("description"),
-    )
+    return _by_document(docs, _CATEGORY, lambda xml: read(xml, taxonomy_id))
+
+
+def families(docs: DataFrame, taxonomy_id: str) -> DataFrame:
+    """path, family, deepest, leaves, depths and description of every family in those taxonomies that has categories below a top: the greatest of their depths, how many leaves there are, the depths in sum,
+    and of the leaves' descriptions the last in order. Added up where a document is parsed, so no category moves."""
+
+    def added(xml: str | bytes) -> list[list]:
+        found: dict[str, list] = {}
+        for _, _, depth, family, leaf, description in read(xml, taxonomy_id):
+            if depth > 1:
+                row = found.setdefault(family, [family, 0, 0, 0, None])
+                row[1] = max(row[1], depth)
+                row[3] += depth
+                if leaf:
+                    row[2] += 1
+                    row[4] = description if row[4] is None else max(row[4], description)
+        return list(found.values())
+
+    return _by_document(docs, _FAMILY, added)
 
 
 def _refused(faults: DataFrame, what: str, column: Column) -> None:

@@ -70,3 +70,39 @@ def test_edges(spark):
         with pytest.raises(ValueError, match=said):
             taxonomies.closure(frame(wrong))
     assert taxonomies.closure(frame([]).limit(0)).count() == 0
+
+
+def test_categories_come_from_one_pass(spark):
+    """Random nestings, against their trees; categories and families are made where documents are parsed, and none of them moves."""
+    r = random.Random(5)
+
+    def grown(names, depth=0):
+        made = []
+        for _ in range(r.randint(0 if depth else 1, 3)):
+            name = f"c{r.randint(0, 9)}"
+            names.append(name)
+            kids = grown(names, depth + 1) if depth < 4 else []
+            made.append((name, r.choice(["", "b", "é", "\N{NO-BREAK SPACE}a  z "]), r.random() < 0.2, kids))
+        return made
+
+    def written(tree):
+        return "".join(f'<category xml:id="{name}"><!-- x -->{f"<catDesc>{said[:1]}<hi>{said[1:]}</hi></catDesc><catDesc>zz</catDesc>" if said else ""}{f"<gloss>{written(kids)}</gloss>" if apart else written(kids)}</category>' for name, said, apart, kids in tree)
+
+    def walked(path, tree, depth=1, family=None):
+        for name, said, apart, kids in tree:
+            yield path, name, depth, family or name, not kids or apart, " ".join(said.split())
+            yield from walked(path, kids, depth + 1, family or name)
+
+    trees = {f"p{k}": grown([]) for k in range(30)}
+    docs = spark.createDataFrame([(path, odd(written(tree))) for path, tree in trees.items()] + [("broken", "<TEI"), ("null", None)], "path string, xml string")
+    want = [x for path, tree in trees.items() for x in walked(path, tree)]
+    found, summed = taxonomies.categories(docs, "g"), taxonomies.families(docs, "g")
+    assert rows(found.drop("node_id")) == sorted(want) and found.select("path", "node_id").distinct().count() == len(want)
+    each = {}
+    for path, _, depth, family, leaf, said in want:
+        if depth > 1:
+            each.setdefault((path, family), []).append((depth, leaf, said))
+    expected = [(path, family, max(d for d, _, _ in x), sum(leaf for _, leaf, _ in x), sum(d for d, _, _ in x), max(said for _, leaf, said in x if leaf)) for (path, family), x in each.items()]
+    assert rows(summed) == sorted(expected)
+    for df in (found, summed):
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
