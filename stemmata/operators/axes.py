@@ -29,6 +29,8 @@ class Step:
     name: str | None = None
     #: Whether the name is all that the test asks.
     bare: bool = False
+    #: What else it asks, where that is only that attributes are there (None) or have values; None: something else.
+    asks: tuple[tuple[str, str | None], ...] | None = None
 
 
 @dataclass(frozen=True)
@@ -39,6 +41,14 @@ class Probe:
     context: Column
     steps: tuple[Step, ...]
     whole: bool = False
+    #: The name of the context's elements.
+    of: str | None = None
+
+    @property
+    def above(self) -> bool:
+        """Whether it is answered by the elements above the context, told by names and attributes: parents, and at the end a parent or ancestors."""
+        *first, last = self.steps
+        return not self.whole and self.of is not None and all(s.axis == "parent" for s in first) and last.axis in ("parent", "ancestor") and all(s.asks is not None for s in self.steps)
 
     @property
     def beside(self) -> bool:
@@ -110,10 +120,12 @@ def _fitting(nodes: DataFrame, any_of: list[Column]) -> tuple[DataFrame, DataFra
     return nodes.where(fits), nodes.where(~fits)
 
 
-def _told(nodes: DataFrame, probes: list[Probe], names: tuple[str, ...]) -> DataFrame:
-    """Adds the probes that the shredder has counted, by the places of their names."""
+def _told(nodes: DataFrame, probes: list[Probe], names: tuple[str, ...], above: tuple[str, ...]) -> DataFrame:
+    """Adds the probes that the shredder or the tally has counted, by the places of their names."""
 
     def count(p: Probe) -> Column:
+        if p.name in above:
+            return F.coalesce(F.get("above", F.lit(above.index(p.name))), F.lit(0)).cast("long")
         before, among = (F.get(side, F.lit(names.index(p.steps[-1].name))).cast("long") for side in ("before", "among"))
         if p.steps[0].axis not in SIBLINGS:
             return among
@@ -121,19 +133,20 @@ def _told(nodes: DataFrame, probes: list[Probe], names: tuple[str, ...]) -> Data
         # The root is not among its siblings.
         return before if p.steps[0].axis == "preceding-sibling" else F.greatest(among - before - own, F.lit(0))
 
-    kept = [F.col(c) for c in nodes.columns if c not in ("before", "among")]
+    kept = [F.col(c) for c in nodes.columns if c not in ("before", "among", "above")]
     return nodes.select(*kept, *[F.when(F.coalesce(p.context, F.lit(False)), count(p)).otherwise(0).alias(p.name) for p in probes])
 
 
-def probed(nodes: DataFrame, probes: tuple[Probe, ...], names: tuple[str, ...] = ()) -> DataFrame:
+def probed(nodes: DataFrame, probes: tuple[Probe, ...], names: tuple[str, ...] = (), above: tuple[Probe, ...] = ()) -> DataFrame:
     """The nodes with a column for each probe (0 where there is nothing, or the node is no context); only nodes that are asked about are moved.
-    names: what the shredder was told to count beside nodes; without them, the nodes have no such counts and all is counted here.
+    names: what the shredder was told to count beside nodes; without them, the nodes have no such counts and all is counted here. above: the probes whose counts the tally was told to give, in its `above`.
 
     Joins are by merging: staged files are a small part of their rows' size in memory, so Spark would send millions of rows to the driver to broadcast them."""
-    told = [p for p in probes if p.told and p.steps[-1].name in names]
-    nodes = _told(nodes, told, names) if names else nodes
+    higher = tuple(p.name for p in above)
+    told = [p for p in probes if p.name in higher or (p.told and p.steps[-1].name in names)]
+    nodes = _told(nodes, told, names, higher) if names or higher else nodes
     known = {p.name for p in told}
-    joined, beside = [p for p in probes if not p.beside], [p for p in probes if p.beside and p.name not in known]
+    joined, beside = [p for p in probes if not p.beside and p.name not in known], [p for p in probes if p.beside and p.name not in known]
     none = lambda df, of: df.select("*", *[F.lit(0).cast("long").alias(p.name) for p in of])
     out = nodes
     if joined:

@@ -66,10 +66,21 @@ class Schema:
         """Whether the shredder answers all probes."""
         return all(p.told for p in self.probes)
 
+    @property
+    def above(self) -> tuple[Probe, ...]:
+        """What the tally is to count above elements."""
+        return tuple(p for p in self.probes if p.above)
+
     @property
     def tallied(self) -> bool:
-        """Whether elements can be counted where documents are parsed: nothing is asked of them but attributes and siblings."""
-        return self.told and self.asked is not None and not self.instructions and set(self.reads) <= {"attrs"}
+        """Whether elements can be counted where documents are parsed: nothing is asked of them but attributes, siblings and, by names and attributes, what stands above."""
+        return all(p.told or p.above for p in self.probes) and self.counted is not None and not self.instructions and set(self.reads) <= {"attrs"}
+
+    @property
+    def counted(self) -> frozenset[str] | None:
+        """The names of the elements that the tally is to count; None: of any name."""
+        own = asked(self.checks)
+        return None if own is None else own | {p.steps[-1].name for p in self.probes if p.told}
 
     @property
     def asked(self) -> frozenset[str] | None:
@@ -311,7 +322,7 @@ class _Parser:
         first = self.at
         word = self.take()
         if word == "..":
-            return Step("parent", F.col("kind") == "element", ".."), None
+            return Step("parent", F.col("kind") == "element", "..", asks=()), None
         if self.peek() == "::":
             self.take()
             if word not in _AXES or axis == "descendant":
@@ -320,7 +331,7 @@ class _Parser:
         if word != "*" and self.tokens[self.at - 1][0] != "name":
             raise self.wrong()
         name = word if word == "*" else self.local(word)
-        test, plain = self.named(name), [name]
+        test, plain, asks = self.named(name), [name], []
         while self.peek() == "[":
             self.take()
             begin = self.at
@@ -330,10 +341,11 @@ class _Parser:
             self.at = inner.at
             asked = self.tokens[begin : self.at]
             simple = asked[0][1].startswith("@") and (len(asked) == 1 or (len(asked) == 3 and asked[1][1] == "=" and asked[2][0] == "string"))
+            asks.append((asked[0][1][1:], asked[2][1][1:-1] if len(asked) == 3 else None) if simple else None)
             plain.append(f"[{asked[0][1]}{f"='{asked[2][1][1:-1]}'" if len(asked) == 3 else ''}]" if simple else None)
             self.take("]")
         known = name != "*" and len(plain) <= 2 and None not in plain
-        return Step(axis, test, "".join(t for _, t in self.tokens[first : self.at]), name if name != "*" else None, name != "*" and len(plain) == 1), "".join(plain) if known else None
+        return Step(axis, test, "".join(t for _, t in self.tokens[first : self.at]), name if name != "*" else None, name != "*" and len(plain) == 1, None if None in asks else tuple(asks)), "".join(plain) if known else None
 
     def probe(self, steps: list[Step], whole: bool) -> Column:
         """How many nodes are at the end of the path: a column that probed() adds."""
@@ -341,7 +353,7 @@ class _Parser:
             raise self.wrong()
         key = f"{self.scope.element}{' //' if whole else ' '}{'/'.join(f'{x.axis}::{x.source}' for x in steps)}"
         if key not in self.scope.probes:
-            self.scope.probes[key] = Probe(f"probe_{len(self.scope.probes)}", self.named(self.scope.element), tuple(steps), whole)
+            self.scope.probes[key] = Probe(f"probe_{len(self.scope.probes)}", self.named(self.scope.element), tuple(steps), whole, self.scope.element)
         return F.col(self.scope.probes[key].name)
 
     def contexts(self) -> list[tuple[Column, str | None, str | None]]:
@@ -521,9 +533,9 @@ def check_documents(docs: DataFrame, schema: Schema, located: bool = True) -> Da
 def count_findings(docs: DataFrame, schema: Schema, by: Column | None = None) -> DataFrame:
     """by (the path, or what is said of it), check_id, findings: how many findings of each check there are in documents (path, xml); checks without any are left out.
 
-    Where nothing but attributes and siblings is asked of elements, equal ones of a document are one row with their number, and neither messages nor places are made."""
+    Where nothing but attributes, siblings and what stands above is asked of elements, equal ones of a document are one row with their number, and neither messages nor places are made."""
     by = F.col("path") if by is None else by
     if not schema.tallied:
         return check_documents(docs, schema, located=False).groupBy(by, "check_id").agg(F.count("*").alias("findings"))
-    nodes = probed(tally(docs, schema.asked, schema.keys, schema.beside), schema.probes, schema.beside)
+    nodes = probed(tally(docs, schema.counted, schema.keys, schema.beside, schema.above), schema.probes, schema.beside, schema.above)
     return count_checks(nodes, schema.checks, by)

@@ -322,3 +322,25 @@ def test_findings_are_counted_as_they_are_found(spark, trees):
         assert {(x["path"], x["check_id"]): x["findings"] for x in schema_files.count_findings(docs, schema).collect()} == want and len({c for _, c in want}) == 3 + (not tallied)
         by = schema_files.count_findings(docs, schema, F.length("path").alias("by"))
         assert by.columns == ["by", "check_id", "findings"] and {(x["by"], x["check_id"]): x["findings"] for x in by.collect()} == {(k, c): sum(n for (p, d), n in want.items() if len(p) == k and d == c) for k, c in {(len(p), c) for p, c in want}}
+
+
+def test_findings_above_are_counted_where_documents_are_parsed(spark, trees):
+    """Counts along parents and ancestors, with siblings too, are those of the findings one by one; a large document makes few rows, and a deep one is read."""
+    found, _ = trees
+    texts = [*(ET.tostring(t, encoding="unicode") for t in found.values()), *odd_documents()]
+    docs = spark.createDataFrame([(f"d{i}", x) for i, x in enumerate(texts)], "path string, xml string")
+    read = lambda rules: schema_files.read_schema(f'<schema xmlns="{schema_files.SCH}"><ns prefix="t" uri="{TEI}"/><pattern>{rules}</pattern></schema>')
+    rules = """<rule context="t:a"><report id="two" test="count(ancestor::t:a) = 1 or count(ancestor::*) = 3">x</report><assert id="n" test="ancestor::t:b[@n]">x</assert><report id="up" test="../..[@n] or ../../parent::t:b[@n='1']">x</report></rule>
+<rule context="t:div | t:b[preceding-sibling::t:a]"><report id="part" test="../ancestor::t:div[@type='textpart'] or parent::t:TEI or count(ancestor::t:c) = count(../ancestor::*)">x</report><assert id="last" test="following-sibling::t:b">x</assert></rule>"""
+    for given, tallied in ((rules.replace("[@n] or ../../", " or ../../"), True), (rules.replace("../..[@n] or", "ancestor::t:b[not(@n)] or"), False)):
+        schema = read(given)
+        assert schema.tallied == tallied
+        want = {}
+        for x in schema_files.check_documents(docs, schema).collect():
+            want[x["path"], x["check_id"]] = want.get((x["path"], x["check_id"]), 0) + 1
+        assert {(x["path"], x["check_id"]): x["findings"] for x in schema_files.count_findings(docs, schema).collect()} == want and len({c for _, c in want}) == 5
+    schema = read("""<rule context="t:l"><report id="in" test="count(ancestor::t:div) = 2">x</report></rule>""")
+    large = spark.createDataFrame([("d", f"<TEI {NS}><div>{'<div><l/><l/></div>' * 2000}</div>{'<div>' * 3000}<l/>{'</div>' * 3000}</TEI>")], "path string, xml string")
+    rows = tally(large, schema.counted, schema.keys, schema.beside, schema.above).where("name = 'l'").collect()
+    assert sorted((list(x["above"]), x["times"]) for x in rows) == [([2], 4000), ([3000], 1)]
+    assert [tuple(x) for x in schema_files.count_findings(large, schema).collect()] == [("d", "in", 4000)]
