@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import xml.etree.ElementTree as ET
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from heapq import heappop, heappush
 from itertools import accumulate, chain
 
@@ -186,3 +186,82 @@ def tally(docs: DataFrame, only: frozenset[str], keys: tuple[str, ...] = (), bes
                 yield pa.RecordBatch.from_arrays([paths.take(pa.array(which, pa.int32())), *(c.take(at) for c in kinds.columns()), pa.array(times, pa.int64())], names=names)
 
     return docs.select("path", "xml").mapInArrow(run, SCHEMA)
+
+
+PAIRS = "path string, outer_label string, inner_label string, pairs long, outers long"
+
+
+class _Pairs:
+    """What stands in what, by labels: of each shape how many elements of each label are in it, and the pairs that they make."""
+
+    def __init__(self, outer: frozenset[str], inner: frozenset[str], keys: tuple[str, ...], label: Callable[[str, dict[str, str]], str]) -> None:
+        self.outer, self.inner, self.keys, self.label = outer, inner, keys, label
+        self.shapes = Shapes(keys)
+        self.sums: list[tuple[dict[str, int], dict[tuple[str, str], tuple[int, int]]]] = []
+        self.labels = Once(self.labelled)
+
+    def labelled(self, element: tuple) -> tuple[str | None, str | None]:
+        """The labels as what holds others and as what is held; None if it isn't asked for."""
+        name = element[0].rpartition("}")[2]
+        if name not in self.outer and name not in self.inner:
+            return None, None
+        label = self.label(name, {k: v for k, v in zip(self.keys, element[1:]) if v is not None})
+        return label if name in self.outer else None, label if name in self.inner else None
+
+    def summed(self, element: tuple, kids: tuple[int, ...]) -> tuple[dict, dict]:
+        held: dict[str, int] = {}
+        pairs: dict[tuple[str, str], tuple[int, int]] = {}
+        for kid, times in Counter(kids).items():
+            inside, among = self.sums[kid]
+            for label, n in inside.items():
+                held[label] = held.get(label, 0) + n * times
+            for both, (n, outers) in among.items():
+                before = pairs.get(both, (0, 0))
+                pairs[both] = before[0] + n * times, before[1] + outers * times
+        outer, inner = self.labels[element]
+        if outer is not None:
+            for label, n in held.items():
+                before = pairs.get((outer, label), (0, 0))
+                pairs[outer, label] = before[0] + n, before[1] + 1
+        if inner is not None:
+            held[inner] = held.get(inner, 0) + 1
+        return held, pairs
+
+    def count(self, xml: str | bytes) -> dict[tuple[str, str], tuple[int, int]]:
+        root = grown(xml)
+        if root is None:
+            return {}
+        if len(self.sums) > KEPT:
+            for of in (self.shapes.made, self.shapes.numbers, self.sums, self.labels):
+                of.clear()
+        top = self.shapes.of(root)
+        for shape in self.shapes.made[len(self.sums) :]:
+            self.sums.append(self.summed(*shape))
+        return self.sums[top][1]
+
+
+def nested(docs: DataFrame, outer: frozenset[str], inner: frozenset[str], keys: tuple[str, ...], label: Callable[[str, dict[str, str]], str]) -> DataFrame:
+    """path, outer_label, inner_label, pairs and outers: in each document (path, xml) how many elements named in `inner` stand in those named in `outer`, at any depth, by their labels, and in how many; nothing of a broken one.
+
+    label: what an element is called, by its local name and these attributes. Counted where a document is parsed, each subtree once that stands there several times: no pairs are made."""
+    bounded(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = _Pairs(outer, inner, keys, label)
+        for batch in batches:
+            paths, which, rows = batch.column(0), [], []
+
+            def made() -> pa.RecordBatch:
+                columns = zip(*rows) if rows else [()] * 4
+                return pa.RecordBatch.from_arrays([paths.take(pa.array(which, pa.int32())), *(pa.array(c, kind) for c, kind in zip(columns, (pa.string(), pa.string(), pa.int64(), pa.int64())))], names=[c.split(" ", 1)[0] for c in PAIRS.split(", ")])
+
+            for k, xml in enumerate(batch.column(1).to_pylist()):
+                found = counts.count(xml or "")
+                which += [k] * len(found)
+                rows += [(*both, *n) for both, n in found.items()]
+                if len(rows) > 20_000:
+                    yield made()
+                    which, rows = [], []
+            yield made()
+
+    return docs.select("path", "xml").mapInArrow(run, PAIRS)

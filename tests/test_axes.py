@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from stemmata import catalogue
 from stemmata.operators import axes, intervals, rewrite, schema_files, schematron
 from stemmata.operators.shred import parse, shred
-from stemmata.operators.tally import tally
+from stemmata.operators.tally import nested, tally
 from stemmata.plans import commands
 from stemmata.sources import corpus
 
@@ -344,3 +344,22 @@ def test_findings_above_are_counted_where_documents_are_parsed(spark, trees):
     rows = tally(large, schema.counted, schema.keys, schema.beside, schema.above).where("name = 'l'").collect()
     assert sorted((list(x["above"]), x["times"]) for x in rows) == [([2], 4000), ([3000], 1)]
     assert [tuple(x) for x in schema_files.count_findings(large, schema).collect()] == [("d", "in", 4000)]
+
+
+def test_what_stands_in_what_is_counted_where_documents_are_parsed(spark, trees):
+    """Counts by labels are those of all pairs; none is made and nothing moves, whatever the number of pairs."""
+    found, _ = trees
+    texts = [*(ET.tostring(t, encoding="unicode") for t in found.values()), *odd_documents()]
+    book = "<div type='b'>" + "<div type='c'><l>x</l></div>" * 20 + "</div>"
+    texts += [f"<TEI {NS}>{book * 500}</TEI>", f"<TEI {NS}>{'<div>' * 800}<l/>{'</div>' * 800}</TEI>", None]
+    docs = spark.createDataFrame([(f"d{i}", x) for i, x in enumerate(texts)], "path string, xml string")
+    outer, inner = ("TEI", "a", "b", "div"), ("a", "c", "div", "l")
+    got = nested(docs, frozenset(outer), frozenset(inner), ("n", "type"), lambda name, attrs: name + attrs.get("n", attrs.get("type", "")))
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    nodes = shred(docs, ("node_id", "end_id", "kind", "name", "attrs")).where("kind = 'element'")
+    label = F.concat("name", F.coalesce(F.col("attrs")["n"], F.col("attrs")["type"], F.lit(""))).alias("label")
+    pairs = intervals.containment(nodes.where(F.col("name").isin(*outer)).select("path", "node_id", "end_id", label), nodes.where(F.col("name").isin(*inner)).select("path", "node_id", label))
+    want = pairs.groupBy("path", F.col("outer.label").alias("outer_label"), F.col("inner.label").alias("inner_label")).agg(F.count("*").alias("pairs"), F.countDistinct("outer.node_id").alias("outers"))
+    rows = lambda df: sorted(tuple(x) for x in df.collect())
+    assert rows(got) == rows(want)
+    assert ("d15", "TEI", "l", 10_000, 1) in rows(got) and ("d16", "div", "div", 800 * 799 // 2, 799) in rows(got)
